@@ -48,7 +48,7 @@ def enforce(col, spark_type: str, fmt: str | None = None) -> Column:
     t = spark_type.lower()
     if t == "date":
         s = c.cast("string")
-        return F.try_to_date(s, F.lit(fmt)) if fmt else F.try_to_date(s)
+        return F.try_to_date(s, fmt) if fmt else F.try_to_date(s)
     if t == "timestamp":
         s = c.cast("string")
         return F.try_to_timestamp(s, F.lit(fmt)) if fmt else F.try_to_timestamp(s)
