@@ -5,5 +5,5 @@ from .registry import ORACLE_SQL, OPERATORS, QUERIES  # noqa: F401
 
 def load_all():
     """Import every query module so its ``@query`` registrations run."""
-    from . import alarm_queries, record_queries, report_queries  # noqa: F401
+    from . import alarm_queries, audit_queries, order_queries, record_queries, report_queries  # noqa: F401
     return QUERIES, ORACLE_SQL
