@@ -385,3 +385,21 @@ def user_snapshot(spark, sf):
     ev = read_table(spark, sf, "events")
     log = ev.withColumn("op", F.when(F.col("event_type") == "error", F.lit("delete")).otherwise(F.lit("upsert")))
     return M.fold_changelog(log, ["user_id"], seq=["ts", "event_id"])
+
+
+# ---------------------------------------------------------------- K1 (+S11 read-back, T3, F1)
+@query("sales_lake_roundtrip", """
+SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, strftime(l_shipdate, '%m') AS month,
+       count(*) AS tx_count, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+FROM lineitem GROUP BY 1, 2
+""", covers="K1 S11 T3")
+def sales_lake_roundtrip(spark, sf):
+    """Clean sales -> Parquet partitioned year/month/day in the shared folder
+    -> read back (partition values stay strings) -> monthly totals."""
+    from ..operators.reports import totals_by
+    from ..session import scratch_path
+    from ..sinks.lake import read_partitioned, write_partitioned
+    path = scratch_path(spark, "sales-lake")
+    write_partitioned(sales_clean(spark, sf), path, ["year", "month", "day"], mode="overwrite")
+    back = read_partitioned(spark, path)
+    return totals_by(back, ["year", "month"], "amount", count_name="tx_count")
