@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sinks.warehouse import direct_load, warehouse_load
-from ..sources.envelope import decode_envelope, encode_envelope
+from ..sources.envelope import decode_envelope, encode_envelope, record_fields
 from .jobs import enrich_orders, orders_etl
 from .registry import query
 from .tables import ORDER_RECORDS_SQL, order_records
@@ -22,7 +22,8 @@ ORDER_SCHEMA = ("order_id STRING, customer_id STRING, product_id STRING, product
 def _enriched(spark, sf):
     rec = order_records(spark, sf)
     env = encode_envelope(rec.withColumn("_json", F.to_json(F.struct(*rec.columns))), seq="order_id", payload="_json")
-    dec = decode_envelope(env, ORDER_SCHEMA).where(~F.col("failed")).select("record.*")
+    dec = decode_envelope(env, ORDER_SCHEMA)
+    dec = dec.where(~F.col("failed")).select(*record_fields(dec))
     return enrich_orders(dec, clock=F.lit(RUN_CLOCK).cast("timestamp"))
 
 

@@ -60,7 +60,9 @@ def order_records(spark: SparkSession, sf: str) -> DataFrame:
     li = read_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate")
     p = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    j = li.join(order_geo, li.l_orderkey == order_geo.o_orderkey).join(p, F.col("l_partkey") == p.p_partkey)
+    # Fact-to-fact join: neither side has a size bound, so it is never
+    # broadcast (a small test file would otherwise be shipped to every task).
+    j = li.hint("merge").join(order_geo, li.l_orderkey == order_geo.o_orderkey).join(p, F.col("l_partkey") == p.p_partkey)
     return j.select(
         F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("order_id"),
         F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("customer_id"),

@@ -11,7 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+CORRUPT = "_corrupt_record"
 
 
 def encode_envelope(df: DataFrame, seq: str, payload: str, extra: Sequence[str] = ()) -> DataFrame:
@@ -20,24 +22,53 @@ def encode_envelope(df: DataFrame, seq: str, payload: str, extra: Sequence[str]
                      F.base64(F.encode(F.col(payload), "UTF-8")).alias("data"), *extra)
 
 
+def _parse_once(df: DataFrame, text, schema: str | StructType) -> DataFrame:
+    """Adds ``payload`` (the text) and ``record`` (the parsed struct, with a
+    ``_corrupt_record`` field holding the text of a malformed line).
+
+    The parse happens inside a Generate (``inline`` of a one-element array):
+    filters on the parsed fields cannot be pushed below a Generate, so the
+    optimizer cannot copy the decode + parse into each predicate and the
+    JSON is parsed exactly once per row.
+    """
+    st = _with_corrupt(schema)
+    parsed = F.from_json(text, st, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return df.select(*df.columns, F.inline(F.array(F.struct(text.alias("payload"), parsed.alias("record")))))
+
+
 def decode_envelope(env: DataFrame, schema: str | StructType, data: str = "data") -> DataFrame:
     """base64 -> UTF-8 -> JSON struct in ``record``; ``failed`` marks records
     whose bytes or JSON could not be read (trap T4: a corrupt line parses to
-    a struct of nulls, so validity is checked on the text, not the struct)."""
-    raw = F.try_to_binary(F.col(data), F.lit("base64"))
-    text = F.decode(raw, "UTF-8")
-    out = env.withColumn("payload", text)
-    out = out.withColumn("record", F.from_json(F.col("payload"), schema, {"mode": "PERMISSIVE"}))
-    return out.withColumn("failed", F.col("payload").isNull() | F.get_json_object(F.col("payload"), "$").isNull())
+    a struct of nulls, so failure is read from the corrupt-record field)."""
+    text = F.decode(F.try_to_binary(F.col(data), F.lit("base64")), "UTF-8")
+    out = _parse_once(env, text, schema)
+    return out.withColumn("failed", F.col("payload").isNull() | F.col("record")[CORRUPT].isNotNull())
 
 
 def parse_json_isolated(df: DataFrame, text: str, schema: str | StructType,
                         required: Sequence[str] | None = None) -> DataFrame:
     """Parse a JSON text column into ``parsed``; ``failed`` is true when the
     text is not JSON or a required field (default: all fields) is null."""
-    out = df.withColumn("parsed", F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"}))
-    fields = list(required) if required is not None else out.schema["parsed"].dataType.fieldNames()
-    bad = F.get_json_object(F.col(text), "$").isNull()
+    fields = list(required) if required is not None else _fields(schema)
+    out = _parse_once(df, F.col(text), schema).drop("payload").withColumnRenamed("record", "parsed")
+    bad = F.col("parsed").isNull() | F.col("parsed")[CORRUPT].isNotNull()
     for f in fields:
         bad = bad | F.col("parsed")[f].isNull()
     return out.withColumn("failed", bad)
+
+
+def record_fields(df: DataFrame, col: str = "record") -> list:
+    """The parsed fields without the corrupt-record text, for ``select``."""
+    return [F.col(col)[f].alias(f) for f in df.schema[col].dataType.fieldNames() if f != CORRUPT]
+
+
+def _fields(schema: str | StructType) -> list[str]:
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    return st.fieldNames()
+
+
+def _with_corrupt(schema: str | StructType) -> StructType:
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if CORRUPT not in st.fieldNames():
+        st = StructType(st.fields + [StructField(CORRUPT, StringType(), True)])
+    return st

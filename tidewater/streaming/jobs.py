@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import clean as C
 from ..sinks.fanout import fan_out
-from ..sources.envelope import decode_envelope
+from ..sources.envelope import decode_envelope, record_fields
 from ..sources.files import CORRUPT, _with_corrupt, suffix_glob
 
 ENVELOPE_SCHEMA = "sequence_number STRING, partition_key STRING, data STRING"
@@ -59,7 +59,7 @@ def enrich(envelopes: DataFrame, schema: str, clock=None) -> DataFrame:
     """decode -> category slug -> processed_at stamp; ``failed`` rows keep
     their sequence number for the dead letter (ST4 / F7)."""
     dec = decode_envelope(envelopes, schema)
-    rec = dec.select("sequence_number", "failed", "payload", "record.*")
+    rec = dec.select("sequence_number", "failed", "payload", *record_fields(dec))
     return rec.withColumns({"category": C.slug("category"), "processed_at": C.iso_stamp(clock)})
 
 
