@@ -72,3 +72,16 @@ def test_json_by_date_and_audit(spark, tmp):
     filled = audit.with_defaults(spark.createDataFrame([("Budi", None)], "name string, updated_at timestamp"),
                                  {"updated_at": F.current_timestamp()}, id_col="id", id_from=("name",)).first()
     assert filled.updated_at is not None and filled.id is not None
+
+
+def test_catalog_registration_and_partitions(spark, tmp):
+    from tidewater.sources.catalog import register_table, show_partitions
+    df = spark.createDataFrame([("a", 1.0, "2024", "01", "15"), ("b", 2.0, "2024", "02", "01")],
+                               "id string, amount double, year string, month string, day string")
+    lake.write_partitioned(df, f"{tmp}/t", ["year", "month", "day"], mode="overwrite")
+    t = register_table(spark, "tw_sales_cat", f"{tmp}/t", "id STRING, amount DOUBLE, year STRING, month STRING, day STRING",
+                       ["year", "month", "day"])
+    assert t.where("month = '01'").count() == 1
+    parts = sorted(r[0] for r in show_partitions(spark, "tw_sales_cat").collect())
+    assert parts == ["year=2024/month=01/day=15", "year=2024/month=02/day=01"]
+    spark.sql("DROP TABLE tw_sales_cat")
