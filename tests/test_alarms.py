@@ -69,3 +69,12 @@ def test_dense_states_cover_grid(spark):
     df = spark.createDataFrame([("m", ts, float(v)) for ts, v in pts], "metric string, ts timestamp_ntz, value double")
     st = AL.alarm(df, "ts", "value", "sum", 300, 2, 5, ">", keys=["metric"], output="states").orderBy("period_start").collect()
     assert [r.state for r in st] == ["OK", "ALARM", "OK", "OK", "OK", "OK"]
+
+
+def test_unkeyed_alarm_has_no_cross_join(spark):
+    pts = [(at(0), 9), (at(1), 9), (at(2), 1), (at(3), 9)]
+    df = spark.createDataFrame([(ts, float(v)) for ts, v in pts], "ts timestamp_ntz, value double")
+    out = AL.alarm(df, "ts", "value", "sum", 300, 2, 5, ">")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert sorted((r.period_start, r.state) for r in out.collect()) == [(at(1), "ALARM"), (at(2), "OK")]

@@ -95,15 +95,23 @@ def _bounds(stats: DataFrame, keys: Sequence[str], period_col: str) -> DataFrame
     return stats.groupBy(*keys).agg(F.min(period_col).alias("_lo"), F.max(period_col).alias("_hi"))
 
 
+def _within_range(df: DataFrame, stats: DataFrame, keys: Sequence[str], at: str, period_col: str) -> DataFrame:
+    """Keep rows whose ``at`` is not after the key's last observed period.
+    With keys: an equi-join on the keys against one row per key. Without
+    keys: the bound is a scalar subquery (one aggregated value), never a
+    join on a constant, which the optimizer would turn into a cross join."""
+    if keys:
+        return (df.join(_bounds(stats, keys, period_col), on=list(keys), how="inner")
+                  .where(F.col(at) <= F.col("_hi")).drop("_lo", "_hi"))
+    return df.where(F.col(at) <= stats.agg(F.max(period_col)).scalar())
+
+
 # ---------------------------------------------------------------- W5
 def alarm_transitions(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_periods: int,
                       period_s: int, keys: Sequence[str] = (), period_col: str = "period_start") -> DataFrame:
     """State changes (OK->ALARM, ALARM->OK) inside each key's observed range
     [first period, last period]. The state before the first period is OK."""
-    if not keys:
-        stats, keys = stats.withColumn("_all", F.lit(0)), ["_all"]
-        return alarm_transitions(stats, stat, threshold, cmp, eval_periods, period_s,
-                                 keys, period_col).drop("_all")
+    keys = list(keys)
     alarm = alarm_periods(stats, stat, threshold, cmp, eval_periods, period_s, keys, period_col)
     cur = alarm.select(*keys, F.col(period_col).alias("_at"), F.lit(1).alias("_cur"), F.lit(None).cast("int").alias("_prev"))
     nxt = alarm.select(*keys, (F.col(period_col) + _step(period_s)).alias("_at"),
@@ -111,8 +119,7 @@ def alarm_transitions(stats: DataFrame, stat: str, threshold: float, cmp: str, e
     edges = (cur.unionByName(nxt).groupBy(*keys, "_at")
                 .agg(F.max("_cur").alias("_cur"), F.max("_prev").alias("_prev"))
                 .where(F.col("_cur").isNull() | F.col("_prev").isNull()))
-    bounded = edges.join(_bounds(stats, keys, period_col), on=list(keys), how="inner")
-    return bounded.where(F.col("_at") <= F.col("_hi")).select(
+    return _within_range(edges, stats, keys, "_at", period_col).select(
         *keys, F.col("_at").alias(period_col),
         F.when(F.col("_cur") == 1, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state"))
 
@@ -120,10 +127,7 @@ def alarm_transitions(stats: DataFrame, stat: str, threshold: float, cmp: str, e
 def alarm_states(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_periods: int,
                  period_s: int, keys: Sequence[str] = (), period_col: str = "period_start") -> DataFrame:
     """The dense per-period state series over each key's observed range."""
-    if not keys:
-        stats, keys = stats.withColumn("_all", F.lit(0)), ["_all"]
-        return alarm_states(stats, stat, threshold, cmp, eval_periods, period_s,
-                            keys, period_col).drop("_all")
+    keys = list(keys)
     alarm = alarm_periods(stats, stat, threshold, cmp, eval_periods, period_s, keys, period_col) \
         .withColumn("_alarm", F.lit(True))
     grid = _bounds(stats, keys, period_col).select(
