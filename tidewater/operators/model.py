@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as RU
+from ..session import shared_dir
 
 # The reference's boosted-tree settings. (XGBoost's L2
 # regularisation and exact weighting differ from Spark's GBT, so scores are
@@ -49,6 +50,10 @@ def split_flag(id_col: str, train_pct: int = 80, method: str = "hash") -> Column
 def train_gbt(train: DataFrame, features: Sequence[str], label: str, weight: str | None = None,
               seed: int = 42, **overrides) -> PipelineModel:
     params = {**GBT_PARAMS, **overrides}
+    # Spark ML checkpoints the boosting state every ``checkpointInterval``
+    # rounds into the shared folder, so a lost executor does not replay all
+    # rounds and the lineage stays short.
+    shared_dir(train.sparkSession)
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **params)
     if weight:

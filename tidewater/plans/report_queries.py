@@ -47,7 +47,7 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY p.p_type
 ORDER BY total_revenue DESC, category
 LIMIT 10
-""", covers="A3 L2")
+""", covers="A3")
 def sales_top_categories(spark, sf, k: int = 10):
     li = read_table(spark, sf, "lineitem")
     part = read_table(spark, sf, "part").select("p_partkey", "p_type")
