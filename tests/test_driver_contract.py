@@ -12,7 +12,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from oracle_check import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"doc_quality_scores"}   # trains 150 rounds; covered with few rounds below
+SLOW = {"doc_quality_scores"}
+SPARK_TO_SQL = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}   # trains 150 rounds; covered with few rounds below
 
 
 def test_entry(spark):
@@ -43,6 +45,8 @@ def test_sql_twin_matches(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: SPARK_TO_SQL.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())
 
 

@@ -38,7 +38,7 @@ def labelled_documents(spark, sf, split_method: str = "mod"):
 SELECT CASE WHEN (d.doc_id % 10) * 10 < 80 THEN 'train' ELSE 'validation' END AS split,
        count(*) AS n, CAST(sum(l.quality) AS BIGINT) AS positives,
        avg(CAST(l.quality AS DOUBLE)) AS positive_rate,
-       sum(CASE WHEN l.quality = 1 THEN 3.0 ELSE 1.0 END) AS weight_sum
+       sum(CASE WHEN l.quality = 1 THEN CAST(3 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END) AS weight_sum
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 GROUP BY 1
 """, covers="ML2 ML4 A10")

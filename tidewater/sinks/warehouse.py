@@ -16,7 +16,7 @@ ORDERS_DDL = [
     ("product_name", "string", 200), ("category", "string", 100), ("quantity", "int", None),
     ("unit_price", "double", None), ("total_amount", "double", None), ("order_status", "string", 50),
     ("payment_method", "string", 50), ("region", "string", 50), ("timestamp", "string", 50),
-    ("processed_at", "string", 50), ("event_ts", "timestamp", None),
+    ("processed_at", "string", 50), ("event_ts", "timestamp_ntz", None),
 ]
 ORDERS_DIRECT_DDL = [c for c in ORDERS_DDL if c[0] != "event_ts"]
 
@@ -28,7 +28,7 @@ def typed_columns(df: DataFrame, ddl, truncate: bool = False, fix_utf8: bool = F
     cols = []
     for name, typ, width in ddl:
         c = F.col(name) if name in present else F.lit(None)
-        c = c.try_cast(typ) if typ != "timestamp" else c.cast(typ)
+        c = c.cast(typ) if typ.startswith("timestamp") else c.try_cast(typ)
         if typ == "string" and fix_utf8:
             c = F.make_valid_utf8(c)
         if typ == "string" and truncate and width:
