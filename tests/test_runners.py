@@ -76,3 +76,36 @@ def test_reports_job(spark, tmp):
     assert (dash.total, dash.completed, dash.failed, dash.total_records) == (1, 1, 0, 3)
     notes = {r.key: r.subject for r in spark.read.json(f"{tmp}/outbox").collect()}
     assert notes["ok.json"].endswith("Report Processed: ok.json") and notes["empty.json"].endswith("FAILED")
+
+
+def _label_first(path, n, nfeat, seed):
+    import random
+    rnd = random.Random(seed)
+    lines = []
+    for i in range(n):
+        y = 1 if i % 4 == 0 else 0
+        feats = [round(rnd.random() + (2.0 if (y and j == 0) else 0.0), 3) for j in range(nfeat)]
+        lines.append(",".join([str(y)] + [str(f) for f in feats]))
+    return write_text(path, lines)
+
+
+def test_fraud_model_job(spark, tmp):
+    _label_first(f"{tmp}/train.csv", 200, 9, 1)
+    _label_first(f"{tmp}/val.csv", 60, 9, 2)
+    score_df = spark.read.schema(", ".join(["label int"] + [f"{c} double" for c in FRAUD_FEATURES])).csv(f"{tmp}/val.csv") \
+        .withColumn("transaction_id", F.monotonically_increasing_id().cast("string"))
+    out = J.run_fraud_model(spark, f"{tmp}/train.csv", f"{tmp}/val.csv", score_df, f"{tmp}/pred", maxIter=5)
+    assert out["auc"] > 0.9
+    pred = spark.read.json(f"{tmp}/pred")
+    assert pred.count() == 60 and {"fraud_score", "label", "confidence", "scored_at", "date"} <= set(pred.columns)
+
+
+def test_loan_model_job(spark, tmp):
+    from tidewater.functions.features import LOAN_FEATURES
+    _label_first(f"{tmp}/train.csv", 200, 10, 3)
+    _label_first(f"{tmp}/val.csv", 60, 10, 4)
+    applicants = spark.read.schema(", ".join(["default int"] + [f"{c} double" for c in LOAN_FEATURES])).csv(f"{tmp}/val.csv")
+    scored, auc = J.run_loan_model(spark, f"{tmp}/train.csv", f"{tmp}/val.csv", applicants, maxIter=5)
+    assert auc > 0.9
+    rows = scored.select("probability", "risk_level", "recommendation").collect()
+    assert len(rows) == 60 and all(0 <= r.probability <= 100 for r in rows)

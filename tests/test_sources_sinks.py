@@ -85,3 +85,16 @@ def test_catalog_registration_and_partitions(spark, tmp):
     parts = sorted(r[0] for r in show_partitions(spark, "tw_sales_cat").collect())
     assert parts == ["year=2024/month=01/day=15", "year=2024/month=02/day=01"]
     spark.sql("DROP TABLE tw_sales_cat")
+
+
+def test_distributed_warehouse_table(spark, tmp):
+    from tidewater.sinks.warehouse import write_distributed
+    df = spark.createDataFrame([("o1", "jakarta", "2024-01-15 09:00:00"), ("o2", "bali", "2024-01-15 08:00:00"),
+                                ("o3", "jakarta", "2024-01-15 08:00:00")], "order_id string, region string, event_ts string")
+    write_distributed(df, "tw_orders_wh", "region", "event_ts", mode="overwrite", buckets=4)
+    t = spark.table("tw_orders_wh")
+    assert t.count() == 3
+    # bucketed on region: an aggregate on the bucket key needs no shuffle
+    plan = t.groupBy("region").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    spark.sql("DROP TABLE tw_orders_wh")
