@@ -98,3 +98,20 @@ def test_distributed_warehouse_table(spark, tmp):
     plan = t.groupBy("region").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
     spark.sql("DROP TABLE tw_orders_wh")
+
+
+def test_direct_load_repairs_invalid_utf8(spark):
+    from tidewater.sinks.warehouse import direct_load
+    df = spark.createDataFrame([("o1",)], "order_id string").withColumn("product_name", F.unhex(F.lit("C328")).cast("string"))
+    assert df.select(F.is_valid_utf8("product_name")).first()[0] is False
+    out = direct_load(df).select("product_name", F.is_valid_utf8("product_name").alias("ok")).first()
+    assert out.ok is True and "�" in out.product_name
+
+
+def test_latest_by_mtime(spark, tmp):
+    import time
+    write_text(f"{tmp}/m/z-old.csv", ["a"])
+    time.sleep(1.1)
+    write_text(f"{tmp}/m/a-new.csv", ["a"])
+    assert files.latest_object(spark, f"{tmp}/m").endswith("z-old.csv")          # key order (reference rule)
+    assert files.latest_object(spark, f"{tmp}/m", by="mtime").endswith("a-new.csv")

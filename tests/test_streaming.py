@@ -38,6 +38,7 @@ def test_enrich_fanout_exactly_once(spark, tmp):
     assert lake.count() == 20 and lake.select("order_id").distinct().count() == 20
     assert {r.category for r in lake.select("category").distinct().collect()} >= {"food_beverage", "home_appliance"}
     assert spark.read.json(f"{out}/dead").count() == 2
+    assert lake.where("category_missing").count() == 0
     # replaying a batch id rewrites its own folder: no duplicates
     replay = S.enrich(spark.read.schema(S.ENVELOPE_SCHEMA).json(first), ORDER_SCHEMA)
     writers["lake"](replay, 0)
@@ -63,12 +64,14 @@ def test_stream_equals_batch(spark, tmp):
 
 def test_raw_landing_with_error_prefix(spark, tmp):
     src = f"{tmp}/in"
-    _envelopes(src, [order_json(r) for r in ORDERS[:3]] + ["{bad"], 0)
+    _envelopes(src, [order_json(r) for r in ORDERS[:2]] + [order_json(ORDERS[2], category=None), "{bad"], 0)
     q = S.land_raw(S.enrich(S.envelope_stream(spark, src), ORDER_SCHEMA), f"{tmp}/raw", f"{tmp}/err",
                    f"{tmp}/ck", available_now=True)
     q.awaitTermination()
     raw = spark.read.json(f"{tmp}/raw")
     assert raw.count() == 3 and {"year", "month", "day", "hour"} <= set(raw.columns)
+    flagged = raw.where("category_missing").select("order_id", "category").collect()
+    assert [(r.order_id, r.category) for r in flagged] == [("ORD-20240115-000003", "")]
     assert spark.read.json(f"{tmp}/err").count() == 1
 
 

@@ -60,7 +60,9 @@ def enrich(envelopes: DataFrame, schema: str, clock=None) -> DataFrame:
     their sequence number for the dead letter (ST4 / F7)."""
     dec = decode_envelope(envelopes, schema)
     rec = dec.select("sequence_number", "failed", "payload", *record_fields(dec))
-    return rec.withColumns({"category": C.slug("category"), "processed_at": C.iso_stamp(clock)})
+    # A missing or null category becomes '' and is flagged, not failed
+    return rec.withColumns({"category_missing": F.col("category").isNull() & ~F.col("failed"),
+                            "category": C.slug("category"), "processed_at": C.iso_stamp(clock)})
 
 
 # ---------------------------------------------------------------- K2 / ST3 / ST4
