@@ -56,14 +56,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Falls back to a fresh local folder only when the setting is absent, which
-    happens in unit tests and ad-hoc local runs, and records it on the session
-    so later calls agree.
+    Falls back to a fresh local folder only when the setting is absent *and*
+    the master is local (unit tests, ad-hoc runs), and records it on the
+    session so later calls agree. On a cluster a machine-local folder would
+    not survive the loss of an executor, so a missing setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
