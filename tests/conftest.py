@@ -12,8 +12,8 @@ def spark():
     from tidewater.session import build_session
     s = build_session("local[4]", shuffle_partitions=4, app_name="tidewater-tests")
     # tests set their own shared folder only when the session has none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tw-ckpt-"))
+    if not s.conf.get("spark.checkpoint.dir", None) and s.sparkContext.getCheckpointDir() is None:
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tw-ckpt-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -68,7 +68,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
