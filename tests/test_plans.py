@@ -24,11 +24,16 @@ def test_survivor_combines_map_side(spark):
     assert p.index("Exchange") < p.index("partial_max")   # partial agg is below (printed after) the exchange
 
 
-def test_alarm_has_no_window_or_cross_join(spark):
+def test_alarm_reads_data_once_and_windows_only_aggregates(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
-    out = AL.alarm(ev, "ts", "value", "sum", 300, 3, 100, ">", keys=["event_type"])
-    p = plan(out)
-    assert "Window" not in p and "Cartesian" not in p and "NestedLoop" not in p
+    for output in ("transitions", "states"):
+        out = AL.alarm(ev, "ts", "value", "sum", 300, 3, 100, ">", keys=["event_type"], output=output)
+        p = plan(out)
+        assert p.count("FileScan parquet") == 1
+        assert "Cartesian" not in p and "NestedLoop" not in p
+        # the only window runs over the (key, period) aggregate, never over raw points
+        below_window = p[p.index("Window"):]
+        assert below_window.index("HashAggregate") < below_window.index("FileScan")
 
 
 def test_fact_to_fact_join_is_not_broadcast(spark):

@@ -13,16 +13,20 @@ Plan shape, chosen for scale:
   parallelises over (key, period). Missing periods cast no vote, which is
   exactly "missing data = not breaching" (W4) without building a grid.
 * W5 transitions compare each ALARM period with its predecessor the same way
-  (a vote for p and for p+1), again a hash aggregate.
-* The dense per-period state series (W4) is optional; its size is
-  (time span / period) per key, independent of the number of data points.
+  (a mark for p and for p+1), again a hash aggregate.
+* The statistic series is read exactly once per alarm (no self-join, no
+  second scan of the raw data). A key's last observed period comes from a
+  window over that aggregated series, whose size is (time span / period)
+  per key, independent of the number of data points.
+* The dense per-period state series (W4) is optional and gap-fills each
+  observed period up to the next one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COMPARATORS = {
@@ -78,63 +82,90 @@ def multi_metric_series(df: DataFrame, ts: str, metric: str, metrics: Sequence[s
 
 
 # ---------------------------------------------------------------- W3, W4
+def _series(stats: DataFrame, stat: str, threshold: float, cmp: str, keys: Sequence[str],
+            period_col: str, with_next: bool = False) -> DataFrame:
+    """The per-period statistic series, read once, with the breach flag and
+    each key's last observed period (``_hi``) and, optionally, the key's next
+    observed period (``_next``). The windows run over the aggregated series
+    (one row per key and period, so (time span / period) rows per key), never
+    over raw data points."""
+    by_key = Window.partitionBy(*keys)
+    cols = [*[F.col(k) for k in keys], F.col(period_col).alias("_p"),
+            F.coalesce(COMPARATORS[cmp](F.col(stat), F.lit(threshold)), F.lit(False)).alias("_breach"),
+            F.max(period_col).over(by_key).alias("_hi")]
+    if with_next:
+        cols.append(F.lead(period_col).over(by_key.orderBy(period_col)).alias("_next"))
+    return stats.select(*cols)
+
+
+def _votes(series: DataFrame, keys: Sequence[str], n: int, period_s: int) -> DataFrame:
+    """Each breaching period votes for itself and the next n-1 periods."""
+    k = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    v = series.where("_breach").select(*keys, "_hi", k.alias("_k"), "_p")
+    return v.select(*keys, "_hi", (F.col("_p") + F.make_dt_interval(secs=F.col("_k") * int(period_s))).alias("_at"))
+
+
 def alarm_periods(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_periods: int,
                   period_s: int, keys: Sequence[str] = (), period_col: str = "period_start") -> DataFrame:
     """(keys, period) for every period whose last ``eval_periods`` periods all
     breach. Periods without a data point never breach."""
-    n = int(eval_periods)
-    breach = stats.where(COMPARATORS[cmp](F.col(stat), F.lit(threshold))).select(*keys, period_col)
-    votes = breach.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_k"),
-                          F.col(period_col).alias("_p"))
-    votes = votes.select(*keys, (F.col("_p") + F.make_dt_interval(secs=F.col("_k") * int(period_s))).alias(period_col))
-    return (votes.groupBy(*keys, period_col).agg(F.count(F.lit(1)).alias("_votes"))
-                 .where(F.col("_votes") == n).select(*keys, period_col))
-
-
-def _bounds(stats: DataFrame, keys: Sequence[str], period_col: str) -> DataFrame:
-    return stats.groupBy(*keys).agg(F.min(period_col).alias("_lo"), F.max(period_col).alias("_hi"))
-
-
-def _within_range(df: DataFrame, stats: DataFrame, keys: Sequence[str], at: str, period_col: str) -> DataFrame:
-    """Keep rows whose ``at`` is not after the key's last observed period.
-    With keys: an equi-join on the keys against one row per key. Without
-    keys: the bound is a scalar subquery (one aggregated value), never a
-    join on a constant, which the optimizer would turn into a cross join."""
-    if keys:
-        return (df.join(_bounds(stats, keys, period_col), on=list(keys), how="inner")
-                  .where(F.col(at) <= F.col("_hi")).drop("_lo", "_hi"))
-    return df.where(F.col(at) <= stats.agg(F.max(period_col)).scalar())
+    keys = list(keys)
+    votes = _votes(_series(stats, stat, threshold, cmp, keys, period_col), keys, int(eval_periods), period_s)
+    return (votes.groupBy(*keys, "_at").agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") == int(eval_periods)).select(*keys, F.col("_at").alias(period_col)))
 
 
 # ---------------------------------------------------------------- W5
 def alarm_transitions(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_periods: int,
                       period_s: int, keys: Sequence[str] = (), period_col: str = "period_start") -> DataFrame:
     """State changes (OK->ALARM, ALARM->OK) inside each key's observed range
-    [first period, last period]. The state before the first period is OK."""
+    [first period, last period]. The state before the first period is OK.
+
+    Plan: the statistic is read once; votes -> hash aggregate -> ALARM
+    periods; each ALARM period p then marks p as "alarm now" and p+1 as
+    "alarm before" -> hash aggregate; an edge is where exactly one holds."""
     keys = list(keys)
-    alarm = alarm_periods(stats, stat, threshold, cmp, eval_periods, period_s, keys, period_col)
-    cur = alarm.select(*keys, F.col(period_col).alias("_at"), F.lit(1).alias("_cur"), F.lit(None).cast("int").alias("_prev"))
-    nxt = alarm.select(*keys, (F.col(period_col) + _step(period_s)).alias("_at"),
-                       F.lit(None).cast("int").alias("_cur"), F.lit(1).alias("_prev"))
-    edges = (cur.unionByName(nxt).groupBy(*keys, "_at")
-                .agg(F.max("_cur").alias("_cur"), F.max("_prev").alias("_prev"))
-                .where(F.col("_cur").isNull() | F.col("_prev").isNull()))
-    return _within_range(edges, stats, keys, "_at", period_col).select(
-        *keys, F.col("_at").alias(period_col),
-        F.when(F.col("_cur") == 1, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state"))
+    n = int(eval_periods)
+    votes = _votes(_series(stats, stat, threshold, cmp, keys, period_col), keys, n, period_s)
+    alarm = (votes.groupBy(*keys, "_at").agg(F.count(F.lit(1)).alias("_n"), F.max("_hi").alias("_hi"))
+                  .where(F.col("_n") == n))
+    marks = F.explode(F.array(
+        F.struct(F.col("_at").alias("at"), F.lit(1).alias("cur"), F.lit(None).cast("int").alias("prev")),
+        F.struct((F.col("_at") + _step(period_s)).alias("at"), F.lit(None).cast("int").alias("cur"),
+                 F.lit(1).alias("prev"))))
+    edges = (alarm.select(*keys, "_hi", marks.alias("_m"))
+                  .groupBy(*keys, F.col("_m.at").alias("_at"))
+                  .agg(F.max("_m.cur").alias("_cur"), F.max("_m.prev").alias("_prev"), F.max("_hi").alias("_hi")))
+    return (edges.where((F.col("_cur").isNull() | F.col("_prev").isNull()) & (F.col("_at") <= F.col("_hi")))
+                 .select(*keys, F.col("_at").alias(period_col),
+                         F.when(F.col("_cur") == 1, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state")))
 
 
 def alarm_states(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_periods: int,
                  period_s: int, keys: Sequence[str] = (), period_col: str = "period_start") -> DataFrame:
-    """The dense per-period state series over each key's observed range."""
+    """The dense per-period state series over each key's observed range.
+
+    The statistic is read once: every observed period emits the grid
+    periods up to the next observed one (gap fill) plus its breach votes;
+    one hash aggregate on (key, period) then yields the state."""
     keys = list(keys)
-    alarm = alarm_periods(stats, stat, threshold, cmp, eval_periods, period_s, keys, period_col) \
-        .withColumn("_alarm", F.lit(True))
-    grid = _bounds(stats, keys, period_col).select(
-        *keys, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), _step(period_s))).alias(period_col))
-    return (grid.join(alarm, on=[*keys, period_col], how="left")
-                .select(*keys, period_col,
-                        F.when(F.col("_alarm"), F.lit("ALARM")).otherwise(F.lit("OK")).alias("state")))
+    n = int(eval_periods)
+    series = _series(stats, stat, threshold, cmp, keys, period_col, with_next=True)
+    step = _step(period_s)
+    gap_end = F.coalesce(F.col("_next") - step, F.col("_p"))
+    # one explode per observed period: its grid periods, then its votes
+    grid = F.transform(F.sequence(F.col("_p"), gap_end, step),
+                       lambda at: F.struct(at.alias("at"), F.lit(1).alias("grid"), F.lit(0).alias("vote")))
+    votes = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
+                        lambda k: F.struct((F.col("_p") + F.make_dt_interval(secs=k * int(period_s))).alias("at"),
+                                           F.lit(0).alias("grid"), F.lit(1).alias("vote")))
+    no_votes = F.filter(votes, lambda v: F.lit(False))     # empty, same element type
+    rows = F.explode(F.concat(grid, F.when(F.col("_breach"), votes).otherwise(no_votes)))
+    agg = (series.select(*keys, rows.alias("_r")).groupBy(*keys, F.col("_r.at").alias("_at"))
+                 .agg(F.max("_r.grid").alias("_grid"), F.sum("_r.vote").alias("_votes")))
+    return agg.where(F.col("_grid") == 1).select(
+        *keys, F.col("_at").alias(period_col),
+        F.when(F.col("_votes") == n, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state"))
 
 
 def alarm(df: DataFrame, ts: str, value: str | Column | None, stat: str, period_s: int,

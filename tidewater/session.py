@@ -32,12 +32,31 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for the ~100 TB target on a large cluster (``profile="cluster"``).
+# AQE starts every shuffle wide and coalesces to ~256 MB partitions, so the
+# same plan fits both a 600k-row test and a multi-terabyte shuffle; skewed
+# partitions over 512 MB and 5x the median are split.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "65536",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tidewater", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "tidewater", extra: dict | None = None,
+                  profile: str = "default") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **REQUIRED_CONF, **(extra or {})}.items():
+    sizing = CLUSTER_CONF if profile == "cluster" else {}
+    for k, v in {**DEFAULT_CONF, **sizing, **REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
