@@ -403,3 +403,19 @@ def sales_lake_roundtrip(spark, sf):
     write_partitioned(sales_clean(spark, sf), path, ["year", "month", "day"], mode="overwrite")
     back = read_partitioned(spark, path)
     return totals_by(back, ["year", "month"], "amount", count_name="tx_count")
+
+
+# ---------------------------------------------------------------- P18 / U2
+REQUIRED_PROP_KEYS = ["k", "source"]
+
+
+@query("event_missing_fields", """
+SELECT event_id,
+       array_to_string(list_filter(['k', 'source'], lambda x: NOT list_contains(coalesce(json_keys(props), []), x)), ',') AS missing,
+       CAST(len(list_filter(['k', 'source'], lambda x: NOT list_contains(coalesce(json_keys(props), []), x))) AS INTEGER) AS n_missing
+FROM events
+""", covers="P18 U2")
+def event_missing_fields(spark, sf):
+    ev = read_table(spark, sf, "events")
+    missing = K.missing_keys("props", REQUIRED_PROP_KEYS)
+    return ev.select("event_id", F.array_join(missing, ",").alias("missing"), F.size(missing).alias("n_missing"))
