@@ -23,26 +23,27 @@ def encode_envelope(df: DataFrame, seq: str, payload: str, extra: Sequence[str]
 
 
 def _parse_once(df: DataFrame, text, schema: str | StructType) -> DataFrame:
-    """Adds ``payload`` (the text) and ``record`` (the parsed struct, with a
-    ``_corrupt_record`` field holding the text of a malformed line).
+    """Adds ``record``: the parsed struct, with a ``_corrupt_record`` field
+    holding the text of a malformed line (null record: no text at all).
 
-    The parse happens inside a Generate (``inline`` of a one-element array):
+    The parse happens inside a Generate (``explode`` of a one-element array):
     filters on the parsed fields cannot be pushed below a Generate, so the
     optimizer cannot copy the decode + parse into each predicate and the
     JSON is parsed exactly once per row.
     """
     st = _with_corrupt(schema)
     parsed = F.from_json(text, st, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return df.select(*df.columns, F.inline(F.array(F.struct(text.alias("payload"), parsed.alias("record")))))
+    return df.select(*df.columns, F.explode(F.array(parsed)).alias("record"))
 
 
 def decode_envelope(env: DataFrame, schema: str | StructType, data: str = "data") -> DataFrame:
     """base64 -> UTF-8 -> JSON struct in ``record``; ``failed`` marks records
-    whose bytes or JSON could not be read (trap T4: a corrupt line parses to
+    whose bytes or JSON could not be read (the original ``data`` stays for the
+    dead letter) (trap T4: a corrupt line parses to
     a struct of nulls, so failure is read from the corrupt-record field)."""
     text = F.decode(F.try_to_binary(F.col(data), F.lit("base64")), "UTF-8")
     out = _parse_once(env, text, schema)
-    return out.withColumn("failed", F.col("payload").isNull() | F.col("record")[CORRUPT].isNotNull())
+    return out.withColumn("failed", F.col("record").isNull() | F.col("record")[CORRUPT].isNotNull())
 
 
 def parse_json_isolated(df: DataFrame, text: str, schema: str | StructType,
@@ -50,7 +51,7 @@ def parse_json_isolated(df: DataFrame, text: str, schema: str | StructType,
     """Parse a JSON text column into ``parsed``; ``failed`` is true when the
     text is not JSON or a required field (default: all fields) is null."""
     fields = list(required) if required is not None else _fields(schema)
-    out = _parse_once(df, F.col(text), schema).drop("payload").withColumnRenamed("record", "parsed")
+    out = _parse_once(df, F.col(text), schema).withColumnRenamed("record", "parsed")
     bad = F.col("parsed").isNull() | F.col("parsed")[CORRUPT].isNotNull()
     for f in fields:
         bad = bad | F.col("parsed")[f].isNull()

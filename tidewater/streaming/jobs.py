@@ -59,7 +59,7 @@ def enrich(envelopes: DataFrame, schema: str, clock=None) -> DataFrame:
     """decode -> category slug -> processed_at stamp; ``failed`` rows keep
     their sequence number for the dead letter (ST4 / F7)."""
     dec = decode_envelope(envelopes, schema)
-    rec = dec.select("sequence_number", "failed", "payload", *record_fields(dec))
+    rec = dec.select("sequence_number", "failed", "data", *record_fields(dec))
     # A missing or null category becomes '' and is flagged, not failed
     return rec.withColumns({"category_missing": F.col("category").isNull() & ~F.col("failed"),
                             "category": C.slug("category"), "processed_at": C.iso_stamp(clock)})
@@ -73,8 +73,8 @@ def land_raw(df: DataFrame, path: str, errors_path: str, checkpoint: str, trigge
     both outputs commit with the same batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
         stamped = C.with_date_partitions(batch.withColumn("_arrival", F.current_timestamp()), "_arrival", hour=True)
-        good = stamped.where(~F.col("failed")).drop("failed", "payload", "_arrival")
-        bad = stamped.where(F.col("failed")).select("sequence_number", "payload", "year", "month", "day", "hour")
+        good = stamped.where(~F.col("failed")).drop("failed", "data", "_arrival")
+        bad = stamped.where(F.col("failed")).select("sequence_number", "data", "year", "month", "day", "hour")
         for out, target in ((good, path), (bad, errors_path)):
             (out.write.mode("overwrite").partitionBy("year", "month", "day", "hour")
                 .json(f"{target}/batch_id={batch_id}"))
