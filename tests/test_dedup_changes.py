@@ -71,3 +71,15 @@ def test_fold_changelog(spark):
     log = spark.createDataFrame([(1, 1, "insert", "a"), (1, 2, "update", "b"), (2, 1, "insert", "c"),
                                  (2, 2, "delete", None), (3, 1, "insert", "d")], "k int, seq int, op string, v string")
     assert _set(M.fold_changelog(log, ["k"], "seq").select("k", "v")) == [(1, "b"), (3, "d")]
+
+
+def test_dashboard_status_vocabulary(spark):
+    # Writers store 'processed' / 'manual' but the dashboard counts 'completed' / 'failed'
+    from tidewater.operators.reports import dashboard_stats
+    rep = spark.createDataFrame([("processed", 3), ("manual", 0), ("failed", 2)], "status string, record_count int")
+    as_reference = dashboard_stats(rep).first()
+    assert (as_reference.total, as_reference.completed, as_reference.failed, as_reference.total_records) == (3, 0, 1, 5)
+    ours = dashboard_stats(rep, completed=("completed", "processed")).first()
+    assert ours.completed == 1
+    empty = dashboard_stats(rep.limit(0)).first()
+    assert (empty.total, empty.total_records) == (0, 0)          # COALESCE(SUM, 0)

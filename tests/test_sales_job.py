@@ -73,3 +73,13 @@ def test_partitioned_roundtrip_is_idempotent(spark, tmp):
     assert [(p.year, p.month, p.day) for p in parts] == [("2024", "01", "15")]   # strings kept (T3)
     plan = back.where(F.col("month") == "01")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "month" in plan
+
+
+def test_reference_order_keeps_uncastable_values_as_null(spark, tmp):
+    # The reference drops nulls *before* casting, so a bad amount survives as null
+    bad = "TXN-BAD-AMT,STORE-X,PROD-X,Bad Amount,food,1,1,abc,2024-01-16,cash"
+    path = write_text(f"{tmp}/raw/t1.csv", [SALES_HEADER, *SALES_ROWS, bad])
+    ours = sales_etl(read_csv(spark, path))
+    theirs = sales_etl(read_csv(spark, path), drop_after_cast=False)
+    assert ours.count() == 10 and theirs.count() == 11
+    assert theirs.where(F.col("transaction_id") == "TXN-BAD-AMT").first().amount is None
