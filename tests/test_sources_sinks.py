@@ -54,10 +54,29 @@ def test_keyed_store_versions(spark, tmp):
     path = f"{tmp}/kv"
     a = spark.createDataFrame([("o1", 1, "x"), ("o2", 1, "y")], "order_id string, seq int, v string")
     b = spark.createDataFrame([("o1", 2, "x2"), ("o3", 1, "z")], "order_id string, seq int, v string")
-    assert keyed.upsert_into(spark, path, a, ["order_id"], "seq") == 1
-    assert keyed.upsert_into(spark, path, b, ["order_id"], "seq") == 2
+    keyed.upsert_into(spark, path, a, ["order_id"], "seq", buckets=4)
+    touched = keyed.upsert_into(spark, path, b, ["order_id"], "seq", buckets=4)
+    assert 1 <= touched <= 2                                   # only buckets of o1 and o3 rewritten
     cur = {r.order_id: r.v for r in keyed.read_current(spark, path).collect()}
     assert cur == {"o1": "x2", "o2": "y", "o3": "z"}
+    keyed.upsert_into(spark, path, b, ["order_id"], "seq", buckets=4)   # retried batch: same result
+    again = sorted(tuple(r) for r in keyed.read_current(spark, path).collect())
+    assert again == sorted(tuple(r) for r in keyed.read_current(spark, path).collect()) and len(again) == 3
+
+
+def test_keyed_store_only_rewrites_touched_buckets(spark, tmp):
+    import glob
+    path = f"{tmp}/kv2"
+    base = spark.range(200).select(F.col("id").alias("k"), F.lit(0).alias("seq"))
+    keyed.upsert_into(spark, path, base, ["k"], "seq", buckets=8)
+    before = {d: sorted(os.listdir(d)) for d in glob.glob(f"{path}/_bucket=*")}
+    one = spark.createDataFrame([(7, 1)], "k bigint, seq int")
+    assert keyed.upsert_into(spark, path, one, ["k"], "seq", buckets=8) == 1
+    after = {d: sorted(os.listdir(d)) for d in glob.glob(f"{path}/_bucket=*")}
+    changed = [d for d in before if before[d] != after[d]]
+    assert len(changed) == 1 and len(after) == 8
+    cur = keyed.read_current(spark, path)
+    assert cur.count() == 200 and cur.where("k = 7").first().seq == 1
 
 
 def test_json_by_date_and_audit(spark, tmp):
