@@ -100,3 +100,18 @@ def test_csv_arrivals_suffix_and_prefix(spark, tmp):
          .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(got) == [1, 2]
+
+
+def test_streaming_upsert_into_keyed_store(spark, tmp):
+    from tidewater.sinks import keyed
+    src, store = f"{tmp}/in", f"{tmp}/store"
+    _envelopes(src, [order_json(r) for r in ORDERS[:5]], 0)
+    resend = order_json(ORDERS[0], order_status="refunded")          # same key, later sequence
+    _envelopes(src, [order_json(r) for r in ORDERS[5:8]] + [resend], 100)
+    stream = S.enrich(S.envelope_stream(spark, src, max_files_per_trigger=1), ORDER_SCHEMA).where(~F.col("failed"))
+    rows = stream.select("order_id", F.col("sequence_number").cast("long").alias("seq"), "order_status", "total_amount")
+    q = (rows.writeStream.foreachBatch(keyed.upsert_batch_writer(store, ["order_id"], "seq", buckets=4))
+             .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    cur = {r.order_id: r.order_status for r in keyed.read_current(spark, store).collect()}
+    assert len(cur) == 8 and cur["ORD-20240115-000001"] == "refunded"
