@@ -120,7 +120,7 @@ def ship_lag_alarm(spark, sf):
     w = F.window("l_shipdate", f"{LAG_PERIOD_S} seconds")
     per_order = li.groupBy("l_orderkey", w.alias("_w")).agg(F.max("l_shipdate").alias("ship"))
     j = per_order.join(o, per_order.l_orderkey == o.o_orderkey)
-    lag_ms = (F.unix_micros(F.col("ship").cast("timestamp")) - F.unix_micros(F.col("o_orderdate").cast("timestamp"))) / 1000
+    lag_ms = (F.unix_micros(F.col("ship").cast("timestamp_ltz")) - F.unix_micros(F.col("o_orderdate").cast("timestamp_ltz"))) / 1000
     stats = j.groupBy(F.col("_w.start").alias("period_start")).agg(F.max(lag_ms.cast("long")).alias("max_lag_ms"))
     return AL.alarm_transitions(stats, "max_lag_ms", LAG_LIMIT_MS, ">", LAG_PERIODS, LAG_PERIOD_S)
 

@@ -24,7 +24,7 @@ def _enriched(spark, sf):
     env = encode_envelope(rec.withColumn("_json", F.to_json(F.struct(*rec.columns))), seq="order_id", payload="_json")
     dec = decode_envelope(env, ORDER_SCHEMA)
     dec = dec.where(~F.col("failed")).select(*record_fields(dec))
-    return enrich_orders(dec, clock=F.lit(RUN_CLOCK).cast("timestamp"))
+    return enrich_orders(dec, clock=F.lit(RUN_CLOCK).cast("timestamp_ltz"))
 
 
 # ---------------------------------------------------------------- ST1 (S7 + P7 + P8)
