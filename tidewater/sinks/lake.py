@@ -47,14 +47,6 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     df.write.mode(mode).option("header", header).csv(path)
 
 
-def feature_files(features: DataFrame, source_col: str = "source_file", id_col: str = "transaction_id"):
-    """K8: feature rows without the id column (kept in a side table keyed by
-    source file and id), grouped under the source file's basename."""
-    side = features.select(source_col, id_col)
-    body = features.drop(id_col)
-    return body, side
-
-
 def write_feature_csv(features: DataFrame, path: str, source_col: str = "source_file", mode: str = "overwrite") -> None:
     body = features.drop("transaction_id") if "transaction_id" in features.columns else features
     body.write.mode(mode).option("header", True).partitionBy(source_col).csv(path)

@@ -11,16 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-CORRUPT = "_corrupt_record"
-
-
-def _with_corrupt(schema: StructType | str, spark: SparkSession) -> StructType:
-    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    if CORRUPT not in st.fieldNames():
-        st = StructType(st.fields + [StructField(CORRUPT, StringType(), True)])
-    return st
+# one corrupt-record column name and schema helper for every text source
+from .envelope import CORRUPT, _with_corrupt  # noqa: E402,F401
 
 
 # ---------------------------------------------------------------- S1
@@ -32,14 +26,14 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     r = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if schema is None:
         return r.option("inferSchema", True).csv(path)
-    return r.schema(_with_corrupt(schema, spark)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return r.schema(_with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
 # ---------------------------------------------------------------- S2
 def read_ndjson(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None) -> DataFrame:
     r = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if schema is not None:
-        r = r.schema(_with_corrupt(schema, spark))
+        r = r.schema(_with_corrupt(schema))
     return r.json(path)
 
 
@@ -56,7 +50,7 @@ def read_json_documents(spark: SparkSession, path: str, schema: StructType | str
     """One JSON document per file (pretty-printed objects)."""
     r = spark.read.option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if schema is not None:
-        r = r.schema(_with_corrupt(schema, spark))
+        r = r.schema(_with_corrupt(schema))
     return r.json(path)
 
 

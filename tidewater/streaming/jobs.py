@@ -27,7 +27,7 @@ def csv_arrivals(spark: SparkSession, folder: str, schema: StructType | str, suf
                  case_sensitive: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """New CSV objects under ``folder`` (the prefix); the suffix test happens
     at listing time, and the checkpoint remembers files already seen."""
-    r = (spark.readStream.schema(_with_corrupt(schema, spark)).option("header", True)
+    r = (spark.readStream.schema(_with_corrupt(schema)).option("header", True)
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
          .option("pathGlobFilter", suffix_glob(suffix, case_sensitive)))
     if max_files_per_trigger:
