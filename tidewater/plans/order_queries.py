@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sinks.warehouse import direct_load, warehouse_load
-from ..sources.envelope import decode_envelope, encode_envelope, record_fields
+from ..sources.envelope import decode_envelope, encode_envelope, parse_json_isolated, record_fields
 from .jobs import enrich_orders, orders_etl
 from .registry import query
 from .tables import ORDER_RECORDS_SQL, order_records
@@ -20,6 +20,7 @@ ORDER_SCHEMA = ("order_id STRING, customer_id STRING, product_id STRING, product
 
 
 def _enriched(spark, sf):
+    """Stream side: records -> base64 envelope -> decode -> enrich."""
     rec = order_records(spark, sf)
     env = encode_envelope(rec.withColumn("_json", F.to_json(F.struct(*rec.columns))), seq="order_id", payload="_json")
     dec = decode_envelope(env, ORDER_SCHEMA)
@@ -27,6 +28,15 @@ def _enriched(spark, sf):
     return enrich_orders(dec, clock=F.lit(RUN_CLOCK).cast("timestamp_ltz"))
 
 
+def _landed(spark, sf):
+    """Batch side: what the stream landed in the lake (enriched records as
+    JSON lines, K2), read back as the ETL reads raw JSON (S2)."""
+    rec = enrich_orders(order_records(spark, sf), clock=F.lit(RUN_CLOCK).cast("timestamp_ltz"))
+    lines = rec.select(F.to_json(F.struct(*rec.columns)).alias("value"))
+    parsed = parse_json_isolated(lines, "value", ORDER_SCHEMA + ", processed_at STRING", required=[])
+    return parsed.where(~F.col("failed")).select(*record_fields(parsed, "parsed"))
+
+
 # ---------------------------------------------------------------- ST1 (S7 + P7 + P8)
 @query("order_stream_enrich", f"""
 WITH r AS ({ORDER_RECORDS_SQL})
@@ -66,7 +76,7 @@ SELECT order_id, customer_id, product_id, product_name, category, quantity, unit
 FROM d WHERE rn = 1
 """, covers="K5 D1 P4 P9 ST6")
 def orders_warehouse_load(spark, sf):
-    return warehouse_load(orders_etl(_enriched(spark, sf)))
+    return warehouse_load(orders_etl(_landed(spark, sf)))
 
 
 # ---------------------------------------------------------------- K6
@@ -81,4 +91,4 @@ SELECT substring(order_id, 1, 50) AS order_id, substring(customer_id, 1, 50) AS
 FROM r
 """, covers="K6 ST2")
 def orders_direct_load(spark, sf):
-    return direct_load(_enriched(spark, sf))
+    return direct_load(_landed(spark, sf))
