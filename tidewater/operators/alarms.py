@@ -44,9 +44,13 @@ STATISTICS = {
     "maximum": lambda v: F.max(v),
     "min": lambda v: F.min(v),
     "count": lambda v: F.count(v),
-    # exact, linear interpolation (same definition as SQL percentile_cont)
+    # exact, linear interpolation (same definition as SQL percentile_cont);
+    # its buffer holds one entry per *distinct* value of a (key, window)
+    # group, so use it when values come from a bounded domain (cents,
+    # milliseconds, status codes)
     "p99": lambda v: F.percentile(v, 0.99),
-    # bounded-memory estimate for very large windows
+    # fixed-size sketch (relative rank error 1/10000) for unbounded domains
+    # or very hot groups
     "p99_approx": lambda v: F.percentile_approx(v, 0.99, 10000),
 }
 
