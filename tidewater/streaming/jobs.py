@@ -104,3 +104,13 @@ def run_available_now(df: DataFrame, sink_fn, checkpoint: str) -> None:
     files are read, then the query stops."""
     q = df.writeStream.foreachBatch(sink_fn).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+# ---------------------------------------------------------------- W1 on a stream
+def window_stats_stream(df: DataFrame, ts: str, value: str, period_s: int, keys: Sequence[str] = (),
+                        stats: Sequence[str] = ("sum", "avg", "max", "count"), delay: str = "10 minutes") -> DataFrame:
+    """Tumbling-window statistics on a stream. With the watermark, append mode
+    emits each (key, window) once, after the window closes, and drops its
+    state; late points beyond ``delay`` are not counted."""
+    from ..operators.alarms import window_stats
+    return window_stats(df.withWatermark(ts, delay), ts, value, period_s, keys, stats)
