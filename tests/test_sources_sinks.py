@@ -134,3 +134,12 @@ def test_latest_by_mtime(spark, tmp):
     write_text(f"{tmp}/m/a-new.csv", ["a"])
     assert files.latest_object(spark, f"{tmp}/m").endswith("z-old.csv")          # key order (reference rule)
     assert files.latest_object(spark, f"{tmp}/m", by="mtime").endswith("a-new.csv")
+
+
+def test_query_results_to_results_location(spark, tmp):
+    import __spark_entry__ as E
+    res = E.queries()["sales_by_payment"](spark, "/root/testdata/sf0.001")
+    lake.write_csv(res, f"{tmp}/results/q1")
+    lake.write_csv(res, f"{tmp}/results/q1")                      # overwrite: re-running keeps one copy
+    back = spark.read.option("header", True).csv(f"{tmp}/results/q1")
+    assert back.columns == res.columns and back.count() == res.count()
