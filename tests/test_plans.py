@@ -58,3 +58,22 @@ def test_aggregate_before_join(spark):
 def test_day_filter_is_a_range(spark):
     p = plan(E.queries()["events_on_day"](spark, SF))
     assert "GreaterThanOrEqual(ts,2024-01-15T00:00)" in p and "LessThan(ts,2024-01-16T00:00)" in p
+
+
+def test_bucketed_fact_tables_join_without_shuffle(spark):
+    from tidewater.sinks.warehouse import write_distributed
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    od = spark.read.parquet(f"{SF}/orders.parquet")
+    write_distributed(li, "tw_li_b", "l_orderkey", "l_orderkey", mode="overwrite", buckets=8)
+    write_distributed(od, "tw_o_b", "o_orderkey", "o_orderkey", mode="overwrite", buckets=8)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # force the big-table strategy
+    try:
+        j = spark.table("tw_li_b").join(spark.table("tw_o_b"), F.col("l_orderkey") == F.col("o_orderkey"))
+        p = plan(j)
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert j.count() == li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.sql("DROP TABLE tw_li_b")
+        spark.sql("DROP TABLE tw_o_b")
