@@ -109,3 +109,17 @@ def test_loan_model_job(spark, tmp):
     assert auc > 0.9
     rows = scored.select("probability", "risk_level", "recommendation").collect()
     assert len(rows) == 60 and all(0 <= r.probability <= 100 for r in rows)
+
+
+def test_sales_stream_reads_only_new_files(spark, tmp):
+    landing, out, ck = f"{tmp}/data/sales", f"{tmp}/lake", f"{tmp}/ck"
+    write_text(f"{landing}/day1.csv", [SALES_HEADER, *SALES_ROWS[:4]])
+    write_text(f"{landing}/day1b.CSV", [SALES_HEADER, *SALES_ROWS[4:7]])
+    write_text(f"{landing}/notes.txt", ["not a sales file"])
+    first = J.run_sales_stream(spark, landing, out, ck)
+    assert first["rows"] == 7
+    write_text(f"{landing}/day2.csv", [SALES_HEADER, *SALES_ROWS[7:]])
+    second = J.run_sales_stream(spark, landing, out, ck)
+    assert second["rows"] == 3                                   # only the new file
+    lake_rows = spark.read.parquet(out)
+    assert lake_rows.count() == 10 and lake_rows.select("transaction_id").distinct().count() == 10

@@ -1,6 +1,7 @@
 """Command line for the end-to-end jobs.
 
     python -m tidewater sales   --raw data/sales/ --out lake/sales
+    python -m tidewater sales-stream --raw data/sales/ --out lake/sales --checkpoint <shared>/ck/sales
     python -m tidewater orders  --raw landing/orders/ --out lake/orders
     python -m tidewater fraud-features --raw tx/ --features feat/ --out lake/features --run-date 2024-01-15
     python -m tidewater scores  --raw bucket/ --out tables/student_scores
@@ -26,6 +27,7 @@ def main(argv=None) -> None:
     sub = ap.add_subparsers(dest="cmd", required=True)
     for name, args in {
         "sales": ["raw", "out"],
+        "sales-stream": ["raw", "out", "checkpoint"],
         "orders": ["raw", "out"],
         "fraud-features": ["raw", "features", "out", "run-date"],
         "scores": ["raw", "out"],
@@ -41,6 +43,8 @@ def main(argv=None) -> None:
     from .plans import runners as J
     if ns.cmd == "sales":
         result = J.run_sales(spark, ns.raw, ns.out)
+    elif ns.cmd == "sales-stream":
+        result = J.run_sales_stream(spark, ns.raw, ns.out, ns.checkpoint)
     elif ns.cmd == "orders":
         result = J.run_orders_etl(spark, ns.raw, ns.out)
     elif ns.cmd == "fraud-features":

@@ -1,7 +1,7 @@
 """End-to-end jobs: source -> transformations -> sinks, one per reference job.
 
 Each runner is a plain function taking a session and locations, so it can be
-called from a scheduler, a notebook or ``python -m tidewater.plans.runners``.
+called from a scheduler, a notebook or ``python -m tidewater``.
 Audit counts come from ``DataFrame.observe`` during the write (A12): the
 input is scanned once, not once per count.
 """
@@ -168,3 +168,27 @@ def run_reports(spark: SparkSession, docs_path: str, audit_path: str, outbox_pat
     notices.write.mode("append").json(outbox_path)
     checked.unpersist()
     return R.dashboard_stats(spark.read.parquet(audit_path), completed=("completed", "processed"))
+
+
+# ---------------------------------------------------------------- sales lake, triggered by arrivals
+def run_sales_stream(spark: SparkSession, landing: str, out_path: str, checkpoint: str) -> dict:
+    """New ``.csv`` objects under ``landing`` (any case of the suffix) ->
+    clean -> append to the partitioned lake. Each run reads only files not
+    seen before (the checkpoint remembers them) and then stops
+    (``availableNow``), like the reference's per-upload job trigger."""
+    from ..streaming.jobs import csv_arrivals
+    counts = {"batches": 0, "rows": 0}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        clean = sales_etl(batch.drop(files.CORRUPT, "source_file"))
+        clean, obs = _observed(clean, f"sales_batch_{batch_id}")
+        # one folder level per batch id keeps a replayed batch idempotent
+        lake.write_partitioned(clean.withColumn("batch_id", F.lit(batch_id)), out_path,
+                               ["batch_id", "year", "month", "day"], mode="overwrite")
+        counts["batches"] += 1
+        counts["rows"] += obs.get["rows"]
+
+    q = (csv_arrivals(spark, landing, SALES_SCHEMA).writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return counts
