@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import alarms as AL
+from ..operators import reports as R
 from ..session import read_table
 from .registry import query
 
@@ -18,11 +19,12 @@ s AS (
 
 
 def _exact_stats(spark, sf, period_s: int):
-    ev = read_table(spark, sf, "events").withColumn("value", F.col("value").cast("decimal(18,2)"))
-    st = AL.window_stats(ev, "ts", "value", period_s, keys=["event_type"], stats=("sum", "max", "count"))
-    return st.select("event_type", "period_start", F.col("sum").cast("double").alias("sum"),
-                     F.col("max").cast("double").alias("max"), "count",
-                     (F.col("sum").cast("double") / F.col("count")).alias("avg"))
+    # values are 2-decimal amounts: aggregate whole cents (exact, long buffers)
+    ev = read_table(spark, sf, "events").withColumn("cents", R.cents("value"))
+    st = AL.window_stats(ev, "ts", "cents", period_s, keys=["event_type"], stats=("sum", "max", "count"))
+    total = R.from_cents("sum")
+    return st.select("event_type", "period_start", total.alias("sum"), R.from_cents("max").alias("max"),
+                     "count", (total / F.col("count")).alias("avg"))
 
 
 # ---------------------------------------------------------------- W1
@@ -70,8 +72,9 @@ st AS (SELECT event_type, period_start,
 
 
 def _value_totals(spark, sf):
-    ev = read_table(spark, sf, "events").withColumn("value", F.col("value").cast("decimal(18,2)"))
-    return AL.window_stats(ev, "ts", "value", 300, keys=["event_type"], stats=("sum",))
+    ev = read_table(spark, sf, "events").withColumn("cents", R.cents("value"))
+    st = AL.window_stats(ev, "ts", "cents", 300, keys=["event_type"], stats=("sum",))
+    return st.withColumn("sum", R.from_cents("sum"))
 
 
 # ---------------------------------------------------------------- W3, W5
