@@ -41,6 +41,8 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "8192",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "65536",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # honour the advisory size instead of maximising task count (busy cluster)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
