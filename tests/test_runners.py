@@ -123,3 +123,25 @@ def test_sales_stream_reads_only_new_files(spark, tmp):
     assert second["rows"] == 3                                   # only the new file
     lake_rows = spark.read.parquet(out)
     assert lake_rows.count() == 10 and lake_rows.select("transaction_id").distinct().count() == 10
+
+
+def test_sales_stream_recovers_from_a_failed_batch(spark, tmp, monkeypatch):
+    import pytest
+    from tidewater.sinks import lake as lake_mod
+    landing, out, ck = f"{tmp}/data/sales", f"{tmp}/lake", f"{tmp}/ck"
+    write_text(f"{landing}/day1.csv", [SALES_HEADER, *SALES_ROWS])
+    real = lake_mod.write_partitioned
+    calls = {"n": 0}
+
+    def flaky(df, path, cols, mode="append", fmt="parquet"):
+        calls["n"] += 1
+        real(df, path, cols, mode=mode, fmt=fmt)     # files land, then the batch "dies" before commit
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(lake_mod, "write_partitioned", flaky)
+    with pytest.raises(Exception):
+        J.run_sales_stream(spark, landing, out, ck)
+    monkeypatch.setattr(lake_mod, "write_partitioned", real)
+    again = J.run_sales_stream(spark, landing, out, ck)  # same files again: the offsets were never committed
+    assert calls["n"] == 1 and again["rows"] == 10
+    assert spark.read.parquet(out).count() == 10          # the replayed batch overwrote its own folder
