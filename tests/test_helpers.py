@@ -51,3 +51,11 @@ def test_duplicate_report(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (3,), (3,), (3,)], "k int")
     r = duplicate_report(df, ["k"]).first()
     assert (r.rows, r.distinct_keys, r.surplus_rows) == (6, 3, 3)
+
+
+def test_missing_fields_on_a_map(spark):
+    from tidewater.functions.contracts import missing_fields
+    df = spark.createDataFrame([({"filename": "a", "data": "1"},), ({"data": "1"},), ({"filename": None},)],
+                               "doc map<string,string>")
+    got = [r[0] for r in df.select(missing_fields("doc", ["filename", "data"])).collect()]
+    assert got == [[], ["filename"], ["filename", "data"]]
