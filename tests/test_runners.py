@@ -145,3 +145,18 @@ def test_sales_stream_recovers_from_a_failed_batch(spark, tmp, monkeypatch):
     again = J.run_sales_stream(spark, landing, out, ck)  # same files again: the offsets were never committed
     assert calls["n"] == 1 and again["rows"] == 10
     assert spark.read.parquet(out).count() == 10          # the replayed batch overwrote its own folder
+
+
+def test_orders_incremental_upsert_across_runs(spark, tmp):
+    from tidewater.sinks import keyed as keyed_mod
+    landing, store, ck = f"{tmp}/raw", f"{tmp}/store", f"{tmp}/ck"
+    write_text(f"{landing}/h1.json", [order_json(r) for r in ORDERS[:10]])
+    first = J.run_orders_incremental(spark, landing, store, ck, buckets=4)
+    assert first["rows"] == 10
+    resent = order_json(ORDERS[0], order_status="refunded", timestamp="2024-01-15T14:00:00Z")
+    write_text(f"{landing}/h2.json", [order_json(r) for r in ORDERS[10:]] + [resent, "{broken"])
+    second = J.run_orders_incremental(spark, landing, store, ck, buckets=4)
+    assert second["rows"] == 11                                    # only the new file was read
+    cur = keyed_mod.read_current(spark, store)
+    assert cur.count() == 20
+    assert cur.where("order_id = 'ORD-20240115-000001'").first().order_status == "refunded"

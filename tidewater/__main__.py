@@ -3,6 +3,7 @@
     python -m tidewater sales   --raw data/sales/ --out lake/sales
     python -m tidewater sales-stream --raw data/sales/ --out lake/sales --checkpoint <shared>/ck/sales
     python -m tidewater orders  --raw landing/orders/ --out lake/orders
+    python -m tidewater orders-incremental --raw landing/orders/ --store tables/orders --checkpoint <shared>/ck/orders
     python -m tidewater fraud-features --raw tx/ --features feat/ --out lake/features --run-date 2024-01-15
     python -m tidewater scores  --raw bucket/ --out tables/student_scores
     python -m tidewater incidents --raw incidents/ --store store/ --logs logs/ --outbox outbox/
@@ -29,6 +30,7 @@ def main(argv=None) -> None:
         "sales": ["raw", "out"],
         "sales-stream": ["raw", "out", "checkpoint"],
         "orders": ["raw", "out"],
+        "orders-incremental": ["raw", "store", "checkpoint"],
         "fraud-features": ["raw", "features", "out", "run-date"],
         "scores": ["raw", "out"],
         "incidents": ["raw", "store", "logs", "outbox"],
@@ -47,6 +49,8 @@ def main(argv=None) -> None:
         result = J.run_sales_stream(spark, ns.raw, ns.out, ns.checkpoint)
     elif ns.cmd == "orders":
         result = J.run_orders_etl(spark, ns.raw, ns.out)
+    elif ns.cmd == "orders-incremental":
+        result = J.run_orders_incremental(spark, ns.raw, ns.store, ns.checkpoint)
     elif ns.cmd == "fraud-features":
         result = J.run_fraud_features(spark, ns.raw, ns.features, ns.out, dt.date.fromisoformat(ns.run_date))
     elif ns.cmd == "scores":
