@@ -18,21 +18,41 @@ LANG_CODES = {"en": 0, "fr": 1, "de": 2, "es": 3}
 DOC_FEATURES = ["n_chars", "n_lines", "n_words", "lang_code"]
 
 
+def doc_features():
+    """Model features of a document, computed over its whole text."""
+    return [
+        F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+        F.size(F.split("text", " ")).cast("double").alias("n_words"),
+        dict_encode("lang", LANG_CODES, 4).cast("double").alias("lang_code"),
+    ]
+
+
 def labelled_documents(spark, sf, split_method: str = "mod"):
     docs = read_table(spark, sf, "documents")
     lab = read_table(spark, sf, "labels")
     j = docs.join(lab, on="doc_id")
     return j.select(
-        "doc_id", "quality",
-        F.col("n_chars").cast("double").alias("n_chars"),
-        F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
-        F.size(F.split("text", " ")).cast("double").alias("n_words"),
-        dict_encode("lang", LANG_CODES, 4).cast("double").alias("lang_code"),
+        "doc_id", "quality", *doc_features(),
         ML.split_flag("doc_id", 80, split_method).alias("split"),
         ML.class_weight("quality", ML.LOAN_POSITIVE_WEIGHT).alias("weight"),
     )
 
 
+# ---------------------------------------------------------------- ML features over whole texts
+@query("doc_features", """
+SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars,
+       CAST(len(string_split(text, chr(10))) AS DOUBLE) AS n_lines,
+       CAST(len(string_split(text, ' ')) AS DOUBLE) AS n_words,
+       CAST(CASE lower(lang) WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 WHEN 'es' THEN 3 ELSE 4 END AS DOUBLE) AS lang_code,
+       length(text) = n_chars AS length_matches
+FROM documents
+""", covers="ML1 P10")
+def doc_features_query(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    return docs.select("doc_id", *doc_features(), (F.length("text") == F.col("n_chars")).alias("length_matches"))
+
+
 # ---------------------------------------------------------------- ML4, ML2, A10
 @query("ml_split_summary", """
 SELECT CASE WHEN (d.doc_id % 10) * 10 < 80 THEN 'train' ELSE 'validation' END AS split,
