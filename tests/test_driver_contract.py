@@ -9,12 +9,11 @@ import pytest
 import __spark_entry__ as E
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-from oracle_check import TABLES, rows_of  # noqa: E402
+from oracle_check import SPARK_TO_SQL, TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"doc_quality_scores"}
-SPARK_TO_SQL = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
-                "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}   # trains 150 rounds; covered with few rounds below
+   # trains 150 rounds; covered with few rounds below
 
 
 def test_entry(spark):
