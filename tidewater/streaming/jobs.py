@@ -1,4 +1,4 @@
-"""Structured Streaming jobs (S5, S6, ST1-ST6, K2, K4, D3).
+"""Structured Streaming jobs (S5, S6, ST1-ST6, K2, K4, D3, W1 on streams).
 
 Every query checkpoints to the cluster-shared folder, so a restarted driver
 resumes from the last committed offsets/files, and sinks are idempotent per
