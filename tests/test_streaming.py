@@ -134,3 +134,27 @@ def test_window_stats_stream_equals_batch(spark, tmp):
     expected = sorted(tuple(r) for r in batch.collect())
     # append mode emits only windows the watermark has closed: all but the last
     assert sorted(got) == expected[:-1]
+
+
+def test_alarm_stream_matches_batch_on_closed_windows(spark, tmp):
+    from tidewater.operators.alarms import alarm_transitions, window_stats
+    src = f"{tmp}/metrics"
+    t0 = dt.datetime(2024, 1, 1)
+    values = [9, 9, 1, 9, 9, 9, 0, 9]                 # one value per 5-minute period
+    rows = [{"m": "errors", "ts": str(t0 + dt.timedelta(minutes=5 * i, seconds=30)), "v": float(v)}
+            for i, v in enumerate(values)]
+    write_text(f"{src}/a.json", [json.dumps(r) for r in rows[:4]])
+    write_text(f"{src}/b.json", [json.dumps(r) for r in rows[4:]])
+    stream = spark.readStream.schema("m STRING, ts TIMESTAMP, v DOUBLE").option("maxFilesPerTrigger", 1).json(src)
+    q = S.start_alarm_stream(stream, "ts", "v", "sum", 300, 2, 5, ">", ["m"], f"{tmp}/stats", f"{tmp}/alarms",
+                             f"{tmp}/ck", delay="0 seconds")
+    q.awaitTermination()
+    got = sorted((r.period_start, r.state) for r in spark.read.parquet(f"{tmp}/alarms").collect())
+    # batch reference over the windows the watermark closed (all but the last)
+    batch_stats = window_stats(spark.read.schema("m STRING, ts TIMESTAMP, v DOUBLE").json(src), "ts", "v", 300,
+                               keys=["m"], stats=("sum",))
+    last = batch_stats.agg(F.max("period_start")).first()[0]
+    expected = sorted((r.period_start, r.state) for r in
+                      alarm_transitions(batch_stats.where(F.col("period_start") < F.lit(last)), "sum", 5, ">", 2, 300,
+                                        ["m"]).collect())
+    assert got == expected and ("ALARM" in {s for _, s in got})

@@ -114,3 +114,36 @@ def window_stats_stream(df: DataFrame, ts: str, value: str, period_s: int, keys:
     state; late points beyond ``delay`` are not counted."""
     from ..operators.alarms import window_stats
     return window_stats(df.withWatermark(ts, delay), ts, value, period_s, keys, stats)
+
+
+# ---------------------------------------------------------------- W3-W5 on a stream
+def start_alarm_stream(df: DataFrame, ts: str, value: str, stat: str, period_s: int, eval_periods: int,
+                       threshold: float, cmp: str, keys: Sequence[str], stats_path: str, out_path: str,
+                       checkpoint: str, delay: str = "10 minutes", available_now: bool = True,
+                       trigger_s: int = 60) -> StreamingQuery:
+    """Alarm evaluation on a metric stream.
+
+    Each micro-batch emits the windows the watermark has closed; they are
+    upserted into a keyed store of per-period statistics (one row per key and
+    period, so a replayed batch changes nothing), and the state transitions
+    are recomputed from that store with the batch operator and written over
+    ``out_path``. The store is (time span / period) rows per key, whatever the
+    number of data points."""
+    from ..operators.alarms import alarm_transitions
+    from ..sinks import keyed
+    keys = list(keys)
+    closed = window_stats_stream(df, ts, value, period_s, keys, (stat,), delay)
+
+    def evaluate(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        keyed.upsert_into(spark, stats_path, batch, [*keys, "period_start"])
+        stats = keyed.read_current(spark, stats_path)
+        if stats is None:
+            return
+        out = alarm_transitions(stats, stat, threshold, cmp, eval_periods, period_s, keys)
+        out.write.mode("overwrite").parquet(out_path)
+
+    w = (closed.writeStream.outputMode("append").foreachBatch(evaluate)
+               .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_s} seconds")
+    return w.start()
