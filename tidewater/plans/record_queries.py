@@ -399,7 +399,7 @@ def sales_lake_roundtrip(spark, sf):
     from ..operators.reports import totals_by
     from ..session import scratch_path
     from ..sinks.lake import read_partitioned, write_partitioned
-    path = scratch_path(spark, "sales-lake")
+    path = scratch_path(spark, "sales-lake", key=sf)        # re-runs overwrite the same folder
     write_partitioned(sales_clean(spark, sf), path, ["year", "month", "day"], mode="overwrite")
     back = read_partitioned(spark, path)
     return totals_by(back, ["year", "month"], "amount", count_name="tx_count")

@@ -6,6 +6,7 @@ configuration ourselves is when it is absent (local runs and tests).
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -29,6 +30,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # Only rewrite the partitions a write touches (idempotent re-runs).
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Remove checkpoint files (keyed-store merges, ML) once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -94,9 +97,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique, not-yet-existing location under the shared folder."""
-    return f"{shared_dir(spark)}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
+def scratch_path(spark: SparkSession, name: str, key: str | None = None) -> str:
+    """A location under the shared folder: unique per call, or, with
+    ``key``, stable for that key so re-runs overwrite instead of piling up."""
+    tag = hashlib.sha1(key.encode()).hexdigest()[:12] if key is not None else uuid.uuid4().hex[:12]
+    return f"{shared_dir(spark)}/tidewater/{name}-{tag}"
 
 
 def table_path(sf_dir: str, name: str) -> str:
