@@ -59,3 +59,10 @@ def test_missing_fields_on_a_map(spark):
                                "doc map<string,string>")
     got = [r[0] for r in df.select(missing_fields("doc", ["filename", "data"])).collect()]
     assert got == [[], ["filename"], ["filename", "data"]]
+
+
+def test_optional_filter_without_value_keeps_all_rows(spark):
+    from tidewater.operators.reports import optional_filter
+    df = spark.createDataFrame([("electronics",), ("furniture",), ("kitchen",), ("electronics",)], "category string")
+    assert optional_filter(df, category=None).count() == 4
+    assert optional_filter(df, category="electronics").count() == 2
