@@ -8,7 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, mixing
+from tidewater.llm import chat, mixing, url_filter, warc
+from tidewater.session import scratch_path
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -86,3 +87,57 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     trap = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRAP).alias("text"))
     return chat.read_back(chat.format_conversations(rows.unionByName(trap)))
+
+
+@_query("op5_url_filter", r"""
+WITH p AS (SELECT page_id, url, html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+u AS (SELECT page_id, html,
+  coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+  translate(split_part(url, '://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS scheme,
+  regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS behind, rest IS NOT NULL AS is_url FROM p),
+n AS (SELECT *, CASE WHEN is_url THEN scheme || '://' || host || behind END AS node FROM u),
+links AS (SELECT n.*, unnest([
+  regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+  regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS target
+  FROM n WHERE node IS NOT NULL),
+far AS (SELECT node AS a, CASE WHEN contains(target, '://') THEN target WHEN starts_with(target, '//') THEN scheme || ':' || target
+  WHEN starts_with(target, '/') THEN scheme || '://' || host || target END AS t FROM (SELECT * REPLACE (replace(target, '&amp;', '&') AS target) FROM links WHERE target <> '')),
+edges AS (SELECT DISTINCT a, translate(split_part(t, '://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || '://' ||
+  translate(regexp_extract(substr(t, strpos(t, '://') + 3), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ||
+  regexp_extract(substr(t, strpos(t, '://') + 3), '^[^/?#]*([^#]*)', 1) AS b FROM far WHERE t IS NOT NULL),
+sym AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach AS (WITH RECURSIVE r AS (SELECT a AS s, a AS t FROM sym UNION SELECT r.s, e.b FROM r JOIN sym e ON r.t = e.a) SELECT * FROM r),
+comp AS (SELECT s AS node, min(t) AS component FROM reach GROUP BY s),
+nodes AS (SELECT DISTINCT node FROM n WHERE node IS NOT NULL UNION SELECT node FROM comp),
+parts AS (SELECT node, translate(regexp_extract(substr(node, strpos(node, '://') + 3), '^([^/?#]*)', 1), '', '') AS host,
+  regexp_extract(substr(node, strpos(node, '://') + 3), '^[^/?#]*([^?#]*)', 1) AS path FROM nodes),
+rules(h, f, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+best AS (SELECT node, arg_max(h || f, length(h || f)) AS rule, arg_max(v, length(h || f)) AS v
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, f) GROUP BY node),
+spread AS (SELECT component, bool_or(v = 'block') AS blocked, coalesce(bool_or(v = 'allow'), false) AS allowed
+  FROM comp LEFT JOIN best USING (node) GROUP BY component)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN blocked AND NOT allowed THEN 'block' END, 'allow') AS verdict
+FROM n LEFT JOIN best USING (node) LEFT JOIN comp USING (node) LEFT JOIN spread USING (component)
+""")
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
+
+
+@_query("op3_warc_bundles", r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+""")
+def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives all pages in the shared folder and returns what the archive says."""
+    path = scratch_path(spark, "warc")
+    warc.write_archive(_table(spark, sf_dir, "pages"), path)
+    number = lambda c: F.substring(c, len(warc.ID) + 1, 30).try_cast("long")
+    return warc.read_archive(spark, path).select(
+        number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", number(F.col("refers_to")).alias("refers_to"))
