@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, mixing, url_filter, warc
+from tidewater.llm import chat, decontaminate, mixing, secrets, url_filter, warc
 from tidewater.session import scratch_path
 
 QUERIES: dict = {}
@@ -168,3 +168,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@_query("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, in the text itself and in nested encodings."""
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", *[count(k) for k in secrets.KINDS], F.sha2(listed("base_spans"), 256).alias("base_sha256"),
+                        listed("spans").alias("spans"), "n_oversized")
