@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.session import scratch_path
@@ -20,3 +22,10 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a settled table that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove shuffle files of finished steps now: it does
+    so when the driver's garbage collector has seen that a plan is gone."""
+    gc.collect()
+    spark._jvm.System.gc()

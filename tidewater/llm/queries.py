@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, mixing, secrets, url_filter, warc
+from tidewater.llm import chat, decontaminate, mixing, secrets, substrings, url_filter, warc
 from tidewater.session import scratch_path
 
 QUERIES: dict = {}
@@ -178,3 +178,39 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select("doc_id", *[count(k) for k in secrets.KINDS], F.sha2(listed("base_spans"), 256).alias("base_sha256"),
                         listed("spans").alias("spans"), "n_oversized")
+
+
+def _levels_sql(last: int) -> str:
+    """Windows of 26, 52, ... words whose halves repeat, level by level."""
+    n, out = substrings.WINDOW, []
+    while n < last:
+        out.append(f"c{2 * n} AS (SELECT a.doc_id, a.i, hash(a.h, b.h) AS h FROM l{n} a JOIN l{n} b ON a.doc_id = b.doc_id AND b.i = a.i + {n}), "
+                   f"l{2 * n} AS (SELECT * FROM c{2 * n} WHERE h IN (SELECT h FROM c{2 * n} GROUP BY h HAVING min(doc_id) < max(doc_id)))")
+        n *= 2
+    lengths = [substrings.WINDOW * 2 ** k for k in range(len(out) + 1)]
+    every = " UNION ALL ".join(f"SELECT DISTINCT doc_id, {x} AS n FROM l{x}" for x in lengths)
+    return ",\n".join(out) + f",\nlongest AS (SELECT doc_id, max(n) AS n FROM ({every}) GROUP BY doc_id)"
+
+
+@_query("op1_substring_dedup", r"""
+WITH d AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS seq FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+least_doc AS (SELECT seq, min(doc_id) AS least FROM win GROUP BY seq HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN least_doc USING (seq) WHERE doc_id > least),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+copy AS (SELECT doc_id FROM d JOIN (SELECT text, min(doc_id) AS least FROM d GROUP BY text) USING (text) WHERE doc_id > least),
+first_win AS (SELECT doc_id, i, hash(seq) AS h FROM win ANTI JOIN copy USING (doc_id)),
+l13 AS (SELECT * FROM first_win WHERE h IN (SELECT h FROM first_win GROUP BY h HAVING min(doc_id) < max(doc_id))),
+""" + _levels_sql(13312) + r"""
+SELECT doc_id, len(w) AS n_words, coalesce(cut.n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256,
+  CASE WHEN copy.doc_id IS NOT NULL AND len(w) >= 13 THEN len(w) ELSE coalesce(longest.n, 0) END AS longest_repeat
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id) LEFT JOIN copy USING (doc_id) LEFT JOIN longest USING (doc_id)
+""")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, removed words, what is left, and the longest level at which a
+    window of the document repeats in another text."""
+    found = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+    slim = found.select("batch", "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "longest", "repeats")
+    return substrings.extend(slim).withColumnRenamed("longest", "longest_repeat")
