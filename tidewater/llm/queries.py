@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, mixing, secrets, substrings, url_filter, warc
+from tidewater.llm import chat, decontaminate, mixing, near_dup, secrets, substrings, url_filter, warc
 from tidewater.session import scratch_path
 
 QUERIES: dict = {}
@@ -214,3 +214,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
     slim = found.select("batch", "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "longest", "repeats")
     return substrings.extend(slim).withColumnRenamed("longest", "longest_repeat")
+
+
+@_query("op6_minhash_near_dup")
+def op6_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document: its least doc_id."""
+    found = near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
