@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm._components import components
+from tidewater.llm._linking import link_buckets
 from tidewater.llm._store import discard, settle
 from tidewater.llm._words import SPACED, chunks, column_bytes, mix, pair, per_text, windows, word_hashes, words
 
@@ -198,15 +198,6 @@ def _with_node(text_at: int):
     return run
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (a, b) those whose weighted Jaccard similarity reaches the
-    threshold. Sides of hot nodes are split by Spark's skew join."""
-    one = pairs.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
-    two = one.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a")
-    shared = F.size(F.array_intersect("ea", "eb"))
-    return two.where(shared >= F.lit(threshold) * (F.size("ea") + F.size("eb") - shared)).select("a", "b")
-
-
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, node (the multiset's name, null without
     words) and class_id, the least id of its class."""
@@ -229,30 +220,8 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
     own = (texts.join(chosen, (texts["__node"] == chosen["node"]) & texts["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
            .select(F.col("__node").alias("node"), "text").dropDuplicates(["node"]))
     sets, _ = settle(own.mapInArrow(_elements, "node binary, elements array<long>"), "near-sets")
-    links, comp, slots = None, None, 1
-    while True:
-        left = buckets if comp is None else buckets.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        if comp is not None:
-            mixed = left.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
-            left = left.join(mixed, "band", "left_semi")
-            left, _ = settle(left, "near-left")
-            if left.isEmpty():
-                break
-        else:
-            left = left.withColumn("component", F.col("node"))
-        left = left.withColumn("slot", F.pmod(F.xxhash64("node", "band", F.lit(slots)), F.lit(slots)))
-        centre = left.groupBy("band", "slot").agg(F.max(F.struct("score", "node", "weight", "component")).alias("c")).select(
-            "band", F.col("c.node").alias("a"), F.col("c.weight").alias("wa"), F.col("c.component").alias("ca"))
-        pairs = (left.join(centre, "band").where((F.col("component") != F.col("ca"))
-                                                 & (F.least("weight", "wa") >= F.lit(threshold) * F.greatest("weight", "wa")))
-                 .select("a", F.col("node").alias("b")).distinct())
-        found, _ = settle(_similar(pairs, sets, threshold), "near-links")
-        links = found if links is None else links.union(found)
-        after = left.join(centre.select("band", F.col("a").alias("node")), ["band", "node"], "left_anti").select("band", "node", "weight", "score")
-        after, new_path = settle(after, "near-buckets")
-        discard(spark, path)
-        buckets, path, slots = after, new_path, 2 * slots
-        comp = components(links, "near-components")
+    comp = link_buckets(buckets, sets, threshold, "near")
+    discard(spark, path)
     whole = signed.select("doc_id", "node").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = whole.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("class_id"))
     return whole.join(names, "component", "left").select("doc_id", "node", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))

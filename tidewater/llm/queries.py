@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, mixing, near_dup, secrets, substrings, url_filter, warc
+from tidewater.llm import chat, decontaminate, fingerprint, language, mixing, near_dup, secrets, substrings, url_filter, warc
 from tidewater.session import scratch_path
 
 QUERIES: dict = {}
@@ -221,3 +221,36 @@ def op6_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document: its least doc_id."""
     found = near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+@_query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, from its text, declared language and source."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return language.identify(docs, language.fit(docs), keep_text=False).select("doc_id", "language", F.round("confidence", 6).alias("confidence"), "rejected")
+
+
+@_query("op7_spot_signatures")
+def op7_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how much it
+    is like that and like the next document."""
+    docs = fingerprint.with_next(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = docs.withColumn("edited", fingerprint.edited(F.col("text"), F.col("next_text")))
+    signed = fingerprint.add_signatures(docs, own=F.col("text"), changed=F.col("edited"), following=F.col("next_text"))
+    return signed.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.fingerprint(F.col("own")).alias("fingerprint"), fingerprint.fingerprint(F.col("changed")).alias("edited_fingerprint"),
+        fingerprint.likeness(F.col("own"), F.col("changed")).alias("near_edited"), fingerprint.likeness(F.col("own"), F.col("following")).alias("near_next"))
+
+
+@_query("page_language_id")
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, from its text, the language its markup
+    declares, its address suffix and its host."""
+    html = F.col("html")
+    pages = _table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.regexp_extract(html, r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", 1).alias("declared"),
+        F.regexp_replace(html, r"(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>|&[#\w]+;", " ").alias("text"))
+    model = language.fit(_table(spark, sf_dir, "documents").select("text", "lang"))
+    return language.identify(pages, model, declared="declared", url="url", keep_text=False).select(
+        "page_id", "declared", "language", F.round("confidence", 6).alias("confidence"), "rejected")
