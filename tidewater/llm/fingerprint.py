@@ -131,7 +131,7 @@ def with_next(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataF
     each = -(-n_blocks // segments)
     bounds = F.array(*[F.lit(b).cast("long") for b in edges])
     segment = F.size(F.filter(bounds, lambda b: b <= F.col("doc_id")))
-    low, high = F.element_at(bounds, segment), F.element_at(bounds, segment + 1)
+    low, high = F.get(bounds, segment - 1), F.get(bounds, segment)
     block = segment * F.lit(each) + F.floor((F.col("doc_id") - low).cast("double") * F.lit(each) / (high - low))
     dealt = placed.withColumn("block", block.cast("long"))
     w = Window.partitionBy("block").orderBy(F.col("doc_id").desc(), F.col("text").desc())

@@ -47,6 +47,7 @@ SAMPLE = 400                 # labelled rows per language that the text model is
 BUCKETS = 1 << 16            # of hashed trigrams
 DECLARED, SUFFIX = 20.0, 5.0
 SMOOTH = 10.0
+NOISE = 0.01                 # share of texts that are in no language, before any evidence
 TEXT_WEIGHT = 0.3            # neighbouring trigrams share letters, so they count less than independent ones
 BROADCAST_HOSTS = 100_000
 SLICE_BYTES = 2 << 20
@@ -99,6 +100,7 @@ class TextModel:
         out = np.empty((n, len(self.classes)))
         for k in range(len(self.classes)):
             out[:, k] = np.bincount(owner, weights=self.table[k][code], minlength=n) * TEXT_WEIGHT
+        out[:, -1] += np.log(NOISE)
         letters = np.concatenate([[0], np.cumsum(_FOLD[raw] != 0x20)])
         signs = np.concatenate([[0], np.cumsum(_SIGN[raw])])
         n_letters = letters[bounds[1:]] - letters[bounds[:-1]]
