@@ -7,11 +7,13 @@ import sys
 import pytest
 
 import __spark_entry__ as E
+from tidewater.plans import load_all
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from oracle_check import SPARK_TO_SQL, TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
+QUERIES, ORACLE_SQL = load_all()
 SLOW = {"doc_quality_scores"}
    # trains 150 rounds; covered with few rounds below
 
@@ -25,9 +27,8 @@ def test_entry(spark):
 def test_keys():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert len(qs) >= 50
-    for name in qs:
-        assert "pipeline" not in name and not name.startswith("op")
+    assert set(QUERIES) <= set(qs) and set(ORACLE_SQL) <= set(sql)
+    assert len(QUERIES) >= 50
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +40,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql_twin_matches(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rel = duck.sql(E.oracle_sql()[name])
@@ -49,7 +50,7 @@ def test_sql_twin_matches(spark, duck, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL) - SLOW))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF).count() >= 0
 
