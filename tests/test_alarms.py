@@ -11,8 +11,8 @@ T0 = dt.datetime(2024, 1, 1)
 
 
 def brute(points, period, n, threshold, cmp):
-    """Reference state machine: dense grid over [first, last] period, missing
-    data = not breaching, ALARM after n consecutive breaches."""
+    """Reference state machine: dense grid from the first period to one past the
+    last, missing data = not breaching, ALARM after n consecutive breaches."""
     ops = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b}
     sums = {}
     for ts, v in points:
@@ -22,7 +22,7 @@ def brute(points, period, n, threshold, cmp):
         return []
     lo, hi = min(sums), max(sums)
     out, run, prev, p = [], 0, "OK", lo
-    while p <= hi:
+    while p <= hi + dt.timedelta(seconds=period):
         run = run + 1 if p in sums and ops[cmp](sums[p], threshold) else 0
         state = "ALARM" if run >= n else "OK"
         if state != prev:
@@ -76,5 +76,38 @@ def test_unkeyed_alarm_has_no_cross_join(spark):
     df = spark.createDataFrame([(ts, float(v)) for ts, v in pts], "ts timestamp_ntz, value double")
     out = AL.alarm(df, "ts", "value", "sum", 300, 2, 5, ">")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "SinglePartition" not in plan and "Window" not in plan
     assert sorted((r.period_start, r.state) for r in out.collect()) == [(at(1), "ALARM"), (at(2), "OK")]
+
+
+def test_alarm_returns_to_ok_after_silence(spark):
+    pts = [(at(0), 9), (at(1), 9)]
+    df = spark.createDataFrame([("m", ts, float(v)) for ts, v in pts], "metric string, ts timestamp_ntz, value double")
+    now = lambda k: AL.F.lit(at(k)).cast("timestamp_ntz")
+    got = lambda end, **how: sorted((r.period_start, r.state) for r in AL.alarm(
+        df, "ts", "value", "sum", 300, 2, 5, ">", keys=["metric"], end=end, **how).collect())
+    assert got(None) == got(now(50)) == [(at(1), "ALARM"), (at(2), "OK")]
+    assert got(now(2)) == [(at(1), "ALARM")]                    # at that time nothing is known of period 2
+    assert [s for _, s in got(now(5), output="states")] == ["OK", "ALARM", "OK", "OK", "OK"]
+    with pytest.raises(ValueError):
+        AL.alarm(df, "ts", "value", "sum", 300, 2, 5, ">", missing="breaching")
+
+
+def test_long_gap_is_filled_in_blocks(spark):
+    pts = [(at(0), 9), (at(20_000), 9)]
+    df = spark.createDataFrame([("m", ts, float(v)) for ts, v in pts], "metric string, ts timestamp_ntz, value double")
+    st = AL.alarm(df, "ts", "value", "sum", 300, 1, 5, ">", keys=["metric"], output="states")
+    assert st.count() == 20_001 and st.where("state = 'ALARM'").count() == 2
+
+
+def test_reference_alarm_by_name(spark):
+    df = spark.createDataFrame([(at(0, s), float(s)) for s in range(0, 300, 3)], "ts timestamp_ntz, value double")
+    got = AL.reference_alarm(df, "function_errors", "ts", "value").collect()
+    assert [(r.period_start, r.state) for r in got if r.state == "ALARM"] == [(at(0), "ALARM")]
+    assert AL.reference_alarm(df, "target_response_p99_s", "ts", "value").count() == 2
+
+
+def test_dashboard_series_keeps_every_metric(spark):
+    df = spark.createDataFrame([(at(0), "cpu"), (at(0), "new_one"), (at(0), "cpu"), (at(9), None)], "ts timestamp_ntz, metric string")
+    got = {(r.metric, r.value) for r in AL.multi_metric_series(df, "ts", "metric", 300).collect()}
+    assert got == {("cpu", 2), ("new_one", 1), (None, 1)}

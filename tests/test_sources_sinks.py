@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import write_text
@@ -65,18 +66,90 @@ def test_keyed_store_versions(spark, tmp):
 
 
 def test_keyed_store_only_rewrites_touched_buckets(spark, tmp):
-    import glob
     path = f"{tmp}/kv2"
     base = spark.range(200).select(F.col("id").alias("k"), F.lit(0).alias("seq"))
     keyed.upsert_into(spark, path, base, ["k"], "seq", buckets=8)
-    before = {d: sorted(os.listdir(d)) for d in glob.glob(f"{path}/_bucket=*")}
+    before = {b: g for b, g in keyed.manifest(spark, path)["generations"].items()}
     one = spark.createDataFrame([(7, 1)], "k bigint, seq int")
     assert keyed.upsert_into(spark, path, one, ["k"], "seq", buckets=8) == 1
-    after = {d: sorted(os.listdir(d)) for d in glob.glob(f"{path}/_bucket=*")}
+    after = keyed.manifest(spark, path)["generations"]
     changed = [d for d in before if before[d] != after[d]]
     assert len(changed) == 1 and len(after) == 8
     cur = keyed.read_current(spark, path)
     assert cur.count() == 200 and cur.where("k = 7").first().seq == 1
+    assert keyed.vacuum(spark, path) == 1 and keyed.read_current(spark, path).count() == 200
+
+
+def test_keyed_store_refuses_another_bucket_count_and_survives_a_crash(spark, tmp, monkeypatch):
+    path = f"{tmp}/kv3"
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit(0).alias("seq"))
+    keyed.upsert_into(spark, path, rows, ["k"], "seq", buckets=4)
+    with pytest.raises(ValueError):
+        keyed.upsert_into(spark, path, rows, ["k"], "seq", buckets=64)
+    with pytest.raises(ValueError):
+        keyed.upsert_into(spark, path, rows, ["seq"], "seq")
+    late = spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("seq"))
+
+    def dies(*_):
+        raise RuntimeError("driver lost before the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "_publish", dies)
+        with pytest.raises(RuntimeError):
+            keyed.upsert_into(spark, path, late, ["k"], "seq")
+    assert keyed.read_current(spark, path).where("seq = 1").count() == 0     # the state before, whole
+    assert keyed.read_current(spark, path).count() == 100
+    keyed.upsert_into(spark, path, late, ["k"], "seq")
+    assert keyed.read_current(spark, path).where("seq = 1").count() == 10
+    assert keyed.read_current(spark, path).count() == 100
+    with pytest.raises(RuntimeError):                                        # two writers, one version
+        keyed._publish(spark, path, keyed.manifest(spark, path))
+
+
+def test_replace_leaves_no_stale_partition(spark, tmp):
+    df = spark.createDataFrame([("a", "1"), ("b", "2")], "v string, p string")
+    lake.write_partitioned(df, f"{tmp}/t", ["p"], mode="replace")
+    lake.write_partitioned(df.where("p = '1'"), f"{tmp}/t", ["p"], mode="replace")
+    assert [r.v for r in lake.read_partitioned(spark, f"{tmp}/t").collect()] == ["a"]
+
+
+def test_batch_folder_is_replaced_when_it_comes_again_in_another_hour(spark, tmp):
+    from tidewater.sinks.fanout import folder_writer
+    for hour in ("08", "09"):
+        df = spark.createDataFrame([("a", hour)], "v string, hour string")
+        folder_writer(f"{tmp}/raw", partition_cols=("hour",))(df, 3)
+    assert [(r.v, str(r.hour)) for r in spark.read.json(f"{tmp}/raw").collect()] == [("a", "09")]
+
+
+def test_one_bad_record_does_not_end_the_batch(spark):
+    import base64
+    from tidewater.sources.envelope import decode_envelope
+    data = [base64.b64encode(b).decode() for b in (b'{"k": 1}', b'{"k\xc3(": 2}', b"{x")] + ["%%", None]
+    df = spark.createDataFrame(list(enumerate(data)), "i int, data string")
+    got = {r.i: (r.record.k if r.record else None, r.failed) for r in decode_envelope(df, "k INT").collect()}
+    assert got == {0: (1, False), 1: (None, True), 2: (None, True), 3: (None, True), 4: (None, True)}
+
+
+def test_totals_are_not_rounded_by_row(spark):
+    from tidewater.operators.reports import money_sum
+    assert spark.range(1000).select(F.lit(0.004).alias("x")).agg(money_sum("x").alias("s")).first().s == 4.0
+
+
+def test_catalog_table_takes_new_columns(spark, tmp):
+    from tidewater.sources.catalog import listed_partitions, register_table
+    lake.write_partitioned(spark.createDataFrame([("a", "01")], "id string, month string"), f"{tmp}/t", ["month"])
+    register_table(spark, "tw_grows", f"{tmp}/t", "id STRING, month STRING", ["month"])
+    lake.write_partitioned(spark.createDataFrame([("b", 2.5, "02")], "id string, tax double, month string"), f"{tmp}/t", ["month"])
+    t = register_table(spark, "tw_grows", f"{tmp}/t", "id STRING, month STRING", ["month"])
+    assert {(r.id, r.tax) for r in t.collect()} == {("a", None), ("b", 2.5)}
+    assert sorted(r.month for r in listed_partitions(spark, f"{tmp}/t", ["month"]).collect()) == ["01", "02"]
+    spark.sql("DROP TABLE tw_grows")
+
+
+def test_arrival_prefix_is_the_start_of_the_key(spark):
+    keys = spark.createDataFrame([("archive/data/sales/x.csv",), ("data/sales/x.csv",), ("/root/in/data/sales/y.csv",)], "k string")
+    assert [r.k for r in keys.where(files.arrival_filter("k", "data/sales/")).collect()] == ["data/sales/x.csv"]
+    assert [r.k for r in keys.where(files.arrival_filter("k", "data/sales/", root="/root/in")).collect()] == ["/root/in/data/sales/y.csv"]
 
 
 def test_json_by_date_and_audit(spark, tmp):

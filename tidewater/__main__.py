@@ -40,24 +40,26 @@ def main(argv=None) -> None:
         p = sub.add_parser(name)
         for a in args:
             p.add_argument(f"--{a.rstrip('?')}", required=not a.endswith("?"))
+        p.add_argument("--profile", choices=["default", "cluster"], default="default", help="sizing where the cluster sets none")
+        p.add_argument("--errors", help="dead-letter path (default: beside the output)")
     ns = ap.parse_args(argv)
-    spark = build_session(app_name=f"tidewater-{ns.cmd}")
+    spark = build_session(app_name=f"tidewater-{ns.cmd}", profile=ns.profile)
     from .plans import runners as J
     if ns.cmd == "sales":
-        result = J.run_sales(spark, ns.raw, ns.out)
+        result = J.run_sales(spark, ns.raw, ns.out, ns.errors)
     elif ns.cmd == "sales-stream":
-        result = J.run_sales_stream(spark, ns.raw, ns.out, ns.checkpoint)
+        result = J.run_sales_stream(spark, ns.raw, ns.out, ns.checkpoint, ns.errors)
     elif ns.cmd == "orders":
-        result = J.run_orders_etl(spark, ns.raw, ns.out)
+        result = J.run_orders_etl(spark, ns.raw, ns.out, ns.errors)
     elif ns.cmd == "orders-incremental":
-        result = J.run_orders_incremental(spark, ns.raw, ns.store, ns.checkpoint)
+        result = J.run_orders_incremental(spark, ns.raw, ns.store, ns.checkpoint, errors_path=ns.errors)
     elif ns.cmd == "fraud-features":
-        result = J.run_fraud_features(spark, ns.raw, ns.features, ns.out, dt.date.fromisoformat(ns.run_date))
+        result = J.run_fraud_features(spark, ns.raw, ns.features, ns.out, dt.date.fromisoformat(ns.run_date), ns.errors)
     elif ns.cmd == "scores":
-        J.run_scores(spark, ns.raw, ns.out)
+        J.run_scores(spark, ns.raw, ns.out, ns.errors)
         result = {"table": ns.out}
     elif ns.cmd == "incidents":
-        result = J.run_incidents(spark, ns.raw, ns.store, ns.logs, ns.outbox)
+        result = J.run_incidents(spark, ns.raw, ns.store, ns.logs, ns.outbox, ns.errors)
     elif ns.cmd == "reports":
         result = J.run_reports(spark, ns.raw, ns.audit, ns.outbox).first().asDict()
     else:

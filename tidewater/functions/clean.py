@@ -121,7 +121,16 @@ def parse_iso_timestamp(col) -> Column:
 
 
 # ---------------------------------------------------------------- P20
+#: every character that counts as white space at the ends of a text (fixed value)
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip_white(col) -> Column:
+    """The text without white space (of any kind) at its ends."""
+    return F.trim(_c(col), F.lit(WHITE))
+
+
 def non_blank(col) -> Column:
-    """True when the text has a non-space character."""
-    return F.coalesce(F.trim(_c(col)) != F.lit(""), F.lit(False))
+    """True when the text has a character that is not white space."""
+    return F.coalesce(strip_white(col) != F.lit(""), F.lit(False))
 

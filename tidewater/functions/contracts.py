@@ -66,9 +66,12 @@ def missing_fields(struct_or_map, required: list[str]) -> Column:
 
 # ---------------------------------------------------------------- P19
 def non_empty_json_array(json_text, path: str = "$.data") -> Column:
-    """True only when the value at ``path`` is a JSON array with an element."""
+    """True only when the value at ``path`` is a JSON array with an element; a
+    string that reads like one is a string."""
+    value = F.try_variant_get(F.try_parse_json(_c(json_text)), path, "variant")
+    is_array = F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
     n = F.json_array_length(F.get_json_object(_c(json_text), path))
-    return F.coalesce(n > 0, F.lit(False))
+    return F.coalesce(is_array & (n > 0), F.lit(False))
 
 
 def non_empty_array(col) -> Column:

@@ -87,9 +87,11 @@ def status_badge(status) -> Column:
 
 
 # ---------------------------------------------------------------- P22
-def report_notification(status, filename, report_id, record_count, error=None,
+# The subjects and bodies of the notices below.
+def report_notification(status, filename, report_id, record_count, error=None, event=None,
                         prefix: str = "[reports]") -> Column:
-    """Subject and body text for one pipeline outcome, as a struct."""
+    """Subject and body text for one pipeline outcome, as a struct; ``event``
+    is the failed event's JSON text."""
     ok = F.coalesce(_c(status) == F.lit("processed"), F.lit(False))
     subject = F.when(ok, F.format_string(f"{prefix} Report Processed: %s", _c(filename))) \
         .otherwise(F.lit(f"{prefix} Report Processing FAILED"))
@@ -98,7 +100,8 @@ def report_notification(status, filename, report_id, record_count, error=None,
         "Record count: %s\nStatus:       %s",
         _c(filename), _c(report_id).cast("string"), _c(record_count).cast("string"), _c(status))
     err = F.coalesce(_c(error), F.lit("Unknown error")) if error is not None else F.lit("Unknown error")
-    body_fail = F.format_string("Report processing failed.\n\nError: %s", err)
+    said = F.coalesce(_c(event), F.lit("{}")) if event is not None else F.lit("{}")
+    body_fail = F.format_string("Report processing failed.\n\nError: %s\nEvent: %s", err, said)
     return F.struct(subject.alias("subject"), F.when(ok, body_ok).otherwise(body_fail).alias("message"))
 
 

@@ -14,19 +14,17 @@ Plan shape, chosen for scale:
   exactly "missing data = not breaching" (W4) without building a grid.
 * W5 transitions compare each ALARM period with its predecessor the same way
   (a mark for p and for p+1), again a hash aggregate.
-* The statistic series is read exactly once per alarm (no self-join, no
-  second scan of the raw data). A key's last observed period comes from a
-  window over that aggregated series, whose size is (time span / period)
-  per key, independent of the number of data points.
-* The dense per-period state series (W4) is optional and gap-fills each
-  observed period up to the next one.
+* No window is ordered over a key's series, and none runs over all keys: there
+  is no task per key, and no single task without keys.
+* The dense per-period state series (W4) is optional; its grid is filled in
+  two levels, blocks of periods first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COMPARATORS = {
@@ -75,98 +73,98 @@ def window_stats(df: DataFrame, ts: str, value: str | Column | None, period_s: i
               .select(*keys, F.col("_w.start").alias(period_col), *stats))
 
 
-def multi_metric_series(df: DataFrame, ts: str, metric: str, metrics: Sequence[str], period_s: int = 60,
-                        value: str | None = None, period_col: str = "period_start") -> DataFrame:
-    """One row per window, one column per metric (pivot with a fixed
-    value list, so no extra pass to discover values)."""
+def multi_metric_series(df: DataFrame, ts: str, metric: str, period_s: int = 60, value: str | None = None,
+                        period_col: str = "period_start", value_col: str = "value") -> DataFrame:
+    """One row per window and metric, whatever metrics occur: the long form
+    of a dashboard's series (none is left out for not being on a list)."""
     w = F.window(F.col(ts), f"{int(period_s)} seconds")
-    v = F.col(value) if value else F.lit(1)
-    aggs = [F.sum(F.when(F.col(metric) == m, v).otherwise(F.lit(0))).alias(m) for m in metrics]
-    return df.groupBy(w.alias("_w")).agg(*aggs).select(F.col("_w.start").alias(period_col), *metrics)
+    total = F.sum(F.col(value)) if value else F.count(F.lit(1))
+    return (df.groupBy(w.alias("_w"), metric).agg(total.alias(value_col))
+              .select(F.col("_w.start").alias(period_col), metric, value_col))
 
 
 # ---------------------------------------------------------------- W3, W4
-def _series(stats: DataFrame, stat: str, threshold: float, cmp: str, keys: Sequence[str],
-            period_col: str, with_next: bool = False) -> DataFrame:
-    """The per-period statistic series, read once, with the breach flag and
-    each key's last observed period (``_hi``) and, optionally, the key's next
-    observed period (``_next``). The windows run over the aggregated series
-    (one row per key and period, so (time span / period) rows per key), never
-    over raw data points."""
-    by_key = Window.partitionBy(*keys)
-    cols = [*[F.col(k) for k in keys], F.col(period_col).alias("_p"),
-            F.coalesce(COMPARATORS[cmp](F.col(stat), F.lit(threshold)), F.lit(False)).alias("_breach"),
-            F.max(period_col).over(by_key).alias("_hi")]
-    if with_next:
-        cols.append(F.lead(period_col).over(by_key.orderBy(period_col)).alias("_next"))
-    return stats.select(*cols)
-
-
-def _votes(series: DataFrame, keys: Sequence[str], n: int, period_s: int) -> DataFrame:
+MISSING = "notBreaching"
+
+
+def _checked(missing: str) -> None:
+    if missing != MISSING:
+        raise ValueError(f"missing data can only be {MISSING!r}, not {missing!r}")
+
+
+def _votes(stats: DataFrame, stat: str, threshold: float, cmp: str, keys: Sequence[str], period_col: str, n: int,
+           period_s: int) -> DataFrame:
     """Each breaching period votes for itself and the next n-1 periods."""
+    breach = F.coalesce(COMPARATORS[cmp](F.col(stat), F.lit(threshold)), F.lit(False))
     k = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    v = series.where("_breach").select(*keys, "_hi", k.alias("_k"), "_p")
-    return v.select(*keys, "_hi", (F.col("_p") + F.make_dt_interval(secs=F.col("_k") * int(period_s))).alias("_at"))
+    v = stats.where(breach).select(*keys, F.col(period_col).alias("_p"), k.alias("_k"))
+    return v.select(*keys, (F.col("_p") + F.make_dt_interval(secs=F.col("_k") * int(period_s))).alias("_at"))
 
 
 def alarm_periods(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_periods: int,
-                  period_s: int, keys: Sequence[str] = (), period_col: str = "period_start") -> DataFrame:
+                  period_s: int, keys: Sequence[str] = (), period_col: str = "period_start", missing: str = MISSING) -> DataFrame:
     """(keys, period) for every period whose last ``eval_periods`` periods all
     breach. Periods without a data point never breach."""
-    keys = list(keys)
-    votes = _votes(_series(stats, stat, threshold, cmp, keys, period_col), keys, int(eval_periods), period_s)
+    _checked(missing)
+    keys, n = list(keys), int(eval_periods)
+    votes = _votes(stats, stat, threshold, cmp, keys, period_col, n, period_s)
     return (votes.groupBy(*keys, "_at").agg(F.count(F.lit(1)).alias("_n"))
-                 .where(F.col("_n") == int(eval_periods)).select(*keys, F.col("_at").alias(period_col)))
+                 .where(F.col("_n") == n).select(*keys, F.col("_at").alias(period_col)))
 
 
 # ---------------------------------------------------------------- W5
 def alarm_transitions(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_periods: int,
-                      period_s: int, keys: Sequence[str] = (), period_col: str = "period_start") -> DataFrame:
-    """State changes (OK->ALARM, ALARM->OK) inside each key's observed range
-    [first period, last period]. The state before the first period is OK.
-
-    Plan: the statistic is read once; votes -> hash aggregate -> ALARM
-    periods; each ALARM period p then marks p as "alarm now" and p+1 as
-    "alarm before" -> hash aggregate; an edge is where exactly one holds."""
+                      period_s: int, keys: Sequence[str] = (), period_col: str = "period_start", missing: str = MISSING,
+                      end=None) -> DataFrame:
+    """State changes (OK->ALARM, ALARM->OK). The state before the first period
+    is OK. Missing data does not breach, past the last point as in a gap: an
+    alarm whose data stops returns to OK in the next period. ``end`` is the
+    time of the evaluation: changes from it on are not known yet.
+
+    Plan: votes -> hash aggregate -> ALARM periods; each ALARM period p then
+    marks p as "alarm now" and p+1 as "alarm before" -> hash aggregate; an
+    edge is where exactly one holds. No key's series is ordered anywhere."""
     keys = list(keys)
-    n = int(eval_periods)
-    votes = _votes(_series(stats, stat, threshold, cmp, keys, period_col), keys, n, period_s)
-    alarm = (votes.groupBy(*keys, "_at").agg(F.count(F.lit(1)).alias("_n"), F.max("_hi").alias("_hi"))
-                  .where(F.col("_n") == n))
+    alarm = alarm_periods(stats, stat, threshold, cmp, eval_periods, period_s, keys, period_col, missing)
     marks = F.explode(F.array(
-        F.struct(F.col("_at").alias("at"), F.lit(1).alias("cur"), F.lit(None).cast("int").alias("prev")),
-        F.struct((F.col("_at") + _step(period_s)).alias("at"), F.lit(None).cast("int").alias("cur"),
+        F.struct(F.col(period_col).alias("at"), F.lit(1).alias("cur"), F.lit(None).cast("int").alias("prev")),
+        F.struct((F.col(period_col) + _step(period_s)).alias("at"), F.lit(None).cast("int").alias("cur"),
                  F.lit(1).alias("prev"))))
-    edges = (alarm.select(*keys, "_hi", marks.alias("_m"))
-                  .groupBy(*keys, F.col("_m.at").alias("_at"))
-                  .agg(F.max("_m.cur").alias("_cur"), F.max("_m.prev").alias("_prev"), F.max("_hi").alias("_hi")))
-    return (edges.where((F.col("_cur").isNull() | F.col("_prev").isNull()) & (F.col("_at") <= F.col("_hi")))
-                 .select(*keys, F.col("_at").alias(period_col),
-                         F.when(F.col("_cur") == 1, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state")))
+    edges = (alarm.select(*keys, marks.alias("_m")).groupBy(*keys, F.col("_m.at").alias("_at"))
+                  .agg(F.max("_m.cur").alias("_cur"), F.max("_m.prev").alias("_prev"))
+                  .where(F.col("_cur").isNull() | F.col("_prev").isNull()))
+    if end is not None:
+        edges = edges.where(F.col("_at") < (F.lit(end) if not isinstance(end, Column) else end))
+    return edges.select(*keys, F.col("_at").alias(period_col),
+                        F.when(F.col("_cur") == 1, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state"))
 
 
-def alarm_states(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_periods: int,
-                 period_s: int, keys: Sequence[str] = (), period_col: str = "period_start") -> DataFrame:
-    """The dense per-period state series over each key's observed range.
+#: periods of one block of the dense grid
+BLOCK_PERIODS = 1440
 
-    The statistic is read once: every observed period emits the grid
-    periods up to the next observed one (gap fill) plus its breach votes;
-    one hash aggregate on (key, period) then yields the state."""
-    keys = list(keys)
-    n = int(eval_periods)
-    series = _series(stats, stat, threshold, cmp, keys, period_col, with_next=True)
-    step = _step(period_s)
-    gap_end = F.coalesce(F.col("_next") - step, F.col("_p"))
-    # one explode per observed period: its grid periods, then its votes
-    grid = F.transform(F.sequence(F.col("_p"), gap_end, step),
-                       lambda at: F.struct(at.alias("at"), F.lit(1).alias("grid"), F.lit(0).alias("vote")))
-    votes = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                        lambda k: F.struct((F.col("_p") + F.make_dt_interval(secs=k * int(period_s))).alias("at"),
-                                           F.lit(0).alias("grid"), F.lit(1).alias("vote")))
-    no_votes = F.filter(votes, lambda v: F.lit(False))     # empty, same element type
-    rows = F.explode(F.concat(grid, F.when(F.col("_breach"), votes).otherwise(no_votes)))
-    agg = (series.select(*keys, rows.alias("_r")).groupBy(*keys, F.col("_r.at").alias("_at"))
-                 .agg(F.max("_r.grid").alias("_grid"), F.sum("_r.vote").alias("_votes")))
+
+def alarm_states(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_periods: int,
+                 period_s: int, keys: Sequence[str] = (), period_col: str = "period_start", missing: str = MISSING,
+                 end=None) -> DataFrame:
+    """The dense per-period state series of each key, from its first
+    observed period to its last (or up to ``end``, the time of the evaluation).
+
+    The grid is filled in two levels: a key's range is cut into blocks of
+    ``BLOCK_PERIODS`` periods, which are dealt out and then filled, so that
+    neither a long gap nor a long series is one row or one task. Grid rows and
+    votes meet in one hash aggregate on (key, period)."""
+    _checked(missing)
+    keys, n = list(keys), int(eval_periods)
+    last = F.max(period_col)
+    if end is not None:
+        last = F.greatest(last, (F.lit(end) if not isinstance(end, Column) else end) - _step(period_s))
+    ranges = stats.groupBy(*keys).agg(F.min(period_col).alias("_lo"), last.alias("_hi")).where("_lo IS NOT NULL")
+    blocks = ranges.select(*keys, "_hi", F.explode(F.sequence("_lo", "_hi", _step(period_s * BLOCK_PERIODS))).alias("_b"))
+    blocks = blocks.hint("rebalance")
+    inner = F.sequence("_b", F.least(F.col("_b") + _step(period_s * (BLOCK_PERIODS - 1)), F.col("_hi")), _step(period_s))
+    grid = blocks.select(*keys, F.explode(inner).alias("_at")).withColumns({"_grid": F.lit(1), "_vote": F.lit(0)})
+    votes = _votes(stats, stat, threshold, cmp, keys, period_col, n, period_s).withColumns({"_grid": F.lit(0), "_vote": F.lit(1)})
+    agg = grid.unionByName(votes).groupBy(*keys, "_at").agg(F.max("_grid").alias("_grid"), F.sum("_vote").alias("_votes"))
     return agg.where(F.col("_grid") == 1).select(
         *keys, F.col("_at").alias(period_col),
         F.when(F.col("_votes") == n, F.lit("ALARM")).otherwise(F.lit("OK")).alias("state"))
@@ -174,19 +172,26 @@ def alarm_states(stats: DataFrame, stat: str, threshold: float, cmp: str, eval_p
 
 def alarm(df: DataFrame, ts: str, value: str | Column | None, stat: str, period_s: int,
           eval_periods: int, threshold: float, cmp: str = ">", keys: Sequence[str] = (),
-          output: str = "transitions") -> DataFrame:
+          output: str = "transitions", missing: str = MISSING, end=None) -> DataFrame:
     """Convenience: statistic per window, then transitions or dense states."""
     stats = window_stats(df, ts, value, period_s, keys, stats=(stat,))
     fn = alarm_transitions if output == "transitions" else alarm_states
-    return fn(stats, stat, threshold, cmp, eval_periods, period_s, keys)
+    return fn(stats, stat, threshold, cmp, eval_periods, period_s, keys, missing=missing, end=end)
+
+
+def reference_alarm(df: DataFrame, name: str, ts: str, value: str | Column | None, keys: Sequence[str] = (), **how) -> DataFrame:
+    """One of ``REFERENCE_ALARMS`` over a metric's points."""
+    stat, period_s, eval_periods, threshold, cmp = REFERENCE_ALARMS[name]
+    return alarm(df, ts, value, stat, period_s, eval_periods, threshold, cmp, keys, **how)
 
 
 # Alarm definitions from the reference's monitoring setup
-# (statistic, period seconds, evaluation periods, threshold, comparator).
+# (statistic, period seconds, evaluation periods, threshold, comparator). Their
+# 99th percentiles are of continuous values, so a fixed-size sketch takes them.
 REFERENCE_ALARMS = {
     "stream_iterator_age_ms": ("max", 300, 2, 60000, ">"),
     "function_errors": ("sum", 300, 1, 5, ">="),
-    "function_duration_p99_ms": ("p99", 300, 2, 45000, ">"),
+    "function_duration_p99_ms": ("p99_approx", 300, 2, 45000, ">"),
     "function_duration_avg_ms": ("avg", 300, 2, 45000, ">"),
     "etl_failed_tasks": ("sum", 300, 1, 1, ">="),
     "etl_executor_run_time_ms": ("max", 60, 8, 60000, ">"),
@@ -194,7 +199,7 @@ REFERENCE_ALARMS = {
     "cpu_high": ("avg", 120, 2, 80, ">="),
     "lb_5xx": ("sum", 300, 1, 10, ">"),
     "lb_4xx": ("sum", 300, 2, 50, ">"),
-    "target_response_p99_s": ("p99", 60, 3, 2.0, ">"),
+    "target_response_p99_s": ("p99_approx", 60, 3, 2.0, ">"),
     "cpu_high_asg": ("avg", 120, 3, 80, ">="),
     "db_free_storage_bytes": ("avg", 300, 1, 5368709120, "<"),
     "db_connections": ("avg", 60, 2, 100, ">"),

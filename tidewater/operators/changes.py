@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clean import strip_white
 from .dedup import keep_one
 
 
@@ -47,7 +48,7 @@ def partial_update(base: DataFrame, updates: DataFrame, key: str, name: str = "n
     """M3: apply partial updates.
 
     * ``name``: a null or empty new value keeps the old one; the result is
-      trimmed (a whitespace-only new name therefore becomes '').
+      stripped of all white space at its ends (a whitespace-only new name therefore becomes '').
     * ``description``: replaced only when ``has_description`` is true, even
       by null.
     Keys absent from ``base`` are ignored (an update, not an insert).
@@ -57,7 +58,7 @@ def partial_update(base: DataFrame, updates: DataFrame, key: str, name: str = "n
                        F.col(description).alias("_new_desc"),
                        F.col(has_description).alias("_has_desc"), F.lit(True).alias("_hit"))
     j = base.join(u, on=key, how="left")
-    new_name = F.trim(F.coalesce(F.nullif(F.col("_new_name"), F.lit("")), F.col(name)))
+    new_name = strip_white(F.coalesce(F.nullif(F.col("_new_name"), F.lit("")), F.col(name)))
     new_desc = F.when(F.coalesce(F.col("_has_desc"), F.lit(False)), F.col("_new_desc")).otherwise(F.col(description))
     return (j.withColumn(name, F.when(F.col("_hit"), new_name).otherwise(F.col(name)))
              .withColumn(description, new_desc)

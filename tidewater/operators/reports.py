@@ -4,11 +4,10 @@ Every report is a hash aggregate: Spark computes partial aggregates inside
 each map task and shuffles one row per group per task, so a hot group costs
 no more shuffle than a cold one.
 
-Money is summed as whole cents in a LONG (hash-aggregate friendly, about
-twice as fast as a DECIMAL buffer) and each group's total is converted once,
-exactly, through DECIMAL(38,0) / 100 to DOUBLE. The sum is exact, so it does
-not depend on partitioning or summation order, and two engines agree to the
-last bit. A LONG holds 9.2e16 currency units; overflow raises under ANSI.
+Money is summed as it is, in double precision, and only a group's total is
+rounded (to ``scale`` decimals). No row is rounded: amounts of any scale add up
+to their sum. The rounding also hides the order of the additions, unless the
+true sum lies within its noise (about 1e-16 of the total per row) of a half.
 """
 
 from __future__ import annotations
@@ -23,19 +22,9 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cents(col) -> Column:
-    """A 2-decimal amount as whole cents."""
-    return F.round(_c(col) * 100).cast("long")
-
-
-def from_cents(total) -> Column:
-    """Exact cents total -> the correctly rounded double amount."""
-    return (_c(total).cast("decimal(38,0)") / F.lit(100).cast("decimal(3,0)")).cast("double")
-
-
-def money_sum(col) -> Column:
-    """Exact sum of a 2-decimal amount, returned as double."""
-    return from_cents(F.sum(cents(col)))
+def money_sum(col, scale: int = 2) -> Column:
+    """Sum of an amount; the total, not the rows, is rounded."""
+    return F.round(F.sum(_c(col).cast("double")), scale)
 
 
 # ---------------------------------------------------------------- A1
@@ -46,9 +35,9 @@ def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
 # ---------------------------------------------------------------- A2, A4-A7
 def totals_by(df: DataFrame, keys: Sequence[str | Column], amount: str | Column,
               total_name: str = "total_revenue", count_name: str = "tx_count",
-              extra: Sequence[Column] = ()) -> DataFrame:
+              extra: Sequence[Column] = (), scale: int = 2) -> DataFrame:
     """Sum of an amount and row count per group."""
-    return df.groupBy(*keys).agg(money_sum(amount).alias(total_name),
+    return df.groupBy(*keys).agg(money_sum(amount, scale).alias(total_name),
                                  F.count(F.lit(1)).alias(count_name), *extra)
 
 

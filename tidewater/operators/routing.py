@@ -18,11 +18,13 @@ def route_by_severity(incidents: DataFrame, severity: str = "severity", id_col:
                       high: str = "HIGH") -> DataFrame:
     """HIGH (exact, case-sensitive) goes to the alert branch; everything
     else, including a missing severity, goes to the log branch. Both
-    branches are then saved, so every incident keeps one row."""
+    branches are then saved, so every incident keeps one row. The alert says
+    the whole incident, as JSON."""
     is_high = F.coalesce(F.col(severity) == F.lit(high), F.lit(False))
+    event = F.to_json(F.struct(*[F.col(f"`{c}`") for c in incidents.columns]))
     return incidents.withColumns({
         "route": F.when(is_high, F.lit("alert")).otherwise(F.lit("log")),
-        "alert_text": F.when(is_high, incident_alert_text(F.col(id_col).cast("string"))),
+        "alert_text": F.when(is_high, incident_alert_text(event)),
         "log_key": F.when(~is_high, incident_log_key(F.col(id_col))),
     })
 

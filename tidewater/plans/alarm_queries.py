@@ -7,35 +7,31 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import alarms as AL
-from ..operators import reports as R
 from ..session import read_table
 from .registry import query
 
 _STATS_CTE = """
 s AS (
   SELECT event_type, time_bucket(INTERVAL '300 seconds', ts, TIMESTAMP '1970-01-01') AS period_start,
-         sum(CAST(value AS DECIMAL(18,2))) AS total
+         round(sum(value), 2) AS total
   FROM events GROUP BY 1, 2)"""
 
 
-def _exact_stats(spark, sf, period_s: int):
-    # values are 2-decimal amounts: aggregate whole cents (exact, long buffers)
-    ev = read_table(spark, sf, "events").withColumn("cents", R.cents("value"))
-    st = AL.window_stats(ev, "ts", "cents", period_s, keys=["event_type"], stats=("sum", "max", "count"))
-    total = R.from_cents("sum")
-    return st.select("event_type", "period_start", total.alias("sum"), R.from_cents("max").alias("max"),
-                     "count", (total / F.col("count")).alias("avg"))
+def _rounded_stats(spark, sf, period_s: int):
+    ev = read_table(spark, sf, "events")
+    st = AL.window_stats(ev, "ts", "value", period_s, keys=["event_type"], stats=("sum", "max", "count"))
+    total = F.round("sum", 2)
+    return st.select("event_type", "period_start", total.alias("sum"), "max", "count", (total / F.col("count")).alias("avg"))
 
 
 # ---------------------------------------------------------------- W1
 @query("event_window_stats", """
 SELECT event_type, time_bucket(INTERVAL '300 seconds', ts, TIMESTAMP '1970-01-01') AS period_start,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum, max(value) AS max, count(*) AS count,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg
+       round(sum(value), 2) AS sum, max(value) AS max, count(*) AS count, round(sum(value), 2) / count(*) AS avg
 FROM events GROUP BY 1, 2
 """, covers="W1")
 def event_window_stats(spark, sf, period_s: int = 300):
-    return _exact_stats(spark, sf, period_s)
+    return _rounded_stats(spark, sf, period_s)
 
 
 # ---------------------------------------------------------------- W2
@@ -61,7 +57,7 @@ ALARM_THRESHOLD, ALARM_PERIODS = 40, 2
 _GRID_SQL = f"""
 WITH {_STATS_CTE},
 b AS (SELECT event_type, min(period_start) AS lo, max(period_start) AS hi FROM s GROUP BY 1),
-g AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL '300 seconds')) AS period_start FROM b),
+g AS (SELECT event_type, unnest(generate_series(lo, hi + INTERVAL '300 seconds', INTERVAL '300 seconds')) AS period_start FROM b),
 x AS (SELECT g.event_type, g.period_start, CASE WHEN s.total >= {ALARM_THRESHOLD} THEN 1 ELSE 0 END AS br
       FROM g LEFT JOIN s ON g.event_type = s.event_type AND g.period_start = s.period_start),
 st AS (SELECT event_type, period_start,
@@ -72,9 +68,8 @@ st AS (SELECT event_type, period_start,
 
 
 def _value_totals(spark, sf):
-    ev = read_table(spark, sf, "events").withColumn("cents", R.cents("value"))
-    st = AL.window_stats(ev, "ts", "cents", 300, keys=["event_type"], stats=("sum",))
-    return st.withColumn("sum", R.from_cents("sum"))
+    st = AL.window_stats(read_table(spark, sf, "events"), "ts", "value", 300, keys=["event_type"], stats=("sum",))
+    return st.withColumn("sum", F.round("sum", 2))
 
 
 # ---------------------------------------------------------------- W3, W5
@@ -90,7 +85,7 @@ def event_alarm_transitions(spark, sf):
 
 # ---------------------------------------------------------------- W4
 @query("event_alarm_states", _GRID_SQL + """
-SELECT event_type, period_start, state FROM st
+SELECT event_type, period_start, state FROM st SEMI JOIN b ON st.event_type = b.event_type AND st.period_start <= b.hi
 """, covers="W4")
 def event_alarm_states(spark, sf):
     return AL.alarm_states(_value_totals(spark, sf), "sum", ALARM_THRESHOLD, ">=", ALARM_PERIODS, 300,
@@ -109,7 +104,7 @@ WITH s AS (
          max(epoch_ms(l.l_shipdate) - epoch_ms(o.o_orderdate)) AS max_lag_ms
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1),
 b AS (SELECT min(period_start) AS lo, max(period_start) AS hi FROM s),
-g AS (SELECT unnest(generate_series(lo, hi, INTERVAL '{LAG_PERIOD_S} seconds')) AS period_start FROM b),
+g AS (SELECT unnest(generate_series(lo, hi + INTERVAL '{LAG_PERIOD_S} seconds', INTERVAL '{LAG_PERIOD_S} seconds')) AS period_start FROM b),
 x AS (SELECT g.period_start, CASE WHEN s.max_lag_ms > {LAG_LIMIT_MS} THEN 1 ELSE 0 END AS br
       FROM g LEFT JOIN s ON g.period_start = s.period_start),
 st AS (SELECT period_start, CASE WHEN sum(br) OVER (ORDER BY period_start ROWS BETWEEN {LAG_PERIODS - 1} PRECEDING
@@ -131,19 +126,32 @@ def ship_lag_alarm(spark, sf):
 
 
 # ---------------------------------------------------------------- W7
-METRICS = ["view", "click", "purchase", "signup", "error"]
-
-
 @query("event_dashboard_series", """
-SELECT time_bucket(INTERVAL '60 seconds', ts, TIMESTAMP '1970-01-01') AS period_start,
-       count(*) FILTER (WHERE event_type = 'view') AS view,
-       count(*) FILTER (WHERE event_type = 'click') AS click,
-       count(*) FILTER (WHERE event_type = 'purchase') AS purchase,
-       count(*) FILTER (WHERE event_type = 'signup') AS signup,
-       count(*) FILTER (WHERE event_type = 'error') AS error
-FROM events GROUP BY 1
+SELECT time_bucket(INTERVAL '60 seconds', ts, TIMESTAMP '1970-01-01') AS period_start, event_type, count(*) AS value
+FROM events GROUP BY 1, 2
 """, covers="W7")
 def event_dashboard_series(spark, sf):
-    ev = read_table(spark, sf, "events")
-    out = AL.multi_metric_series(ev, "ts", "event_type", METRICS, period_s=60)
-    return out.select("period_start", *[F.col(m).cast("long").alias(m) for m in METRICS])
+    return AL.multi_metric_series(read_table(spark, sf, "events"), "ts", "event_type", period_s=60)
+
+
+# An alarm that stands when its data stops: only the first days' events are
+# points, and the evaluation ends much later.
+STOP, UNTIL = "2024-01-03", "2024-01-05"
+
+
+@query("event_alarm_after_silence", f"""
+WITH s AS (
+  SELECT event_type, time_bucket(INTERVAL '300 seconds', ts, TIMESTAMP '1970-01-01') AS period_start, round(sum(value), 2) AS total
+  FROM events WHERE ts < TIMESTAMP '{STOP}' GROUP BY 1, 2),
+b AS (SELECT event_type, min(period_start) AS lo FROM s GROUP BY 1),
+g AS (SELECT event_type, unnest(generate_series(lo, TIMESTAMP '{UNTIL}' - INTERVAL '300 seconds', INTERVAL '300 seconds')) AS period_start FROM b),
+x AS (SELECT g.event_type, g.period_start, coalesce(s.total >= 1, false) AS br
+      FROM g LEFT JOIN s ON g.event_type = s.event_type AND g.period_start = s.period_start),
+st AS (SELECT event_type, period_start, CASE WHEN br THEN 'ALARM' ELSE 'OK' END AS state FROM x)
+SELECT event_type, period_start, state FROM (
+  SELECT *, lag(state, 1, 'OK') OVER (PARTITION BY event_type ORDER BY period_start) AS prev FROM st) WHERE state <> prev
+""", covers="W3 W4 W5")
+def event_alarm_after_silence(spark, sf):
+    day = lambda d: F.lit(d).cast("timestamp_ntz")
+    st = AL.window_stats(read_table(spark, sf, "events").where(F.col("ts") < day(STOP)), "ts", "value", 300, keys=["event_type"], stats=("sum",))
+    return AL.alarm_transitions(st.withColumn("sum", F.round("sum", 2)), "sum", 1, ">=", 1, 300, keys=["event_type"], end=day(UNTIL))

@@ -1,5 +1,5 @@
 """The reference's batch jobs as DataFrame transformations (no I/O here;
-``tidewater.jobs_cli`` wires them to sources and sinks)."""
+``plans.runners`` wires them to sources and sinks)."""
 
 from __future__ import annotations
 
@@ -17,15 +17,17 @@ ORDERS_REQUIRED = ["order_id", "timestamp", "total_amount"]
 FEATURES_REQUIRED = ["amount_log", "merchant_cat_encoded", "hour_of_day"]
 
 
-def sales_etl(raw: DataFrame, drop_after_cast: bool = True) -> DataFrame:
-    """CSV sales -> clean rows with year/month/day partitions.
+def incomplete(required: list[str]) -> F.Column:
+    """Which rows lack a required value (after the casts)."""
+    missing = F.lit(False)
+    for c in required:
+        missing = missing | F.col(c).isNull()
+    return missing
 
-    ``drop_after_cast=False`` reproduces the reference's order (drop nulls,
-    then cast), where a value that fails to cast survives as null (T1)."""
-    df = C.normalize_column_names(raw)
-    if not drop_after_cast:
-        df = C.drop_incomplete(df, SALES_REQUIRED)
-    df = df.withColumns({
+
+def sales_typed(raw: DataFrame) -> DataFrame:
+    """CSV sales with snake names and types; values that do not cast are null."""
+    return C.normalize_column_names(raw).withColumns({
         "amount": C.enforce("amount", "double"),
         "quantity": C.enforce("quantity", "int"),
         "unit_price": C.enforce("unit_price", "double"),
@@ -33,16 +35,25 @@ def sales_etl(raw: DataFrame, drop_after_cast: bool = True) -> DataFrame:
         "product_name": C.trimmed("product_name"),
         "category": C.lower_trimmed("category"),
     })
+
+
+def sales_etl(raw: DataFrame, drop_after_cast: bool = True) -> DataFrame:
+    """CSV sales -> clean rows with year/month/day partitions.
+
+    ``drop_after_cast=False`` reproduces the reference's order (drop nulls,
+    then cast), where a value that fails to cast survives as null (T1)."""
+    if not drop_after_cast:
+        raw = C.drop_incomplete(C.normalize_column_names(raw), SALES_REQUIRED)
+    df = sales_typed(raw)
     if drop_after_cast:
         df = C.drop_incomplete(df, SALES_REQUIRED)
     return C.with_date_partitions(df, "sale_date")
 
 
-def orders_etl(raw: DataFrame) -> DataFrame:
-    """Order JSON -> clean, typed, one row per order_id, partitioned.
-
-    Rows missing a required field are dropped *before* the dedup (T2)."""
-    df = raw.withColumns({
+def orders_typed(raw: DataFrame) -> DataFrame:
+    """Order JSON, typed; a value that does not cast is null (only a missing
+    required one costs the order)."""
+    return raw.withColumns({
         "product_name": C.trimmed("product_name"),
         "category": C.lower_trimmed("category"),
         "region": C.lower_trimmed("region"),
@@ -53,18 +64,24 @@ def orders_etl(raw: DataFrame) -> DataFrame:
         "total_amount": C.enforce("total_amount", "double"),
         "event_ts": C.parse_iso_timestamp("timestamp").cast("timestamp_ntz"),
     })
-    df = C.with_date_partitions(df, "event_ts")
+
+
+def orders_etl(raw: DataFrame) -> DataFrame:
+    """Order JSON -> clean, typed, one row per order_id, partitioned.
+
+    Rows missing a required field are dropped *before* the dedup (T2)."""
+    df = C.with_date_partitions(orders_typed(raw), "event_ts")
     return dedup_by_key(df, ["order_id"], required=ORDERS_REQUIRED)
 
 
-def features_etl(features: DataFrame, run_date: _dt.date, keep_id: bool = True) -> DataFrame:
-    """Feature CSV rows -> typed, deduplicated, ingest-date partitions.
-    With ``keep_id`` the transaction id does not count in the dedup (T9)."""
+def features_etl(features: DataFrame, run_date: _dt.date) -> DataFrame:
+    """Feature rows -> typed, deduplicated, ingest-date partitions. Only rows
+    equal in every column are one: with their ids, two transactions with equal
+    features stay two (T9)."""
     types = {"amount_log": "double", "merchant_cat_encoded": "int", "hour_of_day": "int",
              "day_of_week": "int", "account_age_days": "int", "prev_fraud_count": "int",
              "distance_km_log": "double", "is_foreign": "int", "tx_freq_24h": "int"}
-    df = dedup_rows(features, ignore=["transaction_id"] if keep_id and "transaction_id" in features.columns else ())
-    df = C.drop_incomplete(df, FEATURES_REQUIRED)
+    df = C.drop_incomplete(dedup_rows(features), FEATURES_REQUIRED)
     df = C.enforce_types(df, types)
     return df.withColumns(C.ingest_partitions(run_date))
 

@@ -5,18 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.clean import enforce
 from ..sinks.warehouse import direct_load, warehouse_load
 from ..sources.envelope import decode_envelope, encode_envelope, parse_json_isolated, record_fields
 from .jobs import enrich_orders, orders_etl
 from .registry import query
+from .runners import ORDER_SCHEMA
 from .tables import ORDER_RECORDS_SQL, order_records
 
 # A fixed processing clock keeps the stamp reproducible (P8: injectable clock).
 RUN_CLOCK = "2024-02-01 00:00:00"
 RUN_STAMP = "2024-02-01T00:00:00.000000+00:00"
-ORDER_SCHEMA = ("order_id STRING, customer_id STRING, product_id STRING, product_name STRING, category STRING, "
-                "quantity INT, unit_price DOUBLE, total_amount DOUBLE, order_status STRING, "
-                "payment_method STRING, region STRING, timestamp STRING")
 
 
 def _enriched(spark, sf):
@@ -25,7 +24,7 @@ def _enriched(spark, sf):
     env = encode_envelope(rec.withColumn("_json", F.to_json(F.struct(*rec.columns))), seq="order_id", payload="_json")
     dec = decode_envelope(env, ORDER_SCHEMA)
     dec = dec.where(~F.col("failed")).select(*record_fields(dec))
-    return enrich_orders(dec, clock=F.lit(RUN_CLOCK).cast("timestamp_ltz"))
+    return enrich_orders(dec, clock=F.lit(RUN_CLOCK).cast("timestamp_ltz")).withColumn("total_amount", enforce("total_amount", "double"))
 
 
 def _landed(spark, sf):
@@ -33,7 +32,7 @@ def _landed(spark, sf):
     JSON lines, K2), read back as the ETL reads raw JSON (S2)."""
     rec = enrich_orders(order_records(spark, sf), clock=F.lit(RUN_CLOCK).cast("timestamp_ltz"))
     lines = rec.select(F.to_json(F.struct(*rec.columns)).alias("value"))
-    parsed = parse_json_isolated(lines, "value", ORDER_SCHEMA + ", processed_at STRING", required=[])
+    parsed = parse_json_isolated(lines, "value", ORDER_SCHEMA, required=[])
     return parsed.where(~F.col("failed")).select(*record_fields(parsed, "parsed"))
 
 

@@ -2,64 +2,110 @@
 
 Each runner is a plain function taking a session and locations, so it can be
 called from a scheduler, a notebook or ``python -m tidewater``.
-Audit counts come from ``DataFrame.observe`` during the write (A12): the
-input is scanned once, not once per count.
+The input of a run is parsed once: its typed rows are persisted while the good
+ones, the rejected ones and the audit counts (A12) are taken from them.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import clean as C
 from ..functions import contracts as K
 from ..functions import features as X
 from ..functions import rules as RU
 from ..operators import model as ML
 from ..operators import reports as R
+from ..operators.dedup import dedup_by_key
 from ..operators.routing import route_by_severity, with_errors
 from ..sinks import audit, keyed, lake
 from ..sinks.warehouse import warehouse_load
 from ..sources import files
-from .jobs import enrich_orders, features_etl, orders_etl, sales_etl
+from .jobs import ORDERS_REQUIRED, SALES_REQUIRED, features_etl, incomplete, orders_typed, sales_typed
 
 SALES_SCHEMA = ("transaction_id STRING, store_id STRING, product_id STRING, product_name STRING, category STRING, "
                 "quantity STRING, unit_price STRING, amount STRING, sale_date STRING, payment_method STRING")
+# numbers are read as text and cast later, so that one bad optional value does
+# not cost the whole order
 ORDER_SCHEMA = ("order_id STRING, customer_id STRING, product_id STRING, product_name STRING, category STRING, "
-                "quantity INT, unit_price DOUBLE, total_amount DOUBLE, order_status STRING, payment_method STRING, "
+                "quantity STRING, unit_price STRING, total_amount STRING, order_status STRING, payment_method STRING, "
                 "region STRING, timestamp STRING, processed_at STRING")
 TX_SCHEMA = ("transaction_id STRING, amount DOUBLE, merchant_category STRING, hour_of_day INT, day_of_week INT, "
              "user_account_age_days INT, previous_fraud_count INT, distance_from_home_km DOUBLE, "
              "is_foreign_transaction INT, transaction_frequency_24h INT")
 SCORES_SCHEMA = "name STRING, subject STRING, score INT"
+RAW = "_raw"
 INCIDENT_SCHEMA = "id STRING, message STRING, severity STRING"
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+def _text(df: DataFrame) -> F.Column:
+    """A row as it was read: the broken line, or its values as JSON."""
+    body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in (files.CORRUPT, "source_file")]))
+    return F.coalesce(F.col(files.CORRUPT), body) if files.CORRUPT in df.columns else body
+
+
+def _arrived(df: DataFrame) -> DataFrame:
+    """Rows with the file they came from, that file's load id, and their text
+    as it was read."""
+    path = F.col("_metadata.file_path")
+    return df.withColumns({RAW: _text(df), "source_file": path, lake.LOAD: lake.load_id(path)})
+
+
+def _errors(out_path: str, errors_path: str | None) -> str:
+    return errors_path or out_path.rstrip("/") + "-errors"
+
+
+def _rejects(df: DataFrame, when: F.Column, reason: F.Column) -> DataFrame:
+    """Rejected rows as they were read, with the reason, source file and load."""
+    return df.where(when).select(F.col(RAW).alias("record"), reason.alias("reason"), "source_file", lake.LOAD)
+
+
+def _load(typed: DataFrame, required: list[str], clean: Callable[[DataFrame], DataFrame], out_path: str, errors_path: str,
+          job: str) -> dict:
+    """Write the good rows of a run's loads and dead-letter the others: broken
+    lines, and rows without a required value. The input is parsed once."""
+    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        loads = lake.loads_of(typed)
+        broken = F.col(files.CORRUPT).isNotNull()
+        bad = broken | incomplete(required)
+        good = clean(typed.where(~bad).drop(files.CORRUPT, RAW, "source_file"))
+        rows = lake.write_load(good, out_path, ["year", "month", "day"], loads=loads)
+        reason = F.when(broken, F.lit("unreadable")).otherwise(F.lit("missing required value"))
+        rejected = lake.dead_letter(_rejects(typed, bad, reason), errors_path, job, loads)
+        return {"raw_rows": typed.count(), "rows": rows, "rejected": rejected}
+    finally:
+        typed.unpersist()
 
 
 # ---------------------------------------------------------------- sales lake
-def run_sales(spark: SparkSession, raw_path: str, out_path: str, mode: str = "overwrite") -> dict:
-    """CSV -> clean -> Parquet partitioned year/month/day. Returns the audit
-    (raw vs written rows) gathered during the single write."""
-    raw, raw_obs = _observed(files.read_csv(spark, raw_path, SALES_SCHEMA), "raw")
-    clean, out_obs = _observed(sales_etl(raw.drop(files.CORRUPT)), "clean")
-    lake.write_partitioned(clean, out_path, ["year", "month", "day"], mode=mode)
-    return {"raw_rows": raw_obs.get["rows"], "clean_rows": out_obs.get["rows"]}
+def run_sales(spark: SparkSession, raw_path: str, out_path: str, errors_path: str | None = None) -> dict:
+    """CSV -> clean -> Parquet partitioned year/month/day, one load per uploaded
+    file: a second file for a day adds to the day, the same file again replaces
+    itself. Returns the audit counts."""
+    raw = _arrived(files.read_csv(spark, raw_path, SALES_SCHEMA))
+    done = _load(sales_typed(raw), SALES_REQUIRED, lambda df: C.with_date_partitions(df, "sale_date"), out_path,
+                 _errors(out_path, errors_path), "sales")
+    return {"raw_rows": done["raw_rows"], "clean_rows": done["rows"], "rejected_rows": done["rejected"]}
 
 
 # ---------------------------------------------------------------- order stream, batch side
-def run_orders_etl(spark: SparkSession, raw_path: str, out_path: str, mode: str = "overwrite") -> dict:
-    """Landed JSON -> clean, typed, deduplicated -> partitioned Parquet, and
-    the warehouse-shaped view of the same rows."""
-    raw = files.read_ndjson(spark, raw_path, ORDER_SCHEMA)
-    good = raw.where(F.col(files.CORRUPT).isNull()).drop(files.CORRUPT)
-    clean, obs = _observed(orders_etl(good), "orders")
-    lake.write_partitioned(clean, out_path, ["year", "month", "day"], mode=mode)
-    return {"rows": obs.get["rows"]}
+def run_orders_etl(spark: SparkSession, raw_path: str, out_path: str, errors_path: str | None = None) -> dict:
+    """Landed JSON -> clean, typed, deduplicated -> partitioned Parquet, one load
+    per landed file, and the warehouse-shaped view of the same rows."""
+    raw = _arrived(files.read_ndjson(spark, raw_path, ORDER_SCHEMA))
+
+    def clean(df: DataFrame) -> DataFrame:
+        return dedup_by_key(C.with_date_partitions(df, "event_ts"), ["order_id"], required=ORDERS_REQUIRED)
+
+    done = _load(orders_typed(raw), [*ORDERS_REQUIRED, "event_ts"], clean, out_path, _errors(out_path, errors_path), "orders")
+    return {"rows": done["rows"], "rejected": done["rejected"]}
 
 
 def warehouse_rows(spark: SparkSession, lake_path: str) -> DataFrame:
@@ -68,29 +114,41 @@ def warehouse_rows(spark: SparkSession, lake_path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- fraud features + model
 def run_fraud_features(spark: SparkSession, tx_path: str, feature_path: str, parquet_path: str,
-                       run_date: _dt.date) -> dict:
-    """Transactions CSV -> features CSV (per source file) -> typed,
-    deduplicated Parquet with ingest-date partitions."""
-    tx = files.with_source_file(files.read_csv(spark, tx_path, TX_SCHEMA).drop(files.CORRUPT))
-    feats = X.fraud_features(tx, keep=("transaction_id", "source_file"))
-    lake.write_feature_csv(feats, feature_path)
-    back = spark.read.option("header", True).csv(feature_path)
-    out, obs = _observed(features_etl(back.drop("source_file"), run_date, keep_id=False), "features")
-    lake.write_partitioned(out, parquet_path, ["year", "month", "day"], mode="append")
-    return {"rows": obs.get["rows"]}
+                       run_date: _dt.date, errors_path: str | None = None) -> dict:
+    """Transactions CSV -> request contract (all rules; rejects are kept with
+    the rules they break) -> features CSV per source file with the ids in a
+    side table -> typed, deduplicated Parquet with ids and ingest-date
+    partitions, one load per source file."""
+    tx = files.read_csv(spark, tx_path, TX_SCHEMA)
+    tx = _arrived(tx).withColumn("file_name", F.col("_metadata.file_name"))
+    checked = with_errors(tx, K.transaction_rules()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        loads = lake.loads_of(checked)
+        bad = F.col(files.CORRUPT).isNotNull() | ~F.col("valid")
+        reason = F.when(F.col(files.CORRUPT).isNotNull(), F.lit("unreadable")).otherwise(F.array_join("errors", ","))
+        rejected = lake.dead_letter(_rejects(checked, bad, reason), _errors(parquet_path, errors_path), "fraud_features", loads)
+        feats = X.fraud_features(checked.where(~bad), keep=("transaction_id", "file_name", lake.LOAD))
+        by_file = feats.withColumnRenamed("file_name", "source_file").drop(lake.LOAD)
+        lake.write_feature_csv(by_file, feature_path, ids_path=feature_path.rstrip("/") + "-ids")
+        rows = lake.write_load(features_etl(feats.drop("file_name"), run_date), parquet_path, ["year", "month", "day"], loads=loads)
+        return {"rows": rows, "rejected": rejected}
+    finally:
+        checked.unpersist()
 
 
 def run_fraud_model(spark: SparkSession, train_path: str, validation_path: str, score_df: DataFrame,
-                    predictions_path: str, **gbt) -> dict:
+                    predictions_path: str, batch: str | None = None, **gbt) -> dict:
     """Label-first CSVs -> boosted trees (positive weight 4) -> AUC ->
-    score + label every input -> predictions JSON by date + audit columns."""
+    score + label every input -> predictions JSON by date + audit columns. A
+    batch that is scored again (same ``batch`` name) replaces its rows."""
     tr = files.read_label_first_csv(spark, train_path, "label", X.FRAUD_FEATURES)
     va = files.read_label_first_csv(spark, validation_path, "label", X.FRAUD_FEATURES)
     tr = tr.withColumn("w", ML.class_weight("label", ML.FRAUD_POSITIVE_WEIGHT))
     model = ML.train_gbt(tr, X.FRAUD_FEATURES, "label", weight="w", **gbt)
     auc = ML.auc(model, va, "label")
     scored = ML.scored_audit(ML.fraud_labels(ML.score(model, score_df)))
-    lake.write_partitioned(scored, predictions_path, ["date"], mode="append", fmt="json")
+    load = lake.load_id(F.lit(batch or uuid.uuid4().hex))
+    lake.write_load(scored.withColumn(lake.LOAD, load), predictions_path, ["date"], fmt="json")
     return {"auc": auc}
 
 
@@ -105,34 +163,49 @@ def run_loan_model(spark: SparkSession, train_path: str, validation_path: str, a
 
 
 # ---------------------------------------------------------------- batch scores
-def run_scores(spark: SparkSession, bucket_path: str, table_path: str) -> DataFrame:
+def run_scores(spark: SparkSession, bucket_path: str, table_path: str, errors_path: str | None = None) -> DataFrame:
     """Latest object in key order -> PASS/FAIL -> append with id and
-    created_at defaults."""
+    created_at defaults. The same object again replaces its rows."""
     key = files.latest_object(spark, bucket_path)
     if key is None:
         return spark.createDataFrame([], SCORES_SCHEMA + ", status STRING")
-    df = files.read_csv(spark, key, SCORES_SCHEMA).drop(files.CORRUPT)
-    out = df.select(F.col("name").alias("student_name"), "subject", "score", RU.pass_fail("score").alias("status"))
-    out = audit.with_defaults(out, {"created_at": F.current_timestamp()}, id_col="id",
-                              id_from=("student_name", "subject", "score"))
-    out.write.mode("append").parquet(table_path)
-    return out
+    df = _arrived(files.read_csv(spark, key, SCORES_SCHEMA)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        loads = lake.loads_of(df)
+        broken = F.col(files.CORRUPT).isNotNull()
+        lake.dead_letter(_rejects(df, broken, F.lit("unreadable")), _errors(table_path, errors_path), "scores", loads)
+        out = df.where(~broken).select(F.col("name").alias("student_name"), "subject", "score", RU.pass_fail("score").alias("status"),
+                                       lake.LOAD)
+        out = audit.with_defaults(out, {"created_at": F.current_timestamp()}, id_col="id", id_from=(lake.LOAD,))
+        lake.write_load(out, table_path, (), loads=loads)
+    finally:
+        df.unpersist()
+    return lake.read_partitioned(spark, table_path)
 
 
 # ---------------------------------------------------------------- incidents
-def run_incidents(spark: SparkSession, docs_path: str, store_path: str, log_path: str, outbox_path: str) -> dict:
+def run_incidents(spark: SparkSession, docs_path: str, store_path: str, log_path: str, outbox_path: str,
+                  errors_path: str | None = None) -> dict:
     """JSON documents -> severity routing; HIGH -> alert outbox, others ->
-    per-date log files; every incident upserted into the keyed store."""
-    inc = files.read_json_documents(spark, docs_path, INCIDENT_SCHEMA).drop(files.CORRUPT).cache()
-    routed = route_by_severity(inc)
-    routed.where(F.col("route") == "alert").select("id", "alert_text").write.mode("append").json(outbox_path)
-    logs = routed.where(F.col("route") == "log").select("id", "message", "severity", "log_key",
-                                                         F.current_timestamp().alias("logged_at"))
-    lake.write_json_by_date(logs, log_path, "logged_at")
-    keyed.upsert_into(spark, store_path, inc, ["id"])
-    counts = {r.route: r.n for r in routed.groupBy("route").agg(F.count(F.lit(1)).alias("n")).collect()}
-    inc.unpersist()
-    return counts
+    per-date log files; every incident upserted into the keyed store. A
+    document that comes again replaces its alert and its log."""
+    docs = _arrived(files.read_json_documents(spark, docs_path, INCIDENT_SCHEMA)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        loads = lake.loads_of(docs)
+        bad = F.col(files.CORRUPT).isNotNull() | F.col("id").isNull()
+        lake.dead_letter(_rejects(docs, bad, F.lit("unreadable or without id")), _errors(store_path, errors_path), "incidents", loads)
+        good = docs.where(~bad)
+        routed = route_by_severity(good.select("id", "message", "severity")).join(good.select("id", lake.LOAD).distinct(), "id")
+        alerts = routed.where(F.col("route") == "alert").select("id", "alert_text", lake.LOAD)
+        lake.write_load(alerts, outbox_path, (), fmt="json", loads=loads)
+        logs = routed.where(F.col("route") == "log").select("id", "message", "severity", "log_key", F.current_timestamp().alias("logged_at"),
+                                                             lake.LOAD)
+        logs = logs.withColumn("date", F.date_format("logged_at", "yyyy-MM-dd"))
+        lake.write_load(logs, log_path, ["date"], fmt="json", loads=loads)
+        keyed.upsert_into(spark, store_path, good.select("id", "message", "severity"), ["id"])
+        return {r.route: r.n for r in routed.groupBy("route").agg(F.count(F.lit(1)).alias("n")).collect()}
+    finally:
+        docs.unpersist()
 
 
 # ---------------------------------------------------------------- visitors
@@ -148,45 +221,48 @@ def run_visitor_summary(spark: SparkSession, visitors: DataFrame, summary_path:
 # ---------------------------------------------------------------- reports
 def run_reports(spark: SparkSession, docs_path: str, audit_path: str, outbox_path: str) -> DataFrame:
     """Nested JSON reports -> contract (filename, non-empty data list) ->
-    audit rows for valid ones, failure notices for the rest -> dashboard."""
-    raw = spark.read.option("wholetext", True).text(docs_path).select(
-        F.col("_metadata.file_name").alias("key"), F.col("value").alias("doc"))
+    audit rows for valid ones, failure notices (with the rejected document)
+    for the rest -> dashboard. A report file that comes again replaces its
+    audit row and its notice."""
+    raw = _arrived(spark.read.option("wholetext", True).text(docs_path)).select(
+        F.element_at(F.split("source_file", "/"), -1).alias("key"), F.col("value").alias("doc"), lake.LOAD)
     rules = {"missing_filename": ~F.array_contains(K.missing_keys("doc", ["filename"]), "filename"),
              "missing_data": ~F.array_contains(K.missing_keys("doc", ["data"]), "data"),
              "data_not_non_empty_list": K.non_empty_json_array("doc", "$.data")}
-    checked = with_errors(raw, rules).cache()
-    good = checked.where("valid").select(
-        F.get_json_object("doc", "$.filename").alias("filename"),
-        F.json_array_length(F.get_json_object("doc", "$.data")).alias("record_count"),
-        F.lit("processed").alias("status"), F.current_timestamp().alias("created_at"))
-    good.write.mode("append").parquet(audit_path)
-    notices = checked.select(
-        "key", RU.report_notification(F.when(F.col("valid"), F.lit("processed")).otherwise(F.lit("failed")),
-                                      F.get_json_object("doc", "$.filename"), F.lit(None).cast("string"),
-                                      F.json_array_length(F.get_json_object("doc", "$.data")),
-                                      error=F.array_join("errors", ", ")).alias("n")).select("key", "n.*")
-    notices.write.mode("append").json(outbox_path)
-    checked.unpersist()
-    return R.dashboard_stats(spark.read.parquet(audit_path), completed=("completed", "processed"))
+    checked = with_errors(raw, rules).withColumns({
+        "filename": F.get_json_object("doc", "$.filename"),
+        "record_count": F.json_array_length(F.get_json_object("doc", "$.data"))}).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        loads = lake.loads_of(checked)
+        rows = audit.report_audit(checked.where("valid"), data="record_count").join(
+            checked.where("valid").select("filename", lake.LOAD).distinct(), "filename")
+        lake.write_load(rows, audit_path, (), loads=loads)
+        notice = RU.report_notification(F.when(F.col("valid"), F.lit("processed")).otherwise(F.lit("failed")), "filename",
+                                        F.xxhash64("filename"), "record_count", error=F.array_join("errors", ", "), event="doc")
+        lake.write_load(checked.select("key", notice.alias("n"), lake.LOAD).select("key", "n.*", lake.LOAD), outbox_path, (), fmt="json", loads=loads)
+    finally:
+        checked.unpersist()
+    return R.dashboard_stats(lake.read_partitioned(spark, audit_path), completed=("completed", "processed"))
 
 
 # ---------------------------------------------------------------- sales lake, triggered by arrivals
-def run_sales_stream(spark: SparkSession, landing: str, out_path: str, checkpoint: str) -> dict:
+def run_sales_stream(spark: SparkSession, landing: str, out_path: str, checkpoint: str, errors_path: str | None = None) -> dict:
     """New ``.csv`` objects under ``landing`` (any case of the suffix) ->
     clean -> append to the partitioned lake. Each run reads only files not
     seen before (the checkpoint remembers them) and then stops
     (``availableNow``), like the reference's per-upload job trigger."""
     from ..streaming.jobs import csv_arrivals
-    counts = {"batches": 0, "rows": 0}
+    counts = {"batches": 0, "rows": 0, "rejected": 0}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        clean = sales_etl(batch.drop(files.CORRUPT, "source_file"))
-        clean, obs = _observed(clean, f"sales_batch_{batch_id}")
-        # one folder level per batch id keeps a replayed batch idempotent
-        lake.write_partitioned(clean.withColumn("batch_id", F.lit(batch_id)), out_path,
-                               ["batch_id", "year", "month", "day"], mode="overwrite")
+        # the load is the file, not the batch: the date folders hold all
+        # arrivals and a replayed batch replaces its own files' rows
+        arrived = batch.withColumns({lake.LOAD: lake.load_id(F.col("source_file")), RAW: _text(batch)})
+        done = _load(sales_typed(arrived), SALES_REQUIRED, lambda df: C.with_date_partitions(df, "sale_date"), out_path,
+                     _errors(out_path, errors_path), f"sales_batch_{batch_id}")
         counts["batches"] += 1
-        counts["rows"] += obs.get["rows"]
+        counts["rows"] += done["rows"]
+        counts["rejected"] += done["rejected"]
 
     q = (csv_arrivals(spark, landing, SALES_SCHEMA).writeStream.foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -196,23 +272,34 @@ def run_sales_stream(spark: SparkSession, landing: str, out_path: str, checkpoin
 
 # ---------------------------------------------------------------- orders, incremental (ST6 + K3)
 def run_orders_incremental(spark: SparkSession, landing: str, store_path: str, checkpoint: str,
-                           buckets: int = 64) -> dict:
+                           buckets: int | None = None, errors_path: str | None = None) -> dict:
     """Only the raw JSON files landed since the last run are read
     (``availableNow``); each batch is cleaned and upserted by ``order_id``
     into the keyed store, so re-sent orders collapse across the whole history
     (the reference's append-only re-read duplicates them, trap T5). Later
     event time wins; equal times fall back to the full-row order."""
-    counts = {"batches": 0, "rows": 0}
+    counts = {"batches": 0, "rows": 0, "rejected": 0}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good = batch.where(F.col(files.CORRUPT).isNull()).drop(files.CORRUPT)
-        clean, obs = _observed(orders_etl(good), f"orders_batch_{batch_id}")
-        keyed.upsert_into(batch.sparkSession, store_path, clean, ["order_id"], seq=["event_ts"], buckets=buckets)
-        counts["batches"] += 1
-        counts["rows"] += obs.get["rows"] or 0
+        typed = orders_typed(batch.withColumn(RAW, _text(batch))).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            broken = F.col(files.CORRUPT).isNotNull()
+            bad = broken | incomplete(ORDERS_REQUIRED)
+            reason = F.when(broken, F.lit("unreadable")).otherwise(F.lit("missing required value"))
+            load = lake.load_id(F.lit(f"{checkpoint}/{batch_id}"))
+            rejected = lake.dead_letter(_rejects(typed.withColumn(lake.LOAD, load), bad, reason), _errors(store_path, errors_path), "orders")
+            good = C.with_date_partitions(typed.where(~bad).drop(files.CORRUPT, RAW, "source_file"), "event_ts")
+            clean = dedup_by_key(good, ["order_id"], required=ORDERS_REQUIRED).persist(StorageLevel.MEMORY_AND_DISK)
+            keyed.upsert_into(batch.sparkSession, store_path, clean, ["order_id"], seq=["event_ts"], buckets=buckets)
+            counts["batches"] += 1
+            counts["rows"] += clean.count()
+            counts["rejected"] += rejected
+            clean.unpersist()
+        finally:
+            typed.unpersist()
 
     stream = (spark.readStream.schema(files._with_corrupt(ORDER_SCHEMA)).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", files.CORRUPT).json(landing))
+              .option("columnNameOfCorruptRecord", files.CORRUPT).json(landing).withColumn("source_file", F.col("_metadata.file_path")))
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

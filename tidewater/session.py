@@ -21,16 +21,18 @@ REQUIRED_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
-# Settings for the execution model; a cluster may override them.
+# Settings for the execution model, used where the cluster sets none.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+# Settings that only a session's start can set; a cluster sets its own.
+STATIC_CONF = {
     "spark.ui.enabled": "false",
-    # Only rewrite the partitions a write touches (idempotent re-runs).
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Remove checkpoint files (keyed-store merges, ML) once unreferenced.
+    # Remove checkpoint files (model training) once unreferenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -60,12 +62,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    sizing = CLUSTER_CONF if profile == "cluster" else {}
-    for k, v in {**DEFAULT_CONF, **sizing, **REQUIRED_CONF, **(extra or {})}.items():
+    for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
+    if master:                      # a session of our own: nobody else set the static ones
+        for k, v in STATIC_CONF.items():
+            if k not in (extra or {}):
+                builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for k, v in {**DEFAULT_CONF, **(CLUSTER_CONF if profile == "cluster" else {})}.items():
+        if not given.contains(k) and k not in (extra or {}) and not (shuffle_partitions and k == "spark.sql.shuffle.partitions"):
+            spark.conf.set(k, v)
     configure(spark)
     return spark
 

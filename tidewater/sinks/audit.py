@@ -7,23 +7,29 @@ from pyspark.sql import functions as F
 
 
 def report_audit(reports: DataFrame, filename: str = "filename", data: str = "data",
-                 status: str = "processed", created_at: Column | None = None) -> DataFrame:
-    """K9: (filename, record_count, status, created_at) per validated report."""
+                 status: str | Column = "processed", created_at: Column | None = None) -> DataFrame:
+    """K9: (id, filename, record_count, status, created_at) per validated
+    report. ``data`` is the records or their number; ``status`` a text or a
+    column. The id is a hash of the file name, which is the report's key: a
+    report that is processed again keeps its id."""
     ts = F.current_timestamp() if created_at is None else created_at
-    return reports.select(F.col(filename).alias("filename"), F.size(F.col(data)).alias("record_count"),
-                          F.lit(status).alias("status"), ts.alias("created_at"))
+    size = F.size(F.col(data)) if reports.schema[data].dataType.typeName() == "array" else F.col(data)
+    return reports.select(F.xxhash64(F.col(filename)).alias("id"), F.col(filename).alias("filename"), size.alias("record_count"),
+                          (F.lit(status) if isinstance(status, str) else status).alias("status"), ts.alias("created_at"))
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, Column], id_col: str | None = None,
                   id_from: tuple[str, ...] = ()) -> DataFrame:
     """Fill missing columns / nulls with defaults (e.g. now()), and add
-    a surrogate id. The id is a content hash of ``id_from`` when given
-    (reproducible on retry), else ``uuid()``. A dense serial would need one
-    global ordering task, so it is not offered."""
+    a surrogate id. With ``id_from`` (say, the source file) it is a hash of
+    those columns and the row's position in its scan, so that equal rows have
+    ids of their own and a retry of the same files gives the same ids; else
+    ``uuid()``. A dense serial would need one global ordering task, so it is
+    not offered."""
     out = df
     for c, d in defaults.items():
         out = out.withColumn(c, F.coalesce(F.col(c), d) if c in df.columns else d)
     if id_col:
-        ident = F.xxhash64(*[F.col(c) for c in id_from]) if id_from else F.uuid()
+        ident = F.xxhash64(*[F.col(c) for c in id_from], F.monotonically_increasing_id()) if id_from else F.uuid()
         out = out.withColumn(id_col, ident)
     return out

@@ -22,7 +22,9 @@ def folder_writer(path: str, fmt: str = "json", where=None, partition_cols=()) -
     """Writes the batch (optionally filtered) to ``path/batch_id=<n>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
         out = batch if where is None else batch.where(where)
-        w = out.write.mode("overwrite").format(fmt)
+        # static: the whole batch folder is replaced, whatever the session's
+        # overwrite mode, so a replay in another hour leaves no earlier partition
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
         if partition_cols:
             w = w.partitionBy(*partition_cols)
         w.save(f"{path}/batch_id={batch_id}")

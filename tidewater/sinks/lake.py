@@ -10,29 +10,84 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+LOAD = "load"
+
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "append",
                       fmt: str = "parquet") -> None:
-    """K1. ``mode='overwrite'`` rewrites only the partitions present in
-    ``df`` (dynamic partition overwrite), which makes a re-run idempotent
-    (trap T5); ``append`` is the reference's behaviour."""
+    """K1. ``append`` adds files; ``overwrite`` rewrites only the partitions
+    present in ``df`` (dynamic partition overwrite); ``replace`` makes ``df``
+    the whole table, so that no partition of an earlier run stays. For one run
+    per upload use ``write_load``."""
     cols = list(partition_cols)
     out = df.hint("rebalance", *cols) if cols else df
-    w = out.write.mode(mode).format(fmt)
-    if mode == "overwrite":
-        w = w.option("partitionOverwriteMode", "dynamic")
+    w = out.write.mode("append" if mode == "append" else "overwrite").format(fmt)
+    if mode != "append":
+        w = w.option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
     if cols:
         w = w.partitionBy(*cols)
     w.save(path)
 
 
+def load_id(source: Column) -> Column:
+    """Names a load by the file (or batch) it came from, so that the same
+    upload always is the same load."""
+    return F.substring(F.sha2(source, 256), 1, 16)
+
+
+def loads_of(df: DataFrame) -> list[str]:
+    """The loads of a run: one value per input file."""
+    return [r[0] for r in df.select(LOAD).distinct().collect()]
+
+
+def write_load(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet", loads: Sequence[str] = ()) -> int:
+    """Append loads: ``df`` carries a ``load`` column, which becomes the
+    innermost partition. A load's partitions are replaced when it comes again
+    (a retried or repeated upload) and other loads of the same day stay. Then
+    partitions of these loads that the new version no longer has are removed;
+    a crash in between is mended by the retry. ``loads`` names loads that may
+    have no row left. Returns the number of rows. The driver sees one row per
+    (partition, load) written."""
+    spark, cols = df.sparkSession, [*partition_cols, LOAD]
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_partitioned(df, path, cols, mode="overwrite", fmt=fmt)
+        new = {tuple(r) for r in df.select(*cols).distinct().collect()}
+        rows = df.count()
+    finally:
+        df.unpersist()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for load in {*loads, *(key[-1] for key in new)}:
+        pattern = "/".join([path.rstrip("/"), *["*"] * len(partition_cols), f"{LOAD}={load}"])
+        where = jvm.org.apache.hadoop.fs.Path(pattern)
+        fs = where.getFileSystem(conf)
+        for found in fs.globStatus(where) or []:
+            parts = found.getPath().toString().split("/")[-len(cols):]
+            key = tuple(p.split("=", 1)[1] for p in parts)
+            if key not in new:
+                fs.delete(found.getPath(), True)
+    return rows
+
+
 def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Partition values come back as strings (month='01'), trap T3."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.format(fmt).option("basePath", path).load(path)
+    """Partition values come back as strings (month='01'), trap T3: the session
+    must not infer their types (``session.configure`` sees to it). The load
+    column of ``write_load`` is left out."""
+    if spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") != "false":
+        raise ValueError("partition values would be read as numbers; call session.configure first")
+    return spark.read.format(fmt).option("basePath", path).load(path).drop(LOAD)
+
+
+# ---------------------------------------------------------------- F7 / T4
+def dead_letter(bad: DataFrame, path: str, job: str, loads: Sequence[str] = ()) -> int:
+    """Rejected records (text, reason, source file and load) as JSON lines with
+    the job's name and the time, under ``path``. A repeated upload replaces its
+    own rejects. Returns their number."""
+    return write_load(bad.withColumns({"job": F.lit(job), "rejected_at": F.current_timestamp()}), path, (), fmt="json", loads=loads)
 
 
 # ---------------------------------------------------------------- K7
@@ -47,9 +102,15 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     df.write.mode(mode).option("header", header).csv(path)
 
 
-def write_feature_csv(features: DataFrame, path: str, source_col: str = "source_file", mode: str = "overwrite") -> None:
+def write_feature_csv(features: DataFrame, path: str, source_col: str = "source_file", ids_path: str | None = None) -> None:
+    """One folder per source file, features only; the ids go to a side table
+    (source file, id, features) at ``ids_path``. A source file that comes again
+    replaces its own folder, others stay."""
     body = features.drop("transaction_id") if "transaction_id" in features.columns else features
-    body.write.mode(mode).option("header", True).partitionBy(source_col).csv(path)
+    for df, target, fmt in ((body, path, "csv"), (features if ids_path else None, ids_path, "parquet")):
+        if df is not None:
+            (df.write.mode("overwrite").option("header", True).option("partitionOverwriteMode", "dynamic")
+             .partitionBy(source_col).format(fmt).save(target))
 
 
 # ---------------------------------------------------------------- K12

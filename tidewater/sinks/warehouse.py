@@ -57,4 +57,5 @@ def write_distributed(df: DataFrame, table: str, dist_key: str, sort_key: str, m
     if buckets:
         w.bucketBy(buckets, dist_key).sortBy(sort_key).saveAsTable(table)
     else:
-        df.repartition(dist_key).sortWithinPartitions(sort_key).write.mode(mode).saveAsTable(table)
+        # rebalance splits a hot key over several tasks and packs small ones
+        df.hint("rebalance", dist_key).sortWithinPartitions(dist_key, sort_key).write.mode(mode).saveAsTable(table)

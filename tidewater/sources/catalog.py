@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def partition_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -15,16 +16,30 @@ def partition_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def register_table(spark: SparkSession, name: str, path: str, schema_ddl: str | None = None,
                    partition_cols: Sequence[str] = ()) -> DataFrame:
     """An external Parquet table over ``path``; partitions discovered
-    from the folder layout (MSCK REPAIR), compatible schemas merged.
-    Re-running keeps the table and only adds new partitions."""
+    from the folder layout (MSCK REPAIR). Re-running keeps the table and adds
+    new partitions, and columns that newer files have and the table does not
+    (their schemas are merged from the file footers)."""
     cols = f"({schema_ddl})" if schema_ddl else ""
     parts = f"PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols and schema_ddl else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {cols} USING parquet {parts} "
               f"OPTIONS (mergeSchema 'true') LOCATION '{path}'")
+    known = {c.lower() for c in spark.table(name).columns}
+    found = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path).schema
+    new = [f"`{c.name}` {c.dataType.simpleString()}" for c in found.fields if c.name.lower() not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
     if partition_cols:
         spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
     return spark.table(name)
 
 
+def listed_partitions(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame:
+    """S12 from the listing of a partitioned folder: names only, no file is
+    opened. Values are text."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+             .select("path"))
+    return files.select(*[F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in cols]).distinct()
+
+
 def show_partitions(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {name}")

@@ -1,8 +1,9 @@
 """Stream envelopes and JSON payloads.
 
 A record arrives as ``(sequence_number, data)`` where ``data`` is base64 of a
-UTF-8 JSON line. Decoding never raises: bad base64 or bad JSON give a null
-payload and a ``failed`` flag, so the batch goes on (per-record isolation).
+UTF-8 JSON line. Decoding never raises: bad base64, bytes that are not UTF-8 or
+bad JSON give a null payload and a ``failed`` flag, so the batch goes on
+(per-record isolation).
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def decode_envelope(env: DataFrame, schema: str | StructType, data: str = "data"
     whose bytes or JSON could not be read (the original ``data`` stays for the
     dead letter) (trap T4: a corrupt line parses to
     a struct of nulls, so failure is read from the corrupt-record field)."""
-    text = F.decode(F.try_to_binary(F.col(data), F.lit("base64")), "UTF-8")
+    text = F.try_validate_utf8(F.try_to_binary(F.col(data), F.lit("base64")).cast("string"))
     out = _parse_once(env, text, schema)
     return out.withColumn("failed", F.col("record").isNull() | F.col("record")[CORRUPT].isNotNull())
 

@@ -61,15 +61,16 @@ def with_source_file(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- S5
-def arrival_filter(path_col: str, prefix: str = "", suffix: str = ".csv", case_sensitive: bool = False):
-    """Predicate on an object key / path: under ``prefix`` and ending in
-    ``suffix`` (the sales trigger lower-cases the key, the ML one does not)."""
+def arrival_filter(path_col: str, prefix: str = "", suffix: str = ".csv", case_sensitive: bool = False, root: str = ""):
+    """Predicate on an object key: it starts with ``prefix`` and ends in
+    ``suffix`` (the sales trigger lower-cases the key, the ML one does not). For
+    full paths give ``root``, the part before the keys."""
     p = F.col(path_col)
     key = p if case_sensitive else F.lower(p)
     sfx = suffix if case_sensitive else suffix.lower()
     cond = key.endswith(sfx)
     if prefix:
-        cond = cond & (F.col(path_col).contains("/" + prefix) | F.col(path_col).startswith(prefix))
+        cond = cond & F.col(path_col).startswith(root.rstrip("/") + "/" + prefix if root else prefix)
     return cond
 
 

@@ -7,6 +7,7 @@ batch, so replays do not duplicate output.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions import clean as C
-from ..sinks.fanout import fan_out
+from ..sinks.fanout import fan_out, folder_writer
 from ..sources.envelope import decode_envelope, record_fields
 from ..sources.files import CORRUPT, _with_corrupt, suffix_glob
 
@@ -67,17 +68,19 @@ def enrich(envelopes: DataFrame, schema: str, clock=None) -> DataFrame:
 
 # ---------------------------------------------------------------- K2 / ST3 / ST4
 def land_raw(df: DataFrame, path: str, errors_path: str, checkpoint: str, trigger_s: int = 60,
-             available_now: bool = False) -> StreamingQuery:
+             available_now: bool = False, arrival: _dt.datetime | None = None) -> StreamingQuery:
     """Raw landing: good records as JSON in arrival-time year/month/day/hour
     folders, failed ones under a separate error prefix. One foreachBatch so
-    both outputs commit with the same batch id."""
+    both outputs commit with the same batch id; the batch is decoded once and
+    a replay replaces both of its folders (``arrival``: a fixed clock)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = C.with_date_partitions(batch.withColumn("_arrival", F.current_timestamp()), "_arrival", hour=True)
+        now = F.lit(arrival or _dt.datetime.now(_dt.timezone.utc)).cast("timestamp")     # one stamp for both outputs
+        stamped = C.with_date_partitions(batch.withColumn("_arrival", now), "_arrival", hour=True)
         good = stamped.where(~F.col("failed")).drop("failed", "data", "_arrival")
         bad = stamped.where(F.col("failed")).select("sequence_number", "data", "year", "month", "day", "hour")
-        for out, target in ((good, path), (bad, errors_path)):
-            (out.write.mode("overwrite").partitionBy("year", "month", "day", "hour")
-                .json(f"{target}/batch_id={batch_id}"))
+        parts = ("year", "month", "day", "hour")
+        fan_out({"raw": lambda b, i: folder_writer(path, partition_cols=parts)(good, i),
+                 "errors": lambda b, i: folder_writer(errors_path, partition_cols=parts)(bad, i)})(batch, batch_id)
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_s} seconds")
     return w.start()
