@@ -29,9 +29,14 @@ def doc_features():
 
 
 def labelled_documents(spark, sf, split_method: str = "mod"):
+    return scorable_documents(spark, sf, split_method).where(F.col("quality").isNotNull())
+
+
+def scorable_documents(spark, sf, split_method: str = "mod"):
+    """Every document with its features, and its label where it has one."""
     docs = read_table(spark, sf, "documents")
-    lab = read_table(spark, sf, "labels")
-    j = docs.join(lab, on="doc_id")
+    lab = read_table(spark, sf, "labels").select("doc_id", "quality")
+    j = docs.join(lab, on="doc_id", how="left")
     return j.select(
         "doc_id", "quality", *doc_features(),
         ML.split_flag("doc_id", 80, split_method).alias("split"),
@@ -70,12 +75,18 @@ def ml_split_summary(spark, sf):
 
 
 # ---------------------------------------------------------------- ML1, ML5, ML6 (rows only: a trained model)
+SCORED_AT = "2024-02-01 00:00:00"
+
+
 @query("doc_quality_scores", None, covers="ML1 ML3 ML5 ML6 P14 P15")
 def doc_quality_scores(spark, sf, max_iter: int = ML.GBT_PARAMS["maxIter"]):
+    """Train on the labelled training side, take the AUC on the validation
+    side, score every document, with the audit columns of a scoring run."""
     d = labelled_documents(spark, sf)
     model = ML.train_gbt(d.where(F.col("split") == "train"), DOC_FEATURES, "quality", weight="weight",
                          maxIter=max_iter)
-    scored = ML.score(model, d.where(F.col("split") == "validation"))
-    out = ML.loan_labels(ML.fraud_labels(scored))
-    return out.select("doc_id", "quality", "fraud_score", "label", "confidence", "probability", "risk_level",
-                      "recommendation")
+    auc = ML.auc(model, d.where(F.col("split") == "validation"), "quality")
+    scored = ML.score(model, scorable_documents(spark, sf))
+    out = ML.scored_audit(ML.loan_labels(ML.fraud_labels(scored)), F.lit(SCORED_AT).cast("timestamp_ntz"))
+    return out.select("doc_id", "quality", *DOC_FEATURES, "fraud_score", "label", "confidence", "probability", "risk_level",
+                      "recommendation", "scored_at", "date", F.lit(auc).alias("auc"))

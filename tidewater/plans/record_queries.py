@@ -244,11 +244,15 @@ def page_url_keys(spark, sf):
                     RU.date_prefix("url").alias("prefix10"))
 
 
-# ---------------------------------------------------------------- P24 (engine-specific JSON text)
-@query("event_json_lines", None, covers="P24")
+# ---------------------------------------------------------------- P24 (the text is the engine's own; what it says is not)
+@query("event_json_lines", """
+SELECT event_id, user_id, event_type, CASE WHEN event_id % 5 <> 0 THEN value END AS value, event_id % 5 = 0 AS value_left_out FROM events
+""", covers="P24")
 def event_json_lines(spark, sf):
-    ev = read_table(spark, sf, "events")
-    return ev.select("event_id", RU.to_json_line("event_id", "user_id", "event_type", "value").alias("json"))
+    ev = read_table(spark, sf, "events").withColumn("value", F.when(F.col("event_id") % 5 != 0, F.col("value")))
+    lines = ev.select(RU.to_json_line("event_id", "user_id", "event_type", "value").alias("json"))
+    back = F.from_json("json", "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE").alias("r")
+    return lines.select(back, (~F.col("json").contains('"value"')).alias("value_left_out")).select("r.*", "value_left_out")
 
 
 # ---------------------------------------------------------------- F5 (+P22 alert text, P23 log key)

@@ -209,10 +209,14 @@ def orders_newest_by_date(spark, sf, n: int = 50):
     return R.top_k(o, n, [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
 
 
-# ---------------------------------------------------------------- L3 (rows only: any 10 rows)
-@query("lineitem_first_rows", None, covers="L3")
+# ---------------------------------------------------------------- L3 (any 10 rows: how many, and are they the table's)
+@query("lineitem_first_rows", """
+SELECT least(count(*), 10) AS n_rows, least(count(*), 10) AS n_found FROM lineitem
+""", covers="L3")
 def lineitem_first_rows(spark, sf, n: int = 10):
-    return read_table(spark, sf, "lineitem").limit(n)
+    li = read_table(spark, sf, "lineitem")
+    known = li.distinct().withColumn("_known", F.lit(True))
+    return li.limit(n).join(known, li.columns, "left").agg(F.count(F.lit(1)).alias("n_rows"), F.count("_known").alias("n_found"))
 
 
 # ---------------------------------------------------------------- U1
