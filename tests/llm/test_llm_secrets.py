@@ -80,6 +80,16 @@ def test_clean_text_bomb_and_cycles():
     assert secrets.scan("%25" * 200)[1] == []
 
 
+def test_large_binary_value_is_left_in_linear_time():
+    import random
+    import time
+    r = random.Random(4)
+    text = B64(bytes(r.randrange(256) for _ in range(600_000)))
+    began = time.time()
+    assert secrets.scan(text + " " + NESTED["base64"])[1]
+    assert time.time() - began < 20
+
+
 def test_table(spark):
     rows = [(k, t, "x") for k, t in enumerate([*ODD, PLAIN, NESTED["gzip"], prose(1, 100_000) + " " + PLAIN, PLAIN])]
     df = spark.createDataFrame([*rows, rows[-1]], "doc_id long, text string, spans string")

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import bz2
+import codecs
 import lzma
 import re
 import zlib
@@ -54,6 +55,10 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{60,}(?:\r?\n[A-Za-z0-9+/_-]+)+|[A-Za-z0-9+/_-]{%d,})={0,2}" % MIN_BASE64)
 
+#: symbols that are decoded to see whether a start is worth the rest
+HEAD = 48
+MAGIC = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
+
 _RUN = np.zeros(256, bool)
 _RUN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *b"+/_-"]] = True
 
@@ -133,10 +138,29 @@ def _as_text(data: bytes) -> str | None:
     return None
 
 
+def _zlib(data: bytes) -> bool:
+    return len(data) > 6 and data[0] & 0x0F == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0
+
+
+def _plausible(head: bytes) -> bool:
+    """Whether a value that starts like this can be text or compressed."""
+    if head.startswith(MAGIC) or _zlib(head):
+        return True
+    if head.count(0) * 3 > len(head):
+        return len(head) >= 8                    # UTF-16 perhaps
+    if any(c < 0x20 and c not in b"\t\r\n" or c == 0x7F for c in head):
+        return False
+    try:
+        codecs.getincrementaldecoder("utf-8")().decode(head)
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 def _inflate(data: bytes, limit: int) -> tuple[str, bytes] | None:
     """Name and content of a compressed value; raises if it is too large."""
     try:
-        if data[:2] == b"\x1f\x8b" or (len(data) > 6 and data[0] & 0x0F == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0):
+        if data[:2] == b"\x1f\x8b" or _zlib(data):
             name, d = ("gzip", zlib.decompressobj(47)) if data[:2] == b"\x1f\x8b" else ("zlib", zlib.decompressobj())
             out = d.decompress(data, limit + 1)
         elif data[:3] == b"BZh":
@@ -163,6 +187,8 @@ def _base64(layer: Layer, limit: int) -> Iterator[Layer]:
             body = symbols[skip:]
             if len(body) < MIN_BASE64:
                 continue
+            if not _plausible(base64.b64decode(body[:min(HEAD, len(body) // 4 * 4)])):
+                continue                         # most starts fail here, at a bounded cost
             body = body[:len(body) - (len(body) % 4 == 1)]
             data = base64.b64decode(body + "=" * (-len(body) % 4))
             own, path, whole = place[skip:skip + len(body)], f"{layer.path}/base64", False
