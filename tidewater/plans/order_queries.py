@@ -82,7 +82,8 @@ def orders_warehouse_load(spark, sf):
 @query("orders_direct_load", f"""
 WITH r AS ({ORDER_RECORDS_SQL})
 SELECT substring(order_id, 1, 50) AS order_id, substring(customer_id, 1, 50) AS customer_id,
-       substring(product_id, 1, 50) AS product_id, substring(product_name, 1, 200) AS product_name,
+       substring(product_id, 1, 50) AS product_id,
+       substring(CASE quantity % 10 WHEN 1 THEN repeat(product_name, 20) WHEN 2 THEN product_name || chr(65533) || '(' ELSE product_name END, 1, 200) AS product_name,
        substring(replace(replace(lower(coalesce(category, '')), ' & ', '_'), ' ', '_'), 1, 100) AS category,
        quantity, unit_price, total_amount, substring(order_status, 1, 50) AS order_status,
        substring(payment_method, 1, 50) AS payment_method, substring(region, 1, 50) AS region,
@@ -90,4 +91,8 @@ SELECT substring(order_id, 1, 50) AS order_id, substring(customer_id, 1, 50) AS
 FROM r
 """, covers="K6 ST2")
 def orders_direct_load(spark, sf):
-    return direct_load(_landed(spark, sf))
+    # names that are too long for their column, and names with a broken byte
+    q, name = F.col("quantity").cast("int") % 10, F.col("product_name")
+    broken = F.concat(name.cast("binary"), F.unhex(F.lit("C328"))).cast("string")
+    rows = _landed(spark, sf).withColumn("product_name", F.when(q == 1, F.repeat(name, F.lit(20))).when(q == 2, broken).otherwise(name))
+    return direct_load(rows)
