@@ -15,4 +15,4 @@ def test_cli_query_to_parquet(spark, tmp, capsys):
 def test_cli_sales_job(spark, tmp, capsys):
     raw = write_text(f"{tmp}/raw/s.csv", [SALES_HEADER, *SALES_ROWS])
     main(["sales", "--raw", raw, "--out", f"{tmp}/lake"])
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"raw_rows": 10, "clean_rows": 10}
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"raw_rows": 10, "clean_rows": 10, "rejected_rows": 0}
