@@ -1,6 +1,6 @@
 """Classes of similar sets from shared buckets, without pairs of a bucket.
 
-Every bucket names centres in rounds: one, then two, four, ... A centre is
+Every bucket names centres in rounds: one, then four, sixteen, ... A centre is
 compared with the bucket's nodes in other components and leaves the bucket,
 having met everyone. Verified links join components; a bucket whose nodes are
 all in one component is done, and rounds end when every bucket is. So no link
@@ -17,38 +17,65 @@ from tidewater.llm._components import components
 from tidewater.llm._store import discard, settle
 
 
+#: so many nodes (16 bytes each) are broadcast to find their sets, no more
+BROADCAST_NODES = 200_000
+
+
+def only(df: DataFrame, nodes: DataFrame, on: str = "node", how: str = "left_semi") -> DataFrame:
+    """The rows of ``df`` whose node is in ``nodes`` (or, with left_anti, is
+    not): these are broadcast if they are few, so that ``df`` is not shuffled
+    for them, and joined by a shuffle if they are not."""
+    few = nodes.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    return df.join(F.broadcast(nodes) if few else nodes, on, how)
+
+
 def similar_pairs(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (a, b) those whose sets (node, elements) have a Jaccard
+    """Of settled pairs (a, b) those whose sets (node, elements) have a Jaccard
     similarity of ``threshold`` or more. A hot node's side of the join is split
     by Spark's skew join."""
-    one = pairs.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
-    two = one.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a")
+    own = only(sets, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    one = pairs.join(own.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
+    two = one.join(own.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a")
     shared = F.size(F.array_intersect("ea", "eb"))
     return two.where(shared >= F.lit(threshold) * (F.size("ea") + F.size("eb") - shared)).select("a", "b")
 
 
-def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: float, name: str) -> DataFrame:
+def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: float, name: str, sketches: DataFrame | None = None,
+                 agree: int = 0) -> DataFrame:
     """(node, component) of all nodes with a link, from settled buckets (band,
     node, weight, score); weight is the set's size, by which pairs are pruned
-    before their sets meet; the node of the highest score is the first centre."""
+    before their sets meet; the node of the highest score is the first centre.
+
+    After the first round what is left is mostly texts that are all somewhat
+    like one centre and hardly like each other. With ``sketches`` (node, sketch:
+    an array of which similar nodes share ``agree`` elements or more) such pairs
+    are told apart where they meet in a bucket, before their sets are read."""
     spark = buckets.sparkSession
     left = buckets.withColumn("component", F.col("node"))
     links, paths, slots = None, [], 1
     while True:
+        told = ["sketch"] if "sketch" in left.columns else []
         left = left.withColumn("slot", F.pmod(F.xxhash64("node", "band", F.lit(slots)), F.lit(slots)))
-        centre = left.groupBy("band", "slot").agg(F.max(F.struct("score", "node", "weight", "component")).alias("c")).select(
-            "band", F.col("c.node").alias("a"), F.col("c.weight").alias("wa"), F.col("c.component").alias("ca"))
+        centre = left.groupBy("band", "slot").agg(F.max(F.struct("score", "node", "weight", "component", *told)).alias("c")).select(
+            "band", F.col("c.node").alias("a"), F.col("c.weight").alias("wa"), F.col("c.component").alias("ca"), *[F.col("c.sketch").alias("sa")] * len(told))
         near = F.least("weight", "wa") >= F.lit(threshold) * F.greatest("weight", "wa")
-        pairs = left.join(centre, "band").where((F.col("component") != F.col("ca")) & near).select("a", F.col("node").alias("b")).distinct()
+        if told:
+            near = near & (F.size(F.array_intersect("sketch", "sa")) >= agree)
+        pairs, pair_path = settle(left.join(centre, "band").where((F.col("component") != F.col("ca")) & near)
+                                  .select("a", F.col("node").alias("b")).distinct(), f"{name}-pairs")
         found, _ = settle(similar_pairs(pairs, sets, threshold), f"{name}-links")
         links = found if links is None else links.union(found)
         comp = components(links, f"{name}-components")
-        rest = (left.join(centre.select("band", F.col("a").alias("node")), ["band", "node"], "left_anti").select("band", "node", "weight", "score")
+        rest = (left.join(centre.select("band", F.col("a").alias("node")), ["band", "node"], "left_anti").drop("component", "slot")
                 .join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
         mixed = rest.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
         left, path = settle(rest.join(mixed, "band", "left_semi"), f"{name}-left")
-        for old in paths:
+        for old in (*paths, pair_path):
             discard(spark, old)
-        paths, slots = [path], 2 * slots
+        paths, slots = [path], 4 * slots
         if left.isEmpty():
             return comp
+        if sketches is not None and not told:
+            own, own_path = settle(only(sketches, left.select("node").distinct()).dropDuplicates(["node"]), f"{name}-sketches")
+            left, told_path = settle(left.join(own, "node"), f"{name}-left")
+            paths += [own_path, told_path]

@@ -18,12 +18,14 @@ an empty component: the effort per document hardly depends on its length.
 
 Candidates. Documents with equal multisets are one node. Nodes that agree in a
 whole band share a bucket. A bucket is never expanded into pairs: in each round
-it names centres (first one, then twice as many as before), which are compared
-with the bucket's nodes in other components; a centre leaves the bucket
+it names centres (first one, then four times as many as before), which are
+compared with the bucket's nodes in other components; a centre leaves the bucket
 afterwards, having met everyone. Verified links join components, and a bucket
 with a single component is done. The first centre is the bucket's most
 connected node, usually the original of its copies, so that rounds are few; no
 link between components is lost, as rounds end only when every bucket is done.
+From the second round on pairs must also agree in 35 of 64 signature components
+(miss rate 1e-6 at 0.8).
 
 Verification is exact: shared and all (shingle, occurrence) pairs are counted.
 
@@ -41,17 +43,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm._linking import link_buckets
+from tidewater.llm._linking import link_buckets, only
 from tidewater.llm._store import discard, settle
 from tidewater.llm._words import SPACED, chunks, column_bytes, mix, pair, per_text, windows, word_hashes, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
+#: components whose low bits are kept to tell dissimilar texts apart, and how many
+#: of them similar ones share: fewer than 35 of 64 at similarity 0.8 has
+#: probability 1e-6, less than what the bands miss
+SKETCH, AGREE = 64, 35
 SLICE_BYTES = 2 << 20        # text that is worked on at once
 
 _EMPTY = np.uint64(0x1F83D9ABFB41BD6B)
@@ -157,6 +163,12 @@ def band_hashes(signatures: np.ndarray, bands: int = BANDS, rows: int = ROWS) ->
     return h
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """16 bits of each of the first SKETCH components and its place."""
+    place = mix(np.arange(1, SKETCH + 1, dtype=np.uint64))
+    return (mix(signatures[:, :SKETCH] ^ place) >> np.uint64(48)).astype(np.uint16).view(np.int16)
+
+
 def _nodes(value: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
     """A 128-bit name of each document's multiset."""
     owner, shingle, weight = _counted(value, offsets)
@@ -172,14 +184,17 @@ def _slices(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.Reco
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "node", "weight", "bands"]
+    names = ["doc_id", "node", "weight", "bands", "sketch"]
     for batch in _slices(batches, 1):
         value, offsets = shingles(batch.column(1))
-        bands = band_hashes(bag_signatures(value, offsets)).view(np.int64)
+        signatures = bag_signatures(value, offsets)
+        bands, sketch = band_hashes(signatures).view(np.int64), sketches(signatures)
         alone = np.diff(offsets) == 0
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.reshape(-1)))
         lists = pa.compute.if_else(pa.array(alone), pa.scalar(None, lists.type), lists)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_nodes(value, offsets), pa.binary()), pa.array(np.diff(offsets), pa.int64()), lists], names=names)
+        short = pa.ListArray.from_arrays(pa.array(np.arange(0, sketch.size + 1, SKETCH, dtype=np.int32)), pa.array(sketch.reshape(-1)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_nodes(value, offsets), pa.binary()), pa.array(np.diff(offsets), pa.int64()), lists, short],
+                                         names=names)
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,13 +213,18 @@ def _with_node(text_at: int):
     return run
 
 
+def _key(node: str, doc: str) -> Column:
+    """One value for a node and a document id, null ids included."""
+    return F.concat(F.col(node), F.coalesce(F.col(doc).cast("string"), F.lit("null")).cast("binary")).alias("__key")
+
+
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, node (the multiset's name, null without
     words) and class_id, the least id of its class."""
     spark = docs.sparkSession
     kind = docs.schema[doc].dataType.simpleString()
     slim = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
-    signed, _ = settle(slim.mapInArrow(_sign, f"doc_id {kind}, node binary, weight long, bands array<long>"), "near-signed")
+    signed, _ = settle(slim.mapInArrow(_sign, f"doc_id {kind}, node binary, weight long, bands array<long>, sketch array<smallint>"), "near-signed")
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "weight", "bands")).alias("r")).select(
         "node", F.col("r.doc_id").alias("doc_id"), F.col("r.weight").alias("weight"), F.col("r.bands").alias("bands"))
@@ -215,13 +235,13 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
     buckets, path = settle(buckets.join(score, "node").select("band", "node", "weight", "score"), "near-buckets")
     discard(spark, bucket_path)
     # the multisets of nodes that have a bucket, from one document of each
-    chosen = nodes.select("node", "doc_id").join(score.select("node"), "node", "left_semi")
+    chosen, chosen_path = settle(only(nodes.select("node", "doc_id"), score.select("node")).select(_key("node", "doc_id")), "near-chosen")
     texts = slim.mapInArrow(_with_node(1), T.StructType([*slim.schema.fields, T.StructField("__node", T.BinaryType())]))
-    own = (texts.join(chosen, (texts["__node"] == chosen["node"]) & texts["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
-           .select(F.col("__node").alias("node"), "text").dropDuplicates(["node"]))
-    sets, _ = settle(own.mapInArrow(_elements, "node binary, elements array<long>"), "near-sets")
-    comp = link_buckets(buckets, sets, threshold, "near")
-    discard(spark, path)
+    own = only(texts.withColumn("__key", _key("__node", "doc_id")), chosen, "__key").select(F.col("__node").alias("node"), "text").dropDuplicates(["node"])
+    sets, set_path = settle(own.mapInArrow(_elements, "node binary, elements array<long>"), "near-sets")
+    comp = link_buckets(buckets, sets, threshold, "near", signed.where("node IS NOT NULL").select("node", "sketch"), AGREE)
+    for old in (path, set_path, chosen_path):
+        discard(spark, old)
     whole = signed.select("doc_id", "node").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = whole.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("class_id"))
     return whole.join(names, "component", "left").select("doc_id", "node", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
@@ -229,13 +249,24 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
 
 def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the document of least id of each class, once; documents
-    without words stay."""
-    found = near_duplicates(docs, doc, text, threshold)
+    without words stay. The texts themselves are only shuffled if more rows go
+    than a broadcast may name."""
+    spark = docs.sparkSession
+    found = near_duplicates(docs, doc, text, threshold).where("node IS NOT NULL")
+    rows, rows_path = settle(found.groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("n"), F.first("class_id").alias("class_id")), "near-rows")
     first = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "node")
-    stay = (found.where("node IS NOT NULL").groupBy(F.col("class_id").alias("c"), F.when(F.col("class_id").isNull(), F.col("node")).alias("n"))
-            .agg(F.min(first).alias("r")).select(F.col("r.doc_id").alias("__id"), F.col("r.node").alias("__node")))
+    # a class without an id has no name of its own; its node stands for it
+    stay = rows.groupBy(F.col("class_id").alias("c"), F.when(F.col("class_id").isNull(), F.col("node")).alias("m")).agg(F.min(first).alias("r"))
+    stay, _ = settle(stay.select(_key("r.node", "r.doc_id")), "near-stay")
+    keyed = rows.select(_key("node", "doc_id"), "n")
+    gone, _ = settle(only(keyed, stay, "__key", "left_anti").select("__key"), "near-gone")
+    again, _ = settle(only(keyed.where("n > 1"), stay, "__key").select("__key"), "near-again")
+    discard(spark, rows_path)
     at = docs.columns.index(text)
     named = docs.mapInArrow(_with_node(at), T.StructType([*docs.schema.fields, T.StructField("__node", T.BinaryType())]))
-    kept = (named.alias("d").join(stay.alias("s"), (F.col("d.__node") == F.col("s.__node")) & F.col(f"d.`{doc}`").eqNullSafe(F.col("s.__id")), "left_semi")
-            .dropDuplicates(["__node"]))
-    return kept.union(named.where("__node IS NULL")).drop("__node")
+    named = named.withColumn("__key", F.coalesce(_key("__node", f"`{doc}`"), F.lit(b"")))
+    kept = only(named, gone, "__key", "left_anti")
+    if again.isEmpty():
+        return kept.drop("__node", "__key")
+    once = only(kept, again, "__key").dropDuplicates(["__key"])
+    return only(kept, again, "__key", "left_anti").union(once).drop("__node", "__key")
