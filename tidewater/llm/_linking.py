@@ -29,15 +29,21 @@ def only(df: DataFrame, nodes: DataFrame, on: str = "node", how: str = "left_sem
     return df.join(F.broadcast(nodes) if few else nodes, on, how)
 
 
-def similar_pairs(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Of settled pairs (a, b) those whose sets (node, elements) have a Jaccard
-    similarity of ``threshold`` or more. A hot node's side of the join is split
-    by Spark's skew join."""
-    own = only(sets, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    one = pairs.join(own.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
-    two = one.join(own.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a")
+#: sets of so many elements (8 bytes each) together are broadcast to the pairs
+BROADCAST_ELEMENTS = 1_000_000
+
+
+def similarities(pairs: DataFrame, sets: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Settled pairs (a, b) with the Jaccard similarity of their sets (node,
+    elements). If the sets are small together they go to the pairs; else both
+    are shuffled, and a hot node's side is split by Spark's skew join."""
+    own, path = settle(only(sets, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), f"{name}-own")
+    few = (own.agg(F.sum(F.size("elements"))).first()[0] or 0) <= BROADCAST_ELEMENTS
+    eb = own.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
+    ea = own.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
+    two = pairs.join(F.broadcast(eb) if few else eb, "b").join(F.broadcast(ea) if few else ea, "a")
     shared = F.size(F.array_intersect("ea", "eb"))
-    return two.where(shared >= F.lit(threshold) * (F.size("ea") + F.size("eb") - shared)).select("a", "b")
+    return two.select("a", "b", (shared / (F.size("ea") + F.size("eb") - shared)).alias("j")), path
 
 
 def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: float, name: str, sketches: DataFrame | None = None,
@@ -49,28 +55,39 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: float, name: st
     After the first round what is left is mostly texts that are all somewhat
     like one centre and hardly like each other. With ``sketches`` (node, sketch:
     an array of which similar nodes share ``agree`` elements or more) such pairs
-    are told apart where they meet in a bucket, before their sets are read."""
+    are told apart where they meet in a bucket, before their sets are read. So
+    are pairs whose distances to the bucket's first centre differ by more than
+    1 - ``threshold``: 1 - Jaccard is a metric, so they cannot be similar."""
     spark = buckets.sparkSession
     left = buckets.withColumn("component", F.col("node"))
     links, paths, slots = None, [], 1
     while True:
-        told = ["sketch"] if "sketch" in left.columns else []
+        told, away = (["sketch"] if "sketch" in left.columns else []), (["far"] if "far" in left.columns else [])
         left = left.withColumn("slot", F.pmod(F.xxhash64("node", "band", F.lit(slots)), F.lit(slots)))
-        centre = left.groupBy("band", "slot").agg(F.max(F.struct("score", "node", "weight", "component", *told)).alias("c")).select(
-            "band", F.col("c.node").alias("a"), F.col("c.weight").alias("wa"), F.col("c.component").alias("ca"), *[F.col("c.sketch").alias("sa")] * len(told))
+        centre = left.groupBy("band", "slot").agg(F.max(F.struct("score", "node", "weight", "component", *told, *away)).alias("c")).select(
+            "band", F.col("c.node").alias("a"), F.col("c.weight").alias("wa"), F.col("c.component").alias("ca"), *[F.col("c.sketch").alias("sa")] * len(told), *[F.col("c.far").alias("fa")] * len(away))
         near = F.least("weight", "wa") >= F.lit(threshold) * F.greatest("weight", "wa")
         if told:
             near = near & (F.size(F.array_intersect("sketch", "sa")) >= agree)
+        if "far" in left.columns:
+            near = near & (F.abs(F.coalesce(F.col("far") - F.col("fa"), F.lit(0.0))) <= 1 - threshold + 1e-9)
         pairs, pair_path = settle(left.join(centre, "band").where((F.col("component") != F.col("ca")) & near)
                                   .select("a", F.col("node").alias("b")).distinct(), f"{name}-pairs")
-        found, _ = settle(similar_pairs(pairs, sets, threshold), f"{name}-links")
+        scored, own_path = similarities(pairs, sets, name)
+        scored, scored_path = settle(scored, f"{name}-scored")
+        found, _ = settle(scored.where(F.col("j") >= threshold).select("a", "b"), f"{name}-links")
         links = found if links is None else links.union(found)
         comp = components(links, f"{name}-components")
         rest = (left.join(centre.select("band", F.col("a").alias("node")), ["band", "node"], "left_anti").drop("component", "slot")
                 .join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
         mixed = rest.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
-        left, path = settle(rest.join(mixed, "band", "left_semi"), f"{name}-left")
-        for old in (*paths, pair_path):
+        rest = rest.join(mixed, "band", "left_semi")
+        if slots == 1:
+            # what is known of the distance to the bucket's first centre
+            known = scored.select("a", F.col("b").alias("node"), (1 - F.col("j")).alias("far"))
+            rest = rest.join(centre.select("band", "a"), "band").join(known, ["a", "node"], "left").drop("a")
+        left, path = settle(rest, f"{name}-left")
+        for old in (*paths, pair_path, own_path, scored_path):
             discard(spark, old)
         paths, slots = [path], 4 * slots
         if left.isEmpty():
