@@ -50,6 +50,7 @@ SMOOTH = 10.0
 NOISE = 0.01                 # share of texts that are in no language, before any evidence
 TEXT_WEIGHT = 0.3            # neighbouring trigrams share letters, so they count less than independent ones
 BROADCAST_HOSTS = 100_000
+MAX_LABELS = 1000            # languages a table may declare
 SLICE_BYTES = 2 << 20
 
 #: languages whose usual country suffix says something (fixed values)
@@ -112,11 +113,19 @@ class TextModel:
 
 
 def fit(rows: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """The model of a bounded sample: per label the rows with the least hash."""
+    """The model of a bounded sample: per label up to ``sample`` different
+    texts, those of least hash. A first pass counts the labels; the second
+    brings to the driver only texts whose hash lies under what about 1.5 times
+    the sample needs, whatever the number of rows or tasks."""
     known = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("l"), F.col(text).alias("t"))
-    labels = sorted(r["l"] for r in known.select("l").distinct().limit(1000).collect())
-    texts = [[r["t"] for r in known.where(F.col("l") == lang).orderBy(F.xxhash64("t"), "t").limit(sample).collect()] for lang in labels]
-    return TextModel(labels, texts)
+    counts = {r["l"]: r["n"] for r in known.groupBy("l").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LABELS).collect()}
+    share = F.lit(0.0)
+    for lang, n in counts.items():
+        share = F.when(F.col("l") == lang, F.lit(min(1.0, 1.5 * sample / n))).otherwise(share)
+    part = F.xxhash64("t").bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") / F.lit(2.0 ** 32)
+    found = sorted(known.withColumn("h", part).where(F.col("h") < share).distinct().collect(), key=lambda r: (r["h"], r["t"]))
+    labels = sorted(counts)
+    return TextModel(labels, [[r["t"] for r in found if r["l"] == lang][:sample] for lang in labels])
 
 
 def _score(model: TextModel, text_at: int, schema: pa.Schema):
@@ -176,7 +185,7 @@ def host_priors(rows: DataFrame, classes: list[str], smooth: float = SMOOTH) ->
     table to the suffix, the domain and the host. One row per host; posteriors
     are added as millionths, so that sums do not depend on their order."""
     k = len(classes)
-    hosts = rows.groupBy("host", "domain", "suffix").agg(*_summed(k))
+    hosts, _ = settle(rows.groupBy("host", "domain", "suffix").agg(*_summed(k)), "host-counts")
     level = lambda keys: hosts.groupBy(*keys).agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(k)])
     counts = lambda side: [F.col(f"{side}.n{i}") / 1e6 for i in range(k)]
 
@@ -184,10 +193,10 @@ def host_priors(rows: DataFrame, classes: list[str], smooth: float = SMOOTH) ->
         total = sum(own[1:], own[0])
         return [(n + F.lit(smooth) * p) / (total + F.lit(smooth)) for n, p in zip(own, above)]
 
+    whole = level([]).first()                           # one number per class
     joined = (hosts.alias("h").join(level(["domain"]).alias("d"), F.expr("h.domain <=> d.domain"))
-              .join(level(["suffix"]).alias("s"), F.expr("h.suffix <=> s.suffix"))
-              .crossJoin(level([]).alias("a")))        # one row: the whole table
-    prior = smoothed(counts("a"), [F.lit(1.0 / k)] * k)
+              .join(level(["suffix"]).alias("s"), F.expr("h.suffix <=> s.suffix")))
+    prior = smoothed([F.lit((whole[f"n{i}"] or 0) / 1e6) for i in range(k)], [F.lit(1.0 / k)] * k)
     for side in ("s", "d", "h"):
         prior = smoothed(counts(side), prior)
     return joined.select("h.host", F.array(*[F.log(p) for p in prior]).alias("prior"))
