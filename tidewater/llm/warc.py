@@ -46,18 +46,19 @@ DATE = "2024-01-01T00:00:00Z"     # capture date where the caller has none
 ID = "urn:page:"
 
 
-def with_revisits(records: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
-    """key, url, payload, digest, bytes, record_type, refers_to. Only digests
-    that occur twice or more meet the records again."""
+def _described(records: DataFrame, key: str, url: str, payload: str) -> DataFrame:
     data = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    p = records.select(F.col(key).alias("key"), F.coalesce(F.col(url), F.lit("")).alias("url"), data.alias("payload"))
-    p = p.withColumns({"digest": F.sha2("payload", 256), "bytes": F.octet_length("payload").cast("long")})
-    first = (p.where(F.col("bytes") >= MIN_REVISIT).groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("digest", "first"))
-    j = p.join(first, "digest", "left")
-    again = (F.col("bytes") >= MIN_REVISIT) & F.col("first").isNotNull() & ~F.col("key").eqNullSafe(F.col("first"))
-    return j.select("key", "url", F.when(again, F.lit(b"")).otherwise(F.col("payload")).alias("payload"), "digest", "bytes",
-                    F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
+    return records.select(F.col(key).alias("key"), F.coalesce(F.col(url), F.lit("")).alias("url"), data.alias("payload")).withColumns(
+        {"digest": F.sha2("payload", 256), "bytes": F.octet_length("payload").cast("long")})
+
+
+def revisits(records: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
+    """key, url, digest and refers_to of the records that repeat the payload
+    of a smaller id. No payload is moved for it."""
+    p = _described(records, key, url, payload).where(F.col("bytes") >= MIN_REVISIT).select("key", "url", "digest")
+    first = (p.groupBy("digest").agg(F.min("key").alias("refers_to"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1 AND refers_to IS NOT NULL").select("digest", "refers_to"))
+    return p.join(first, "digest").where(~F.col("key").eqNullSafe(F.col("refers_to"))).select("key", "url", "digest", "refers_to")
 
 
 def record_bytes(key, url: str, payload: bytes, digest: str, size: int, kind: str, refers_to) -> bytes:
@@ -143,23 +144,32 @@ class Bundle:
         return self.frame(frame)[offset:offset + length]
 
 
-def _bundle_group(group: pa.Table) -> pa.Table:
-    group = group.sort_by([("key", "ascending"), ("url", "ascending"), ("digest", "ascending")])
-    names = ("key", "url", "payload", "digest", "bytes", "record_type", "refers_to")
-    rows = zip(*(group.column(c).to_pylist() for c in names))
-    records = [(f"{ID}{'null' if r[0] is None else r[0]}", record_bytes(*r)) for r in rows]
-    return pa.table({"bundle": group.column("bundle").slice(0, 1), "content": pa.array([bundle_bytes(records)], pa.binary())})
-
-
-def write_archive(records: DataFrame, path: str, bundle_bytes_: int = BUNDLE_BYTES, **columns) -> None:
+def _bundle_group(group: pa.Table, again: pa.Table) -> pa.Table:
+    """The bundle of a group of records, of which ``again`` lists the revisits."""
+    found = pa.schema([("bundle", pa.int64()), ("content", pa.binary())])
+    if not group.num_rows:
+        return found.empty_table()
+    order = [("key", "ascending"), ("url", "ascending"), ("digest", "ascending")]
+    group = group.sort_by(order)
+    refers = dict(zip(zip(*(again.column(c).to_pylist() for c in ("key", "url", "digest"))), again.column("refers_to").to_pylist()))
+    records = []
+    for key, url, payload, digest in zip(*(group.column(c).to_pylist() for c in ("key", "url", "payload", "digest"))):
+        size, kind, to = len(payload), "response", refers.get((key, url, digest))
+        if to is not None:
+            kind, payload = "revisit", b""
+        records.append((f"{ID}{'null' if key is None else key}", record_bytes(key, url, payload, digest, size, kind, to)))
+    return pa.Table.from_arrays([pa.array([group.column("bundle")[0].as_py()], pa.int64()), pa.array([bundle_bytes(records)], pa.binary())], schema=found)
+
+
+def write_archive(records: DataFrame, path: str, bundle_bytes_: int = BUNDLE_BYTES, key: str = "page_id", url: str = "url",
+                  payload: str = "html") -> None:
     """Write ``records`` as bundles under ``path``, one file a bundle in a
-    folder ``bundle=N``."""
-    marked = with_revisits(records, **columns)
-    payload = columns.get("payload", "html")
+    folder ``bundle=N``. Payloads are shuffled once, to their bundles."""
     total = records.agg(F.sum(F.octet_length(F.col(payload).cast("binary")))).first()[0] or 0
-    bundles = max(1, -(-total // bundle_bytes_))
-    dealt = marked.withColumn("bundle", F.pmod(F.xxhash64("key", "url", "digest"), F.lit(bundles)))
-    made = dealt.groupBy("bundle").applyInArrow(_bundle_group, "bundle long, content binary")
+    bundle = F.pmod(F.xxhash64("key", "url", "digest"), F.lit(max(1, -(-total // bundle_bytes_)))).alias("bundle")
+    dealt = _described(records, key, url, payload).select(bundle, "key", "url", "payload", "digest")
+    again = revisits(records, key, url, payload).select(bundle, "key", "url", "digest", "refers_to")
+    made = dealt.groupBy("bundle").cogroup(again.groupBy("bundle")).applyInArrow(_bundle_group, "bundle long, content binary")
     body = F.expr("substring(content, 1, octet_length(content) - 4)").cast("string")
     (made.select("bundle", body.alias("value")).write.partitionBy("bundle")
      .option("encoding", "ISO-8859-1").option("lineSep", struct.pack("<I", FOOTER_MAGIC).decode("latin-1")).text(path))
