@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewater.llm._words import column_bytes
+from tidewater.llm._words import column_bytes, words
 
 KINDS = ("assign", "access", "hex")
 MAX_LAYER = 32 << 20
@@ -246,10 +246,8 @@ def suspects(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     out = np.zeros(n, bool)
     if not len(raw):
         return out
-    inside = np.zeros(len(raw) + 2, bool)
-    inside[1:-1] = _RUN[raw]
-    edge = np.flatnonzero(inside[1:] != inside[:-1])
-    hits = [edge[::2][edge[1::2] - edge[::2] >= MIN_BASE64]]
+    starts, ends, _ = words(raw, bounds, _RUN)          # a run ends with its text
+    hits = [starts[ends - starts >= MIN_BASE64]]
     hits.append(np.flatnonzero(raw == 0x25))
     hits.append(np.flatnonzero(raw == 0x5C))
     data = raw.tobytes()
