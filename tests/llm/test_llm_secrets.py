@@ -112,3 +112,20 @@ def test_suspects_do_not_depend_on_the_neighbouring_texts():
         texts = [t for value in bare for t in (before, value)] + bare + [None, "", "short"] + bare
         look = secrets.suspects(*secrets.column_bytes(pa.array(texts)))
         assert look.tolist() == [t in bare for t in texts]
+
+
+UNPADDED = [B64(p.encode()).rstrip("=") for p in (PLAIN, PLAIN + "x", PLAIN + "xy", PLAIN + " and more words, so that it is a long line " * 2, "Grüße " + PLAIN + " an ä")]
+
+
+@pytest.mark.parametrize("before, after", [
+    ("", "\nOTHER=1"), ("", "\r\nwords follow"), ("KEY=", "\nOTHER=" + B64(b"harmless words only here")), ("", "/path/to"), ("", "-x"), ("", "_x_y"), ("", "+abc"),
+    ("foo-", ""), ("foo+", "-bar"), ("a-b_c/d+", "/e"), ("x" * 61 + "\n", "\nend"), ("first " + "A" * 70 + "\nNAME/", "")])
+@pytest.mark.parametrize("value", UNPADDED)
+def test_symbols_glued_to_a_value(value, before, after):
+    text = before + value + after
+    spans = secrets.scan(text)[1]
+    start, end = next((s, e) for s, k, e, layers in spans if k == "hex" and layers == "base64")
+    assert len(before) <= start < end <= len(before) + len(value)
+    clean = secrets.redact(text, "*")
+    assert clean.startswith(before) and clean.endswith(after)
+    assert not any(k == "hex" for _, k, _, _ in secrets.scan(clean)[1])

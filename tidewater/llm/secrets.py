@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import base64
 import bz2
-import codecs
 import lzma
 import re
 import zlib
@@ -55,9 +54,12 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{60,}(?:\r?\n[A-Za-z0-9+/_-]+)+|[A-Za-z0-9+/_-]{%d,})={0,2}" % MIN_BASE64)
 
-#: symbols that are decoded to see whether a start is worth the rest
-HEAD = 48
-MAGIC = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
+URL_SAFE = bytes.maketrans(b"-_", b"+/")
+
+#: the least finding (a keyword, a separator and 6 characters) and the least base64 value have 12 bytes
+PRINTED = re.compile(rb"[\t\r\n\x20-\x7e]{12,}")
+UTF16_LE = re.compile(rb"(?:[\t\r\n\x20-\x7e]\x00){12,}")
+UTF16_BE = re.compile(rb"(?:\x00[\t\r\n\x20-\x7e]){12,}")
 
 _RUN = np.zeros(256, bool)
 _RUN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *b"+/_-"]] = True
@@ -142,19 +144,16 @@ def _zlib(data: bytes) -> bool:
     return len(data) > 6 and data[0] & 0x0F == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0
 
 
-def _plausible(head: bytes) -> bool:
-    """Whether a value that starts like this can be text or compressed."""
-    if head.startswith(MAGIC) or _zlib(head):
-        return True
-    if head.count(0) * 3 > len(head):
-        return len(head) >= 8                    # UTF-16 perhaps
-    if any(c < 0x20 and c not in b"\t\r\n" or c == 0x7F for c in head):
-        return False
-    try:
-        codecs.getincrementaldecoder("utf-8")().decode(head)
-    except UnicodeDecodeError:
-        return False
-    return True
+def _packed(data: bytes) -> list[int]:
+    """Where a compressed value can start: at whole groups of symbols."""
+    a = np.frombuffer(data, np.uint8)
+    if len(a) < 8:
+        return []
+    x, y, z = a[:-7:3], a[1:-6:3], a[2:-5:3]
+    at = (x == 0x1F) & (y == 0x8B) & (z == 8) | (x == 0x42) & (y == 0x5A) & (z == 0x68)
+    at |= (x == 0xFD) & (y == 0x37) & (z == 0x7A) | (x == 0x28) & (y == 0xB5) & (z == 0x2F)
+    at |= (x & 0x0F == 8) & (x >> 4 <= 7) & ((x.astype(np.uint16) << 8 | y) % 31 == 0)
+    return (np.flatnonzero(at) * 3).tolist()
 
 
 def _inflate(data: bytes, limit: int) -> tuple[str, bytes] | None:
@@ -178,32 +177,46 @@ def _inflate(data: bytes, limit: int) -> tuple[str, bytes] | None:
     return (name, out) if out else None
 
 
+def _runs(data: bytes) -> Iterator[tuple[str, int, int, int]]:
+    """Texts inside bytes, with start, end and bytes per character. Findings and
+    the layers below are ASCII, so that no other character is needed."""
+    for m in PRINTED.finditer(data):
+        yield m[0].decode(), m.start(), m.end(), 1
+    little = [m.span() for m in UTF16_LE.finditer(data)]
+    big = [m.span() for m in UTF16_BE.finditer(data)]
+    for own, other, first in ((little, big, 0), (big, little, 1)):    # one order's run holds the other's, a byte off
+        spans = set(other)
+        for s, e in own:
+            if (s - 1, e + 1) not in spans:
+                yield data[s + first:e:2].decode(), s, e, 2
+
+
 def _base64(layer: Layer, limit: int) -> Iterator[Layer]:
+    """Texts in base64 values. Nothing tells where a value starts or ends in a
+    run of symbols (paths, names and lines are glued to it), but every start is
+    one of four places in a group: the whole run is decoded from each of them,
+    and what is text or compressed in the bytes is a layer."""
     for m in BASE64.finditer(layer.text):
-        place = np.array([i for i in range(m.start(), m.end()) if layer.text[i] not in "\r\n="], np.int64)
-        symbols = "".join(layer.text[i] for i in place).replace("-", "+").replace("_", "/")
-        glued = [i + 1 for i, c in enumerate(symbols) if c == "/"]
-        for skip in dict.fromkeys([*range(4), *glued]):     # a prefix or path before the value shifts it
-            body = symbols[skip:]
+        raw = np.frombuffer(m[0].encode(), np.uint8)
+        symbol = _RUN[raw]
+        place, symbols = m.start() + np.flatnonzero(symbol), raw[symbol].tobytes().translate(URL_SAFE)
+        for skip in range(4):
+            body, own = symbols[skip:], place[skip:]
             if len(body) < MIN_BASE64:
                 continue
-            if not _plausible(base64.b64decode(body[:min(HEAD, len(body) // 4 * 4)])):
-                continue                         # most starts fail here, at a bounded cost
             body = body[:len(body) - (len(body) % 4 == 1)]
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-            own, path, whole = place[skip:skip + len(body)], f"{layer.path}/base64", False
-            while packed := _inflate(data, limit):
-                path, data, whole = f"{path}/{packed[0]}", packed[1], True
-            text = _as_text(data)
-            if text is None:
-                continue
-            if whole or text.encode() != data:   # places inside are lost
-                lo, hi = layer.within(int(own[0]), int(own[-1]) + 1)
-                yield Layer(text, np.full(len(text), lo), np.full(len(text), hi), path)
-            else:
-                at = np.cumsum([0] + [len(c.encode()) for c in text]) * 8
-                yield Layer(text, layer.lo[own[at[:-1] // 6]], layer.hi[own[-(-at[1:] // 6) - 1]], path)
-            break
+            data = base64.b64decode(body + b"=" * (-len(body) % 4))
+            for text, s, e, size in _runs(data):
+                at = np.arange(s, e + 1, size) * 8
+                yield Layer(text, layer.lo[own[at[:-1] // 6]], layer.hi[own[-(-at[1:] // 6) - 1]], f"{layer.path}/base64")
+            for start in _packed(data):
+                path, inner = f"{layer.path}/base64", data[start:]
+                while packed := _inflate(inner, limit):
+                    path, inner = f"{path}/{packed[0]}", packed[1]
+                text = _as_text(inner) if path[-6:] != "base64" else None
+                if text is not None:             # places inside are lost
+                    lo, hi = layer.within(int(own[start // 3 * 4]), int(own[len(body) - 1]) + 1)
+                    yield Layer(text, np.full(len(text), lo), np.full(len(text), hi), path)
 
 
 def scan(text: str, limit: int = MAX_LAYER) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int, str]], int]:
