@@ -129,3 +129,33 @@ def test_symbols_glued_to_a_value(value, before, after):
     clean = secrets.redact(text, "*")
     assert clean.startswith(before) and clean.endswith(after)
     assert not any(k == "hex" for _, k, _, _ in secrets.scan(clean)[1])
+
+
+def test_an_oversized_value_hides_nothing():
+    bomb = B64(gzip.compress(b"0" * 200_000))
+    text = f"a {bomb} b {NESTED['base64']} c"
+    base, spans, over = secrets.scan(text, limit=1000)
+    assert over == 1 and any(k == "hex" and layers == "base64" and s > len(bomb) for s, k, _, layers in spans)
+    clean = secrets.redact(text, "*", limit=1000)
+    assert bomb[:40] not in clean and clean.startswith("a *") and clean.endswith(" c")
+    assert not any(k == "hex" for _, k, _, _ in secrets.scan(clean)[1])
+    for at in (0, 900, 999, 1000, 1490, 5000, 100_000):
+        inside = b"z " * (at // 2) + PLAIN.encode() + b" z" * 50_000
+        _, spans, over = secrets.scan(B64(gzip.compress(inside)), limit=1000)
+        assert over == 1 and {"assign", "hex"} <= {k for _, k, _, _ in spans}
+
+
+HARMLESS = prose(3, 20).encode()
+LATER = {
+    "gzip": gzip.compress(HARMLESS) + gzip.compress(PLAIN.encode()), "bzip2": bz2.compress(HARMLESS) + bz2.compress(PLAIN.encode()),
+    "xz": lzma.compress(HARMLESS) + bytes(4) + lzma.compress(PLAIN.encode()), "zstd": zstandard.compress(HARMLESS) + zstandard.compress(PLAIN.encode()),
+    "zstd skippable": b"\x50\x2a\x4d\x18\x04\0\0\0abcd" + zstandard.compress(HARMLESS) + b"\x5e\x2a\x4d\x18\x04\0\0\0abcd" + zstandard.compress(PLAIN.encode()),
+    "gzip checksum": gzip.compress(PLAIN.encode())[:-8] + b"damaged!", "utf-16-be": PLAIN.encode("utf-16-be"), "utf-16 mark": PLAIN.encode("utf-16"),
+    "gzip utf-16-be": gzip.compress(PLAIN.encode("utf-16-be")), "control": b"\x00\x01" + PLAIN.encode() + b"\x02", "latin-1": "é ".encode("latin-1") + PLAIN.encode(),
+    "gzip latin-1": gzip.compress("é ".encode("latin-1") + PLAIN.encode()), "text like zlib": gzip.compress(b"hb " + PLAIN.encode()),
+}
+
+
+@pytest.mark.parametrize("name", LATER)
+def test_members_orders_and_damage(name):
+    assert {"assign", "hex"} <= {k for _, k, _, _ in secrets.scan("see " + B64(LATER[name]) + " there")[1]}

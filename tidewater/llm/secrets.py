@@ -13,9 +13,11 @@ Kinds (fixed): assign (keyword, separator, a value of 6 or more characters),
 access (AKIA and capitals or digits, 20 or more), hex (24 or more of 0-9a-f).
 The base findings are those of the root layer.
 
-Only layers larger than ``MAX_LAYER`` bytes after decompression are left
-packed (a bomb would take the task's memory); ``n_oversized`` counts them, so
-that nothing is passed over in silence.
+Layers larger than ``MAX_LAYER`` bytes after decompression are scanned as a
+stream, in windows that overlap (a bomb would take the task's memory). A
+packing that two windows cut is not seen whole; ``n_oversized`` counts these
+layers, and redaction replaces the whole value, so that nothing is passed over
+in silence. Of damaged values what can be read is scanned.
 
 Defined results: null text: as the empty text, no findings; repeated rows get
 equal results; an empty table gives no rows; other columns stay, the result
@@ -54,6 +56,10 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{60,}(?:\r?\n[A-Za-z0-9+/_-]+)+|[A-Za-z0-9+/_-]{%d,})={0,2}" % MIN_BASE64)
 
+BLOCK = 1 << 16              # bytes that are unpacked at once
+OVERLAP = 1 << 20            # bytes that windows of an oversized layer share
+HEAD = 512                   # bytes that tell zlib data from chance
+DEEPEST = 32                 # packings directly inside one another (some unpack to themselves for ever)
 URL_SAFE = bytes.maketrans(b"-_", b"+/")
 
 #: the least finding (a keyword, a separator and 6 characters) and the least base64 value have 12 bytes
@@ -84,6 +90,9 @@ class Layer:
     def within(self, start: int, end: int) -> tuple[int, int]:
         return int(self.lo[start:end].min()), int(self.hi[start:end].max())
 
+    def places(self) -> tuple[bytes, ...]:
+        return tuple((a[:1] if a.strides == (0,) else a).tobytes() for a in (self.lo, self.hi))
+
 
 def _replaced(layer: Layer, path: str, parts: list[tuple[int, int, str, list[int], list[int]]]) -> Layer:
     """The layer with parts [start, end) replaced by texts whose characters
@@ -128,20 +137,8 @@ def _escapes(layer: Layer) -> Layer | None:
     return _replaced(layer, "unicode", parts) if parts else None
 
 
-def _as_text(data: bytes) -> str | None:
-    """Bytes as text if they are: UTF-8 or UTF-16 without control characters."""
-    for coding in ("utf-16-le", "utf-16-be") if len(data) >= 8 and len(data) % 2 == 0 and data.count(0) * 3 > len(data) else ("utf-8",):
-        try:
-            text = data.decode(coding)
-        except UnicodeDecodeError:
-            continue
-        if text and all(c >= " " or c in "\t\r\n" for c in text) and "\x7f" not in text:
-            return text
-    return None
-
-
 def _zlib(data: bytes) -> bool:
-    return len(data) > 6 and data[0] & 0x0F == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0
+    return len(data) >= 6 and data[0] & 0x0F == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0
 
 
 def _packed(data: bytes) -> list[int]:
@@ -152,29 +149,89 @@ def _packed(data: bytes) -> list[int]:
     x, y, z = a[:-7:3], a[1:-6:3], a[2:-5:3]
     at = (x == 0x1F) & (y == 0x8B) & (z == 8) | (x == 0x42) & (y == 0x5A) & (z == 0x68)
     at |= (x == 0xFD) & (y == 0x37) & (z == 0x7A) | (x == 0x28) & (y == 0xB5) & (z == 0x2F)
+    at |= (x >> 4 == 5) & (y == 0x2A) & (z == 0x4D)
     at |= (x & 0x0F == 8) & (x >> 4 <= 7) & ((x.astype(np.uint16) << 8 | y) % 31 == 0)
     return (np.flatnonzero(at) * 3).tolist()
 
 
-def _inflate(data: bytes, limit: int) -> tuple[str, bytes] | None:
-    """Name and content of a compressed value; raises if it is too large."""
+def _kind(head: bytes) -> str | None:
+    if head[:4] == b"\x28\xb5\x2f\xfd" or len(head) > 3 and head[0] >> 4 == 5 and head[1:4] == b"\x2a\x4d\x18":
+        return "zstd"                            # a frame, or one to be skipped
+    if head[:2] == b"\x1f\x8b" or _zlib(head):
+        return "gzip" if head[0] == 0x1F else "zlib"
+    return "bzip2" if head[:3] == b"BZh" else "xz" if head[:6] == b"\xfd7zXZ\x00" else None
+
+
+_OPEN = {"gzip": lambda: zlib.decompressobj(31), "zlib": zlib.decompressobj, "bzip2": bz2.BZ2Decompressor, "xz": lzma.LZMADecompressor,
+         "zstd": lambda: zstandard.ZstdDecompressor().decompressobj()}
+_DAMAGED = (zlib.error, OSError, lzma.LZMAError, zstandard.ZstdError, EOFError, ValueError)
+
+
+def _fed(name: str, d, piece: bytes) -> Iterator[bytes]:
+    """What a piece of input gives, in parts of at most ``BLOCK`` bytes (Zstandard: of a piece)."""
+    if name == "zstd":
+        yield d.decompress(piece)
+        return
+    out = d.decompress(piece, BLOCK)
+    yield out
+    while not d.eof and (len(out) == BLOCK or name in ("gzip", "zlib") and d.unconsumed_tail):
+        out = d.decompress(d.unconsumed_tail if name in ("gzip", "zlib") else b"", BLOCK)
+        yield out
+
+
+def _members(name: str, blocks: Iterator[bytes]) -> Iterator[bytes]:
+    """Content of all members or frames one behind the other, in blocks of
+    ``BLOCK`` bytes or a little more, as far as it is whole."""
+    d, rest, held, n = None, b"", [], 0
     try:
-        if data[:2] == b"\x1f\x8b" or _zlib(data):
-            name, d = ("gzip", zlib.decompressobj(47)) if data[:2] == b"\x1f\x8b" else ("zlib", zlib.decompressobj())
-            out = d.decompress(data, limit + 1)
-        elif data[:3] == b"BZh":
-            name, out = "bzip2", bz2.BZ2Decompressor().decompress(data, limit + 1)
-        elif data[:6] == b"\xfd7zXZ\x00":
-            name, out = "xz", lzma.LZMADecompressor().decompress(data, limit + 1)
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            name, out = "zstd", zstandard.ZstdDecompressor().stream_reader(data).read(limit + 1)
-        else:
-            return None
-    except (zlib.error, OSError, lzma.LZMAError, zstandard.ZstdError, EOFError, ValueError):
-        return None
-    if len(out) > limit:
-        raise OverflowError(name)
-    return (name, out) if out else None
+        for block in blocks:
+            data, at = rest + block if rest else block, 0
+            rest = b""
+            while at < len(data):
+                if d is None:
+                    while at < len(data) and data[at] == 0:
+                        at += 1                  # padding
+                    if len(data) - at < 6:
+                        rest = bytes(data[at:])
+                        break
+                    if _kind(bytes(data[at:at + 8])) != name:
+                        return                   # not a member any more
+                    d = _OPEN[name]()
+                piece = bytes(data[at:at + (1 if len(data) - at <= 4096 else 64)])    # what stands before damage stays
+                at += len(piece)
+                for out in _fed(name, d, piece):
+                    held.append(out)
+                    n += len(out)
+                    if n >= BLOCK:
+                        yield b"".join(held)
+                        held, n = [], 0
+                if d.eof:
+                    at -= len(d.unused_data)
+                    d = None
+    except _DAMAGED:
+        pass
+    finally:
+        whole = b"".join(held)
+        held.clear()
+    if whole:
+        yield whole
+
+
+def _contents(data: bytes) -> Iterator[tuple[str, Iterator[bytes]]]:
+    """The names of the packings and the content, for each packing inside the
+    one before."""
+    def content() -> Iterator[bytes]:
+        blocks = iter([memoryview(data)])
+        for name in names:
+            blocks = _members(name, blocks)
+        return blocks
+
+    names: list[str] = []
+    while name := _kind(bytes(next(content(), b"")[:8])):
+        names.append(name)
+        if len(names) > DEEPEST:
+            raise OverflowError("/".join(names[:2]))
+        yield "/".join(names), content()
 
 
 def _runs(data: bytes) -> Iterator[tuple[str, int, int, int]]:
@@ -191,7 +248,7 @@ def _runs(data: bytes) -> Iterator[tuple[str, int, int, int]]:
                 yield data[s + first:e:2].decode(), s, e, 2
 
 
-def _base64(layer: Layer, limit: int) -> Iterator[Layer]:
+def _base64(layer: Layer, limit: int, over: set[tuple[int, int, str]]) -> Iterator[Layer]:
     """Texts in base64 values. Nothing tells where a value starts or ends in a
     run of symbols (paths, names and lines are glued to it), but every start is
     one of four places in a group: the whole run is decoded from each of them,
@@ -210,29 +267,74 @@ def _base64(layer: Layer, limit: int) -> Iterator[Layer]:
                 at = np.arange(s, e + 1, size) * 8
                 yield Layer(text, layer.lo[own[at[:-1] // 6]], layer.hi[own[-(-at[1:] // 6) - 1]], f"{layer.path}/base64")
             for start in _packed(data):
-                path, inner = f"{layer.path}/base64", data[start:]
-                while packed := _inflate(inner, limit):
-                    path, inner = f"{path}/{packed[0]}", packed[1]
-                text = _as_text(inner) if path[-6:] != "base64" else None
-                if text is not None:             # places inside are lost
-                    lo, hi = layer.within(int(own[start // 3 * 4]), int(own[len(body) - 1]) + 1)
-                    yield Layer(text, np.full(len(text), lo), np.full(len(text), hi), path)
+                first, end = int(own[start // 3 * 4]), int(own[len(body) - 1]) + 1
+                try:
+                    for names, blocks in _contents(data[start:start + HEAD] if _noise(data[start:start + HEAD]) else data[start:]):
+                        path, last = f"{layer.path}/base64/{names}", None
+                        for window, whole in _windows(blocks, limit):
+                            if not whole:
+                                over.add((*layer.within(first, end), path))
+                            if window == last:   # has the same findings at the same place
+                                continue
+                            last = window
+                            text = "\0".join(t for t, _, _, _ in _runs(window))
+                            if text:             # places inside are lost
+                                lo, hi = layer.within(first, end)
+                                yield Layer(text, np.broadcast_to(np.int64(lo), len(text)), np.broadcast_to(np.int64(hi), len(text)), path)
+                except OverflowError as deep:
+                    over.add((*layer.within(first, end), f"{layer.path}/base64/{deep}"))
+
+
+def _noise(head: bytes) -> bool:
+    """Whether a seeming start of zlib data breaks off within its head: those
+    of chance do, and are not worth a copy of what follows."""
+    if _kind(head) != "zlib" or len(head) < HEAD:
+        return False
+    try:
+        zlib.decompressobj().decompress(head, BLOCK)
+    except zlib.error:
+        return True
+    return False
+
+
+def _windows(blocks: Iterator[bytes], limit: int) -> Iterator[tuple[bytes, bool]]:
+    """The content if it has at most ``limit`` bytes, else windows of that
+    size that share ``OVERLAP`` bytes or half of it; whether it is whole."""
+    held, n, whole, shared = [], 0, True, min(OVERLAP, limit // 2)
+    for block in blocks:
+        held.append(block)
+        n += len(block)
+        if n > limit:
+            data, at, whole = b"".join(held), 0, False
+            while len(data) - at > limit:
+                yield data[at:at + limit], False
+                at += limit - shared
+            held, n = [data[at:]], len(data) - at
+    if n:
+        yield b"".join(held), whole
 
 
 def scan(text: str, limit: int = MAX_LAYER) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int, str]], int]:
     """Base findings; all findings with the layers they were found under (the
-    base ones under ""); layers too large to unpack."""
+    base ones under ""); layers too large to be unpacked in one piece."""
+    base, every, over = _scan(text, limit)
+    return base, every, len(over)
+
+
+def _scan(text: str, limit: int) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int, str]], set[tuple[int, int, str]]]:
     base = findings(text)
     every = {(s, k, e): "" for s, k, e in base}
-    oversized = 0
+    over: set[tuple[int, int, str]] = set()
     if not (PERCENT.search(text) or ESCAPE.search(text) or BASE64.search(text)):
-        return _ordered(base), [(*f, "") for f in _ordered(base)], 0
+        return _ordered(base), [(*f, "") for f in _ordered(base)], over
     here = np.arange(len(text), dtype=np.int64)
-    work, seen = [Layer(text, here, here + 1, "")], set()
-    while work:
-        layer = work.pop()
-        mark = (layer.text, layer.lo.tobytes(), layer.hi.tobytes())
-        mark = hash(mark), len(layer.text)
+    work, seen = [iter([Layer(text, here, here + 1, "")])], set()
+    while work:                                  # one layer of each depth is held, whatever their number
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        mark = hash((layer.text, layer.places())), len(layer.text)
         if mark in seen:
             continue
         seen.add(mark)
@@ -240,12 +342,16 @@ def scan(text: str, limit: int = MAX_LAYER) -> tuple[list[tuple[int, str, int]],
             for s, k, e in findings(layer.text):
                 lo, hi = layer.within(s, e)
                 every.setdefault((lo, k, hi), layer.path[1:])
-        work += [x for x in (_percent(layer), _escapes(layer)) if x]
-        try:
-            work += _base64(layer, limit)
-        except OverflowError:
-            oversized += 1
-    return _ordered(base), [(*f, every[f]) for f in _ordered(every)], oversized
+        work.append(_inner(layer, limit, over))
+    return _ordered(base), [(*f, every[f]) for f in _ordered(every)], over
+
+
+def _inner(layer: Layer, limit: int, over: set[tuple[int, int, str]]) -> Iterator[Layer]:
+    for unwrap in (_percent, _escapes):
+        new = unwrap(layer)
+        if new:
+            yield new
+    yield from _base64(layer, limit, over)
 
 
 def _ordered(found) -> list[tuple[int, str, int]]:
@@ -323,12 +429,13 @@ def _redact_batches(text_at: int, mark: str):
     return run
 
 
-def redact(text: str, mark: str) -> str:
-    """The text with every finding replaced, overlapping ones together."""
+def redact(text: str, mark: str, limit: int = MAX_LAYER) -> str:
+    """The text with every finding and every oversized value replaced,
+    overlapping ones together."""
     out, at = [], 0
-    _, spans, _ = scan(text)
+    _, spans, over = _scan(text, limit)
     reach = None
-    for start, _, end, _ in spans:
+    for start, end in sorted([(s, e) for s, _, e, _ in spans] + [(s, e) for s, e, _ in over]):
         if reach is None or start > reach[1]:
             if reach:
                 out += [text[at:reach[0]], mark]
