@@ -62,3 +62,21 @@ def test_priors_are_joined_beyond_the_broadcast_bound(spark, model, monkeypatch)
     few = sorted(map(tuple, language.identify(df, model).select("doc_id", "language", "confidence").collect()))
     monkeypatch.setattr(language, "BROADCAST_HOSTS", 1)
     assert sorted(map(tuple, language.identify(df, model).select("doc_id", "language", "confidence").collect())) == few
+
+
+def test_languages_without_labels_are_kept_and_noise_is_not(spark, model):
+    import random
+    r = random.Random(5)
+    letters = lambda alphabet, n: "".join(r.choice(alphabet) for _ in range(n))
+    clean = {
+        1: "Η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί και φεύγει μακριά στο δάσος. " * 3,
+        2: "Быстрая коричневая лиса перепрыгивает через ленивую собаку и убегает далеко в лес. " * 3,
+        3: "敏捷的棕色狐狸跳过了懒狗，然后跑进了森林里。" * 3, 4: "Nopea ruskea kettu hyppii laiskan koiran yli ja juoksee sitten kauas metsään.",
+        5: "Kwa hiyo mbweha mwepesi wa kahawia anaruka juu ya mbwa mvivu na kukimbia mbali msituni.",
+        6: "Con cáo nâu nhanh nhẹn nhảy qua con chó lười biếng rồi chạy thật xa vào trong rừng.", 7: "Γεια", 8: "Да"}
+    noise = {11: letters("abcdefghijklmnopqrstuvwxyz    ", 2000), 12: letters("0123456789abcdef", 400), 13: "a" * 200, 14: "🙂 → ★ ━━━ • " * 20,
+             15: letters("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 600), 16: "\ufffd" * 50, 17: "ж" * 90, 18: "--- 12 x *** 99 %%% $$$"}
+    df = spark.createDataFrame([(k, t, None, None) for k, t in {**clean, **noise}.items()], "doc_id long, text string, lang string, source string")
+    got = {x.doc_id: x for x in language.identify(df, model).collect()}
+    assert {k for k in got if got[k].rejected} == set(noise)
+    assert {got[k].language for k in (1, 2, 3)} == {"other"}

@@ -2,8 +2,11 @@
 
 The posterior of a row's language combines, as log-odds that are added up,
 
-- the text: a multinomial model of letter trigrams per language, and a model of
-  what is no language (digits, signs, noise) as the class ``und``;
+- the text: a multinomial model of letter trigrams per language; a uniform one,
+  the class ``other``, for languages without labelled rows; and the class
+  ``und`` for what is no language, which the uniform model explains as well and
+  which needs evidence of noise: signs, repeated letters, changes between
+  letters and digits or into capitals, few vowels in plain ASCII letters;
 - the declared language (markup or metadata), trusted ``DECLARED`` times as
   much as any other language;
 - the address suffix of the host (``.de``), likewise ``SUFFIX`` times;
@@ -17,8 +20,8 @@ per language, those with the least hash of their text, whole texts. Everything
 else covers all rows. Priors are held by one row per host; up to
 ``BROADCAST_HOSTS`` hosts they are broadcast, beyond that joined.
 
-A row is rejected if ``und`` is its most likely class: no letters, or a text
-that no language model explains better than noise. A confident decision between
+A row is rejected if ``und`` is its most likely class: no letters, or evidence
+of noise. A text that no language model explains is ``other`` and stays. A confident decision between
 languages is not asked for, so short clean texts stay.
 
 Defined results: null, empty and letterless texts are ``und`` and rejected,
@@ -43,6 +46,7 @@ from tidewater.llm._store import settle
 from tidewater.llm._words import chunks, column_bytes
 
 UND = "und"
+OTHER = "other"              # letter texts that no language model explains
 SAMPLE = 400                 # labelled rows per language that the text model is fitted on
 BUCKETS = 1 << 16            # of hashed trigrams
 DECLARED, SUFFIX = 20.0, 5.0
@@ -61,6 +65,8 @@ _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
 _FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
+_VOWEL = np.zeros(256, bool)
+_VOWEL[[*b"aeiouyAEIOUY"]] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[0x21:0x7F] = True
 _SIGN[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
@@ -78,18 +84,55 @@ def _trigrams(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (code[use] >> np.uint32(16)).astype(np.int64), owner[use]
 
 
+def _symbols(raw: np.ndarray) -> np.ndarray:
+    """Bytes of non-ASCII characters that are no letters: Latin-1 signs,
+    punctuation, arrows to dingbats, CJK punctuation, emoji, U+FFFD."""
+    out = np.zeros(len(raw) + 4, bool)
+    x = np.concatenate([raw, np.zeros(4, np.uint8)])
+    a, b, c = x[:-4], x[1:-3], x[2:-2]
+    for lead, size in (((a == 0xC2) & (b != 0xAA) & (b != 0xB5) & (b != 0xBA), 2), ((a == 0xE2) & (b < 0xB0), 3), ((a == 0xE3) & (b == 0x80), 3),
+                       ((a == 0xEF) & (b == 0xBF) & (c == 0xBD), 3), ((a == 0xF0) & (b == 0x9F), 4)):
+        at = np.flatnonzero(lead)
+        for k in range(size):
+            out[at + k] = True
+    return out[:len(raw)]
+
+
+def _noise(raw: np.ndarray, owner: np.ndarray, n: int, n_letters: np.ndarray) -> np.ndarray:
+    """Log-evidence that letters are no language, per text."""
+    count = lambda where: np.bincount(owner[where], minlength=n)
+    upper, lower = (raw >= 0x41) & (raw <= 0x5A), (raw >= 0x61) & (raw <= 0x7A)
+    digit, letter = (raw >= 0x30) & (raw <= 0x39), upper | lower
+    plain, vowels = count(letter), count(_VOWEL[raw])
+    out = vowels * np.log(0.23 / 0.38) + (plain - vowels) * np.log(0.77 / 0.62)    # letters at random against a language
+    out[n_letters > 1.02 * plain] = 0.0                      # vowels with accents are not counted
+    change = np.flatnonzero(lower[:-1] & upper[1:] | letter[:-1] & digit[1:] | digit[:-1] & letter[1:]) if len(raw) > 1 else np.zeros(0, np.int64)
+    change = change[owner[change] == owner[np.minimum(change + 1, len(raw) - 1)]]
+    out = np.maximum(out, 0.0) + np.log(3.0) * np.maximum(0.0, count(change) - n_letters / 5)
+    again = np.zeros(len(raw), bool)
+    for lag in range(1, 5):                                  # a character or two, over and over
+        same = np.zeros(len(raw), bool)
+        same[lag:] = (raw[lag:] == raw[:-lag]) & (owner[lag:] == owner[:-lag]) if len(raw) > lag else False
+        for k in (1, 2, 3):                                  # seven or more in a row
+            same[k:] &= same[:-k].copy()
+        again |= same
+    again &= _FOLD[raw] != 0x20
+    return out + np.log(3.0) * np.maximum(0.0, count(again) - n_letters / 2)
+
+
 class TextModel:
-    """Log-probabilities of trigrams per class; the last class is ``und``."""
+    """Log-probabilities of trigrams per class; the last classes are ``other``
+    (without any language, it is missing) and ``und``."""
 
     def __init__(self, languages: list[str], texts: list[list[str]]):
-        self.classes = [*languages, UND]
+        self.classes = [*languages, *[OTHER] * bool(languages), UND]
         table = np.empty((len(self.classes), BUCKETS), np.float32)
         for k, own in enumerate(texts):
             column = pa.array(own, pa.large_string())
             code, _ = _trigrams(*column_bytes(column))
             counts = np.bincount(code, minlength=BUCKETS) + 0.05
             table[k] = np.log(counts / counts.sum())
-        table[-1] = -np.log(BUCKETS)
+        table[len(languages):] = -np.log(BUCKETS)
         self.table = table
 
     def scores(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -101,11 +144,14 @@ class TextModel:
         out = np.empty((n, len(self.classes)))
         for k in range(len(self.classes)):
             out[:, k] = np.bincount(owner, weights=self.table[k][code], minlength=n) * TEXT_WEIGHT
-        out[:, -1] += np.log(NOISE)
-        letters = np.concatenate([[0], np.cumsum(_FOLD[raw] != 0x20)])
-        signs = np.concatenate([[0], np.cumsum(_SIGN[raw])])
+        symbols = _symbols(raw)
+        letters = np.concatenate([[0], np.cumsum((_FOLD[raw] != 0x20) & ~symbols)])
+        signs = np.concatenate([[0], np.cumsum(_SIGN[raw] | symbols & (raw >= 0xC0))])
         n_letters = letters[bounds[1:]] - letters[bounds[:-1]]
         n_signs = signs[bounds[1:]] - signs[bounds[:-1]]
+        if OTHER in self.classes:
+            out[:, -2:] += np.log(NOISE)
+            out[:, -1] += np.log(NOISE) + _noise(raw, np.repeat(np.arange(n), np.diff(bounds)), n, n_letters)
         out[:, :-1] -= np.log(3.0) * np.maximum(0, n_signs - 3 * n_letters)[:, None]
         out[n_letters == 0, :-1] = -np.inf
         out[n_letters == 0, -1] = 0.0
