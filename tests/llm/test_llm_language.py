@@ -80,3 +80,17 @@ def test_languages_without_labels_are_kept_and_noise_is_not(spark, model):
     got = {x.doc_id: x for x in language.identify(df, model).collect()}
     assert {k for k in got if got[k].rejected} == set(noise)
     assert {got[k].language for k in (1, 2, 3)} == {"other"}
+
+
+def test_labels_are_languages_and_the_most_frequent_are_taken(spark, monkeypatch):
+    values = ["EN", "en-US", " eng ", "en_GB.UTF-8", "fil", "haw", "fi", "ger", "DEU", "", "und", "12", None]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v string").select(language.tag(F.col("v"))).collect()]
+    assert got == ["en", "en", "en", "en", "fil", "haw", "fi", "de", "de", None, None, None, None]
+    rows = [(f"the cat number {k} and the dog", ("EN", "en-us", "eng")[k % 3]) for k in range(300)]
+    rows += [(f"der hund und die katze {k % 20} im haus", "de") for k in range(2000)] + [(f"text {k}", f"zz{chr(97 + k // 26)}{chr(97 + k % 26)}") for k in range(200)] * 2
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(7)
+    taken = {}
+    monkeypatch.setattr(language, "MAX_LABELS", 2)
+    monkeypatch.setattr(language, "TextModel", lambda labels, texts: taken.update(zip(labels, texts)))
+    language.fit(df, sample=20)
+    assert {k: len(set(v)) for k, v in taken.items()} == {"en": 20, "de": 20}

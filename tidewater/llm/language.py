@@ -15,9 +15,11 @@ The posterior of a row's language combines, as log-odds that are added up,
   domain, that with the suffix's, and that with the whole table's, each with
   ``SMOOTH`` pseudo-rows.
 
-The text model is fitted on a bounded sample: at most ``SAMPLE`` labelled rows
-per language, those with the least hash of their text, whole texts. Everything
-else covers all rows. Priors are held by one row per host; up to
+Labels and declared languages are compared by their language alone (``tag``):
+``EN``, ``en-US`` and ``eng`` are ``en``; ``fil`` is not ``fi``. The text model
+is fitted on a bounded sample: at most ``SAMPLE`` different texts per language,
+those of least hash, whole, for the ``MAX_LABELS`` languages of the most
+different texts, with ``MIN_TEXTS`` at least. Everything else covers all rows. Priors are held by one row per host; up to
 ``BROADCAST_HOSTS`` hosts they are broadcast, beyond that joined.
 
 A row is rejected if ``und`` is its most likely class: no letters, or evidence
@@ -54,12 +56,27 @@ SMOOTH = 10.0
 NOISE = 0.01                 # share of texts that are in no language, before any evidence
 TEXT_WEIGHT = 0.3            # neighbouring trigrams share letters, so they count less than independent ones
 BROADCAST_HOSTS = 100_000
-MAX_LABELS = 1000            # languages a table may declare
+MAX_LABELS = 1000            # languages that are modelled, those of the most texts
+MIN_TEXTS = 2                # different texts that a language needs (about); documents of others can be ``other``
 SLICE_BYTES = 2 << 20
 
 #: languages whose usual country suffix says something (fixed values)
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "uk": "en", "us": "en", "au": "en"}
 
+#: languages by ISO 639-1 code, with their ISO 639-2/3 codes (fixed values)
+_CODES = """aa:aar ab:abk ae:ave af:afr ak:aka am:amh an:arg ar:ara,arb as:asm av:ava ay:aym az:aze ba:bak be:bel bg:bul bi:bis bm:bam bn:ben
+bo:bod,tib br:bre bs:bos ca:cat ce:che ch:cha co:cos cr:cre cs:ces,cze cu:chu cv:chv cy:cym,wel da:dan de:deu,ger dv:div dz:dzo ee:ewe el:ell,gre
+en:eng eo:epo es:spa et:est,ekk eu:eus,baq fa:fas,per,pes ff:ful fi:fin fj:fij fo:fao fr:fra,fre fy:fry ga:gle gd:gla gl:glg gn:grn gu:guj gv:glv
+ha:hau he:heb,iw hi:hin ho:hmo hr:hrv ht:hat hu:hun hy:hye,arm hz:her ia:ina id:ind,in ie:ile ig:ibo ii:iii ik:ipk io:ido is:isl,ice it:ita
+iu:iku ja:jpn jv:jav,jw ka:kat,geo kg:kon ki:kik kj:kua kk:kaz kl:kal km:khm kn:kan ko:kor kr:kau ks:kas ku:kur kv:kom kw:cor ky:kir la:lat
+lb:ltz lg:lug li:lim ln:lin lo:lao lt:lit lu:lub lv:lav,lvs mg:mlg mh:mah mi:mri,mao mk:mkd,mac ml:mal mn:mon mr:mar ms:msa,may,zsm mt:mlt
+my:mya,bur na:nau nb:nob nd:nde ne:nep,npi ng:ndo nl:nld,dut nn:nno no:nor nr:nbl nv:nav ny:nya oc:oci oj:oji om:orm or:ori,ory os:oss pa:pan
+pi:pli pl:pol ps:pus pt:por qu:que rm:roh rn:run ro:ron,rum,mo,mol ru:rus rw:kin sa:san sc:srd sd:snd se:sme sg:sag si:sin sk:slk,slo sl:slv
+sm:smo sn:sna so:som sq:sqi,alb sr:srp,scc ss:ssw st:sot su:sun sv:swe sw:swa,swh ta:tam te:tel tg:tgk th:tha ti:tir tk:tuk tl:tgl tn:tsn
+to:ton tr:tur ts:tso tt:tat tw:twi ty:tah ug:uig uk:ukr ur:urd uz:uzb ve:ven vi:vie vo:vol wa:wln wo:wol xh:xho yi:yid,ji yo:yor za:zha
+zh:zho,chi,cmn zu:zul"""
+SHORT = {long: short for short, _, longs in (pair.partition(":") for pair in _CODES.split()) for long in longs.split(",")}
+
 # bytes of a word for the model: letters and non-ASCII bytes; anything else is a blank
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
@@ -158,16 +175,27 @@ class TextModel:
         return out
 
 
+def tag(value: Column) -> Column:
+    """The language of a label or of a declared value: its primary subtag in
+    lower case, as ISO 639-1 where that has it; null if it names none."""
+    primary = F.lower(F.regexp_extract(value.cast("string"), r"^\s*([A-Za-z]+)(?:[-_@.].*)?\s*$", 1))
+    short = F.element_at(F.create_map(*[F.lit(x) for pair in SHORT.items() for x in pair]), primary)
+    return F.when((primary != "") & ~primary.isin(UND, OTHER, "mul", "mis", "zxx"), F.coalesce(short, primary))
+
+
 def fit(rows: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> TextModel:
-    """The model of a bounded sample: per label up to ``sample`` different
-    texts, those of least hash. A first pass counts the labels; the second
-    brings to the driver only texts whose hash lies under what about 1.5 times
-    the sample needs, whatever the number of rows or tasks."""
-    known = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("l"), F.col(text).alias("t"))
-    counts = {r["l"]: r["n"] for r in known.groupBy("l").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LABELS).collect()}
+    """The model of a bounded sample: per language up to ``sample`` different
+    texts, those of least hash. A first pass counts different texts (about, by
+    sketches); the second brings to the driver only texts whose hash lies under
+    what about 1.5 times the sample needs, whatever the number of rows or
+    tasks."""
+    known = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(tag(F.col(label)).alias("l"), F.col(text).alias("t")).where("l IS NOT NULL")
+    most = known.groupBy("l").agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).where(F.col("n") >= MIN_TEXTS)
+    counts = {r["l"]: r["n"] for r in most.orderBy(F.desc("n"), "l").limit(MAX_LABELS).collect()}
     share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("l") == lang, F.lit(min(1.0, 1.5 * sample / n))).otherwise(share)
+    if counts:
+        shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * sample / n))])
+        share = F.coalesce(F.element_at(shares, F.col("l")), share)
     part = F.xxhash64("t").bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") / F.lit(2.0 ** 32)
     found = sorted(known.withColumn("h", part).where(F.col("h") < share).distinct().collect(), key=lambda r: (r["h"], r["t"]))
     labels = sorted(counts)
@@ -203,7 +231,7 @@ def _bonus(value: Column, classes: list[str], trust: float, names: dict[str, str
     """Log-evidence per class of a declared value; zero for an unknown one."""
     known = F.lit(None).cast("string")
     for given, lang in (names or {c: c for c in classes}).items():
-        if lang in classes and lang != UND:
+        if lang in classes and lang not in (UND, OTHER):
             known = F.when(value == given, lang).otherwise(known)
     return F.array(*[F.when(known == c, F.lit(float(np.log(trust)))).otherwise(F.lit(0.0)) for c in classes])
 
@@ -256,7 +284,7 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
     kept = [c for c in rows.columns if c not in result and c != text]
     none = F.lit(None).cast("string")
     host, domain, suffix = host_parts(F.col(f"`{url}`").cast("string") if url else none)
-    said = F.lower(F.substring(F.col(f"`{declared}`").cast("string"), 1, 2)) if declared else none
+    said = tag(F.col(f"`{declared}`")) if declared else none
     extra = [host.alias("__host"), domain.alias("__domain"), suffix.alias("__suffix"), said.alias("__said")]
 
     def scored(columns: list[str], with_text: bool) -> DataFrame:
