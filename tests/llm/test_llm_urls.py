@@ -53,3 +53,23 @@ def test_main_path_has_no_python(spark):
     df = spark.createDataFrame([(1, "http://a.net/", "")], "page_id long, url string, html string")
     plan = u.filter_urls(df)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_relative_targets_all_tags_and_base(spark):
+    at = "http://Host.com/a/b/page.html?x=1#f"
+    refresh = lambda t: f"<meta http-equiv='refresh' content='0; url={t}'>"
+    want = {"next.html": "http://host.com/a/b/next.html", "../x": "http://host.com/a/x", "?id=2": "http://host.com/a/b/page.html?id=2", "./y/./z?q=../k": "http://host.com/a/b/y/z?q=../k",
+            "../../../../up/..": "http://host.com/", "/r/../s?u=http://t.com/": "http://host.com/s?u=http://t.com/", "//o.com/p": "http://o.com/p", "https://Q.com/a": "https://q.com/a",
+            "..": "http://host.com/a/", "a:b": None, "mailto:x@y.z": None, "#top": "http://host.com/a/b/page.html?x=1", "n//m": "http://host.com/a/b/n//m"}
+    rows = [(k, at, refresh(t)) for k, t in enumerate(want)]
+    rows += [(50, "http://h.com", "<link rel='canonical' href='k.html'>"), (51, at, "<base href='../c/'><LINK HREF=d REL='nofollow CANONICAL'/><link rel=canonical href=\"e\"><link rel='canonical-x' href=f>")]
+    rows += [(52, at, refresh("g") + refresh("h") + "<link data-rel=canonical href=no>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for k, t in enumerate(want):
+        assert [r.b for r in u.page_links(df.where(f"page_id = {k}")).collect()] == [want[t]] * (want[t] is not None), t
+    links = lambda k: sorted(r.b for r in u.page_links(df.where(f"page_id = {k}")).collect())
+    assert links(50) == ["http://h.com/k.html"]
+    assert links(51) == ["http://host.com/a/c/d", "http://host.com/a/c/e"]
+    assert links(52) == ["http://host.com/a/b/g", "http://host.com/a/b/h"]
+    got = _run(spark, [(1, "http://x.com/bad/a", refresh("../c/t"), ""), (2, "http://x.com/c/t", None, "")], rules=[("x.com", "/bad/", "block")])
+    assert {k: v[3] for k, v in got.items()} == {1: "block", 2: "block"}

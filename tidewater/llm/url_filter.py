@@ -11,8 +11,8 @@ the pages and from an optional redirect log (from_url, to_url).
 
 Defined results: a null url or one without ``://`` has empty host and path and
 is allowed; a url's identity is its scheme, host (A-Z lower-cased) and the rest
-without fragment; relative link targets count if they start with ``/``; null or
-empty html has no links; repeated rows get equal results; an empty table gives
+without fragment; relative link targets are resolved against the page's url or
+its ``<base href>``; null or empty html has no links; repeated rows get equal results; an empty table gives
 no rows.
 """
 
@@ -55,26 +55,65 @@ def identity(url: Column) -> Column:
     return F.when(url.contains("://"), F.concat(scheme, F.lit("://"), host_of(url), behind))
 
 
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without its segments ``.`` and ``..``."""
+    empty = F.array().cast("array<string>")
+
+    def joined(parts: Column) -> Column:
+        kept = F.aggregate(parts, empty, lambda acc, x: F.when(x == ".", acc).when((x == "..") & (F.size(acc) < 2), empty)
+                           .when(x == "..", F.slice(acc, 1, F.size(acc) - 1)).otherwise(F.concat(acc, F.array(x))))
+        last = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(empty)
+        return F.concat(F.lit("/"), F.array_join(F.concat(kept, last), "/"))
+
+    return _let(F.split(F.substring(path, 2, F.length(path)), "/", -1), joined)
+
+
 def _absolute(base: Column, target: Column) -> Column:
-    """A link target as a url; null if it is neither absolute nor rooted."""
-    scheme = F.substring_index(base, "://", 1)
-    target = F.regexp_replace(F.trim(target), "&amp;", "&")
-    return (F.when(target.contains("://"), target)
-            .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-            .when(target.startswith("/"), F.concat(scheme, F.lit("://"), host_of(base), target)))
+    """A link target as a url, resolved against ``base`` (a url); null if it
+    has a scheme without ``://``."""
+    def resolved(x: Column) -> Column:
+        to, root, path = x["target"], F.concat(x["scheme"], F.lit("://"), x["host"]), x["path"]
+        own, behind = F.regexp_extract(to, r"^([^?#]*)", 1), F.regexp_extract(to, r"^[^?#]*(.*)$", 1)
+        folder = F.concat(F.lit("/"), F.regexp_extract(path, r"^/(.*/)", 1))
+        plain = _without_dots(F.when(to.startswith("/"), own).otherwise(F.concat(folder, own)))
+        return (F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), to)
+                .when(to.startswith("//"), F.concat(x["scheme"], F.lit(":"), to))
+                .when(to.startswith("?"), F.concat(root, path, to))
+                .when((to == "") | to.startswith("#"), x["base"])
+                .otherwise(F.concat(root, plain, behind)))
+
+    target = F.regexp_replace(F.trim(F.regexp_replace(target, r"[\t\r\n]", "")), "&amp;", "&")
+    return _let(F.struct(base.alias("base"), target.alias("target"), F.substring_index(base, "://", 1).alias("scheme"),
+                         host_of(base).alias("host"), path_of(base).alias("path")), resolved)
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute, quoted or bare; empty without it."""
+    pattern = rf"(?i)[\s\"'/]{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\"'\s>]+))"
+    return F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges (a, b) between identities that pages declare."""
+    """Edges (a, b) between identities that pages declare, of all their tags."""
     head = F.col(html)
-    canonical = F.regexp_extract(head, r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    refresh = F.regexp_extract(head, r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    targets = F.array(
-        F.regexp_extract(canonical, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1),
-        F.regexp_extract(refresh, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1))
-    found = (pages.where(F.col(url).contains("://") & (head.contains("canonical") | head.rlike("(?i)http-equiv|rel\\s*=\\s*[\"']?canonical")))
-             .select(F.col(url).alias("url"), F.explode(targets).alias("target")).where("target <> ''"))
-    return found.select(identity(F.col("url")).alias("a"), identity(_absolute(F.col("url"), F.col("target"))).alias("b")).where("b IS NOT NULL")
+    tags = lambda name: F.regexp_extract_all(head, F.lit(rf"(?i)<{name}\b[^>]*>"), F.lit(0))
+    canonical = F.filter(tags("link"), lambda t: F.array_contains(F.split(F.lower(_attribute(t, "rel")), r"\s+"), "canonical"))
+    refresh = F.filter(tags("meta"), lambda t: F.lower(F.trim(_attribute(t, "http-equiv"))) == "refresh")
+    targets = F.concat(F.transform(canonical, lambda t: _attribute(t, "href")),
+                       F.transform(refresh, lambda t: F.regexp_extract(t, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)))
+    bases = F.filter(F.transform(tags("base"), lambda t: _attribute(t, "href")), lambda h: h != "")
+    found = (pages.where(F.col(url).contains("://") & head.rlike("(?i)canonical|http-equiv"))
+             .select(F.col(url).alias("url"), F.get(bases, F.lit(0)).alias("base"), F.explode(targets).alias("target")).where("trim(target) <> ''"))
+    # each step is exploded, so that the next does not repeat its expressions
+    found = found.select("url", "target", F.explode(F.array(_absolute(F.col("url"), F.col("base")))).alias("base"))
+    found = found.select("url", "target", F.explode(F.array(F.when(F.col("base").contains("://"), F.col("base")).otherwise(F.col("url")))).alias("base"))
+    found = found.select("url", F.explode(F.array(_absolute(F.col("base"), F.col("target")))).alias("to"))
+    return found.select(identity(F.col("url")).alias("a"), identity(F.col("to")).alias("b")).where("b IS NOT NULL")
 
 
 def rule_table(spark, rules: Iterable[tuple[str, str, str]]) -> DataFrame:
