@@ -8,7 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontaminate, fingerprint, language, mixing, near_dup, secrets, substrings, url_filter, warc
+from tidewater.llm import (chat, decontaminate, fingerprint, language, mixing, near_dup, ranking, secrets, sharding, substrings,
+                           url_filter, warc)
 from tidewater.session import scratch_path
 
 QUERIES: dict = {}
@@ -254,3 +255,30 @@ def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(_table(spark, sf_dir, "documents").select("text", "lang"))
     return language.identify(pages, model, declared="declared", url="url", keep_text=False).select(
         "page_id", "declared", "language", F.round("confidence", 6).alias("confidence"), "rejected")
+
+
+@_query("op11_ranked_search", r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+tot AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS terms FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+p AS (SELECT rid, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT rid, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+df AS (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term),
+weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, tot),
+scored AS (SELECT item_id, doc_id, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // terms)))))::BIGINT AS score
+  FROM q JOIN weight USING (term) JOIN p USING (term), tot GROUP BY item_id, doc_id, rid),
+placed AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM placed WHERE rank <= 50
+""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranking.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query("op13_shards")
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, by Karmarkar-Karp differencing."""
+    rows = sharding.measured(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    return sharding.assign_shards(rows).select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
