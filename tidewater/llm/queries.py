@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import (chat, decontaminate, fingerprint, language, mixing, near_dup, ranking, secrets, sharding, substrings,
+from tidewater.llm import (chat, decontaminate, divergence, fingerprint, language, mixing, near_dup, ranking, secrets, sharding, substrings,
                            url_filter, warc)
 from tidewater.session import scratch_path
 
@@ -282,3 +282,31 @@ def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, by Karmarkar-Karp differencing."""
     rows = sharding.measured(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return sharding.assign_shards(rows).select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query("op12_source_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT rid, lang, source, term, count(*)::BIGINT AS c FROM (SELECT rid, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(c)::BIGINT AS c FROM t GROUP BY lang, term HAVING count(*) >= 30),
+v AS (SELECT lang, count(*)::BIGINT AS v, sum(c)::BIGINT AS n FROM kept GROUP BY lang),
+cnt AS (SELECT t.lang, t.source, t.term, sum(t.c)::BIGINT AS c FROM t JOIN kept USING (lang, term) GROUP BY t.lang, t.source, t.term),
+n AS (SELECT lang, source, sum(c)::BIGINT AS n FROM cnt GROUP BY lang, source),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(cnt.c, 0) AS c,
+    1 + (1000000000 * (coalesce(cnt.c, 0) + 5)) // (coalesce(n.n, 0) + 5 * v.v) AS p, 1 + (1000000000 * (k.c + 5)) // (v.n + 5 * v.v) AS q
+  FROM g JOIN kept k ON k.lang = g.lang JOIN v ON v.lang = g.lang
+  LEFT JOIN cnt ON cnt.lang = g.lang AND cnt.source = g.source AND cnt.term = k.term LEFT JOIN n ON n.lang = g.lang AND n.source = g.source),
+pairs AS (SELECT a.lang, a.source, b.source AS item FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value FROM pairs LEFT JOIN far USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM dense WHERE c > 0 AND p > q),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM placed WHERE part = 'pair' OR rank <= 50
+""")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between a language's sources, and the terms a source uses
+    more than its language does."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
