@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater.session import scratch_path
 
 
-def settle(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def settle(df: DataFrame, name: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet under the shared folder and read it back: the
     lineage ends there and the loss of an executor costs no recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -24,6 +24,17 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+ARROW_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python workers in batches of ``ARROW_ROWS`` rows, as they may
+    be long, unless the cluster sets another number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove shuffle files of finished steps now: it does
     so when the driver's garbage collector has seen that a plan is gone."""

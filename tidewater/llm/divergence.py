@@ -8,15 +8,15 @@ documents that hold it.
 1. Chunks. A scan cuts documents into batches of about ``BATCH_BYTES`` of text.
    A batch numbers its different chunks and keeps (document, chunk, times) as
    packed arrays. Both are settled in the shared folder.
-2. Terms. The (chunk, batch, number) rows are hashed and sorted by chunk, so that
-   equal chunks stand together and are tokenized once; a chunk of every document
-   is one row per batch.
-3. Back. The terms join their batch, which counts documents and occurrences per
-   (language, source, term), several chunks of a term being one document's, and
-   packs the counts by a hash of the term.
-4. Totals. One task per hash bucket adds up its packs as they come. Of terms in
-   at least ``MIN_DOCS`` documents of a language the counts go on; this is the
-   first point at which anything is left out, and by definition.
+2. Terms. The chunks of all batches are hashed and sorted, so that equal chunks
+   stand together and are tokenized once; a chunk of every document is one row
+   per batch. Terms whose chunks are in fewer than ``MIN_DOCS`` documents, all
+   together, cannot be kept, and go.
+3. Back. The other terms join their batch, which counts documents and occurrences
+   per (language, source, term), several chunks of a term being one document's,
+   and packs the counts by a hash of the term.
+4. Totals. One task per hash bucket adds up its packs as they come, and terms in
+   at least ``MIN_DOCS`` documents of a language are kept.
 
 A term's share in a group of N occurrences of V kept terms is p = 1 + floor(10^9
 (count + 5) / (N + 5 V)), in exact arithmetic. Distances between sources are
@@ -41,16 +41,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm._store import discard, settle
+from tidewater.llm._store import discard, settle, small_batches
 from tidewater.llm._words import LOWER, SPACED, chunks, column_bytes, per_text, word_hashes, words
 
 MIN_DOCS = 30
 BEST = 50
 BATCH_BYTES = 16 << 20
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 PACK_BATCHES, MAX_BUCKETS = 16, 4096     # batches per bucket of terms, about
 MERGE_ROWS = 1_000_000
-CELLS = 2_000_000
+BROADCAST_BYTES = 16 << 20    # of terms that may be kept, to find their chunks
+CELLS = 100_000
 
 #: bytes of a term after A-Z were lower-cased: a-z, every non-ASCII byte
 LETTERS = np.zeros(256, bool)
@@ -73,16 +74,16 @@ def _strings(raw: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 def _pack(x: np.ndarray) -> bytes:
     """32-bit numbers, their bytes in planes, compressed."""
-    planes = x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    planes = x.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
     return struct.pack("<q", len(x)) + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
 
 
 def _unpack(data: bytes) -> np.ndarray:
     n = struct.unpack_from("<q", data)[0]
     if not n:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=4 * n, codec="zstd"), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(-1).astype(np.int64)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").reshape(-1)
 
 
 # ------------------------------------------------------------------ 1 chunks
@@ -111,39 +112,51 @@ class _Batch:
         self.bytes += len(raw)
 
     def rows(self, number: int) -> Iterator[pa.RecordBatch]:
-        hashes, times = np.concatenate(self.hashes), np.concatenate(self.times)
-        names, first, back = np.unique(np.concatenate(self.names), return_index=True, return_inverse=True)
-        at = np.searchsorted(names, hashes)
-        # frequent chunks get small numbers
-        order = np.argsort(-np.bincount(at, minlength=len(names)), kind="stable")
-        rank = np.empty(len(names), np.int64)
-        rank[order] = np.arange(len(names))
-        sizes = np.concatenate(self.sizes)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        by = np.lexsort((rank[at], owner))
-        chunk, times = rank[at][by], times[by]
-        step = np.diff(chunk, prepend=0)
-        begin = np.flatnonzero(np.diff(owner, prepend=-1))
+        names, first = np.unique(np.concatenate(self.names), return_index=True)
+        at = np.searchsorted(names, np.concatenate(self.hashes)).astype(np.int32)
+        self.hashes.clear()
+        text = pa.concat_arrays(self.strings).take(pa.array(first))
+        self.strings.clear()
+        # frequent chunks get small numbers, others go by the alphabet: both pack well
+        docs = np.bincount(at, minlength=len(names))
+        order = np.lexsort((_places(text), -docs))
+        rank = np.empty(len(names), np.int32)
+        rank[order] = np.arange(len(names), dtype=np.int32)
+        sizes, chunk, times = np.concatenate(self.sizes), rank[at], np.concatenate(self.times).astype(np.int32)
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        by = np.lexsort((chunk, owner))
+        chunk, times = chunk[by], times[by]
+        step = np.diff(chunk, prepend=np.int32(0))
+        begin = np.flatnonzero(np.diff(owner, prepend=np.int32(-1)))
         step[begin] = chunk[begin]
-        groups = pa.StructArray.from_arrays([pa.concat_arrays(self.langs).cast(pa.string()), pa.concat_arrays(self.sources).cast(pa.string())], ["lang", "source"])
-        table = pa.table({"lang": groups.field(0), "source": groups.field(1), "at": pa.array(np.arange(len(groups)))})
-        different = table.group_by(["lang", "source"]).aggregate([("at", "min")])
-        named = pa.StructArray.from_arrays([different["lang"].combine_chunks(), different["source"].combine_chunks()], ["lang", "source"])
-        own = {(g["lang"], g["source"]): k for k, g in enumerate(named.to_pylist())}
-        mine = np.array([own[x] for x in zip(groups.field(0).to_pylist(), groups.field(1).to_pylist())], np.int64)
-        text = pa.concat_arrays(self.strings).take(pa.array(first[order]))
+        groups, mine = _numbered(pa.concat_arrays(self.langs), pa.concat_arrays(self.sources))
+        text, docs = text.take(pa.array(order)), docs[order]
         for i in range(0, len(text), 65536):
             part = text.slice(i, 65536)
             m = len(part)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(m, number)), pa.array(np.arange(i, i + m), pa.int32()), part.cast(pa.string()),
-                                              pa.nulls(m, _GROUPS), pa.nulls(m, pa.list_(pa.binary()))], schema=_CHUNK_ARROW)
-        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([named.to_pylist()], _GROUPS),
+                                              pa.array(docs[i:i + m], pa.int32()), pa.nulls(m, _GROUPS), pa.nulls(m, pa.list_(pa.binary()))], schema=_CHUNK_ARROW)
+        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()), pa.array([groups], _GROUPS),
                                           pa.array([[_pack(mine), _pack(sizes), _pack(step), _pack(times)]], pa.list_(pa.binary()))], schema=_CHUNK_ARROW)
 
 
+def _places(text: pa.Array) -> np.ndarray:
+    """The place of every string in the order of all."""
+    out = np.empty(len(text), np.int32)
+    out[pc.sort_indices(text).to_numpy()] = np.arange(len(text), dtype=np.int32)
+    return out
+
+
+def _numbered(langs: pa.Array, sources: pa.Array) -> tuple[list[dict], np.ndarray]:
+    """The different (lang, source) and the number of each row's."""
+    known: dict = {}
+    mine = np.array([known.setdefault(x, len(known)) for x in zip(langs.to_pylist(), sources.to_pylist())], np.int32)
+    return [{"lang": a, "source": b} for a, b in known], mine
+
+
 _GROUPS = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string())]))
-_CHUNK_ARROW = pa.schema([("batch", pa.int64()), ("number", pa.int32()), ("chunk", pa.string()), ("groups", _GROUPS), ("packed", pa.list_(pa.binary()))])
-_CHUNKS = "batch long, number int, chunk string, groups array<struct<lang:string,source:string>>, packed array<binary>"
+_CHUNK_ARROW = pa.schema([("batch", pa.int64()), ("number", pa.int32()), ("chunk", pa.string()), ("docs", pa.int32()), ("groups", _GROUPS), ("packed", pa.list_(pa.binary()))])
+_CHUNKS = "batch long, number int, chunk string, docs int, groups array<struct<lang:string,source:string>>, packed array<binary>"
 
 
 def _count_chunks(batch_bytes: int):
@@ -184,7 +197,7 @@ def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             runs = pc.run_end_encode(batch.column(2))
             ends = runs.run_ends.to_numpy()
             terms = terms_of(runs.values).take(pa.array(np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))))
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), terms.cast(pa.string())], names=["batch", "number", "terms"])
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), terms.cast(pa.string()), batch.column(3)], names=["batch", "number", "terms", "docs"])
             yield out.filter(pc.greater(pc.binary_length(terms), 0))
 
 
@@ -196,22 +209,21 @@ def _batch_counts(buckets: int):
             return none
         groups = own.column("groups")[0].as_py()
         mine, sizes, step, times = (_unpack(x) for x in own.column("packed")[0].as_py())
-        doc = np.repeat(np.arange(len(sizes)), sizes)
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         begin = np.repeat(np.cumsum(sizes) - sizes, sizes)           # place of the document's first chunk
         run_sum = np.cumsum(step)
-        chunk = run_sum - np.where(begin > 0, run_sum[begin - 1], 0)
-        raw, bounds = column_bytes(back.column("terms"))
-        starts, ends, first = words(raw, bounds, SPACED)
-        coded = _strings(*_gather(raw, starts, ends)).dictionary_encode()
+        chunk = (run_sum - np.where(begin > 0, run_sum[begin - 1], 0)).astype(np.int32)
+        del begin, run_sum, step
+        back = back.sort_by("number")
+        coded = back.column("term").combine_chunks().dictionary_encode()
         code, spelled = coded.indices.to_numpy(), coded.dictionary
-        number = back.column("number").to_numpy()
-        at, held = np.zeros(chunk.max() + 1, np.int64), np.zeros(chunk.max() + 1, np.int64)
-        at[number], held[number] = first[:-1], np.diff(first)
+        first = np.searchsorted(back.column("number").to_numpy(), np.arange(int(chunk.max()) + 2))
         # one row per (document, chunk, term), then per (document, term), then per (group, term)
-        n = held[chunk]
-        which = np.repeat(np.arange(len(chunk)), n)
-        term = code[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + at[chunk[which]]]
-        key, weight = doc[which] * len(spelled) + term, times[which]
+        n = np.diff(first)[chunk]
+        which = np.repeat(np.arange(len(chunk), dtype=np.int32), n)
+        term = code[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + first[chunk[which]]]
+        key, weight = doc[which].astype(np.int64) * len(spelled) + term, times[which]
+        del which, term, n, chunk, doc
         key, weight, _ = _summed(key, weight)
         key, weight, docs = _summed(key % len(spelled) * len(groups) + mine[key // len(spelled)], weight)
         term, group = key // len(groups), key % len(groups)
@@ -220,11 +232,13 @@ def _batch_counts(buckets: int):
         order = np.argsort(bucket, kind="stable")
         cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
         langs, sources = (pa.array([g[c] for g in groups], pa.string()) for c in ("lang", "source"))
+        coded = lambda at, names: pa.DictionaryArray.from_arrays(pa.array(at, pa.int32()), names)
         packs, where = [], []
         for b in np.flatnonzero(np.diff(cut)):
             o = order[cut[b]:cut[b + 1]]
-            g, t = pa.array(group[o]), pa.array(term[o])
-            packs.append(_to_bytes(pa.Table.from_arrays([langs.take(g), sources.take(g), spelled.take(t), pa.array(docs[o]), pa.array(weight[o])], schema=_COUNTS)))
+            own_terms, t = np.unique(term[o], return_inverse=True)
+            columns = [coded(group[o], langs), coded(group[o], sources), coded(t, spelled.take(pa.array(own_terms))), pa.array(docs[o], pa.int32()), pa.array(weight[o], pa.int64())]
+            packs.append(_to_bytes(pa.table(dict(zip(_COUNTS.names, columns)))))
             where.append(b)
         return pa.table({"bucket": pa.array(where, pa.int32()), "counts": pa.array(packs, pa.binary())})
 
@@ -236,7 +250,7 @@ def _summed(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray
     order = np.argsort(key, kind="stable")
     key = key[order]
     new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    return key[new], np.add.reduceat(weight[order], new), np.diff(np.append(new, len(key)))
+    return key[new], np.add.reduceat(weight[order], new, dtype=np.int64), np.diff(np.append(new, len(key)))
 
 
 def _to_bytes(table: pa.Table) -> bytes:
@@ -267,7 +281,7 @@ def _total(min_docs: int):
                     yield from kept(held)
                     held, rows = [], 0
                 now = bucket
-                held.append(pa.ipc.open_stream(data.as_buffer()).read_all())
+                held.append(pa.ipc.open_stream(data.as_buffer()).read_all().cast(_COUNTS))
                 rows += held[-1].num_rows
                 if rows > MERGE_ROWS and len(held) > 1:
                     held = [_merged(held)]
@@ -283,16 +297,23 @@ def count_terms(docs: DataFrame, lang: str = "lang", source: str = "source", tex
     """(lang, source) of all groups, and (lang, source, term, times) of the
     terms in at least ``min_docs`` documents of the language."""
     slim = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
-    counted, path = settle(slim.mapInArrow(_count_chunks(batch_bytes), _CHUNKS), "audit-chunks")
+    spark = docs.sparkSession
+    small_batches(spark)
+    counted, path = settle(slim.mapInArrow(_count_chunks(batch_bytes), _CHUNKS), "audit-chunks", "zstd")
     batches = counted.where("number IS NULL").select("batch", "groups", "packed")
     buckets = int(min(MAX_BUCKETS, max(PACK_BATCHES, batches.count() // PACK_BATCHES)))
-    alike = counted.where("number IS NOT NULL").select("batch", "number", "chunk").repartition("chunk").sortWithinPartitions("chunk")
-    back = alike.mapInArrow(_tokenize, "batch long, number int, terms string")
+    alike = counted.where("number IS NOT NULL").select("batch", "number", "chunk", "docs").repartition("chunk").sortWithinPartitions("chunk")
+    spelled, spelled_path = settle(alike.mapInArrow(_tokenize, "batch long, number int, terms string, docs int"), "audit-spelled", "zstd")
+    each = spelled.select("batch", "number", F.explode(F.split(F.rtrim("terms"), " ")).alias("term"), "docs")
+    often, often_path = settle(each.groupBy("term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("term"), "audit-often")
+    few = (often.agg(F.sum(F.octet_length("term") + 16)).first()[0] or 0) <= BROADCAST_BYTES
+    back = each.drop("docs").join(F.broadcast(often) if few else often, "term", "left_semi")
     packs = batches.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(_batch_counts(buckets), "bucket int, counts binary")
     totals = packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_total(min_docs), "lang string, source string, term string, times long")
     groups, _ = settle(batches.select(F.explode("groups").alias("g")).select("g.lang", "g.source").distinct(), "audit-groups")
     totals, _ = settle(totals, "audit-terms")
-    discard(docs.sparkSession, path)
+    for old in (path, spelled_path, often_path):
+        discard(spark, old)
     return groups, totals
 
 

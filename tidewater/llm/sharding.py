@@ -138,8 +138,9 @@ def shard_documents(docs: DataFrame, text: str = "text", shards: int = SHARDS) -
 
 
 def write_shards(docs: DataFrame, path: str, text: str = "text", shards: int = SHARDS, file_rows: int = BLOCK_ROWS) -> None:
-    """Write every shard as a folder shard=N of Parquet files of about
-    ``file_rows`` consecutive slots, in order of slot."""
+    """Write every shard as a folder shard=N of Parquet files of at most
+    ``file_rows`` slots, in order of slot."""
     cut = (F.col("slot") / file_rows).cast("long")
     out = shard_documents(docs, text, shards).withColumn("__file", cut)
-    out.repartition("shard", "__file").sortWithinPartitions("shard", "slot").drop("__file").write.mode("overwrite").partitionBy("shard").parquet(path)
+    (out.repartition("shard", "__file").sortWithinPartitions("shard", "slot").drop("__file")
+     .write.mode("overwrite").option("maxRecordsPerFile", file_rows).partitionBy("shard").parquet(path))
