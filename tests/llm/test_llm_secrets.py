@@ -159,3 +159,57 @@ LATER = {
 @pytest.mark.parametrize("name", LATER)
 def test_members_orders_and_damage(name):
     assert {"assign", "hex"} <= {k for _, k, _, _ in secrets.scan("see " + B64(LATER[name]) + " there")[1]}
+
+
+def _base(text):
+    """The contract's rules, one regular expression after the other."""
+    import re
+    out = [(m.start(), "assign", m.end()) for m in re.finditer(
+        r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        text) if m.end(2) - m.start(2) >= 6]
+    out += [(m.start(), "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    out += [(m.start(), "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if m.end() - m.start() >= 24]
+    return sorted(out, key=lambda f: (f[0], secrets.KINDS.index(f[1])))
+
+
+def test_base_columns_of_the_query_against_the_plain_rules(spark):
+    import hashlib
+
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in E.queries()["op4_secret_scan"](spark, sf).collect()}
+    found = 0
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        base = _base(r.text or "")
+        found += len(base)
+        listed = ",".join(f"{k}:{s}:{e}" for s, k, e in base)
+        g = got[r.doc_id]
+        assert [g.n_assign, g.n_access, g.n_hex] == [sum(b[1] == k for b in base) for k in secrets.KINDS]
+        assert g.base_sha256 == hashlib.sha256(listed.encode()).hexdigest() and set(listed.split(",")) - {""} <= set(g.spans.split(","))
+    assert found > 5
+
+
+def test_a_byte_that_is_no_character_costs_itself_only():
+    full = "".join(f"%{b:02X}" for b in b"password=hunter2222")
+    for text in (full, "%E9" + full, full + "%E9", "%E9%80" + full + "%FF%C3", "%C3%A9" + full):
+        _, every, _ = secrets.scan(text)
+        at = text.index(full)
+        assert (at, "assign", at + len(full), "url") in every
+        assert secrets.redact("a " + text + " b", "[S]").startswith("a ") and "%70%61" not in secrets.redact(text, "[S]")
+
+
+def test_chains_of_escapes_of_their_own_mark():
+    import time
+    secret = "password=hunter2222"
+    for n in (1, 3, 7, 8, 9, 12, 200, 70_000):
+        text = "x %" + "25" * n + "".join(f"{b:02X}" if k == 0 else f"%{b:02X}" for k, b in enumerate(secret.encode())) + " y"
+        began = time.time()
+        spans = [(s, k, e) for s, k, e, _ in secrets.scan(text)[1]]
+        assert (2, "assign", len(text) - 2) in spans, n
+        assert secrets.redact(text, "[S]") == "x [S] y" and time.time() - began < 2
+    for mark, unit in (("\\u005c", "u005c"), ("&#38;", "#38;"), ("&#x26;", "#x26;"), ("\\x5C", "x5C")):
+        tail = {"\\u005c": "u0070", "&#38;": "#112;", "&#x26;": "#x70;", "\\x5C": "x70"}[mark]
+        text = mark + unit * 30_000 + tail + "assword=hunter2222"
+        began = time.time()
+        assert (0, "assign", len(text)) in [(s, k, e) for s, k, e, _ in secrets.scan(text)[1]], mark
+        assert time.time() - began < 2

@@ -17,7 +17,10 @@ Layers larger than ``MAX_LAYER`` bytes after decompression are scanned as a
 stream, in windows that overlap (a bomb would take the task's memory). A
 packing that two windows cut is not seen whole; ``n_oversized`` counts these
 layers, and redaction replaces the whole value, so that nothing is passed over
-in silence. Of damaged values what can be read is scanned.
+in silence. Of damaged values what can be read is scanned. Escapes of an
+escape's own mark (%252525...) are unwrapped level by level up to
+``DEEPEST_ESCAPE`` levels; longer chains are cut to that first, in one step, so
+that their cost is linear.
 
 Defined results: null text: as the empty text, no findings; repeated rows get
 equal results; an empty table gives no rows; other columns stay, the result
@@ -54,6 +57,11 @@ KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+DEEPEST_ESCAPE = 8           # levels of one escape that are unwrapped one by one
+CHAIN = re.compile("|".join(rf"{mark}(?:({unit})\{group}{{{DEEPEST_ESCAPE},}})" for group, (mark, unit) in enumerate(
+    [("%", "25"), (r"\\u005[cC]", "u005[cC]"), (r"\\x5[cC]", "x5[cC]"), (r"\\u\{5[cC]\}", r"u\{5[cC]\}"), (r"\\U0000005[cC]", "U0000005[cC]"),
+     ("&#38;", "#38;"), ("&#[xX]26;", "#[xX]26;")], 1)))
+_LONE = re.compile("[\udc80-\udcff]")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{60,}(?:\r?\n[A-Za-z0-9+/_-]+)+|[A-Za-z0-9+/_-]{%d,})={0,2}" % MIN_BASE64)
 
 BLOCK = 1 << 16              # bytes that are unpacked at once
@@ -110,18 +118,29 @@ def _replaced(layer: Layer, path: str, parts: list[tuple[int, int, str, list[int
 
 
 def _percent(layer: Layer) -> Layer | None:
+    """A byte that is no UTF-8 is one unreadable character; the others of its
+    run are read."""
     parts = []
     for m in PERCENT.finditer(layer.text) if "%" in layer.text else ():
-        data = bytes.fromhex(m[0].replace("%", ""))
-        try:
-            new = data.decode()
-        except UnicodeDecodeError:
-            continue
-        sizes = np.cumsum([0] + [len(c.encode()) for c in new])
-        parts.append((m.start(), m.end(), new, [m.start() + 3 * int(k) for k in sizes[:-1]], [m.start() + 3 * int(k) for k in sizes[1:]]))
+        new = bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "surrogateescape")
+        sizes = np.cumsum([0] + [1 if "\udc80" <= c <= "\udcff" else len(c.encode()) for c in new])
+        parts.append((m.start(), m.end(), _LONE.sub("\ufffd", new), (m.start() + 3 * sizes[:-1]).tolist(), (m.start() + 3 * sizes[1:]).tolist()))
     return _replaced(layer, "url", parts) if parts else None
 
 
+def _shortened(layer: Layer) -> Layer | None:
+    """The layer with escapes of an escape's own mark, of one of the mark, and
+    so on (%252525...), cut to ``DEEPEST_ESCAPE``: they unwrap level by level, so
+    that a long one would be as many layers. Its mark stands for the rest."""
+    parts = []
+    for m in CHAIN.finditer(layer.text) if "%2525" in layer.text or "\\" in layer.text or "&#" in layer.text else ():
+        unit = m[m.lastindex]
+        start, kept = m.start(), m.end() - DEEPEST_ESCAPE * len(unit)
+        head = layer.text[start:m.start(m.lastindex)]
+        parts.append((start, kept, head, [start] * len(head), [kept] * len(head)))
+    return _replaced(layer, "chain", parts) if parts else None
+
+
 def _escapes(layer: Layer) -> Layer | None:
     found = []
     if "\\" in layer.text or "&#" in layer.text:
@@ -347,10 +366,13 @@ def _scan(text: str, limit: int) -> tuple[list[tuple[int, str, int]], list[tuple
 
 
 def _inner(layer: Layer, limit: int, over: set[tuple[int, int, str]]) -> Iterator[Layer]:
-    for unwrap in (_percent, _escapes):
+    short = _shortened(layer)
+    for unwrap in (_percent, _escapes) if short is None else ():
         new = unwrap(layer)
         if new:
             yield new
+    if short:
+        yield short
     yield from _base64(layer, limit, over)
 
 
