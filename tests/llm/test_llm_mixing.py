@@ -57,3 +57,22 @@ def test_mix_emits_copies_and_keeps_columns(spark):
         times = sum((d, s, len(spaced(t))) == key for d, s, t, _ in rows)
         assert sorted(per_row.get(key, [])) == sorted(list(range(copies)) * times)
     assert mixing.mix_sources(df.limit(0)).count() == 0
+
+
+def test_the_query_has_one_row_per_row(spark, tmp):
+    from tidewater.llm import queries
+    rows = [(k, prose(k, 3 + k % 20), "en", "x" if k % 3 else "y", 1) for k in range(300)] * 2 + [(None, None, None, None, 0)] * 3
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp}/documents.parquet")
+    got = queries.op2_mix_sources(spark, tmp).collect()
+    assert len(got) == len(rows)
+    taken, target = {}, {}
+    for r in got:
+        s = None if r.doc_id is None else ("x" if r.doc_id % 3 else "y")
+        taken[s] = taken.get(s, 0) + r.taken
+        target[s] = r.target
+    assert all(abs(taken[s] - target[s]) <= 60 for s in taken)
+    one = {}
+    for r in got:
+        assert one.setdefault(r.doc_id, r.taken) == r.taken
+    copies = mixing.mix_sources(spark.read.parquet(f"{tmp}/documents.parquet")).groupBy("source").count().collect()
+    assert sum(r["count"] for r in copies) == sum(r.taken // r.size for r in got if r.size)

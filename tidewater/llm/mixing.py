@@ -74,11 +74,11 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
 
 def decisions(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED,
               doc: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """One row per different (doc_id, source, size): its source's tokens,
-    target and rate, and ``copies``."""
+    """One row per different (doc_id, source, size): the number of ``rows`` that
+    have them, its source's tokens, target and rate, and ``copies`` (of each row)."""
     sized = docs.select(docs[doc].alias(_KEY), docs[source].alias(_SRC), word_count(docs[text]).alias(_SIZE))
     targets = source_targets(sized, weights, share, cap)
-    s = sized.distinct().alias("s")
+    s = sized.groupBy(_KEY, _SRC, _SIZE).agg(F.count(F.lit(1)).alias("__rows")).alias("s")
     t = targets.alias("t")
     one = s.join(t, F.col(f"s.{_SRC}").eqNullSafe(F.col(f"t.{_SRC}"))).select("s.*", "t.tokens", "t.docs", "t.target", "t.rate")
     draw = uniform(F.lit(seed), F.col(_KEY), F.col(_SIZE))
@@ -90,7 +90,7 @@ def decisions(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     fraction = F.col("rate") - whole
     place = F.row_number().over(w)
     extra = F.floor(start + place * fraction) - F.floor(start + (place - 1) * fraction)
-    return one.select(_KEY, _SRC, _SIZE, F.col("tokens").alias("__tokens"), F.col("target").alias("__target"),
+    return one.select(_KEY, _SRC, _SIZE, "__rows", F.col("tokens").alias("__tokens"), F.col("target").alias("__target"),
                       F.col("rate").alias("__rate"), (whole + extra).cast("long").alias("__copies"))
 
 

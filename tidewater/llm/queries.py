@@ -30,9 +30,9 @@ def _query(name: str, sql: str | None = None):
 
 
 @_query("op2_mix_sources", r"""
-WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
-per AS (SELECT source, sum(size)::BIGINT AS tokens, count(*) AS docs FROM sized GROUP BY source),
+WITH sized AS (SELECT doc_id, source, size, count(*) AS rows FROM (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents) GROUP BY doc_id, source, size),
+per AS (SELECT source, sum(size * rows)::BIGINT AS tokens, sum(rows)::BIGINT AS docs FROM sized GROUP BY source),
 placed AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place FROM per),
 weighed AS (SELECT *, ([3.0, 1.0, 2.0]::DOUBLE[])[(place % 3)::INT + 1] AS weight, tokens * 2.0::DOUBLE AS most,
   (sum(tokens) OVER ())::BIGINT * 1.5::DOUBLE AS total FROM placed),
@@ -54,12 +54,14 @@ started AS (
   FROM strata)
 SELECT doc_id, size, tokens AS source_size, target,
   (size * (floor(rate) + floor(start + place * frac) - floor(start + (place - 1) * frac)))::BIGINT AS taken
-FROM started
+FROM (SELECT *, unnest(range(rows)) FROM started)
 """)
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size, source size, target and words taken of every document."""
+    """Size, source size, target and words taken of every document, one row per
+    row of the table; rows that repeat are taken alike."""
     docs = _table(spark, sf_dir, "documents")
-    return mixing.decisions(docs).select(
+    every = mixing.decisions(docs).withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__rows"))))
+    return every.select(
         F.col("__doc").alias("doc_id"), F.col("__size").alias("size"), F.col("__tokens").alias("source_size"),
         F.col("__target").alias("target"), (F.col("__size") * F.col("__copies")).alias("taken"))
 
