@@ -1,6 +1,7 @@
 import os
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,13 +34,72 @@ def test_evidence_decides_a_short_text(spark, model):
     assert got[4].rejected and got[4].language == "und"
 
 
-def test_host_prior_is_smoothed_down_the_levels(spark, model):
-    post = lambda lang: [1.0 if c == lang else 0.0 for c in model.classes]
+def test_host_prior_is_smoothed_down_the_levels_without_the_row(spark, model):
+    k = len(model.classes)
+    post = lambda lang: [10 ** 6 if c == lang else 0 for c in model.classes]
     rows = [("a.x.com", "x.com", "com", post("fr"))] * 200 + [("b.x.com", "x.com", "com", post("en"))] + [("c.org", "c.org", "org", post("en"))] * 50
-    df = spark.createDataFrame(rows, "host string, domain string, suffix string, post array<double>")
-    prior = {r.host: dict(zip(model.classes, r.prior)) for r in language.host_priors(df, model.classes).collect()}
-    assert prior["a.x.com"]["fr"] > prior["b.x.com"]["fr"] > prior["c.org"]["fr"]
-    assert prior["b.x.com"]["fr"] > prior["b.x.com"]["en"]
+    df = spark.createDataFrame(rows, "host string, domain string, suffix string, post array<bigint>")
+    own = df.distinct().withColumnRenamed("host", "own")
+    joined = language.host_counts(df, k).join(own, F.col("host") == F.col("own"))
+    got = {r.host: r.p for r in joined.select("host", language._prior(F.col("levels"), F.col("post"), k).alias("p")).collect()}
+    names = [r[3] for r in rows]
+
+    def want(host, domain, suffix, mine):
+        prior = np.full(k, 1 / k)
+        for keep in (lambda r: True, lambda r: r[2] == suffix, lambda r: r[1] == domain, lambda r: r[0] == host):
+            n = (sum(np.array(r[3]) for r in rows if keep(r)) - np.array(mine)) / 1e6
+            prior = (n + language.SMOOTH * prior) / (n.sum() + language.SMOOTH)
+        return np.log(prior)
+
+    assert len(names) == 251
+    for r in df.distinct().collect():
+        assert np.allclose(got[r.host], want(r.host, r.domain, r.suffix, r.post))
+    fr = model.classes.index("fr")
+    assert got["a.x.com"][fr] > got["b.x.com"][fr] > got["c.org"][fr]
+
+
+def test_identify_against_a_plain_version(spark, model):
+    """Scores of the text, declared language, suffix and the host's other rows,
+    added up one by one."""
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 2 = 1").limit(60).collect()]
+    rows = [(k, t[:40 + 7 * k], ["de", "EN", None, "fr-FR", "xx"][k % 5], ["http://a.x.de/1", "http://b.x.de/", "http://y.fr", "plain", None][k % 5 if k % 7 else 4])
+            for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, url string")
+    got = {r.doc_id: r for r in language.identify(df, model, url="url").collect()}
+    slim = {r.doc_id: (r.language, r.confidence) for r in language.identify(df, model, url="url", keep_text=False).collect()}
+    assert slim == {d: (r.language, r.confidence) for d, r in got.items()}
+    classes, k = model.classes, len(model.classes)
+    parts = {"http://a.x.de/1": ("a.x.de", "x.de", "de"), "http://b.x.de/": ("b.x.de", "x.de", "de"), "http://y.fr": ("y.fr", "y.fr", "fr"),
+             "plain": ("plain", "plain", None), None: (None, None, None)}
+    scores = []
+    for _, text, lang, url in rows:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        s = model.scores(raw, np.array([0, len(raw)]))[0]
+        said = {"de": "de", "EN": "en", "fr-FR": "fr"}.get(lang)
+        for value, trust in ((said, language.DECLARED), (parts[url][2], language.SUFFIX)):
+            if value in classes:
+                s[classes.index(value)] += np.log(trust)
+        scores.append(s)
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    own = np.array([np.round(soft(s) * 1e6) for s in scores])
+    for i, (d, _, _, url) in enumerate(rows):
+        prior = np.full(k, 1 / k)
+        for level in (None, 2, 1, 0):
+            same = [j for j, r in enumerate(rows) if level is None or parts[r[3]][level] == parts[url][level]]
+            n = (own[same].sum(axis=0) - own[i]) / 1e6
+            prior = (n + language.SMOOTH * prior) / (n.sum() + language.SMOOTH)
+        want = soft(scores[i] + np.log(prior))
+        assert got[d].language == classes[int(want.argmax())] and abs(got[d].confidence - want.max()) < 1e-6
+
+
+def test_many_languages(spark):
+    names = [f"{a}{b}q" for a in "bcdfghjklm" for b in "aeiou" if a + b != "ba"]       # baq is Basque
+    rows = [(k, f"{n} {n[::-1]}{n} " * 6 + str(k), n, f"h{k % 9}") for k, n in enumerate(names * 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    many = language.fit(df)
+    assert len(many.classes) == len(names) + 2
+    got = language.identify(df, many).collect()
+    assert sum(r.language == r.lang for r in got) == len(rows)
 
 
 def test_odd_rows(spark, model):
@@ -60,7 +120,7 @@ def test_odd_rows(spark, model):
 def test_priors_are_joined_beyond_the_broadcast_bound(spark, model, monkeypatch):
     df = spark.read.parquet(f"{SF}/documents.parquet").limit(100)
     few = sorted(map(tuple, language.identify(df, model).select("doc_id", "language", "confidence").collect()))
-    monkeypatch.setattr(language, "BROADCAST_HOSTS", 1)
+    monkeypatch.setattr(language, "PRIOR_NUMBERS", 1)
     assert sorted(map(tuple, language.identify(df, model).select("doc_id", "language", "confidence").collect())) == few
 
 
@@ -91,6 +151,9 @@ def test_labels_are_languages_and_the_most_frequent_are_taken(spark, monkeypatch
     df = spark.createDataFrame(rows, "text string, lang string").repartition(7)
     taken = {}
     monkeypatch.setattr(language, "MAX_LABELS", 2)
-    monkeypatch.setattr(language, "TextModel", lambda labels, texts: taken.update(zip(labels, texts)))
+    monkeypatch.setattr(language, "TextModel", lambda labels, counts: taken.update(zip(labels, counts)))
     language.fit(df, sample=20)
-    assert {k: len(set(v)) for k, v in taken.items()} == {"en": 20, "de": 20}
+    assert set(taken) == {"en", "de"}
+    # twenty different texts of each: every German one has " kat" once, every English one " cat"
+    gram = lambda t: language._trigrams(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0][0]
+    assert taken["de"][gram(b" ka")] == 20 and taken["en"][gram(b" ca")] == 20

@@ -56,6 +56,43 @@ def test_hot_group_without_a_common_centre(spark):
     assert {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()} == want
 
 
+def test_sketches_tell_texts_apart():
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(1, 2 ** 63, 400))
+    agree = near_dup.agreeing(0.8)
+    assert 870 <= agree <= 880
+    passed = {0.8: 0, 0.6: 0}
+    for s in passed:
+        for k in range(40):
+            shared = int(round(400 * 2 * s / (1 + s)))
+            other = np.concatenate([base[:shared], rng.integers(1, 2 ** 63, 400 - shared)])
+            two = near_dup.pa.RecordBatch.from_arrays([near_dup.pa.array([b"a", b"b"]), near_dup.pa.array([mix(base.astype(np.uint64) + np.uint64(k)).view(np.int64).tolist(),
+                                                                                                          mix(other.astype(np.uint64) + np.uint64(k)).view(np.int64).tolist()])], names=["node", "elements"])
+            a, b = next(near_dup._sketch(iter([two]))).column(1).to_pylist()
+            passed[s] += 1024 - sum(bin((x ^ y) & (2 ** 64 - 1)).count("1") for x, y in zip(a, b)) >= agree
+    assert passed[0.8] == 40 and passed[0.6] <= 3
+
+
+def test_crowd_around_a_centre(spark):
+    """Copies of one text, changed more and more, and pairs that are near each
+    other only: what a large group's later rounds have to find."""
+    import random
+    r = random.Random(3)
+    base, texts = prose(4, 300, 10 ** 5).split(" "), []
+    for k in range(160):
+        w = list(base)
+        for at in r.sample(range(300), k * 60 // 160):
+            w[at] = f"n{k}x{at}"
+        texts.append(" ".join(w))
+        if k % 8 == 7:
+            w[r.randrange(300)] = "twin"
+            texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = dict(enumerate(classes(range(len(texts)), texts)))
+    assert len(set(want.values())) > 5
+    assert {x.doc_id: x.class_id for x in near_dup.near_duplicates(df).collect()} == want
+
+
 def test_keep_one(spark):
     ids, texts = _case()
     rows = [(d, t, "k") for d, t in zip(ids, texts)] + [(ids[0], texts[0], "k"), (None, texts[1], "k"), (None, "only here and nowhere else", "k"), (None, None, "k")]

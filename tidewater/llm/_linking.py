@@ -10,6 +10,8 @@ comparison per copy.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from tidewater.llm._components import components
 from tidewater.llm._store import discard, settle
 
 
+#: longs of a sketch
+WORDS = 16
+
 #: so many nodes (16 bytes each) are broadcast to find their sets, no more
 BROADCAST_NODES = 200_000
 
@@ -46,37 +51,40 @@ def similarities(pairs: DataFrame, sets: DataFrame, name: str) -> tuple[DataFram
     return two.select("a", "b", (shared / (F.size("ea") + F.size("eb") - shared)).alias("j")), path
 
 
-def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: float, name: str, sketches: DataFrame | None = None,
-                 agree: int = 0) -> DataFrame:
-    """(node, component) of all nodes with a link, from settled buckets (band,
-    node, weight, score); weight is the set's size, by which pairs are pruned
-    before their sets meet; the node of the highest score is the first centre.
+def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: float, name: str,
+                 sketch: Callable[[DataFrame], DataFrame] | None = None, agree: int = 0) -> DataFrame:
+    """(node, component) of all nodes with a link, from buckets (band, node,
+    weight, score); weight is the set's size, by which pairs are pruned before
+    their sets meet; the node of the highest score is the first centre.
 
     After the first round what is left is mostly texts that are all somewhat
-    like one centre and hardly like each other. With ``sketches`` (node, sketch:
-    an array of which similar nodes share ``agree`` elements or more) such pairs
-    are told apart where they meet in a bucket, before their sets are read. So
-    are pairs whose distances to the bucket's first centre differ by more than
-    1 - ``threshold``: 1 - Jaccard is a metric, so they cannot be similar."""
+    like one centre and hardly like each other. Such pairs are told apart where
+    they meet in a bucket, before their sets are read, by their distances to the
+    bucket's first centre, which differ by no more than 1 - ``threshold`` (1 -
+    Jaccard is a metric), and by sketches: ``sketch`` makes (node, sketch), an
+    array of longs, of the sets of those nodes only, and similar ones share
+    ``agree`` bits or more."""
     spark = buckets.sparkSession
     left = buckets.withColumn("component", F.col("node"))
-    links, paths, slots = None, [], 1
+    links, linked, paths, slots = None, [], [], 1
     while True:
         told, away = (["sketch"] if "sketch" in left.columns else []), (["far"] if "far" in left.columns else [])
         left = left.withColumn("slot", F.pmod(F.xxhash64("node", "band", F.lit(slots)), F.lit(slots)))
         centre = left.groupBy("band", "slot").agg(F.max(F.struct("score", "node", "weight", "component", *told, *away)).alias("c")).select(
             "band", F.col("c.node").alias("a"), F.col("c.weight").alias("wa"), F.col("c.component").alias("ca"), *[F.col("c.sketch").alias("sa")] * len(told), *[F.col("c.far").alias("fa")] * len(away))
-        near = F.least("weight", "wa") >= F.lit(threshold) * F.greatest("weight", "wa")
-        if told:
-            near = near & (F.size(F.array_intersect("sketch", "sa")) >= agree)
-        if "far" in left.columns:
+        near = (F.col("component") != F.col("ca")) & (F.least("weight", "wa") >= F.lit(threshold) * F.greatest("weight", "wa"))
+        if away:
             near = near & (F.abs(F.coalesce(F.col("far") - F.col("fa"), F.lit(0.0))) <= 1 - threshold + 1e-9)
-        pairs, pair_path = settle(left.join(centre, "band").where((F.col("component") != F.col("ca")) & near)
-                                  .select("a", F.col("node").alias("b")).distinct(), f"{name}-pairs")
+        if told:
+            unlike = [F.bit_count(F.get("sketch", k).bitwiseXOR(F.get("sa", k))) for k in range(WORDS)]
+            near = near & (sum(unlike[1:], unlike[0]) <= 64 * WORDS - agree)
+        pairs, pair_path = settle(left.join(centre, "band").where(near).select("a", F.col("node").alias("b")).distinct(), f"{name}-pairs")
         scored, own_path = similarities(pairs, sets, name)
         scored, scored_path = settle(scored, f"{name}-scored")
-        found, _ = settle(scored.where(F.col("j") >= threshold).select("a", "b"), f"{name}-links")
+        discard(spark, own_path)
+        found, link_path = settle(scored.where(F.col("j") >= threshold).select("a", "b"), f"{name}-links")
         links = found if links is None else links.union(found)
+        linked.append(link_path)
         comp = components(links, f"{name}-components")
         rest = (left.join(centre.select("band", F.col("a").alias("node")), ["band", "node"], "left_anti").drop("component", "slot")
                 .join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
@@ -87,12 +95,16 @@ def link_buckets(buckets: DataFrame, sets: DataFrame, threshold: float, name: st
             known = scored.select("a", F.col("b").alias("node"), (1 - F.col("j")).alias("far"))
             rest = rest.join(centre.select("band", "a"), "band").join(known, ["a", "node"], "left").drop("a")
         left, path = settle(rest, f"{name}-left")
-        for old in (*paths, pair_path, own_path, scored_path):
+        for old in (*paths, pair_path, scored_path):
             discard(spark, old)
         paths, slots = [path], 4 * slots
         if left.isEmpty():
+            for old in (*paths, *linked):
+                discard(spark, old)
             return comp
-        if sketches is not None and not told:
-            own, own_path = settle(only(sketches, left.select("node").distinct()).dropDuplicates(["node"]), f"{name}-sketches")
+        if sketch is not None and not told:
+            own, own_path = settle(sketch(only(sets, left.select("node").distinct())), f"{name}-sketches")
             left, told_path = settle(left.join(own, "node"), f"{name}-left")
-            paths += [own_path, told_path]
+            for old in (path, own_path):
+                discard(spark, old)
+            paths = [told_path]

@@ -10,8 +10,8 @@ The posterior of a row's language combines, as log-odds that are added up,
 - the declared language (markup or metadata), trusted ``DECLARED`` times as
   much as any other language;
 - the address suffix of the host (``.de``), likewise ``SUFFIX`` times;
-- the host: languages of all its rows, by grouped aggregation of the rows'
-  posteriors without it. The prior of a host is smoothed with the prior of its
+- the host: languages of its other rows, by grouped aggregation of the rows'
+  posteriors without this evidence. The prior of a host is smoothed with the prior of its
   domain, that with the suffix's, and that with the whole table's, each with
   ``SMOOTH`` pseudo-rows.
 
@@ -19,8 +19,8 @@ Labels and declared languages are compared by their language alone (``tag``):
 ``EN``, ``en-US`` and ``eng`` are ``en``; ``fil`` is not ``fi``. The text model
 is fitted on a bounded sample: at most ``SAMPLE`` different texts per language,
 those of least hash, whole, for the ``MAX_LABELS`` languages of the most
-different texts, with ``MIN_TEXTS`` at least. Everything else covers all rows. Priors are held by one row per host; up to
-``BROADCAST_HOSTS`` hosts they are broadcast, beyond that joined.
+different texts, with ``MIN_TEXTS`` at least. Everything else covers all rows. Counts are held by one row per host;
+up to ``PRIOR_NUMBERS`` numbers they are broadcast, beyond that joined.
 
 A row is rejected if ``und`` is its most likely class: no letters, or evidence
 of noise. A text that no language model explains is ``other`` and stays. A confident decision between
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -55,10 +55,10 @@ DECLARED, SUFFIX = 20.0, 5.0
 SMOOTH = 10.0
 NOISE = 0.01                 # share of texts that are in no language, before any evidence
 TEXT_WEIGHT = 0.3            # neighbouring trigrams share letters, so they count less than independent ones
-BROADCAST_HOSTS = 100_000
-MAX_LABELS = 1000            # languages that are modelled, those of the most texts
+MAX_LABELS = 200             # languages that are modelled, those of the most texts
 MIN_TEXTS = 2                # different texts that a language needs (about); documents of others can be ``other``
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 256 << 10      # text that is scored at once
+PRIOR_NUMBERS = 2_000_000    # broadcast with the hosts' counts, at most
 
 #: languages whose usual country suffix says something (fixed values)
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "uk": "en", "us": "en", "au": "en"}
@@ -96,7 +96,7 @@ def _trigrams(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if len(b) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     code = (b[:-2] | b[1:-1] << 8 | b[2:] << 16) * np.uint32(0x9E3779B1)
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    owner = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
     use = np.flatnonzero((b[1:-1] != 0x20) & (owner[:-2] == owner[2:]))
     return (code[use] >> np.uint32(16)).astype(np.int64), owner[use]
 
@@ -141,14 +141,13 @@ class TextModel:
     """Log-probabilities of trigrams per class; the last classes are ``other``
     (without any language, it is missing) and ``und``."""
 
-    def __init__(self, languages: list[str], texts: list[list[str]]):
+    def __init__(self, languages: list[str], counts: np.ndarray):
+        """``counts``: of every hashed trigram, per language."""
         self.classes = [*languages, *[OTHER] * bool(languages), UND]
         table = np.empty((len(self.classes), BUCKETS), np.float32)
-        for k, own in enumerate(texts):
-            column = pa.array(own, pa.large_string())
-            code, _ = _trigrams(*column_bytes(column))
-            counts = np.bincount(code, minlength=BUCKETS) + 0.05
-            table[k] = np.log(counts / counts.sum())
+        for k, own in enumerate(counts):
+            own = own + 0.05
+            table[k] = np.log(own / own.sum())
         table[len(languages):] = -np.log(BUCKETS)
         self.table = table
 
@@ -168,7 +167,7 @@ class TextModel:
         n_signs = signs[bounds[1:]] - signs[bounds[:-1]]
         if OTHER in self.classes:
             out[:, -2:] += np.log(NOISE)
-            out[:, -1] += np.log(NOISE) + _noise(raw, np.repeat(np.arange(n), np.diff(bounds)), n, n_letters)
+            out[:, -1] += np.log(NOISE) + _noise(raw, np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds)), n, n_letters)
         out[:, :-1] -= np.log(3.0) * np.maximum(0, n_signs - 3 * n_letters)[:, None]
         out[n_letters == 0, :-1] = -np.inf
         out[n_letters == 0, -1] = 0.0
@@ -186,20 +185,37 @@ def tag(value: Column) -> Column:
 def fit(rows: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> TextModel:
     """The model of a bounded sample: per language up to ``sample`` different
     texts, those of least hash. A first pass counts different texts (about, by
-    sketches); the second brings to the driver only texts whose hash lies under
-    what about 1.5 times the sample needs, whatever the number of rows or
-    tasks."""
+    sketches); the second goes on with texts whose hash lies under what about
+    1.5 times the sample needs. Their trigrams are counted where they are; the
+    driver gets at most ``BUCKETS`` numbers per language."""
     known = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(tag(F.col(label)).alias("l"), F.col(text).alias("t")).where("l IS NOT NULL")
     most = known.groupBy("l").agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).where(F.col("n") >= MIN_TEXTS)
-    counts = {r["l"]: r["n"] for r in most.orderBy(F.desc("n"), "l").limit(MAX_LABELS).collect()}
-    share = F.lit(0.0)
-    if counts:
-        shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * sample / n))])
-        share = F.coalesce(F.element_at(shares, F.col("l")), share)
-    part = F.xxhash64("t").bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") / F.lit(2.0 ** 32)
-    found = sorted(known.withColumn("h", part).where(F.col("h") < share).distinct().collect(), key=lambda r: (r["h"], r["t"]))
-    labels = sorted(counts)
-    return TextModel(labels, [[r["t"] for r in found if r["l"] == lang][:sample] for lang in labels])
+    found = {r["l"]: r["n"] for r in most.orderBy(F.desc("n"), "l").limit(MAX_LABELS).collect()}
+    labels = sorted(found)
+    counts = np.zeros((len(labels), BUCKETS), np.int64)
+    if labels:
+        shares = F.create_map(*[F.lit(x) for lang, n in found.items() for x in (lang, min(1.0, 1.5 * sample / n))])
+        part = F.xxhash64("t").bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") / F.lit(2.0 ** 32)
+        near = known.withColumn("h", part).where(F.col("h") < F.coalesce(F.element_at(shares, F.col("l")), F.lit(0.0))).distinct()
+        first = near.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))).where(F.col("r") <= sample)
+        table = (first.select("l", "t").mapInArrow(_count_trigrams, "l string, bucket int, n long")
+                 .groupBy("l", "bucket").agg(F.sum("n").alias("n")).toArrow())
+        place = {lang: k for k, lang in enumerate(labels)}
+        at = np.array([place[x] for x in table.column("l").to_pylist()], np.int64)
+        counts[at, table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+    return TextModel(labels, counts)
+
+
+def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        _, all_bounds = column_bytes(whole.column(1))
+        for i, j in chunks(all_bounds, SLICE_BYTES):
+            batch = whole.slice(i, j - i)
+            code, owner = _trigrams(*column_bytes(batch.column(1)))
+            own = batch.column(0).dictionary_encode()
+            pairs, n = np.unique(own.indices.to_numpy()[owner].astype(np.int64) * BUCKETS + code, return_counts=True)
+            yield pa.RecordBatch.from_arrays([own.dictionary.take(pa.array(pairs // BUCKETS)), pa.array((pairs % BUCKETS).astype(np.int32)),
+                                              pa.array(n, pa.int64())], names=["l", "bucket", "n"])
 
 
 def _score(model: TextModel, text_at: int, schema: pa.Schema):
@@ -229,11 +245,14 @@ def host_parts(url: Column) -> tuple[Column, Column, Column]:
 
 def _bonus(value: Column, classes: list[str], trust: float, names: dict[str, str] | None = None) -> Column:
     """Log-evidence per class of a declared value; zero for an unknown one."""
-    known = F.lit(None).cast("string")
-    for given, lang in (names or {c: c for c in classes}).items():
-        if lang in classes and lang not in (UND, OTHER):
-            known = F.when(value == given, lang).otherwise(known)
-    return F.array(*[F.when(known == c, F.lit(float(np.log(trust)))).otherwise(F.lit(0.0)) for c in classes])
+    place = {c: k for k, c in enumerate(classes) if c not in (UND, OTHER)}
+    known = {given: place[lang] for given, lang in (names or {c: c for c in classes}).items() if lang in place}
+    none = F.array_repeat(F.lit(0.0), len(classes))
+    if not known:
+        return none
+    at = F.element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), value)
+    return F.when(at.isNull(), none).otherwise(F.transform(F.sequence(F.lit(0), F.lit(len(classes) - 1)),
+                                                           lambda k: F.when(k == at, F.lit(float(np.log(trust)))).otherwise(F.lit(0.0))))
 
 
 def _added(*parts: Column) -> Column:
@@ -250,30 +269,47 @@ def _posterior(scores: Column) -> Column:
     return F.transform(weights, lambda w: w / total)
 
 
-def _summed(k: int) -> list[Column]:
-    return [F.sum(F.round(F.element_at("post", i + 1) * 1e6).cast("long")).alias(f"n{i}") for i in range(k)]
+#: posteriors are added as millionths, so that sums do not depend on their order
+_UNIT = 1_000_000
 
 
-def host_priors(rows: DataFrame, classes: list[str], smooth: float = SMOOTH) -> DataFrame:
-    """Log-prior per host from the posteriors of its rows, smoothed from the
-    table to the suffix, the domain and the host. One row per host; posteriors
-    are added as millionths, so that sums do not depend on their order."""
-    k = len(classes)
-    hosts, _ = settle(rows.groupBy("host", "domain", "suffix").agg(*_summed(k)), "host-counts")
-    level = lambda keys: hosts.groupBy(*keys).agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(k)])
-    counts = lambda side: [F.col(f"{side}.n{i}") / 1e6 for i in range(k)]
+def _millionths(post: Column) -> Column:
+    return F.transform(post, lambda p: F.round(p * _UNIT).cast("long"))
+
+
+def host_counts(rows: DataFrame, k: int) -> DataFrame:
+    """One row per host: the sums of its rows' posteriors (millionths, by
+    class), and those of its domain, its suffix and the whole table. Only
+    classes that a row has something of are summed, by (host, class), so a host
+    of a third of all rows is a few rows per task."""
+    parts = (rows.select("host", "domain", "suffix", F.posexplode("post").alias("i", "n")).where("n > 0")
+             .groupBy("host", "domain", "suffix", "i").agg(F.sum("n").alias("n")))
+    parts, _ = settle(parts, "host-counts")
+
+    def level(*keys: str) -> DataFrame:
+        own = parts.groupBy(*keys, "i").agg(F.sum("n").alias("n")).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("m"))
+        dense = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0).cast("long")))
+        return own.select(*keys, dense.alias("n"))
 
-    def smoothed(own: list[Column], above: list[Column]) -> list[Column]:
-        total = sum(own[1:], own[0])
-        return [(n + F.lit(smooth) * p) / (total + F.lit(smooth)) for n, p in zip(own, above)]
+    whole = level().first()                             # one number per class
+    table = F.array(*[F.lit(n).cast("long") for n in (whole["n"] if whole else [0] * k)])
+    h, d, s = level("host", "domain", "suffix").alias("h"), level("domain").alias("d"), level("suffix").alias("s")
+    return (h.join(d, F.expr("h.domain <=> d.domain")).join(s, F.expr("h.suffix <=> s.suffix"))
+            .select("h.host", F.array(table, F.col("s.n"), F.col("d.n"), F.col("h.n")).alias("levels")))
 
-    whole = level([]).first()                           # one number per class
-    joined = (hosts.alias("h").join(level(["domain"]).alias("d"), F.expr("h.domain <=> d.domain"))
-              .join(level(["suffix"]).alias("s"), F.expr("h.suffix <=> s.suffix")))
-    prior = smoothed([F.lit((whole[f"n{i}"] or 0) / 1e6) for i in range(k)], [F.lit(1.0 / k)] * k)
-    for side in ("s", "d", "h"):
-        prior = smoothed(counts(side), prior)
-    return joined.select("h.host", F.array(*[F.log(p) for p in prior]).alias("prior"))
+
+def _prior(levels: Column, own: Column, k: int, smooth: float = SMOOTH) -> Column:
+    """Log-prior of a row by class, of the other rows' posteriors: the table's,
+    smoothed with equal shares, smooths the suffix's, that the domain's, and that
+    the host's. The row's own posterior (``own``) is taken from each."""
+    even = F.array_repeat(F.lit(1.0 / k), k)
+
+    def smoothed(above: Column, counts: Column) -> Column:
+        others = F.zip_with(counts, own, lambda n, x: (n - x) / F.lit(float(_UNIT)))
+        total = F.aggregate(others, F.lit(0.0), lambda a, x: a + x)
+        return F.zip_with(others, above, lambda n, p: (n + F.lit(smooth) * p) / (total + F.lit(smooth)))
+
+    return F.transform(F.aggregate(levels, even, smoothed), lambda p: F.log(p))
 
 
 def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: str | None = "lang", url: str | None = "source",
@@ -295,14 +331,22 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
         fused = _added(F.col("__scores"), _bonus(F.col("__said"), classes, DECLARED), _bonus(F.col("__suffix"), classes, SUFFIX, SUFFIXES))
         return out.withColumn("__scores", fused)
 
-    narrow = scored([], False).select(F.col("__host").alias("host"), F.col("__domain").alias("domain"), F.col("__suffix").alias("suffix"),
-                                      _posterior(F.col("__scores")).alias("post"))
-    priors, _ = settle(host_priors(narrow, classes), "host-priors")
-    few = priors.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    priors = priors.withColumnRenamed("host", "__p_host")
-    full = scored(kept, keep_text).join(F.broadcast(priors) if few else priors, F.col("__host").eqNullSafe(F.col("__p_host")), "left")
-    post = _posterior(_added(F.col("__scores"), F.coalesce(F.col("prior"), F.array(*[F.lit(0.0)] * len(classes)))))
-    full = full.withColumn("__post", post)
+    k = len(classes)
+    if keep_text:
+        first, full = scored([], False), scored(kept, True)
+    else:
+        # without the text the scores are small: the text is read once
+        first = full = settle(scored(kept, False), "language-scores")[0]
+    narrow = first.select(F.col("__host").alias("host"), F.col("__domain").alias("domain"), F.col("__suffix").alias("suffix"),
+                          _millionths(_posterior(F.col("__scores"))).alias("post"))
+    counts, _ = settle(host_counts(narrow, k), "host-priors")
+    few = 4 * k * counts.limit(PRIOR_NUMBERS // (4 * k) + 1).count() <= PRIOR_NUMBERS
+    counts = counts.withColumnRenamed("host", "__p_host")
+    full = full.join(F.broadcast(counts) if few else counts, F.col("__host").eqNullSafe(F.col("__p_host")), "left")
+    own = _millionths(_posterior(F.col("__scores")))
+    full = full.withColumn("__own", own)
+    prior = F.coalesce(_prior(F.col("levels"), F.col("__own"), k), F.array_repeat(F.lit(0.0), k))
+    full = full.withColumn("__post", _posterior(_added(F.col("__scores"), prior)))
     best = F.array_max(F.col("__post"))
     language = F.element_at(F.array(*[F.lit(c) for c in classes]), F.array_position("__post", best).cast("int"))
     shown = [F.col(f"`{c}`") if c != text else F.col("__text").alias(text) for c in rows.columns if c in kept or (c == text and keep_text)]

@@ -24,8 +24,10 @@ afterwards, having met everyone. Verified links join components, and a bucket
 with a single component is done. The first centre is the bucket's most
 connected node, usually the original of its copies, so that rounds are few; no
 link between components is lost, as rounds end only when every bucket is done.
-From the second round on pairs must also agree in 35 of 64 signature components
-(miss rate 1e-6 at 0.8).
+From the second round on nodes have a sketch of 1,024 bits, one of each
+component of a longer signature, which is made for these nodes only; pairs must
+agree in as many bits as all but 1e-6 of similar ones do (876 at 0.8), which few
+of less than 0.7 do.
 
 Verification is exact: shared and all (shingle, occurrence) pairs are counted.
 
@@ -42,23 +44,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm._linking import link_buckets, only
+from tidewater.llm._linking import WORDS, link_buckets, only
 from tidewater.llm._store import discard, settle
 from tidewater.llm._words import SPACED, chunks, column_bytes, mix, pair, per_text, windows, word_hashes, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-#: components whose low bits are kept to tell dissimilar texts apart, and how many
-#: of them similar ones share: fewer than 35 of 64 at similarity 0.8 has
-#: probability 1e-6, less than what the bands miss
-SKETCH, AGREE = 64, 35
-SLICE_BYTES = 2 << 20        # text that is worked on at once
+SLICE_BYTES = 512 << 10      # text that is worked on at once
+SLICE_ELEMENTS = 1 << 16     # elements of sets that are sketched at once
 
 _EMPTY = np.uint64(0x1F83D9ABFB41BD6B)
 
@@ -163,10 +163,33 @@ def band_hashes(signatures: np.ndarray, bands: int = BANDS, rows: int = ROWS) ->
     return h
 
 
-def sketches(signatures: np.ndarray) -> np.ndarray:
-    """16 bits of each of the first SKETCH components and its place."""
-    place = mix(np.arange(1, SKETCH + 1, dtype=np.uint64))
-    return (mix(signatures[:, :SKETCH] ^ place) >> np.uint64(48)).astype(np.uint16).view(np.int16)
+def sketches(sets: DataFrame) -> DataFrame:
+    """(node, sketch) of sets (node, elements): a bit of each of 64 * ``WORDS``
+    components."""
+    return sets.mapInArrow(_sketch, "node binary, sketch array<long>")
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    size = 64 * WORDS
+    place = mix(np.arange(1, size + 1, dtype=np.uint64))
+    for whole in batches:
+        bounds = np.append(0, np.cumsum(pc.list_value_length(whole.column(1)).to_numpy(zero_copy_only=False)))
+        for i, j in chunks(bounds, SLICE_ELEMENTS):
+            for i in range(i, j, 256):
+                batch = whole.slice(i, min(256, j - i))
+                value = pc.list_flatten(batch.column(1)).to_numpy().view(np.uint64)
+                offsets = bounds[i:i + len(batch) + 1] - bounds[i]
+                bits = (mix(bag_signatures(value, offsets, size) ^ place) >> np.uint64(63)).astype(np.uint8)
+                packed = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(
+                    pa.array(np.arange(0, len(packed) + 1, WORDS, dtype=np.int32)), pa.array(packed))], names=["node", "sketch"])
+
+
+def agreeing(threshold: float, miss_sigmas: float = 4.8) -> int:
+    """Bits that all but 1e-6 of the pairs at ``threshold`` share: two bits are
+    equal with probability (1 + similarity) / 2."""
+    n, p = 64 * WORDS, (1 + threshold) / 2
+    return int(n * p - miss_sigmas * (n * p * (1 - p)) ** 0.5)
 
 
 def _nodes(value: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
@@ -184,16 +207,14 @@ def _slices(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.Reco
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "node", "weight", "bands", "sketch"]
+    names = ["doc_id", "node", "weight", "bands"]
     for batch in _slices(batches, 1):
         value, offsets = shingles(batch.column(1))
-        signatures = bag_signatures(value, offsets)
-        bands, sketch = band_hashes(signatures).view(np.int64), sketches(signatures)
+        bands = band_hashes(bag_signatures(value, offsets)).view(np.int64)
         alone = np.diff(offsets) == 0
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.reshape(-1)))
         lists = pa.compute.if_else(pa.array(alone), pa.scalar(None, lists.type), lists)
-        short = pa.ListArray.from_arrays(pa.array(np.arange(0, sketch.size + 1, SKETCH, dtype=np.int32)), pa.array(sketch.reshape(-1)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_nodes(value, offsets), pa.binary()), pa.array(np.diff(offsets), pa.int64()), lists, short],
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_nodes(value, offsets), pa.binary()), pa.array(np.diff(offsets), pa.int64()), lists],
                                          names=names)
 
 
@@ -224,27 +245,29 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
     spark = docs.sparkSession
     kind = docs.schema[doc].dataType.simpleString()
     slim = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
-    signed, _ = settle(slim.mapInArrow(_sign, f"doc_id {kind}, node binary, weight long, bands array<long>, sketch array<smallint>"), "near-signed")
+    signed, signed_path = settle(slim.mapInArrow(_sign, f"doc_id {kind}, node binary, weight long, bands array<long>"), "near-signed")
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "weight", "bands")).alias("r")).select(
         "node", F.col("r.doc_id").alias("doc_id"), F.col("r.weight").alias("weight"), F.col("r.bands").alias("bands"))
-    banded = nodes.select("node", "weight", F.explode("bands").alias("band"))
+    banded = nodes.select("node", "doc_id", "weight", F.explode("bands").alias("band"))
     crowd = banded.groupBy("band").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
-    buckets, bucket_path = settle(banded.join(crowd, "band").select("band", "node", "weight", "crowd"), "near-buckets")
-    score, _ = settle(buckets.groupBy("node").agg(F.sum("crowd").alias("score")), "near-score")
-    buckets, path = settle(buckets.join(score, "node").select("band", "node", "weight", "score"), "near-buckets")
-    discard(spark, bucket_path)
+    # one row per node with its buckets, some 24 at most
+    met, met_path = settle(banded.join(crowd, "band").groupBy("node").agg(
+        F.first("doc_id").alias("doc_id"), F.first("weight").alias("weight"), F.sum("crowd").alias("score"), F.collect_list("band").alias("bands")), "near-met")
+    names, _ = settle(signed.select("doc_id", "node"), "near-names")
+    discard(spark, signed_path)
+    buckets = met.select(F.explode("bands").alias("band"), "node", "weight", "score")
     # the multisets of nodes that have a bucket, from one document of each
-    chosen, chosen_path = settle(only(nodes.select("node", "doc_id"), score.select("node")).select(_key("node", "doc_id")), "near-chosen")
+    chosen, chosen_path = settle(met.select(_key("node", "doc_id")), "near-chosen")
     texts = slim.mapInArrow(_with_node(1), T.StructType([*slim.schema.fields, T.StructField("__node", T.BinaryType())]))
     own = only(texts.withColumn("__key", _key("__node", "doc_id")), chosen, "__key").select(F.col("__node").alias("node"), "text").dropDuplicates(["node"])
     sets, set_path = settle(own.mapInArrow(_elements, "node binary, elements array<long>"), "near-sets")
-    comp = link_buckets(buckets, sets, threshold, "near", signed.where("node IS NOT NULL").select("node", "sketch"), AGREE)
-    for old in (path, set_path, chosen_path):
+    comp = link_buckets(buckets, sets, threshold, "near", sketches, agreeing(threshold))
+    for old in (met_path, set_path, chosen_path):
         discard(spark, old)
-    whole = signed.select("doc_id", "node").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = whole.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    return whole.join(names, "component", "left").select("doc_id", "node", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    whole = names.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = whole.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    return whole.join(least, "component", "left").select("doc_id", "node", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
 def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
