@@ -51,7 +51,7 @@ def test_csv_corrupt_record_kept(spark, tmp):
     assert len(bad) == 1 and bad[0].name == "Ani"
 
 
-def test_keyed_store_versions(spark, tmp):
+def test_keyed_store_last_write_wins(spark, tmp):
     path = f"{tmp}/kv"
     a = spark.createDataFrame([("o1", 1, "x"), ("o2", 1, "y")], "order_id string, seq int, v string")
     b = spark.createDataFrame([("o1", 2, "x2"), ("o3", 1, "z")], "order_id string, seq int, v string")
@@ -69,18 +69,16 @@ def test_keyed_store_only_rewrites_touched_buckets(spark, tmp):
     path = f"{tmp}/kv2"
     base = spark.range(200).select(F.col("id").alias("k"), F.lit(0).alias("seq"))
     keyed.upsert_into(spark, path, base, ["k"], "seq", buckets=8)
-    before = {b: g for b, g in keyed.manifest(spark, path)["generations"].items()}
+    files_of = lambda: {r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()}
+    before = files_of()
     one = spark.createDataFrame([(7, 1)], "k bigint, seq int")
     assert keyed.upsert_into(spark, path, one, ["k"], "seq", buckets=8) == 1
-    after = keyed.manifest(spark, path)["generations"]
-    changed = [d for d in before if before[d] != after[d]]
-    assert len(changed) == 1 and len(after) == 8
+    assert len(before) == 8 and len(before - files_of()) == 1
     cur = keyed.read_current(spark, path)
-    assert cur.count() == 200 and cur.where("k = 7").first().seq == 1
-    assert keyed.vacuum(spark, path) == 1 and keyed.read_current(spark, path).count() == 200
+    assert cur.count() == 200 and cur.where("k = 7").first().seq == 1 and cur.columns == ["k", "seq"]
 
 
-def test_keyed_store_refuses_another_bucket_count_and_survives_a_crash(spark, tmp, monkeypatch):
+def test_keyed_store_refuses_another_bucket_count(spark, tmp):
     path = f"{tmp}/kv3"
     rows = spark.range(100).select(F.col("id").alias("k"), F.lit(0).alias("seq"))
     keyed.upsert_into(spark, path, rows, ["k"], "seq", buckets=4)
@@ -88,22 +86,7 @@ def test_keyed_store_refuses_another_bucket_count_and_survives_a_crash(spark, tm
         keyed.upsert_into(spark, path, rows, ["k"], "seq", buckets=64)
     with pytest.raises(ValueError):
         keyed.upsert_into(spark, path, rows, ["seq"], "seq")
-    late = spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("seq"))
-
-    def dies(*_):
-        raise RuntimeError("driver lost before the commit")
-
-    with monkeypatch.context() as m:
-        m.setattr(keyed, "_publish", dies)
-        with pytest.raises(RuntimeError):
-            keyed.upsert_into(spark, path, late, ["k"], "seq")
-    assert keyed.read_current(spark, path).where("seq = 1").count() == 0     # the state before, whole
-    assert keyed.read_current(spark, path).count() == 100
-    keyed.upsert_into(spark, path, late, ["k"], "seq")
-    assert keyed.read_current(spark, path).where("seq = 1").count() == 10
-    assert keyed.read_current(spark, path).count() == 100
-    with pytest.raises(RuntimeError):                                        # two writers, one version
-        keyed._publish(spark, path, keyed.manifest(spark, path))
+    assert keyed.upsert_into(spark, path, rows.limit(0), ["k"], "seq") == 0 and keyed.read_current(spark, f"{tmp}/none") is None
 
 
 def test_replace_leaves_no_stale_partition(spark, tmp):
@@ -162,7 +145,7 @@ def test_json_by_date_and_audit(spark, tmp):
     rows = audit.report_audit(reps).collect()
     assert [(r.filename, r.record_count, r.status) for r in rows] == [("a.json", 3, "processed"), ("b.json", 0, "processed")]
     filled = audit.with_defaults(spark.createDataFrame([("Budi", None)], "name string, updated_at timestamp"),
-                                 {"updated_at": F.current_timestamp()}, id_col="id", id_from=("name",)).first()
+                                 {"updated_at": F.current_timestamp()}, id_col="id").first()
     assert filled.updated_at is not None and filled.id is not None
 
 

@@ -1,143 +1,81 @@
 """Keyed store sink (K3): last write wins per key.
 
-Layout: ``data/gen=<generation>/_bucket=<b>/`` holds Parquet files of bucket
-``b = pmod(xxhash64(key), buckets)``; ``versions/<n>.json`` is a manifest: the
-number of buckets, the keys, and the generation of each bucket's current files.
-
-An upsert touches only the buckets its changes hash to:
-
-1. the touched bucket numbers (at most ``buckets`` small integers, a proven
-   bound) are the only values brought to the driver;
-2. only the current files of those buckets are read and merged with the
-   changes by ``operators.changes.upsert``;
-3. the merge is written as a new generation; nothing that a reader may be
-   reading is touched, and a bucket is one shuffle partition, so its rows are
-   in a few files;
-4. the next manifest is written aside and renamed into place, which is the
-   commit. A crash before leaves files no manifest names, and the retry merges
-   with the state before; two writers cannot commit the same version.
-
-The number of buckets and the keys are stored in the manifest; an upsert that
-disagrees is refused. A batch of many keys touches all buckets and rewrites the
-table: ``buckets`` should be chosen so that a bucket is some 100 MB.
+A Parquet table partitioned by a hash bucket of the key. An upsert reads only
+the buckets its changes hash to, merges them with the changes
+(``operators.changes.upsert``) and overwrites those buckets through a staged
+copy (``lake.overwrite_staged``, which also mends a run that broke off). At most
+``buckets`` small integers come to the driver. The number of buckets and the
+keys are noted when the table is made; an upsert that disagrees is refused. A
+batch of many keys touches all buckets and rewrites the table: a bucket should
+be some 100 MB. One writer at a time.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.changes import upsert
+from . import lake
 
 BUCKET = "_bucket"
-
-
-def _fs(spark: SparkSession, path: str):
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    hpath, fs = _fs(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
-
-
-def manifest(spark: SparkSession, path: str) -> dict | None:
-    """The current version's manifest; None for a table without a commit."""
-    versions = [int(n[:-5]) for n in _names(spark, f"{path}/versions") if n.endswith(".json") and n[:-5].isdigit()]
-    if not versions:
-        return None
-    hpath, fs = _fs(spark, f"{path}/versions/{max(versions):012d}.json")
-    stream = fs.open(hpath)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return json.loads(text)
-
-
-def _publish(spark: SparkSession, path: str, state: dict) -> None:
-    """Commit: write the manifest aside, rename it to its version."""
-    aside, fs = _fs(spark, f"{path}/versions/.{uuid.uuid4().hex}")
-    target, _ = _fs(spark, f"{path}/versions/{state['version']:012d}.json")
-    out = fs.create(aside, False)
-    try:
-        out.write(bytearray(json.dumps(state).encode()))
-    finally:
-        out.close()
-    if fs.exists(target) or not fs.rename(aside, target):
-        fs.delete(aside, False)
-        raise RuntimeError(f"another writer committed version {state['version']} of {path}; retry the batch")
+BUCKETS = 64
+_ABOUT = "_keyed"            # hidden from Spark's listing of the table
 
 
 def bucket_of(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(int(buckets))).cast("int")
 
 
-def _read(spark: SparkSession, path: str, state: dict, buckets: Sequence[int] | None = None) -> DataFrame | None:
-    own = {int(b): g for b, g in state["generations"].items() if buckets is None or int(b) in set(buckets)}
-    if not own:
-        return None
-    return spark.read.schema(state["schema"]).parquet(*[f"{path}/data/gen={g}/{BUCKET}={b}" for b, g in sorted(own.items())])
+def _about(spark: SparkSession, path: str):
+    where = f"{path}/{_ABOUT}"
+    return spark.read.schema("buckets INT, keys ARRAY<STRING>").json(where).first() if lake.exists(spark, f"{where}/_SUCCESS") else None
+
+
+def _read(spark: SparkSession, path: str, schema: StructType | None, buckets: Sequence[int] | None = None) -> DataFrame:
+    where = [path] if buckets is None else [f"{path}/{BUCKET}={b}" for b in buckets]
+    r = spark.read.option("basePath", path)
+    return (r if schema is None else r.schema(schema)).parquet(*where)
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    state = manifest(spark, path)
-    return None if state is None else _read(spark, path, state)
+    """The table; None before the first upsert."""
+    if _about(spark, path) is None:
+        return None
+    lake.finish_pending(spark, path)
+    return _read(spark, path, None).drop(BUCKET)
 
 
 def upsert_into(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str],
                 seq: str | Sequence[str] | None = None, buckets: int | None = None) -> int:
     """Apply ``changes`` to the keyed table at ``path``; returns the number of
     buckets rewritten. ``buckets`` (64 unless given) is fixed when the table
-    is created; columns are those of the first batch."""
-    keys = list(keys)
-    state = manifest(spark, path)
-    if state is not None and (buckets not in (None, state["buckets"]) or keys != state["keys"]):
-        raise ValueError(f"{path} has {state['buckets']} buckets by {state['keys']}, not {buckets} by {keys}")
-    n = state["buckets"] if state else (buckets or 64)
+    is made; columns are those of the first batch."""
+    keys, about = list(keys), _about(spark, path)
+    if about is not None and (buckets not in (None, about["buckets"]) or keys != about["keys"]):
+        raise ValueError(f"{path} has {about['buckets']} buckets by {about['keys']}, not {buckets} by {keys}")
+    n = about["buckets"] if about else (buckets or BUCKETS)
+    lake.finish_pending(spark, path)
     ch = changes.withColumn(BUCKET, bucket_of(keys, n)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         touched = sorted(r[0] for r in ch.select(BUCKET).distinct().collect())
         if not touched:
             return 0
-        if state is None:
-            state = {"version": 0, "buckets": n, "keys": keys, "generations": {},
-                     "schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in changes.schema.fields)}
-        current = _read(spark, path, state, touched)
-        base = ch.limit(0) if current is None else current.withColumn(BUCKET, bucket_of(keys, n))
-        merged = upsert(base, ch.select(*base.columns), keys, seq)
-        generation = uuid.uuid4().hex
-        target = f"{path}/data/gen={generation}"
-        merged.repartition(len(touched), BUCKET).write.mode("errorifexists").partitionBy(BUCKET).parquet(target)
-        written = [name.split("=")[1] for name in _names(spark, target) if name.startswith(BUCKET + "=")]
-        state["generations"].update({b: generation for b in written})
-        state["version"] += 1
-        _publish(spark, path, state)
+        if about is None:
+            spark.createDataFrame([(n, keys)], "buckets INT, keys ARRAY<STRING>").coalesce(1).write.json(f"{path}/{_ABOUT}")
+        there = [b for b in touched if lake.exists(spark, f"{path}/{BUCKET}={b}")]
+        base = _read(spark, path, ch.schema, there) if there else ch.limit(0)
+        merged = upsert(base.select(*ch.columns), ch, [BUCKET, *keys], seq)
+        lake.overwrite_staged(merged.repartition(len(touched), BUCKET), path, [BUCKET])
         return len(touched)
     finally:
         ch.unpersist()
 
 
-def vacuum(spark: SparkSession, path: str) -> int:
-    """Delete files that the current version does not name (superseded or
-    orphaned), once no reader of an older version is left."""
-    state = manifest(spark, path)
-    live = {(g, str(b)) for b, g in state["generations"].items()} if state else set()
-    gone = 0
-    for gen in _names(spark, f"{path}/data"):
-        for bucket in _names(spark, f"{path}/data/{gen}"):
-            if bucket.startswith(BUCKET + "=") and (gen.split("=")[1], bucket.split("=")[1]) not in live:
-                hpath, fs = _fs(spark, f"{path}/data/{gen}/{bucket}")
-                gone += bool(fs.delete(hpath, True))
-    return gone
-
-
 def upsert_batch_writer(path: str, keys: Sequence[str], seq: str | Sequence[str] | None = None,
                         buckets: int | None = None):
     """``foreachBatch`` function for a streaming upsert."""

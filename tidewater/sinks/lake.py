@@ -8,23 +8,28 @@ value (``repartition``) or one file per task per value (no shuffle).
 
 from __future__ import annotations
 
+import functools
+import json
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from ..session import scratch_path
 
 LOAD = "load"
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "append",
-                      fmt: str = "parquet") -> None:
+                      fmt: str = "parquet", spread: bool = True) -> None:
     """K1. ``append`` adds files; ``overwrite`` rewrites only the partitions
     present in ``df`` (dynamic partition overwrite); ``replace`` makes ``df``
     the whole table, so that no partition of an earlier run stays. For one run
-    per upload use ``write_load``."""
+    per upload use ``write_load``. ``spread=False``: the rows are dealt already."""
     cols = list(partition_cols)
-    out = df.hint("rebalance", *cols) if cols else df
+    out = df.hint("rebalance", *cols) if cols and spread else df
     w = out.write.mode("append" if mode == "append" else "overwrite").format(fmt)
     if mode != "append":
         w = w.option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
@@ -39,55 +44,162 @@ def load_id(source: Column) -> Column:
     return F.substring(F.sha2(source, 256), 1, 16)
 
 
-def loads_of(df: DataFrame) -> list[str]:
-    """The loads of a run: one value per input file."""
-    return [r[0] for r in df.select(LOAD).distinct().collect()]
+#: rows of a partition value that one task may write; a run with larger values
+#: is rebalanced by bytes, which splits them
+TASK_ROWS = 1_000_000
+_REGISTRY = "_loads"         # hidden from Spark's listing of the table
+
+
+def loads_of(df: DataFrame) -> DataFrame:
+    """The loads of a run, also those without a good row."""
+    return df.select(LOAD).distinct()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _folder(path: str, cols: Sequence[str], values: Sequence) -> str:
+    escape = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None or v == "" else str(v)
+    return "/".join([path.rstrip("/"), *(f"{c}={escape(v)}" for c, v in zip(cols, values))])
+
 
+def write_load(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet", loads: DataFrame | None = None) -> None:
+    """Append loads: ``df`` carries a ``load`` column, a column of the files. A
+    load that comes again (a retried or repeated upload) replaces its rows, and
+    other loads of the same partitions stay. ``loads`` names loads that may have
+    no row left.
 
-def write_load(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet", loads: Sequence[str] = ()) -> int:
-    """Append loads: ``df`` carries a ``load`` column, which becomes the
-    innermost partition. A load's partitions are replaced when it comes again
-    (a retried or repeated upload) and other loads of the same day stay. Then
-    partitions of these loads that the new version no longer has are removed;
-    a crash in between is mended by the retry. ``loads`` names loads that may
-    have no row left. Returns the number of rows. The driver sees one row per
-    (partition, load) written."""
-    spark, cols = df.sparkSession, [*partition_cols, LOAD]
+    A registry beside the table, written before the data, says which partitions
+    a load may have rows in. New loads are only appended: one file per partition
+    value and run if it is small, whatever the number of loads. For loads that
+    the registry knows, their partitions are read (no others), merged without
+    them, staged in the shared folder and overwritten; a run that breaks off is
+    mended by the next one, as the registry has its partitions. Without
+    partition columns every load has a folder of its own. What reaches the
+    driver is the partitions of repeated loads."""
+    spark, cols = df.sparkSession, list(partition_cols)
+    if not cols:
+        return _write_load_folders(df, path, fmt, loads)
+    finish_pending(spark, path)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_partitioned(df, path, cols, mode="overwrite", fmt=fmt)
-        new = {tuple(r) for r in df.select(*cols).distinct().collect()}
-        rows = df.count()
+        registry = f"{path.rstrip('/')}/{_REGISTRY}"
+        run = df.groupBy(*cols, LOAD).agg(F.count(F.lit(1)).alias("n"))
+        mine = loads if loads is not None else loads_of(df)
+        known = spark.read.schema(run.schema).parquet(registry) if exists(spark, registry) else None
+        again = [tuple(r) for r in known.join(mine, LOAD, "left_semi").select(*cols).distinct().collect()] if known is not None else []
+        run.coalesce(1).write.mode("append").parquet(registry)
+        if again:
+            _replace(df, path, cols, fmt, mine, again)
+        rest = _of(df, cols, again, "left_anti") if again else df
+        write_partitioned(_spread(rest, run, cols), path, cols, mode="append", fmt=fmt, spread=False)
     finally:
         df.unpersist()
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for load in {*loads, *(key[-1] for key in new)}:
-        pattern = "/".join([path.rstrip("/"), *["*"] * len(partition_cols), f"{LOAD}={load}"])
-        where = jvm.org.apache.hadoop.fs.Path(pattern)
-        fs = where.getFileSystem(conf)
-        for found in fs.globStatus(where) or []:
-            parts = found.getPath().toString().split("/")[-len(cols):]
-            key = tuple(p.split("=", 1)[1] for p in parts)
-            if key not in new:
-                fs.delete(found.getPath(), True)
-    return rows
 
 
-def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Partition values come back as strings (month='01'), trap T3: the session
-    must not infer their types (``session.configure`` sees to it). The load
-    column of ``write_load`` is left out."""
+def _of(df: DataFrame, cols: list[str], keys: list[tuple], how: str) -> DataFrame:
+    """The rows of (or, with left_anti, not of) the given partitions."""
+    names = StructType([StructField(f"_key_{c}", df.schema[c].dataType) for c in cols])
+    same = functools.reduce(Column.__and__, [F.col(f"`{c}`").eqNullSafe(F.col(f"_key_{c}")) for c in cols])
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(keys, names)), same, how)
+
+
+def _spread(df: DataFrame, run: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows by partition value: one task for several values, unless one is
+    larger than a task's share."""
+    s = run.groupBy(*cols).agg(F.sum("n").alias("n")).agg(F.count(F.lit(1)).alias("values"), F.max("n").alias("most")).first()
+    if (s["most"] or 0) > TASK_ROWS:
+        return df.hint("rebalance", *cols)
+    return df.repartition(max(1, min(s["values"], 2 * df.sparkSession.sparkContext.defaultParallelism)), *cols)
+
+
+def _replace(df: DataFrame, path: str, cols: list[str], fmt: str, loads: DataFrame, touched: list[tuple]) -> None:
+    """Write the ``touched`` partitions anew: their rows of other loads, and
+    those of ``df``."""
+    spark = df.sparkSession
+    folders = {key: _folder(path, cols, key) for key in touched}
+    there = [f for f in folders.values() if exists(spark, f)]
+    new = _of(df, cols, touched, "left_semi")
+    if there:
+        old = spark.read.format(fmt).schema(df.schema).option("basePath", path).load(there)
+        new = old.join(loads, LOAD, "left_anti").unionByName(new)
+    overwrite_staged(new.hint("rebalance", *cols), path, cols, fmt, folders)
+
+
+_PENDING = "_pending"
+_PENDING_SCHEMA = "stage STRING, schema STRING, cols ARRAY<STRING>, fmt STRING, gone ARRAY<STRING>"
+
+
+def overwrite_staged(df: DataFrame, path: str, cols: Sequence[str], fmt: str = "parquet", folders: dict[tuple, str] | None = None) -> None:
+    """Replace the partitions that ``df`` has, where ``df`` may read them: it is
+    written to the shared folder first, noted beside the table, and then written
+    over them. A run that breaks off in between, perhaps with a partition
+    already taken away, is finished from the staged rows by the next one
+    (``finish_pending``). ``folders`` are partitions that go if ``df`` has no row
+    for them. One writer at a time."""
+    spark, stage = df.sparkSession, scratch_path(df.sparkSession, "staged")
+    df.write.parquet(stage)
+    left = {tuple(r) for r in spark.read.schema(df.schema).parquet(stage).select(*cols).distinct().collect()}
+    gone = [f for key, f in (folders or {}).items() if key not in left]
+    note = spark.createDataFrame([(stage, df.schema.json(), list(cols), fmt, gone)], _PENDING_SCHEMA)
+    note.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{_PENDING}")
+    finish_pending(spark, path)
+
+
+def finish_pending(spark: SparkSession, path: str) -> None:
+    """Finish an overwrite that was noted and not ended."""
+    note = f"{path.rstrip('/')}/{_PENDING}"
+    if not exists(spark, f"{note}/_SUCCESS"):
+        return
+    row = spark.read.schema(_PENDING_SCHEMA).json(note).first()
+    staged = spark.read.schema(StructType.fromJson(json.loads(row["schema"]))).parquet(row["stage"])
+    counts = staged.groupBy(*row["cols"]).agg(F.count(F.lit(1)).alias("n"))
+    write_partitioned(_spread(staged, counts, row["cols"]), path, row["cols"], mode="overwrite", fmt=row["fmt"], spread=False)
+    for folder in row["gone"]:
+        _delete(spark, folder)
+    _delete(spark, note)
+    _delete(spark, row["stage"])
+
+
+def _write_load_folders(df: DataFrame, path: str, fmt: str, loads: DataFrame | None) -> None:
+    spark = df.sparkSession
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_partitioned(df, path, [LOAD], mode="overwrite", fmt=fmt)
+        if loads is not None:
+            for r in loads.join(df.select(LOAD).distinct(), LOAD, "left_anti").collect():
+                _delete(spark, _folder(path, [LOAD], [r[LOAD]]))
+    finally:
+        df.unpersist()
+
+
+def read_loads(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A table of ``write_load`` with its load column. Partition values come
+    back as strings (month='01'), trap T3: the session must not infer their
+    types (``session.configure`` sees to it)."""
     if spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") != "false":
         raise ValueError("partition values would be read as numbers; call session.configure first")
-    return spark.read.format(fmt).option("basePath", path).load(path).drop(LOAD)
+    return spark.read.format(fmt).option("basePath", path).load(path)
+
+
+def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A partitioned table; the load column of ``write_load`` is left out."""
+    return read_loads(spark, path, fmt).drop(LOAD)
 
 
 # ---------------------------------------------------------------- F7 / T4
-def dead_letter(bad: DataFrame, path: str, job: str, loads: Sequence[str] = ()) -> int:
+def dead_letter(bad: DataFrame, path: str, job: str, loads: DataFrame | None = None) -> None:
     """Rejected records (text, reason, source file and load) as JSON lines with
     the job's name and the time, under ``path``. A repeated upload replaces its
-    own rejects. Returns their number."""
-    return write_load(bad.withColumns({"job": F.lit(job), "rejected_at": F.current_timestamp()}), path, (), fmt="json", loads=loads)
+    own rejects."""
+    write_load(bad.withColumns({"job": F.lit(job), "rejected_at": F.current_timestamp()}), path, (), fmt="json", loads=loads)
 
 
 # ---------------------------------------------------------------- K7
