@@ -146,7 +146,7 @@ def test_alarm_stream_matches_batch_on_closed_windows(spark, tmp):
     write_text(f"{src}/a.json", [json.dumps(r) for r in rows[:4]])
     write_text(f"{src}/b.json", [json.dumps(r) for r in rows[4:]])
     stream = spark.readStream.schema("m STRING, ts TIMESTAMP, v DOUBLE").option("maxFilesPerTrigger", 1).json(src)
-    q = S.start_alarm_stream(stream, "ts", "v", "sum", 300, 2, 5, ">", ["m"], f"{tmp}/stats", f"{tmp}/alarms",
+    q = S.start_alarm_stream(stream, "ts", "v", "sum", 300, 2, 5, ">", ["m"], f"{tmp}/state", f"{tmp}/alarms",
                              f"{tmp}/ck", delay="0 seconds")
     q.awaitTermination()
     got = sorted((r.period_start, r.state) for r in spark.read.parquet(f"{tmp}/alarms").collect())

@@ -36,6 +36,18 @@ def csv_arrivals(spark: SparkSession, folder: str, schema: StructType | str, suf
     return r.csv(folder).withColumn("source_file", F.col("_metadata.file_name"))
 
 
+def file_arrivals(spark: SparkSession, folder: str, suffix: str = ".csv", case_sensitive: bool = False,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """(path, length) of new objects under ``folder``. Only the listing is
+    streamed, the content column is pruned: what a batch does with its files
+    (binding columns by each file's header, say) is a batch read."""
+    r = (spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length LONG, content BINARY")
+         .option("pathGlobFilter", suffix_glob(suffix, case_sensitive)))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(folder).select("path", "length")
+
+
 # ---------------------------------------------------------------- S6
 def envelope_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 10) -> DataFrame:
     """Envelope records (sequence number, key, base64 data) landed as NDJSON
@@ -121,32 +133,74 @@ def window_stats_stream(df: DataFrame, ts: str, value: str, period_s: int, keys:
 
 # ---------------------------------------------------------------- W3-W5 on a stream
 def start_alarm_stream(df: DataFrame, ts: str, value: str, stat: str, period_s: int, eval_periods: int,
-                       threshold: float, cmp: str, keys: Sequence[str], stats_path: str, out_path: str,
+                       threshold: float, cmp: str, keys: Sequence[str], state_path: str, out_path: str,
                        checkpoint: str, delay: str = "10 minutes", available_now: bool = True,
                        trigger_s: int = 60) -> StreamingQuery:
-    """Alarm evaluation on a metric stream.
-
-    Each micro-batch emits the windows the watermark has closed; they are
-    upserted into a keyed store of per-period statistics (one row per key and
-    period, so a replayed batch changes nothing), and the state transitions
-    are recomputed from that store with the batch operator and written over
-    ``out_path``. The store is (time span / period) rows per key, whatever the
-    number of data points."""
-    from ..operators.alarms import alarm_transitions
-    from ..sinks import keyed
+    """Alarm evaluation on a metric stream, with carried state.
+
+    Each micro-batch emits the windows the watermark has closed. None that
+    comes later starts before the latest end among them, the frontier, so all
+    states up to it are final. A batch evaluates the new periods together with
+    the breaching ones among the last ``eval_periods`` before the old frontier
+    (all that a state or an edge can depend on) and appends the edges between
+    the two frontiers to ``out_path``. The boundary table in ``state_path`` is
+    those periods: a batch costs what its new periods and the keys that
+    breached lately cost, whatever the history.
+
+    Both outputs have a folder per batch; a batch that is replayed after a
+    restart starts from its predecessor's state and replaces its own folders.
+    Edges of a key without data appear when others move the frontier."""
+    from ..operators.alarms import COMPARATORS, alarm_transitions
     keys = list(keys)
     closed = window_stats_stream(df, ts, value, period_s, keys, (stat,), delay)
+    step = F.expr(f"INTERVAL {int(period_s)} SECONDS")
+    carried = F.expr(f"INTERVAL {int(period_s) * int(eval_periods)} SECONDS")
 
     def evaluate(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        keyed.upsert_into(spark, stats_path, batch, [*keys, "period_start"])
-        stats = keyed.read_current(spark, stats_path)
-        if stats is None:
-            return
-        out = alarm_transitions(stats, stat, threshold, cmp, eval_periods, period_s, keys)
-        out.write.mode("overwrite").parquet(out_path)
+        batch = batch.persist()
+        try:
+            latest = batch.agg(F.max(F.col("period_start") + step).alias("e")).first()["e"]
+            if latest is None:
+                return
+            before = max((n for n in _batches(spark, state_path) if n < batch_id), default=None)
+            frontier, periods = None, batch
+            if before is not None:
+                state = spark.read.schema(_state_schema(batch.schema)).parquet(f"{state_path}/batch={before}")
+                frontier = state.agg(F.max("frontier").alias("e")).first()["e"]
+                periods = state.where(F.col("period_start").isNotNull()).select(*batch.columns).unionByName(batch)
+            edges = alarm_transitions(periods, stat, threshold, cmp, eval_periods, period_s, keys, end=F.lit(latest))
+            if frontier is not None:
+                edges = edges.where(F.col("period_start") >= F.lit(frontier))
+            edges.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+            breach = F.coalesce(COMPARATORS[cmp](F.col(stat), F.lit(threshold)), F.lit(False))
+            late = periods.where(breach & (F.col("period_start") >= F.lit(latest) - carried)).withColumn("frontier", F.lit(latest))
+            mark = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema], F.lit(latest).alias("frontier"))
+            late.unionByName(mark).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+            for old in _batches(spark, state_path):
+                if before is not None and old < before:
+                    _drop(spark, f"{state_path}/batch={old}")
+        finally:
+            batch.unpersist()
 
     w = (closed.writeStream.outputMode("append").foreachBatch(evaluate)
                .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_s} seconds")
     return w.start()
+
+
+def _state_schema(batch: StructType) -> StructType:
+    return StructType(list(batch.fields)).add("frontier", batch["period_start"].dataType)
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """The batches whose folder in ``path`` was written to its end."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/_SUCCESS")) or []
+    return [int(f.getPath().getParent().getName().split("=")[1]) for f in found]
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
