@@ -83,6 +83,37 @@ def multi_metric_series(df: DataFrame, ts: str, metric: str, period_s: int = 60,
               .select(F.col("_w.start").alias(period_col), metric, value_col))
 
 
+# ---------------------------------------------------------------- W2, mergeable
+#: KLL sketches of this size err by some 0.13 % of rank (2.3 / k ** 0.9), and hold
+#: up to so many values exactly
+SKETCH_K = 4096
+
+
+def window_sketches(df: DataFrame, ts: str, value: str | Column, period_s: int = 60, keys: Sequence[str] = (), k: int = SKETCH_K,
+                    period_col: str = "period_start") -> DataFrame:
+    """One row per (keys, tumbling window): a KLL sketch of the values, of a
+    bounded size whatever their number, and their count. Percentiles of longer
+    windows, or of batches that came later, merge these rows (``merge_sketches``)
+    without reading a point again."""
+    w = F.window(F.col(ts), f"{int(period_s)} seconds")
+    return (df.where(_c(value).isNotNull()).groupBy(*keys, w.alias("_w"))
+              .agg(F.kll_sketch_agg_double(_c(value).cast("double"), k).alias("sketch"), F.count(F.lit(1)).alias("count"))
+              .select(*keys, F.col("_w.start").alias(period_col), "sketch", "count"))
+
+
+def merge_sketches(sketches: DataFrame, period_s: int, keys: Sequence[str] = (), k: int = SKETCH_K, period_col: str = "period_start") -> DataFrame:
+    """Sketches of windows of ``period_s``, a multiple of the windows given:
+    those of one longer window, or of one window in several batches."""
+    w = F.window(F.col(period_col), f"{int(period_s)} seconds")
+    return (sketches.groupBy(*keys, w.alias("_w")).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"), F.sum("count").alias("count"))
+                    .select(*keys, F.col("_w.start").alias(period_col), "sketch", "count"))
+
+
+def sketch_percentile(q: float = 0.99, sketch: str = "sketch") -> Column:
+    """The least value that has a share ``q`` of the values at or below it."""
+    return F.kll_sketch_get_quantile_double(sketch, F.lit(float(q)))
+
+
 # ---------------------------------------------------------------- W3, W4
 MISSING = "notBreaching"
 

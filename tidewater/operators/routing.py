@@ -15,13 +15,14 @@ from ..functions.rules import incident_alert_text, incident_log_key
 
 # ---------------------------------------------------------------- F5
 def route_by_severity(incidents: DataFrame, severity: str = "severity", id_col: str = "id",
-                      high: str = "HIGH") -> DataFrame:
+                      high: str = "HIGH", keep: tuple[str, ...] = ()) -> DataFrame:
     """HIGH (exact, case-sensitive) goes to the alert branch; everything
     else, including a missing severity, goes to the log branch. Both
     branches are then saved, so every incident keeps one row. The alert says
-    the whole incident, as JSON."""
+    the whole incident, as JSON, without the columns in ``keep`` (the load it
+    came with, say), which only pass through."""
     is_high = F.coalesce(F.col(severity) == F.lit(high), F.lit(False))
-    event = F.to_json(F.struct(*[F.col(f"`{c}`") for c in incidents.columns]))
+    event = F.to_json(F.struct(*[F.col(f"`{c}`") for c in incidents.columns if c not in keep]))
     return incidents.withColumns({
         "route": F.when(is_high, F.lit("alert")).otherwise(F.lit("log")),
         "alert_text": F.when(is_high, incident_alert_text(event)),
