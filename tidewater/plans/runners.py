@@ -3,7 +3,10 @@
 Each runner is a plain function taking a session and locations, so it can be
 called from a scheduler, a notebook or ``python -m tidewater``.
 The input of a run is parsed once: its typed rows are persisted while the good
-ones, the rejected ones and the audit counts (A12) are taken from them.
+ones and the rejected ones are taken from them. The audit counts (A12) are
+observed on the way to the files; no job counts on its own. (A count is of the
+rows that passed: a task that runs twice after the loss of an executor may be
+counted twice, the files are not.)
 """
 
 from __future__ import annotations
@@ -12,8 +15,9 @@ import datetime as _dt
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
@@ -53,7 +57,7 @@ def _text(df: DataFrame) -> F.Column:
 def _arrived(df: DataFrame) -> DataFrame:
     """Rows with the file they came from, that file's load id, and their text
     as it was read."""
-    path = F.col("_metadata.file_path")
+    path = F.col("source_file") if "source_file" in df.columns else F.col("_metadata.file_path")
     return df.withColumns({RAW: _text(df), "source_file": path, lake.LOAD: lake.load_id(path)})
 
 
@@ -66,30 +70,51 @@ def _rejects(df: DataFrame, when: F.Column, reason: F.Column) -> DataFrame:
     return df.where(when).select(F.col(RAW).alias("record"), reason.alias("reason"), "source_file", lake.LOAD)
 
 
+def _filled(df: DataFrame) -> DataFrame:
+    """``df``, persisted and read: the one scan of the input, on which its
+    observations are made."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.write.format("noop").mode("overwrite").save()
+    return df
+
+
+def _observed(seen: Observation, *names: str) -> dict:
+    """What was counted; where Spark found a plan empty before running it,
+    there was nothing to count."""
+    try:
+        got = seen.get
+    except Py4JJavaError:
+        got = {}
+    return {n: got.get(n) or 0 for n in names}
+
+
 def _load(typed: DataFrame, required: list[str], clean: Callable[[DataFrame], DataFrame], out_path: str, errors_path: str,
           job: str) -> dict:
     """Write the good rows of a run's loads and dead-letter the others: broken
-    lines, and rows without a required value. The input is parsed once."""
-    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
+    lines, and rows without a required value. The input is parsed once; the
+    counts are observed on the rows that are written."""
+    broken = F.col(files.CORRUPT).isNotNull()
+    bad = broken | incomplete(required)
+    read, written = Observation(), Observation()
+    typed = _filled(typed.observe(read, F.count(F.lit(1)).alias("raw_rows"), F.count_if(bad).alias("rejected")))
     try:
         loads = lake.loads_of(typed)
-        broken = F.col(files.CORRUPT).isNotNull()
-        bad = broken | incomplete(required)
-        good = clean(typed.where(~bad).drop(files.CORRUPT, RAW, "source_file"))
-        rows = lake.write_load(good, out_path, ["year", "month", "day"], loads=loads)
+        good = clean(typed.where(~bad).drop(files.CORRUPT, RAW, "source_file")).observe(written, F.count(F.lit(1)).alias("rows"))
+        lake.write_load(good, out_path, ["year", "month", "day"], loads=loads)
         reason = F.when(broken, F.lit("unreadable")).otherwise(F.lit("missing required value"))
-        rejected = lake.dead_letter(_rejects(typed, bad, reason), errors_path, job, loads)
-        return {"raw_rows": typed.count(), "rows": rows, "rejected": rejected}
+        lake.dead_letter(_rejects(typed, bad, reason), errors_path, job, loads)
+        return {**_observed(read, "raw_rows", "rejected"), **_observed(written, "rows")}
     finally:
         typed.unpersist()
 
 
 # ---------------------------------------------------------------- sales lake
-def run_sales(spark: SparkSession, raw_path: str, out_path: str, errors_path: str | None = None) -> dict:
+def run_sales(spark: SparkSession, raw_path: str | list[str], out_path: str, errors_path: str | None = None) -> dict:
     """CSV -> clean -> Parquet partitioned year/month/day, one load per uploaded
     file: a second file for a day adds to the day, the same file again replaces
-    itself. Returns the audit counts."""
-    raw = _arrived(files.read_csv(spark, raw_path, SALES_SCHEMA))
+    itself. Columns go by the names in each file's header. Returns the audit
+    counts."""
+    raw = _arrived(files.read_csv(spark, raw_path, SALES_SCHEMA, path_col="source_file"))
     done = _load(sales_typed(raw), SALES_REQUIRED, lambda df: C.with_date_partitions(df, "sale_date"), out_path,
                  _errors(out_path, errors_path), "sales")
     return {"raw_rows": done["raw_rows"], "clean_rows": done["rows"], "rejected_rows": done["rejected"]}
@@ -97,45 +122,67 @@ def run_sales(spark: SparkSession, raw_path: str, out_path: str, errors_path: st
 
 # ---------------------------------------------------------------- order stream, batch side
 def run_orders_etl(spark: SparkSession, raw_path: str, out_path: str, errors_path: str | None = None) -> dict:
-    """Landed JSON -> clean, typed, deduplicated -> partitioned Parquet, one load
-    per landed file, and the warehouse-shaped view of the same rows."""
+    """Landed JSON -> clean, typed -> partitioned Parquet, one load per landed
+    file, deduplicated within the load: what a file gives does not depend on
+    the files it comes with, so any of them may come again. ``read_orders``
+    keeps one row of an order that several files have."""
     raw = _arrived(files.read_ndjson(spark, raw_path, ORDER_SCHEMA))
 
     def clean(df: DataFrame) -> DataFrame:
-        return dedup_by_key(C.with_date_partitions(df, "event_ts"), ["order_id"], required=ORDERS_REQUIRED)
+        return dedup_by_key(C.with_date_partitions(df, "event_ts"), ["order_id", lake.LOAD], required=ORDERS_REQUIRED)
 
     done = _load(orders_typed(raw), [*ORDERS_REQUIRED, "event_ts"], clean, out_path, _errors(out_path, errors_path), "orders")
     return {"rows": done["rows"], "rejected": done["rejected"]}
 
 
+def read_orders(spark: SparkSession, lake_path: str) -> DataFrame:
+    """The orders of the lake, one row each."""
+    return dedup_by_key(lake.read_partitioned(spark, lake_path), ["order_id"])
+
+
 def warehouse_rows(spark: SparkSession, lake_path: str) -> DataFrame:
-    return warehouse_load(lake.read_partitioned(spark, lake_path))
+    return warehouse_load(read_orders(spark, lake_path))
 
 
 # ---------------------------------------------------------------- fraud features + model
-def run_fraud_features(spark: SparkSession, tx_path: str, feature_path: str, parquet_path: str,
+def run_fraud_features(spark: SparkSession, tx_path: str | list[str], feature_path: str, parquet_path: str,
                        run_date: _dt.date, errors_path: str | None = None) -> dict:
     """Transactions CSV -> request contract (all rules; rejects are kept with
     the rules they break) -> features CSV per source file with the ids in a
     side table -> typed, deduplicated Parquet with ids and ingest-date
     partitions, one load per source file."""
-    tx = files.read_csv(spark, tx_path, TX_SCHEMA)
-    tx = _arrived(tx).withColumn("file_name", F.col("_metadata.file_name"))
-    checked = with_errors(tx, K.transaction_rules()).persist(StorageLevel.MEMORY_AND_DISK)
+    tx = _arrived(files.read_csv(spark, tx_path, TX_SCHEMA, path_col="source_file"))
+    tx = tx.withColumn("file_name", RU.basename("source_file"))
+    bad = F.col(files.CORRUPT).isNotNull() | ~F.col("valid")
+    read, written = Observation(), Observation()
+    checked = _filled(with_errors(tx, K.transaction_rules()).observe(read, F.count_if(bad).alias("rejected")))
     try:
         loads = lake.loads_of(checked)
-        bad = F.col(files.CORRUPT).isNotNull() | ~F.col("valid")
         reason = F.when(F.col(files.CORRUPT).isNotNull(), F.lit("unreadable")).otherwise(F.array_join("errors", ","))
-        rejected = lake.dead_letter(_rejects(checked, bad, reason), _errors(parquet_path, errors_path), "fraud_features", loads)
+        lake.dead_letter(_rejects(checked, bad, reason), _errors(parquet_path, errors_path), "fraud_features", loads)
         feats = X.fraud_features(checked.where(~bad), keep=("transaction_id", "file_name", lake.LOAD))
         by_file = feats.withColumnRenamed("file_name", "source_file").drop(lake.LOAD)
         lake.write_feature_csv(by_file, feature_path, ids_path=feature_path.rstrip("/") + "-ids")
-        rows = lake.write_load(features_etl(feats.drop("file_name"), run_date), parquet_path, ["year", "month", "day"], loads=loads)
-        return {"rows": rows, "rejected": rejected}
+        typed = features_etl(feats.drop("file_name"), run_date).observe(written, F.count(F.lit(1)).alias("rows"))
+        lake.write_load(typed, parquet_path, ["year", "month", "day"], loads=loads)
+        return {**_observed(written, "rows"), **_observed(read, "rejected")}
     finally:
         checked.unpersist()
 
 
+def run_fraud_queue(spark: SparkSession, landing: str, feature_path: str, parquet_path: str, run_date: _dt.date, outcomes: str,
+                    checkpoint: str, errors_path: str | None = None, max_attempts: int = 3) -> dict:
+    """``run_fraud_features`` for every new ``.csv`` file under ``landing``, each
+    a message of its own: a file that cannot be processed is tried again in the
+    next run, up to ``max_attempts``, and the others go on."""
+    from ..streaming.arrivals import process_arrivals
+
+    def handle(session: SparkSession, paths: list[str]) -> None:
+        run_fraud_features(session, paths, feature_path, parquet_path, run_date, errors_path)
+
+    return process_arrivals(spark, landing, outcomes, checkpoint, handle, case_sensitive=True, max_attempts=max_attempts)
+
+
 def run_fraud_model(spark: SparkSession, train_path: str, validation_path: str, score_df: DataFrame,
                     predictions_path: str, batch: str | None = None, **gbt) -> dict:
     """Label-first CSVs -> boosted trees (positive weight 4) -> AUC ->
@@ -164,25 +211,39 @@ def run_loan_model(spark: SparkSession, train_path: str, validation_path: str, a
 
 # ---------------------------------------------------------------- batch scores
 def run_scores(spark: SparkSession, bucket_path: str, table_path: str, errors_path: str | None = None) -> DataFrame:
-    """Latest object in key order -> PASS/FAIL -> append with id and
-    created_at defaults. The same object again replaces its rows."""
+    """Latest object in key order -> PASS/FAIL -> append with serial ids, in the
+    order of the file, and created_at defaults. The same object again replaces
+    its rows, and keeps their ids if there are as many."""
     key = files.latest_object(spark, bucket_path)
     if key is None:
         return spark.createDataFrame([], SCORES_SCHEMA + ", status STRING")
-    df = _arrived(files.read_csv(spark, key, SCORES_SCHEMA)).persist(StorageLevel.MEMORY_AND_DISK)
+    df = _arrived(files.read_csv(spark, key, SCORES_SCHEMA, path_col="source_file", block_col="source_block")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         loads = lake.loads_of(df)
         broken = F.col(files.CORRUPT).isNotNull()
         lake.dead_letter(_rejects(df, broken, F.lit("unreadable")), _errors(table_path, errors_path), "scores", loads)
-        out = df.where(~broken).select(F.col("name").alias("student_name"), "subject", "score", RU.pass_fail("score").alias("status"),
-                                       lake.LOAD)
-        out = audit.with_defaults(out, {"created_at": F.current_timestamp()}, id_col="id", id_from=(lake.LOAD,))
-        lake.write_load(out, table_path, (), loads=loads)
+        good = df.where(~broken)
+        out = audit.with_serial_ids(good, last=_last_id(spark, table_path, good)).select(
+            "id", F.col("name").alias("student_name"), "subject", "score", RU.pass_fail("score").alias("status"), lake.LOAD)
+        lake.write_load(audit.with_defaults(out, {"created_at": F.current_timestamp()}), table_path, (), loads=loads)
     finally:
         df.unpersist()
     return lake.read_partitioned(spark, table_path)
 
 
+def _last_id(spark: SparkSession, table_path: str, rows: DataFrame) -> int:
+    """The id before the first one of ``rows``: the table's last, or, where the
+    table has as many rows of their load, the one before those."""
+    if not lake.exists(spark, table_path):
+        return 0
+    mine = rows.groupBy(lake.LOAD).agg(F.count(F.lit(1)).alias("n"))
+    table = lake.read_loads(spark, table_path).select("id", lake.LOAD)
+    had = table.join(mine, lake.LOAD).groupBy(lake.LOAD).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n")).first()
+    if had and had["rows"] == had["n"]:
+        return had["id"] - 1
+    return table.agg(F.max("id").alias("id")).first()["id"] or 0
+
+
 # ---------------------------------------------------------------- incidents
 def run_incidents(spark: SparkSession, docs_path: str, store_path: str, log_path: str, outbox_path: str,
                   errors_path: str | None = None) -> dict:
@@ -195,7 +256,7 @@ def run_incidents(spark: SparkSession, docs_path: str, store_path: str, log_path
         bad = F.col(files.CORRUPT).isNotNull() | F.col("id").isNull()
         lake.dead_letter(_rejects(docs, bad, F.lit("unreadable or without id")), _errors(store_path, errors_path), "incidents", loads)
         good = docs.where(~bad)
-        routed = route_by_severity(good.select("id", "message", "severity")).join(good.select("id", lake.LOAD).distinct(), "id")
+        routed = route_by_severity(good.select("id", "message", "severity", lake.LOAD), keep=(lake.LOAD,))
         alerts = routed.where(F.col("route") == "alert").select("id", "alert_text", lake.LOAD)
         lake.write_load(alerts, outbox_path, (), fmt="json", loads=loads)
         logs = routed.where(F.col("route") == "log").select("id", "message", "severity", "log_key", F.current_timestamp().alias("logged_at"),
@@ -234,8 +295,7 @@ def run_reports(spark: SparkSession, docs_path: str, audit_path: str, outbox_pat
         "record_count": F.json_array_length(F.get_json_object("doc", "$.data"))}).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         loads = lake.loads_of(checked)
-        rows = audit.report_audit(checked.where("valid"), data="record_count").join(
-            checked.where("valid").select("filename", lake.LOAD).distinct(), "filename")
+        rows = audit.report_audit(checked.where("valid"), data="record_count", keep=(lake.LOAD,))
         lake.write_load(rows, audit_path, (), loads=loads)
         notice = RU.report_notification(F.when(F.col("valid"), F.lit("processed")).otherwise(F.lit("failed")), "filename",
                                         F.xxhash64("filename"), "record_count", error=F.array_join("errors", ", "), event="doc")
@@ -251,20 +311,23 @@ def run_sales_stream(spark: SparkSession, landing: str, out_path: str, checkpoin
     clean -> append to the partitioned lake. Each run reads only files not
     seen before (the checkpoint remembers them) and then stops
     (``availableNow``), like the reference's per-upload job trigger."""
-    from ..streaming.jobs import csv_arrivals
+    from ..streaming.jobs import file_arrivals
     counts = {"batches": 0, "rows": 0, "rejected": 0}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # the load is the file, not the batch: the date folders hold all
         # arrivals and a replayed batch replaces its own files' rows
-        arrived = batch.withColumns({lake.LOAD: lake.load_id(F.col("source_file")), RAW: _text(batch)})
-        done = _load(sales_typed(arrived), SALES_REQUIRED, lambda df: C.with_date_partitions(df, "sale_date"), out_path,
+        arrived = [r.path for r in batch.select("path").collect()]
+        if not arrived:
+            return
+        raw = _arrived(files.read_csv(batch.sparkSession, arrived, SALES_SCHEMA, path_col="source_file"))
+        done = _load(sales_typed(raw), SALES_REQUIRED, lambda df: C.with_date_partitions(df, "sale_date"), out_path,
                      _errors(out_path, errors_path), f"sales_batch_{batch_id}")
         counts["batches"] += 1
         counts["rows"] += done["rows"]
         counts["rejected"] += done["rejected"]
 
-    q = (csv_arrivals(spark, landing, SALES_SCHEMA).writeStream.foreachBatch(write)
+    q = (file_arrivals(spark, landing).writeStream.foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return counts
@@ -281,20 +344,20 @@ def run_orders_incremental(spark: SparkSession, landing: str, store_path: str, c
     counts = {"batches": 0, "rows": 0, "rejected": 0}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        typed = orders_typed(batch.withColumn(RAW, _text(batch))).persist(StorageLevel.MEMORY_AND_DISK)
+        broken = F.col(files.CORRUPT).isNotNull()
+        bad = broken | incomplete(ORDERS_REQUIRED)
+        read, kept = Observation(), Observation()
+        typed = _filled(orders_typed(batch.withColumn(RAW, _text(batch))).observe(read, F.count_if(bad).alias("rejected")))
         try:
-            broken = F.col(files.CORRUPT).isNotNull()
-            bad = broken | incomplete(ORDERS_REQUIRED)
             reason = F.when(broken, F.lit("unreadable")).otherwise(F.lit("missing required value"))
             load = lake.load_id(F.lit(f"{checkpoint}/{batch_id}"))
-            rejected = lake.dead_letter(_rejects(typed.withColumn(lake.LOAD, load), bad, reason), _errors(store_path, errors_path), "orders")
+            lake.dead_letter(_rejects(typed.withColumn(lake.LOAD, load), bad, reason), _errors(store_path, errors_path), "orders")
             good = C.with_date_partitions(typed.where(~bad).drop(files.CORRUPT, RAW, "source_file"), "event_ts")
-            clean = dedup_by_key(good, ["order_id"], required=ORDERS_REQUIRED).persist(StorageLevel.MEMORY_AND_DISK)
+            clean = dedup_by_key(good, ["order_id"], required=ORDERS_REQUIRED).observe(kept, F.count(F.lit(1)).alias("rows"))
             keyed.upsert_into(batch.sparkSession, store_path, clean, ["order_id"], seq=["event_ts"], buckets=buckets)
             counts["batches"] += 1
-            counts["rows"] += clean.count()
-            counts["rejected"] += rejected
-            clean.unpersist()
+            counts["rows"] += _observed(kept, "rows")["rows"]
+            counts["rejected"] += _observed(read, "rejected")["rejected"]
         finally:
             typed.unpersist()
 
