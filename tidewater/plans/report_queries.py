@@ -214,9 +214,13 @@ def orders_newest_by_date(spark, sf, n: int = 50):
 SELECT least(count(*), 10) AS n_rows, least(count(*), 10) AS n_found FROM lineitem
 """, covers="L3")
 def lineitem_first_rows(spark, sf, n: int = 10):
-    li = read_table(spark, sf, "lineitem")
-    known = li.distinct().withColumn("_known", F.lit(True))
-    return li.limit(n).join(known, li.columns, "left").agg(F.count(F.lit(1)).alias("n_rows"), F.count("_known").alias("n_found"))
+    from ..session import scratch_path
+    li, path = read_table(spark, sf, "lineitem"), scratch_path(spark, "first-rows")
+    li.limit(n).write.parquet(path)
+    first = spark.read.schema(li.schema).parquet(path)
+    # at most n rows go to the table, not the table to them
+    known = li.join(F.broadcast(first), li.columns, "left_semi").distinct().withColumn("_known", F.lit(True))
+    return first.join(known, li.columns, "left").agg(F.count(F.lit(1)).alias("n_rows"), F.count("_known").alias("n_found"))
 
 
 # ---------------------------------------------------------------- U1
