@@ -39,12 +39,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewater.llm._store import settle
+from tidewater.llm._store import settle, small_batches
 from tidewater.llm._words import chunks, column_bytes
 
 UND = "und"
@@ -218,17 +219,75 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                                               pa.array(n, pa.int64())], names=["l", "bucket", "n"])
 
 
-def _score(model: TextModel, text_at: int, schema: pa.Schema):
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    weights = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return weights / weights.sum(axis=1, keepdims=True)
+
+
+def _bonus(values: list, classes: list[str], trust: float, names: dict[str, str] | None = None) -> np.ndarray:
+    """Log-evidence per row and class of declared values; zero for unknown ones."""
+    place = {c: k for k, c in enumerate(classes) if c not in (UND, OTHER)}
+    at = [place.get((names or {}).get(v) if names else v, -1) for v in values]
+    out = np.zeros((len(at), len(classes)))
+    known = np.flatnonzero(np.array(at, np.int64) >= 0)
+    out[known, np.array(at, np.int64)[known]] = np.log(trust)
+    return out
+
+
+def _lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    n, k = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(values.reshape(-1), kind))
+
+
+def _score(model: TextModel, schema: pa.Schema, n_kept: int):
+    """Of rows that end with suffix, declared language and text: the first
+    ``n_kept`` columns, the scores of all evidence but the host, and their
+    posterior in millionths."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            _, all_bounds = column_bytes(whole.column(text_at))
+            _, all_bounds = column_bytes(whole.column(whole.num_columns - 1))
             for i, j in chunks(all_bounds, SLICE_BYTES):
                 batch = whole.slice(i, j - i)
-                scores = model.scores(*column_bytes(batch.column(text_at)))
-                k = scores.shape[1]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, scores.size + 1, k, dtype=np.int32)), pa.array(scores.reshape(-1)))
-                kept = [batch.column(c).cast(f.type) for c, f in enumerate(list(schema)[:-1])]
-                yield pa.RecordBatch.from_arrays([*kept, lists], schema=schema)
+                suffix, said, text = batch.columns[-3:]
+                scores = model.scores(*column_bytes(text))
+                scores += _bonus(said.to_pylist(), model.classes, DECLARED) + _bonus(suffix.to_pylist(), model.classes, SUFFIX, SUFFIXES)
+                own = np.round(_softmax(scores) * _UNIT).astype(np.int64)
+                kept = [batch.column(c).cast(f.type) for c, f in enumerate(list(schema)[:n_kept])]
+                text = [text.cast(schema.field("__text").type)] if "__text" in schema.names else []
+                yield pa.RecordBatch.from_arrays([*kept, *text, _lists(scores, pa.float64()), _lists(own, pa.int64())], schema=schema)
+
+    return run
+
+
+def priors(levels: np.ndarray, own: np.ndarray, smooth: float = SMOOTH) -> np.ndarray:
+    """Log-prior of rows by class, of the other rows' posteriors: the table's,
+    smoothed with equal shares, smooths the suffix's, that the domain's, and that
+    the host's. ``levels`` are their sums (rows, 4, classes), of each of which
+    the row's ``own`` is taken."""
+    prior = np.full(own.shape, 1.0 / own.shape[1])
+    for level in range(levels.shape[1]):
+        others = (levels[:, level] - own) / _UNIT
+        prior = (others + smooth * prior) / (others.sum(axis=1, keepdims=True) + smooth)
+    return np.log(prior)
+
+
+def _decide(classes: list[str], schema: pa.Schema):
+    """Rows that end with scores, own posterior and levels: their language."""
+    k = len(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            scores, own, levels = batch.columns[-3:]
+            scores = pc.list_flatten(scores).to_numpy().reshape(-1, k)
+            own = pc.list_flatten(own).to_numpy().reshape(-1, k)
+            levels = pc.list_flatten(pc.list_flatten(levels)).to_numpy().reshape(-1, 4, k)
+            post = _softmax(scores + priors(levels, own))
+            best = post.argmax(axis=1)
+            names = pa.array(classes).take(pa.array(best))
+            kept = [batch.column(c).cast(f.type) for c, f in enumerate(list(schema)[:-3])]
+            yield pa.RecordBatch.from_arrays([*kept, names, pa.array(post[np.arange(len(best)), best]), pc.equal(names, UND)], schema=schema)
 
     return run
 
@@ -243,40 +302,10 @@ def host_parts(url: Column) -> tuple[Column, Column, Column]:
     return host, F.when(dotted, F.array_join(F.slice(labels, -2, 2), ".")).otherwise(host), suffix
 
 
-def _bonus(value: Column, classes: list[str], trust: float, names: dict[str, str] | None = None) -> Column:
-    """Log-evidence per class of a declared value; zero for an unknown one."""
-    place = {c: k for k, c in enumerate(classes) if c not in (UND, OTHER)}
-    known = {given: place[lang] for given, lang in (names or {c: c for c in classes}).items() if lang in place}
-    none = F.array_repeat(F.lit(0.0), len(classes))
-    if not known:
-        return none
-    at = F.element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), value)
-    return F.when(at.isNull(), none).otherwise(F.transform(F.sequence(F.lit(0), F.lit(len(classes) - 1)),
-                                                           lambda k: F.when(k == at, F.lit(float(np.log(trust)))).otherwise(F.lit(0.0))))
-
-
-def _added(*parts: Column) -> Column:
-    total = parts[0]
-    for p in parts[1:]:
-        total = F.zip_with(total, p, lambda x, y: x + y)
-    return total
-
-
-def _posterior(scores: Column) -> Column:
-    top = F.array_max(scores)
-    weights = F.transform(scores, lambda s: F.exp(s - top))
-    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(weights, lambda w: w / total)
-
-
 #: posteriors are added as millionths, so that sums do not depend on their order
 _UNIT = 1_000_000
 
 
-def _millionths(post: Column) -> Column:
-    return F.transform(post, lambda p: F.round(p * _UNIT).cast("long"))
-
-
 def host_counts(rows: DataFrame, k: int) -> DataFrame:
     """One row per host: the sums of its rows' posteriors (millionths, by
     class), and those of its domain, its suffix and the whole table. Only
@@ -298,56 +327,37 @@ def host_counts(rows: DataFrame, k: int) -> DataFrame:
             .select("h.host", F.array(table, F.col("s.n"), F.col("d.n"), F.col("h.n")).alias("levels")))
 
 
-def _prior(levels: Column, own: Column, k: int, smooth: float = SMOOTH) -> Column:
-    """Log-prior of a row by class, of the other rows' posteriors: the table's,
-    smoothed with equal shares, smooths the suffix's, that the domain's, and that
-    the host's. The row's own posterior (``own``) is taken from each."""
-    even = F.array_repeat(F.lit(1.0 / k), k)
-
-    def smoothed(above: Column, counts: Column) -> Column:
-        others = F.zip_with(counts, own, lambda n, x: (n - x) / F.lit(float(_UNIT)))
-        total = F.aggregate(others, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(others, above, lambda n, p: (n + F.lit(smooth) * p) / (total + F.lit(smooth)))
-
-    return F.transform(F.aggregate(levels, even, smoothed), lambda p: F.log(p))
-
-
 def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: str | None = "lang", url: str | None = "source",
              keep_text: bool = True) -> DataFrame:
     """``rows`` with language, confidence, and rejected."""
-    classes = model.classes
+    small_batches(rows.sparkSession)
+    classes, k = model.classes, len(model.classes)
     result = ("language", "confidence", "rejected")
     kept = [c for c in rows.columns if c not in result and c != text]
     none = F.lit(None).cast("string")
     host, domain, suffix = host_parts(F.col(f"`{url}`").cast("string") if url else none)
     said = tag(F.col(f"`{declared}`")) if declared else none
-    extra = [host.alias("__host"), domain.alias("__domain"), suffix.alias("__suffix"), said.alias("__said")]
+    levels = [host.alias("__host"), domain.alias("__domain"), suffix.alias("__suffix")]
 
     def scored(columns: list[str], with_text: bool) -> DataFrame:
-        base = rows.select(*[F.col(f"`{c}`") for c in columns], *extra, F.col(f"`{text}`").alias("__text"))
-        n = len(base.columns) - 1
-        schema = T.StructType([*base.schema.fields[:n + with_text], T.StructField("__scores", T.ArrayType(T.DoubleType()))])
-        out = base.mapInArrow(_score(model, n, to_arrow_schema(schema)), schema)
-        fused = _added(F.col("__scores"), _bonus(F.col("__said"), classes, DECLARED), _bonus(F.col("__suffix"), classes, SUFFIX, SUFFIXES))
-        return out.withColumn("__scores", fused)
+        base = rows.select(*[F.col(f"`{c}`") for c in columns], *levels, said.alias("__said"), F.col(f"`{text}`").alias("__text"))
+        n = len(columns) + 3
+        schema = T.StructType([*base.schema.fields[:n], *base.schema.fields[n + 1:] * with_text, T.StructField("__scores", T.ArrayType(T.DoubleType())),
+                               T.StructField("__own", T.ArrayType(T.LongType()))])
+        return base.mapInArrow(_score(model, to_arrow_schema(schema), n), schema)
 
-    k = len(classes)
     if keep_text:
         first, full = scored([], False), scored(kept, True)
     else:
         # without the text the scores are small: the text is read once
         first = full = settle(scored(kept, False), "language-scores")[0]
-    narrow = first.select(F.col("__host").alias("host"), F.col("__domain").alias("domain"), F.col("__suffix").alias("suffix"),
-                          _millionths(_posterior(F.col("__scores"))).alias("post"))
+    narrow = first.select(F.col("__host").alias("host"), F.col("__domain").alias("domain"), F.col("__suffix").alias("suffix"), F.col("__own").alias("post"))
     counts, _ = settle(host_counts(narrow, k), "host-priors")
-    few = 4 * k * counts.limit(PRIOR_NUMBERS // (4 * k) + 1).count() <= PRIOR_NUMBERS
+    few = counts.limit(PRIOR_NUMBERS // (4 * k) + 1).count() <= PRIOR_NUMBERS // (4 * k)
     counts = counts.withColumnRenamed("host", "__p_host")
-    full = full.join(F.broadcast(counts) if few else counts, F.col("__host").eqNullSafe(F.col("__p_host")), "left")
-    own = _millionths(_posterior(F.col("__scores")))
-    full = full.withColumn("__own", own)
-    prior = F.coalesce(_prior(F.col("levels"), F.col("__own"), k), F.array_repeat(F.lit(0.0), k))
-    full = full.withColumn("__post", _posterior(_added(F.col("__scores"), prior)))
-    best = F.array_max(F.col("__post"))
-    language = F.element_at(F.array(*[F.lit(c) for c in classes]), F.array_position("__post", best).cast("int"))
+    full = full.join(F.broadcast(counts) if few else counts, F.col("__host").eqNullSafe(F.col("__p_host")))
+    columns = [T.StructField(c, rows.schema[c].dataType) for c in kept] + [T.StructField("__text", T.StringType())] * keep_text
+    schema = T.StructType([*columns, T.StructField("__language", T.StringType()), T.StructField("__confidence", T.DoubleType()), T.StructField("__rejected", T.BooleanType())])
+    done = full.select(*[F.col(f"`{c.name}`") for c in columns], "__scores", "__own", "levels").mapInArrow(_decide(classes, to_arrow_schema(schema)), schema)
     shown = [F.col(f"`{c}`") if c != text else F.col("__text").alias(text) for c in rows.columns if c in kept or (c == text and keep_text)]
-    return full.select(*shown, language.alias("language"), best.alias("confidence"), (language == UND).alias("rejected"))
+    return done.select(*shown, *[F.col(f"__{c}").alias(c) for c in result])
