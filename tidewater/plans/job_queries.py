@@ -154,3 +154,21 @@ def event_alarm_stream(spark, sf):
                            f"{path}/checkpoint", delay="0 seconds").awaitTermination()
     edges = spark.read.schema("event_type STRING, period_start TIMESTAMP, state STRING").parquet(f"{path}/edges")
     return edges.select("event_type", F.col("period_start").cast("timestamp_ntz").alias("period_start"), "state")
+
+
+# ---------------------------------------------------------------- S11: loads of other types
+@query("lineitem_widened_loads", """
+SELECT l_orderkey, CAST(CASE WHEN l_orderkey % 2 = 0 THEN l_linenumber ELSE l_linenumber + 5000000000 END AS BIGINT) AS number,
+       CASE WHEN l_orderkey % 2 = 0 THEN CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) ELSE l_extendedprice END AS amount,
+       CASE WHEN l_orderkey % 2 = 1 THEN l_returnflag END AS flag, CASE WHEN l_orderkey % 2 = 0 THEN 'a' ELSE 'b' END AS load
+FROM lineitem
+""", covers="S11")
+def lineitem_widened_loads(spark, sf):
+    """A load with int columns, then one with bigint, double and a new column."""
+    from ..sources.catalog import read_widened
+    path, li = scratch_path(spark, "widened"), read_table(spark, sf, "lineitem")
+    even = F.col("l_orderkey") % 2 == 0
+    li.where(even).select("l_orderkey", F.col("l_linenumber").cast("int").alias("number"), F.col("l_quantity").cast("int").alias("amount")).write.parquet(f"{path}/load=a")
+    li.where(~even).select("l_orderkey", (F.col("l_linenumber") + F.lit(5000000000)).cast("long").alias("number"), F.col("l_extendedprice").alias("amount"),
+                           F.col("l_returnflag").alias("flag")).write.parquet(f"{path}/load=b")
+    return read_widened(spark, path)[0].select("l_orderkey", "number", "amount", "flag", "load")

@@ -8,7 +8,8 @@ batch, so replays do not duplicate output.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,12 +50,14 @@ def file_arrivals(spark: SparkSession, folder: str, suffix: str = ".csv", case_s
 
 
 # ---------------------------------------------------------------- S6
-def envelope_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 10) -> DataFrame:
+def envelope_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 10, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Envelope records (sequence number, key, base64 data) landed as NDJSON
     files; in production the same shape comes from a Kafka source with
-    ``startingOffsets=earliest`` and ``maxOffsetsPerTrigger``."""
-    return (spark.readStream.schema(ENVELOPE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-            .json(folder))
+    ``startingOffsets=earliest`` and ``maxOffsetsPerTrigger``. A batch is so many
+    files, or files of so many bytes."""
+    r = spark.readStream.schema(ENVELOPE_SCHEMA)
+    r = r.option("maxBytesPerTrigger", max_bytes_per_trigger) if max_bytes_per_trigger else r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(folder)
 
 
 def kafka_envelopes(spark: SparkSession, servers: str, topic: str, max_offsets: int = 10) -> DataFrame:
@@ -98,6 +101,29 @@ def land_raw(df: DataFrame, path: str, errors_path: str, checkpoint: str, trigge
     return w.start()
 
 
+# What flushes a landing buffer.
+FLUSH_BYTES, FLUSH_S = 5 << 20, 60
+
+
+def land_rounds(start: Callable[[], StreamingQuery], every_s: float = FLUSH_S, rounds: int | None = None,
+                wait: Callable[[float], None] = time.sleep) -> int:
+    """Landing by size or time: ``start`` begins an ``available_now`` landing
+    whose source is bounded by ``max_bytes_per_trigger=FLUSH_BYTES``. Each round
+    lands all that has arrived, in batches near that size one behind the other,
+    and the next begins ``every_s`` after its start, or at once if it took
+    longer. So a flood is flushed by size, and a trickle after that time. (A
+    processing-time trigger would land one batch per interval, and fall behind.)
+    Returns the number of rounds; without ``rounds`` it goes on for ever."""
+    done = 0
+    while rounds is None or done < rounds:
+        began = time.monotonic()
+        start().awaitTermination()
+        done += 1
+        if rounds is None or done < rounds:
+            wait(max(0.0, every_s - (time.monotonic() - began)))
+    return done
+
+
 # ---------------------------------------------------------------- K4 / ST2
 def start_fanout(df: DataFrame, writers: dict, checkpoint: str, available_now: bool = True,
                  trigger_s: int = 60) -> StreamingQuery:
