@@ -7,6 +7,11 @@ or by the longest single word, whichever is larger.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -122,3 +127,21 @@ def chunks(bounds: np.ndarray, most: int):
         j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + most, side="right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
+
+
+def given_back(run: Callable) -> Callable:
+    """A worker function that returns what it no longer uses to the system when
+    its partition ends: workers are used again, and would keep their largest
+    step's memory."""
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+            if trim is not None:
+                trim(0)
+
+    return wrapped

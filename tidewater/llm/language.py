@@ -46,7 +46,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidewater.llm._store import settle, small_batches
-from tidewater.llm._words import chunks, column_bytes
+from tidewater.llm._words import chunks, column_bytes, given_back
 
 UND = "und"
 OTHER = "other"              # letter texts that no language model explains
@@ -207,6 +207,7 @@ def fit(rows: DataFrame, text: str = "text", label: str = "lang", sample: int =
     return TextModel(labels, counts)
 
 
+@given_back
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         _, all_bounds = column_bytes(whole.column(1))
@@ -243,6 +244,7 @@ def _score(model: TextModel, schema: pa.Schema, n_kept: int):
     """Of rows that end with suffix, declared language and text: the first
     ``n_kept`` columns, the scores of all evidence but the host, and their
     posterior in millionths."""
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             _, all_bounds = column_bytes(whole.column(whole.num_columns - 1))
@@ -275,6 +277,7 @@ def _decide(classes: list[str], schema: pa.Schema):
     """Rows that end with scores, own posterior and levels: their language."""
     k = len(classes)
 
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:

@@ -51,8 +51,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.llm._linking import WORDS, link_buckets, only
-from tidewater.llm._store import discard, settle
-from tidewater.llm._words import SPACED, chunks, column_bytes, mix, pair, per_text, windows, word_hashes, words
+from tidewater.llm._store import discard, settle, small_batches
+from tidewater.llm._words import SPACED, chunks, column_bytes, given_back, mix, pair, per_text, windows, word_hashes, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -169,6 +169,7 @@ def sketches(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(_sketch, "node binary, sketch array<long>")
 
 
+@given_back
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 64 * WORDS
     place = mix(np.arange(1, size + 1, dtype=np.uint64))
@@ -206,6 +207,7 @@ def _slices(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.Reco
             yield batch.slice(i, j - i)
 
 
+@given_back
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "node", "weight", "bands"]
     for batch in _slices(batches, 1):
@@ -218,6 +220,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=names)
 
 
+@given_back
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches, 1):
         value, offsets = shingles(batch.column(1))
@@ -227,6 +230,7 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_node(text_at: int):
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, text_at):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_nodes(*shingles(batch.column(text_at))), pa.binary())], names=[*batch.schema.names, "__node"])
@@ -243,6 +247,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", th
     """Per row of ``docs``: doc_id, node (the multiset's name, null without
     words) and class_id, the least id of its class."""
     spark = docs.sparkSession
+    small_batches(spark)
     kind = docs.schema[doc].dataType.simpleString()
     slim = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
     signed, signed_path = settle(slim.mapInArrow(_sign, f"doc_id {kind}, node binary, weight long, bands array<long>"), "near-signed")

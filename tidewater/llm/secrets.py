@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewater.llm._words import column_bytes, words
+from tidewater.llm._words import column_bytes, given_back, words
 
 KINDS = ("assign", "access", "hex")
 MAX_LAYER = 32 << 20
@@ -403,6 +403,7 @@ def suspects(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _scan_batches(text_at: int, n_kept: int, schema: pa.Schema, limit: int):
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(text_at)
@@ -437,6 +438,7 @@ def find_secrets(docs: DataFrame, text: str = "text", keep_text: bool = True, li
 
 
 def _redact_batches(text_at: int, mark: str):
+    @given_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(text_at)
