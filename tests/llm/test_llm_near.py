@@ -3,11 +3,12 @@ import os
 import sys
 
 import numpy as np
+import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 from helpers import ODD, classes, prose  # noqa: E402
 
-from tidewater.llm import fingerprint, near_dup  # noqa: E402
+from tidewater.llm import _linking, fingerprint, near_dup  # noqa: E402
 from tidewater.llm._words import mix  # noqa: E402
 
 
@@ -93,6 +94,40 @@ def test_crowd_around_a_centre(spark):
     assert {x.doc_id: x.class_id for x in near_dup.near_duplicates(df).collect()} == want
 
 
+@pytest.mark.parametrize("pairwise", [16_384, 0])
+def test_crowd_of_hardly_similar_texts(spark, monkeypatch, pairwise):
+    """Copies of a text that is not there itself, each nearly similar to all
+    others: what is verified does not grow with the square of their number."""
+    import random
+    r = random.Random(5)
+    base, texts, verified = prose(6, 300, 10 ** 5).split(" "), [], []
+    for k in range(150):
+        w = list(base)
+        for at in r.sample(range(0, 300, 6), 4 + k % 2):
+            w[at] = f"n{k}x{at}"
+        texts.append(" ".join(w))
+    texts += [t + " tail" for t in texts[::30]]
+    seen = _linking.similarities
+
+    def similarities(pairs, sets, name):
+        verified.append(pairs.count())
+        return seen(pairs, sets, name)
+
+    monkeypatch.setattr(_linking, "similarities", similarities)
+    monkeypatch.setattr(_linking, "PAIRWISE_NODES", pairwise)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = dict(enumerate(classes(range(len(texts)), texts)))
+    assert len(set(want.values())) > 20
+    assert {x.doc_id: x.class_id for x in near_dup.near_duplicates(df).collect()} == want
+    assert sum(verified[1 if pairwise else 2:]) <= 3 * len(texts), verified
+
+
+def test_carried_sets_share_no_less(spark):
+    one, two = [1, 2, 1 << 40], [5, 5 + (1 << 31)]
+    sets = spark.createDataFrame([(b"a", one), (b"b", two), (b"c", list(range(_linking.CARRIED_ELEMENTS + 1)))], "node binary, elements array<long>")
+    assert [(bytes(x.node), len(x.own)) for x in _linking.carried(sets).collect()] == [(b"a", 3)]
+
+
 def test_keep_one(spark):
     ids, texts = _case()
     rows = [(d, t, "k") for d, t in zip(ids, texts)] + [(ids[0], texts[0], "k"), (None, texts[1], "k"), (None, "only here and nowhere else", "k"), (None, None, "k")]
