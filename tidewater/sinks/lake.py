@@ -9,16 +9,15 @@ value (``repartition``) or one file per task per value (no shuffle).
 from __future__ import annotations
 
 import functools
-import json
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..session import scratch_path
-
 LOAD = "load"
 
 
@@ -44,8 +43,8 @@ def load_id(source: Column) -> Column:
     return F.substring(F.sha2(source, 256), 1, 16)
 
 
-#: rows of a partition value that one task may write; a run with larger values
-#: is rebalanced by bytes, which splits them
+#: rows that one task writes, more or less: a run has as many tasks as that takes,
+#: and one with larger partition values is rebalanced by bytes, which splits them
 TASK_ROWS = 1_000_000
 _REGISTRY = "_loads"         # hidden from Spark's listing of the table
 
@@ -80,7 +79,7 @@ def write_load(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str
     a load may have rows in. New loads are only appended: one file per partition
     value and run if it is small, whatever the number of loads. For loads that
     the registry knows, their partitions are read (no others), merged without
-    them, staged in the shared folder and overwritten; a run that breaks off is
+    them, staged beside the table and moved into place; a run that breaks off is
     mended by the next one, as the registry has its partitions. Without
     partition columns every load has a folder of its own. What reaches the
     driver is the partitions of repeated loads."""
@@ -134,40 +133,73 @@ def _replace(df: DataFrame, path: str, cols: list[str], fmt: str, loads: DataFra
 
 
 _PENDING = "_pending"
-_PENDING_SCHEMA = "stage STRING, schema STRING, cols ARRAY<STRING>, fmt STRING, gone ARRAY<STRING>"
+_PENDING_SCHEMA = "stage STRING, gone ARRAY<STRING>"
 
 
 def overwrite_staged(df: DataFrame, path: str, cols: Sequence[str], fmt: str = "parquet", folders: dict[tuple, str] | None = None) -> None:
     """Replace the partitions that ``df`` has, where ``df`` may read them: it is
-    written to the shared folder first, noted beside the table, and then written
-    over them. A run that breaks off in between, perhaps with a partition
-    already taken away, is finished from the staged rows by the next one
-    (``finish_pending``). ``folders`` are partitions that go if ``df`` has no row
-    for them. One writer at a time."""
-    spark, stage = df.sparkSession, scratch_path(df.sparkSession, "staged")
-    df.write.parquet(stage)
-    left = {tuple(r) for r in spark.read.schema(df.schema).parquet(stage).select(*cols).distinct().collect()}
-    gone = [f for key, f in (folders or {}).items() if key not in left]
-    note = spark.createDataFrame([(stage, df.schema.json(), list(cols), fmt, gone)], _PENDING_SCHEMA)
-    note.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{_PENDING}")
+    written beside the table first (hidden from Spark's listing), noted, and its
+    folders are then moved over the old ones, so that rows are written once. A
+    run that breaks off in between, perhaps with a partition already taken away,
+    is finished from the staged folders by the next one (``finish_pending``).
+    ``folders`` are partitions that go if ``df`` has no row for them. The rows
+    of ``df`` are dealt already. One writer at a time. What reaches the driver
+    is the names of folders."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    stage = f"{path}/_staged-{uuid.uuid4().hex[:12]}"
+    write_partitioned(df, stage, cols, fmt=fmt, spread=False)
+    left = {f"{path}{unquote(f[len(stage):])}" for f in _leaves(spark, stage, len(cols))}
+    gone = [f for f in (folders or {}).values() if f not in left]
+    note = spark.createDataFrame([(stage, gone)], _PENDING_SCHEMA)
+    note.coalesce(1).write.mode("overwrite").json(f"{path}/{_PENDING}")
     finish_pending(spark, path)
 
 
+def _leaves(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """The partition folders ``depth`` levels below ``path``."""
+    if depth == 0:
+        return [path]
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where) if f.isDirectory()]
+    return [leaf for n in names if "=" in n for leaf in _leaves(spark, f"{path}/{n}", depth - 1)]
+
+
 def finish_pending(spark: SparkSession, path: str) -> None:
     """Finish an overwrite that was noted and not ended."""
-    note = f"{path.rstrip('/')}/{_PENDING}"
+    path = path.rstrip("/")
+    note = f"{path}/{_PENDING}"
     if not exists(spark, f"{note}/_SUCCESS"):
         return
     row = spark.read.schema(_PENDING_SCHEMA).json(note).first()
-    staged = spark.read.schema(StructType.fromJson(json.loads(row["schema"]))).parquet(row["stage"])
-    counts = staged.groupBy(*row["cols"]).agg(F.count(F.lit(1)).alias("n"))
-    write_partitioned(_spread(staged, counts, row["cols"]), path, row["cols"], mode="overwrite", fmt=row["fmt"], spread=False)
-    for folder in row["gone"]:
+    if exists(spark, row["stage"]):
+        _move(spark, row["stage"], path)
+    for folder in row["gone"] or []:
         _delete(spark, folder)
     _delete(spark, note)
     _delete(spark, row["stage"])
 
 
+def _move(spark: SparkSession, stage: str, path: str) -> None:
+    """Move all staged partition folders over those of the table; what is moved
+    is no longer staged."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def walk(at: str) -> None:
+        below = [f.getPath().getName() for f in fs.listStatus(hadoop.Path(f"{stage}{at}")) if f.isDirectory()]
+        below = [n for n in below if "=" in n]
+        for n in below:
+            walk(f"{at}/{n}")
+        if at and not below and any(f.isFile() for f in fs.listStatus(hadoop.Path(f"{stage}{at}"))):
+            new, parent = hadoop.Path(f"{path}{at}"), hadoop.Path(f"{path}{at}").getParent()
+            fs.delete(new, True)
+            fs.mkdirs(parent)
+            if not fs.rename(hadoop.Path(f"{stage}{at}"), new):
+                raise OSError(f"{stage}{at} could not be moved to {path}{at}")
+
+    walk("")
+
+
 def _write_load_folders(df: DataFrame, path: str, fmt: str, loads: DataFrame | None) -> None:
     spark = df.sparkSession
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
