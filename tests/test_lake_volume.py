@@ -10,6 +10,27 @@ def _files(path):
     return {f for at, _, names in os.walk(path) for f in names if f.startswith("part-")}
 
 
+def test_only_repeated_loads_are_staged(spark, tmp, monkeypatch):
+    staged, path = [], f"{tmp}/lake"
+    real = lake.overwrite_staged
+
+    def seen(df, *rest, **named):
+        staged.append(sorted(tuple(r) for r in df.select("v", lake.LOAD).collect()))
+        real(df, *rest, **named)
+
+    monkeypatch.setattr(lake, "overwrite_staged", seen)
+    rows = lambda *r: spark.createDataFrame(list(r), f"v INT, day STRING, {lake.LOAD} STRING")
+    lake.write_load(rows((1, "01", "a"), (2, "02", "a"), (3, None, "a")), path, ["day"])
+    lake.write_load(rows((9, "01", "x")), path, ["day"])
+    assert staged == []
+    # a comes again with another row of a new day, b and a null load are new
+    lake.write_load(rows((4, "01", "a"), (5, "03", "a"), (6, "01", "b"), (7, None, "b"), (8, "02", None)), path, ["day"])
+    assert staged == [[(4, "a"), (9, "x")]]
+    got = sorted((r.v, r.day, r[lake.LOAD]) for r in lake.read_loads(spark, path).collect())
+    assert got == [(4, "01", "a"), (5, "03", "a"), (6, "01", "b"), (7, None, "b"), (8, "02", None), (9, "01", "x")]
+    assert not [f for f in os.listdir(path) if f.startswith("_staged") or f == "_pending"]
+
+
 def test_staged_files_are_moved_and_a_broken_move_is_finished(spark, tmp, monkeypatch):
     path, names, real = f"{tmp}/store", [], lake.finish_pending
 

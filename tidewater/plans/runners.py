@@ -102,7 +102,7 @@ def _load(typed: DataFrame, required: list[str], clean: Callable[[DataFrame], Da
         good = clean(typed.where(~bad).drop(files.CORRUPT, RAW, "source_file")).observe(written, F.count(F.lit(1)).alias("rows"))
         lake.write_load(good, out_path, ["year", "month", "day"], loads=loads)
         reason = F.when(broken, F.lit("unreadable")).otherwise(F.lit("missing required value"))
-        lake.dead_letter(_rejects(typed, bad, reason), errors_path, job, loads)
+        lake.dead_letter(_rejects(typed, bad, reason), errors_path, job, loads, as_read=True)
         return {**_observed(read, "raw_rows", "rejected"), **_observed(written, "rows")}
     finally:
         typed.unpersist()
