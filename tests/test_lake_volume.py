@@ -3,6 +3,8 @@ repeated loads staged, rows written once."""
 
 import os
 
+from pyspark.sql import functions as F
+
 from tidewater.sinks import keyed, lake
 
 
@@ -10,6 +12,14 @@ def _files(path):
     return {f for at, _, names in os.walk(path) for f in names if f.startswith("part-")}
 
 
+def test_tasks_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(lake, "TASK_ROWS", 10)
+    df = spark.range(300).select(F.col("id"), (F.col("id") % 60).alias("d"))
+    run = df.groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    assert lake._spread(df, run, ["d"]).rdd.getNumPartitions() == 30
+    assert lake._spread(df.limit(0), run.limit(0), ["d"]).count() == 0
+
+
 def test_only_repeated_loads_are_staged(spark, tmp, monkeypatch):
     staged, path = [], f"{tmp}/lake"
     real = lake.overwrite_staged

@@ -127,11 +127,12 @@ def _of(df: DataFrame, cols: list[str], keys: list[tuple], how: str) -> DataFram
 
 def _spread(df: DataFrame, run: DataFrame, cols: list[str]) -> DataFrame:
     """Rows by partition value: one task for several values, unless one is
-    larger than a task's share."""
-    s = run.groupBy(*cols).agg(F.sum("n").alias("n")).agg(F.count(F.lit(1)).alias("values"), F.max("n").alias("most")).first()
+    larger than a task's share; as many tasks as the rows take."""
+    s = run.groupBy(*cols).agg(F.sum("n").alias("n")).agg(F.count(F.lit(1)).alias("values"), F.max("n").alias("most"), F.sum("n").alias("rows")).first()
     if (s["most"] or 0) > TASK_ROWS:
         return df.hint("rebalance", *cols)
-    return df.repartition(max(1, min(s["values"], 2 * df.sparkSession.sparkContext.defaultParallelism)), *cols)
+    tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-(s["rows"] or 0) // TASK_ROWS))
+    return df.repartition(max(1, min(s["values"], tasks)), *cols)
 
 
 def _replace(df: DataFrame, path: str, cols: list[str], fmt: str, loads: DataFrame, touched: list[tuple]) -> None:
