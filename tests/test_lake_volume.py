@@ -61,3 +61,19 @@ def test_staged_files_are_moved_and_a_broken_move_is_finished(spark, tmp, monkey
     got = {r.k: r.v for r in keyed.read_current(spark, path).collect()}
     assert got == {k: "new" if k % 2 == 0 else "old" for k in range(40)}
     assert names[0] <= {f for at, _, fs in os.walk(path) if "_bucket=" in at for f in fs}
+
+
+def test_large_buckets_are_written_where_they_were_merged(spark, tmp, monkeypatch):
+    dealt, real = [], lake.overwrite_staged
+
+    def seen(df, *rest, **named):
+        dealt.append("REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString())
+        real(df, *rest, **named)
+
+    monkeypatch.setattr(lake, "overwrite_staged", seen)
+    change = lambda v: spark.range(200).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    for limit, v in ((200_000, "a"), (10, "b"), (99, "c"), (100, "d")):
+        monkeypatch.setattr(keyed, "BUCKET_ROWS", limit)
+        keyed.upsert_into(spark, f"{tmp}/store", change(v), ["k"], buckets=4)
+        assert {(r.k, r.v) for r in keyed.read_current(spark, f"{tmp}/store").collect()} == {(k, v) for k in range(200)}
+    assert dealt == [True, False, False, True]

@@ -24,6 +24,9 @@ from . import lake
 
 BUCKET = "_bucket"
 BUCKETS = 64
+#: rows of a bucket, on average, up to which one task writes it to one file;
+#: larger ones are written from where they were merged, without another shuffle
+BUCKET_ROWS = 200_000
 _ABOUT = "_keyed"            # hidden from Spark's listing of the table
 
 
@@ -62,7 +65,8 @@ def upsert_into(spark: SparkSession, path: str, changes: DataFrame, keys: Sequen
     lake.finish_pending(spark, path)
     ch = changes.withColumn(BUCKET, bucket_of(keys, n)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = sorted(r[0] for r in ch.select(BUCKET).distinct().collect())
+        counts = {r[0]: r[1] for r in ch.groupBy(BUCKET).agg(F.count(F.lit(1))).collect()}
+        touched = sorted(counts)
         if not touched:
             return 0
         if about is None:
@@ -70,7 +74,9 @@ def upsert_into(spark: SparkSession, path: str, changes: DataFrame, keys: Sequen
         there = [b for b in touched if lake.exists(spark, f"{path}/{BUCKET}={b}")]
         base = _read(spark, path, ch.schema, there) if there else ch.limit(0)
         merged = upsert(base.select(*ch.columns), ch, [BUCKET, *keys], seq)
-        lake.overwrite_staged(merged.repartition(len(touched), BUCKET), path, [BUCKET])
+        if sum(counts.values()) + (base.count() if there else 0) <= BUCKET_ROWS * len(touched):
+            merged = merged.repartition(len(touched), BUCKET)
+        lake.overwrite_staged(merged, path, [BUCKET])
         return len(touched)
     finally:
         ch.unpersist()
