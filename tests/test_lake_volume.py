@@ -77,3 +77,11 @@ def test_large_buckets_are_written_where_they_were_merged(spark, tmp, monkeypatc
         keyed.upsert_into(spark, f"{tmp}/store", change(v), ["k"], buckets=4)
         assert {(r.k, r.v) for r in keyed.read_current(spark, f"{tmp}/store").collect()} == {(k, v) for k in range(200)}
     assert dealt == [True, False, False, True]
+
+
+def test_dead_letters_are_compressed_and_read_back(spark, tmp):
+    bad = spark.createDataFrame([("x", "why", "f", "l1"), ("y", "why", "g", "l2")], f"record STRING, reason STRING, source_file STRING, {lake.LOAD} STRING")
+    for _ in range(2):
+        lake.dead_letter(bad, f"{tmp}/dead", "job", as_read=True)
+    assert all(f.endswith(".json.gz") for f in _files(f"{tmp}/dead"))
+    assert sorted((r.record, r[lake.LOAD]) for r in spark.read.json(f"{tmp}/dead").collect()) == [("x", "l1"), ("y", "l2")]
